@@ -31,6 +31,7 @@ MOST_RANGES = 65_536
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
+_LOW = np.uint64((1 << 14) - 1)
 #: Odd multipliers, one per sketch, from a fixed generator.
 _FACTORS = (np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 31, SKETCHES, np.uint32) * np.uint32(2) + np.uint32(1)).astype(np.uint32)
 
@@ -61,12 +62,16 @@ def unit_hashes(points: np.ndarray) -> np.ndarray:
     ordered = np.sort(units)
     again = ordered[1:][ordered[1:] == ordered[:-1]]
     if len(again):
-        at = np.flatnonzero(np.isin(units, np.unique(again)))
+        # places whose low bits are those of a repeated unit: few more than the repeated ones
+        table = np.zeros(1 << 14, bool)
+        table[again & _LOW] = True
+        at = np.flatnonzero(table[units & _LOW])
         order = np.argsort(units[at], kind="stable")
         own = units[at][order]
         first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
         number = np.arange(len(own)) - np.repeat(first, np.diff(first, append=len(own)))
-        units[at[order]] = _mixed(own + number.astype(np.uint64) * _MIX)
+        later = number > 0
+        units[at[order[later]]] = _mixed(own[later] + number[later].astype(np.uint64) * _MIX)
     return units
 
 
