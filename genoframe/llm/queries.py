@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from genoframe.llm import jaccard_join
+from genoframe.llm import jaccard_join, merge_replay, order_minhash, pii, rule_quality, sharding, telephony, token_files
 
 QUERIES = {
+    "op1_pii": pii.op1,
+    "op2_kd_sharding": sharding.op2,
+    "op3_token_files": token_files.op3,
+    "op4_rule_quality": rule_quality.op4,
+    "op5_order_minhash": order_minhash.op5,
+    "op6_telephony_media": telephony.op6,
     "op7_ngram_jaccard_join": jaccard_join.op7,
+    "op8_byte_bpe": merge_replay.op8,
 }
 ORACLES: dict[str, str] = {}
 
