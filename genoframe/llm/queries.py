@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from genoframe.llm import jaccard_join, merge_replay, order_minhash, pii, rule_quality, sharding, telephony, token_files
+from pyspark.sql import DataFrame, SparkSession
+
+from genoframe.llm import attention_lm, jaccard_join, merge_replay, order_minhash, pii, rule_quality, sharding, telephony, temperature_mix, token_files
+
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
 
 QUERIES = {
     "op1_pii": pii.op1,
@@ -13,6 +23,9 @@ QUERIES = {
     "op6_telephony_media": telephony.op6,
     "op7_ngram_jaccard_join": jaccard_join.op7,
     "op8_byte_bpe": merge_replay.op8,
+    "op9_temperature_mix": temperature_mix.op9,
+    "op10_attention_lm": attention_lm.op10,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {}
 
