@@ -10,10 +10,11 @@ Two sets A and B are linked when 100 * |A & B| >= 80 * |A | B|, i.e. when their
    Two linked classes share at least one region. These regions take the place of a first Voronoi level over
    pivot documents: unrelated documents all lie at distance 1 from each other, so that triangle windows around
    pivot documents would send every document to every region.
-3. In each region a pivot is compared with all members, within the windows that the size metric allows. Members
-   linked to a pivot share its label. Only members that carry other labels are compared further, region by
-   region, with new pivots out of the open members (more in each round), skipping by the triangle inequality
-   pairs whose distances to a common pivot differ by more than 0.2. A region ends when its open members share one label.
+3. In each region a pivot (the class with the smallest share of shingles of its own) is compared with all members, within the windows that the size metric and the places of the region's code
+   in both orders allow. Members
+   that links connect are one component. Only members of other components are compared further, region by
+   region, with new pivots (first one open member of each component, then more of them, twice as many in each round), skipping by the triangle inequality
+   pairs whose distances to a common pivot differ by more than 0.2. A region ends when its open members are in one component.
 4. Links give connected components; the smallest document id of a component names it.
 
 Defined results: null or word-free texts have the empty set and form a component of their own; a text of fewer
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genoframe.llm.common import reduce_tasks, settle, words_of
@@ -41,7 +42,6 @@ CHUNK = 1_500_000
 FIRST_PIVOTS = 16
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_LOW48 = np.uint64((1 << 48) - 1)
 
 
 def shingle_codes(text: bytes | None, words: int = WORDS) -> np.ndarray:
@@ -62,35 +62,46 @@ def shingle_codes(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary()), ("classes", pa.binary()), ("sizes", pa.binary())])
-_PACKED_DDL = "bucket int, doc_id long, n long, cls long, codes binary, counts binary, classes binary, sizes binary"
+_PACKED = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary()), ("classes", pa.binary()), ("homed", pa.binary()), ("sizes", pa.binary())])
+_PACKED_DDL = "bucket int, doc_id long, n long, cls long, codes binary, counts binary, classes binary, homed binary, sizes binary"
 
 
-def _document_rows(buckets: np.ndarray, ids: list, ns: list, classes: list) -> pa.RecordBatch:
-    nothing = pa.nulls(len(ids), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()), nothing, nothing, nothing, nothing], schema=_PACKED)
+def _short(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each value."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _long(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<i8").ravel()
 
 
 def _pack(sets: list[np.ndarray], classes: list[int], buckets: int) -> pa.RecordBatch:
-    """One row per bucket: 48-bit codes class by class, with counts by class."""
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    """One row per bucket: codes class by class, with counts by class; and the sizes of the classes at home there.
+
+    A code's bucket comes from its high bits, so that 40 more bits are enough beside it.
+    """
+    lengths = np.fromiter(map(len, sets), np.int64, len(sets))
     codes = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
-    bucket = ((codes >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)
-    order = np.argsort(bucket.astype(np.int64) * len(sets) + owner, kind="stable")
-    codes, owner, bucket = codes[order], owner[order], bucket[order].astype(np.int64)
-    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-    ends = np.append(starts[1:], len(bucket))
-    names, lengths = np.array(classes, np.int64), sizes
-    rows: list[tuple] = []
-    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-        mine, first = np.unique(owner[a:b], return_index=True)
-        count = np.diff(first, append=b - a).astype("<u4")
-        low = (codes[a:b] & _LOW48).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        rows.append((int(bucket[a]), low.tobytes(), count.tobytes(), names[mine].tobytes(), lengths[mine].tobytes()))
+    bucket = (((codes >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int64)
+    order = np.argsort(bucket * len(sets) + np.repeat(np.arange(len(sets)), lengths), kind="stable")
+    codes, key = codes[order], (bucket * len(sets) + np.repeat(np.arange(len(sets)), lengths))[order]
+    group = np.flatnonzero(np.diff(key, prepend=-1))
+    count = np.diff(group, append=len(key)).astype("<u4")
+    owner, bucket = key[group] % len(sets), key[group] // len(sets)
+    names = np.array(classes, np.int64)
+    home = names % buckets
+    first = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    ends = np.append(group, len(key))
+    at_home = np.argsort(home, kind="stable")
+    bounds = np.searchsorted(home[at_home], np.arange(buckets + 1))
+    rows: dict[int, list] = {int(bucket[a]): [_short(codes[ends[a] : ends[b]], 5), count[a:b].tobytes(), names[owner[a:b]].tobytes(), b"", b""] for a, b in zip(first, first[1:], strict=False)}
+    for k in np.unique(home).tolist():
+        mine = at_home[bounds[k] : bounds[k + 1]]
+        rows.setdefault(k, [b"", b"", b"", b"", b""])[3:] = [names[mine].tobytes(), lengths[mine].astype("<u4").tobytes()]
     none = pa.nulls(len(rows), pa.int64())
-    columns = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), none, none, none, *(pa.array(c, pa.binary()) for c in columns[1:])], schema=_PACKED)
+    return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), none, none, none, *(pa.array(list(c), pa.binary()) for c in zip(*rows.values(), strict=True))], schema=_PACKED)
 
 
 def _shingled(buckets: int):
@@ -100,7 +111,7 @@ def _shingled(buckets: int):
         seen: set[int] = set()
         held = 0
         for batch in batches:
-            ids, ns, own = batch.column(0).to_pylist(), [], []
+            ids, ns, own = batch.column(0), [], []
             for value in batch.column(1):
                 codes = shingle_codes(value.as_buffer().to_pybytes() if value.is_valid else None)
                 ns.append(len(codes))
@@ -116,70 +127,70 @@ def _shingled(buckets: int):
                         sets, classes, held = [], [], 0
                         if len(seen) > 200_000:
                             seen = set()
-            if ids:
-                spread = np.array([xxhash.xxh3_64_intdigest(f"{i}:{k}") % buckets for k, i in enumerate(ids)], np.int32)
-                yield _document_rows(spread, ids, ns, own)
+            spread = np.arange(batch.num_rows) * 31 % buckets
+            nothing = pa.nulls(batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(spread, pa.int32()), ids, pa.array(ns, pa.int64()), pa.array(own, pa.int64()), *[nothing] * 5], schema=_PACKED)
         if sets:
             yield _pack(sets, classes, buckets)
 
     return run
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | tuple]:
-    """Document rows as they come; of packed rows (bucket, codes, class, size) arrays."""
-    for batch in batches:
-        packed = batch.column(4).is_valid()
-        plain = batch.filter(pa.compute.invert(packed))
-        if plain.num_rows:
-            yield plain
-        for row in batch.filter(packed).to_pylist():
-            count = np.frombuffer(row["counts"], "<u4")
-            raw = np.frombuffer(row["codes"], np.uint8).reshape(-1, 6)
-            codes = np.zeros((len(raw), 8), np.uint8)
-            codes[:, :6] = raw
-            codes[:, 6:] = np.frombuffer(int(row["bucket"] & 0xFFFF).to_bytes(2, "little"), np.uint8)
-            yield codes.view("<u8").ravel(), np.repeat(np.frombuffer(row["classes"], np.int64), count), np.repeat(np.frombuffer(row["sizes"], np.int64), count)
-
-
-_SHARED = pa.schema([("home", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("codes", pa.binary()), ("classes", pa.binary()), ("sizes", pa.binary()), ("spread", pa.binary())])
-_SHARED_DDL = "home int, doc_id long, n long, cls long, codes binary, classes binary, sizes binary, spread binary"
+_SHARED = pa.schema([("home", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("codes", pa.binary()), ("classes", pa.binary()), ("spread", pa.binary()), ("homed", pa.binary()), ("sizes", pa.binary())])
+_SHARED_DDL = "home int, doc_id long, n long, cls long, codes binary, classes binary, spread binary, homed binary, sizes binary"
+#: Parts in which a task works through its entries, to hold less at a time.
+PARTS = 8
 
 
 def _counted(homes: int):
     """Keeps the codes that occur in two classes or more, with the number of classes; sends them to the class's home."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple] = []
-        for item in _entries(batches):
-            if isinstance(item, tuple):
-                parts.append(item)
-            else:
-                none = pa.nulls(item.num_rows, pa.binary())
-                yield pa.RecordBatch.from_arrays([item.column(0), item.column(1), item.column(2), item.column(3), none, none, none, none], schema=_SHARED)
-        if not parts:
-            return
-        codes, names, sizes = (np.concatenate(c) for c in zip(*parts, strict=True))
-        del parts
+    def found(codes: np.ndarray, names: np.ndarray) -> Iterator[tuple]:
         order = np.lexsort((names, codes))
-        codes, names, sizes = codes[order], names[order], sizes[order]
+        codes, names = codes[order], names[order]
         fresh = np.ones(len(codes), bool)
         fresh[1:] = (codes[1:] != codes[:-1]) | (names[1:] != names[:-1])
-        codes, names, sizes = codes[fresh], names[fresh], sizes[fresh]
-        starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        codes, names = codes[fresh], names[fresh]
+        starts = np.flatnonzero(np.diff(codes, prepend=-1))
         spread = np.diff(starts, append=len(codes))
         spread = np.repeat(spread, spread)
         keep = spread > 1
-        codes, names, sizes, spread = codes[keep], names[keep], sizes[keep], spread[keep]
-        if not len(codes):
-            return
+        codes, names, spread = codes[keep], names[keep], spread[keep].astype("<u4")
         home = names % homes
         order = np.argsort(home, kind="stable")
-        codes, names, sizes, spread, home = codes[order], names[order], sizes[order], spread[order], home[order]
+        codes, names, spread, home = codes[order], names[order], spread[order], home[order]
         cuts = np.append(np.flatnonzero(np.diff(home, prepend=-1)), len(home)).tolist()
-        rows = [(int(home[a]), codes[a:b].tobytes(), names[a:b].tobytes(), sizes[a:b].tobytes(), spread[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
-        columns = list(zip(*rows, strict=True))
-        none = pa.nulls(len(rows), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), none, none, none, *(pa.array(c, pa.binary()) for c in columns[1:])], schema=_SHARED)
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield int(home[a]), _short(codes[a:b], 7), names[a:b].tobytes(), spread[a:b].tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple] = []
+        for batch in batches:
+            packed = batch.column(4).is_valid()
+            plain = batch.filter(pa.compute.invert(packed))
+            none = pa.nulls(plain.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([plain.column(0), plain.column(1), plain.column(2), plain.column(3), *[none] * 5], schema=_SHARED)
+            batch = batch.filter(packed)
+            none, nothing = pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), none, none, none, nothing, nothing, nothing, batch.column(7), batch.column(8)], schema=_SHARED)
+            for bucket, codes, counts, names in zip(*(batch.column(k).to_pylist() for k in (0, 4, 5, 6)), strict=True):
+                parts.append((_long(codes, 5) | (bucket & 0xFFFF) << 40, np.repeat(np.frombuffer(names, np.int64), np.frombuffer(counts, "<u4"))))
+        if not parts:
+            return
+        codes, names = (np.concatenate(c) for c in zip(*parts, strict=True))
+        del parts
+        turn = (codes >> 37) % PARTS
+        gathered: dict[int, list[tuple]] = {}
+        for k in range(PARTS):
+            here = turn == k
+            for home, *row in found(codes[here], names[here]):
+                gathered.setdefault(home, []).append(row)
+        rows = [(home, *(b"".join(c) for c in zip(*some, strict=True))) for home, some in gathered.items()]
+        for lo in range(0, len(rows), 1000):
+            some = rows[lo : lo + 1000]
+            none, nothing = pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.binary())
+            columns = list(zip(*some, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), none, none, none, *(pa.array(c, pa.binary()) for c in columns[1:]), nothing, nothing], schema=_SHARED)
 
     return run
 
@@ -191,39 +202,54 @@ _CLASS_DDL = "doc_id long, n long, cls long, codes array<long>, prefix array<lon
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Classes of which enough is shared: their shared codes in order, and the rarest of them as prefix."""
     parts: list[tuple] = []
+    known: list[tuple] = []
     for batch in batches:
-        packed = batch.column(4).is_valid()
-        plain = batch.filter(pa.compute.invert(packed))
-        if plain.num_rows:
-            none = pa.nulls(plain.num_rows, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([plain.column(1), plain.column(2), plain.column(3), none, none], schema=_CLASS)
-        for row in batch.filter(packed).to_pylist():
-            parts.append(tuple(np.frombuffer(row[k], np.int64) for k in ("codes", "classes", "sizes", "spread")))
+        plain = batch.filter(pa.compute.and_(pa.compute.invert(batch.column(4).is_valid()), pa.compute.invert(batch.column(7).is_valid())))
+        none = pa.nulls(plain.num_rows, pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([plain.column(1), plain.column(2), plain.column(3), none, none], schema=_CLASS)
+        for codes, names, spread, homed, sizes in zip(*(batch.column(k).to_pylist() for k in range(4, 9)), strict=True):
+            if codes:
+                parts.append((_long(codes, 7), np.frombuffer(names, np.int64), np.frombuffer(spread, "<u4").astype(np.int64)))
+            if homed:
+                known.append((np.frombuffer(homed, np.int64), np.frombuffer(sizes, "<u4").astype(np.int64)))
     if not parts:
         return
-    codes, names, sizes, spread = (np.concatenate(c) for c in zip(*parts, strict=True))
-    del parts
-    order = np.lexsort((codes, spread, names))
-    codes, names, sizes = codes[order], names[order], sizes[order]
-    starts = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
-    ends = np.append(starts[1:], len(names))
-    n = sizes[starts]
-    common = ends - starts
-    prefix = n - (PERCENT * n + 99) // 100 + 1 - (n - common)
-    keep = prefix > 0
-    for lo in range(0, int(keep.sum()), 2000):
-        some = np.flatnonzero(keep)[lo : lo + 2000]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64()), pa.array(n[some], pa.int64()), pa.array(names[starts[some]], pa.int64()), pa.array([codes[starts[k] : ends[k]] for k in some], pa.list_(pa.int64())), pa.array([codes[starts[k] : starts[k] + prefix[k]] for k in some], pa.list_(pa.int64()))], schema=_CLASS)
+    homed, sizes = (np.concatenate(c) for c in zip(*known, strict=True))
+    homed, first = np.unique(homed, return_index=True)
+    sizes = sizes[first]
+    codes, names, spread = (np.concatenate(c) for c in zip(*parts, strict=True))
+    del parts, known
+    # first those classes only of which enough is shared
+    place = np.searchsorted(homed, names)
+    common = np.bincount(place, minlength=len(homed))
+    prefix = np.where(common > 0, sizes - (PERCENT * sizes + 99) // 100 + 1 - (sizes - common), 0)
+    keep = prefix[place] > 0
+    codes, spread, place = codes[keep], spread[keep], place[keep]
+    order = np.lexsort((codes, spread, place))
+    codes, place = codes[order], place[order]
+    starts = np.flatnonzero(np.diff(place, prepend=-1))
+    ends = np.append(starts[1:], len(place))
+    own = place[starts]
+    for lo in range(0, len(own), 2000):
+        some = range(lo, min(lo + 2000, len(own)))
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64()), pa.array(sizes[own[lo : lo + 2000]], pa.int64()), pa.array(homed[own[lo : lo + 2000]], pa.int64()), pa.array([codes[starts[k] : ends[k]] for k in some], pa.list_(pa.int64())), pa.array([codes[starts[k] : starts[k] + prefix[own[k]]] for k in some], pa.list_(pa.int64()))], schema=_CLASS)
+
+
+def _task_keys(spark: SparkSession, tasks: int) -> Column:
+    """An array of numbers of which the k-th goes to the k-th of ``tasks`` partitions, so that buckets are dealt evenly."""
+    many = spark.range(tasks * 40).groupBy(F.pmod(F.hash(F.col("id").cast("int")), F.lit(tasks)).alias("task")).agg(F.min(F.col("id").cast("int")).alias("key"))
+    found = {r["task"]: r["key"] for r in many.collect()}
+    return F.array(*(F.lit(found.get(k, k)) for k in range(tasks)))
 
 
 def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, cls) of every document, and (cls, n, codes, prefix) of each class that may have a partner."""
     spark = docs.sparkSession
-    buckets = min(65536, 4 * reduce_tasks(spark))
-    tasks = reduce_tasks(spark)
+    tasks = min(65536, reduce_tasks(spark))
+    keys = _task_keys(spark, tasks)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    packed = source.mapInArrow(_shingled(buckets), _PACKED_DDL).repartition(tasks, "bucket")
-    shared = packed.mapInArrow(_counted(buckets), _SHARED_DDL).repartition(tasks, "home")
+    packed = source.mapInArrow(_shingled(tasks), _PACKED_DDL).repartition(tasks, keys[F.col("bucket")])
+    shared = packed.mapInArrow(_counted(tasks), _SHARED_DDL).repartition(tasks, keys[F.col("home")])
     rows = settle(shared.mapInArrow(_candidates, _CLASS_DDL), "jaccard-classes")
     return rows.where("codes is null").select("doc_id", "n", "cls"), rows.where("codes is not null").select("cls", "n", "codes", "prefix")
 
@@ -232,54 +258,65 @@ def _verified(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     """(a, b, common, either) with the sizes of intersection and union."""
     left = lists.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("codes").alias("ca"))
     right = lists.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("codes").alias("cb"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("ca", "cb")).cast("long").alias("common"))
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", F.size(F.array_intersect("ca", "cb")).cast("long").alias("common"))
     return joined.select("a", "b", "common", (F.col("na") + F.col("nb") - F.col("common")).alias("either"))
 
 
-def links_of(lists: DataFrame) -> DataFrame:
-    """(a, b) class pairs: enough links that connected components equal those of all linked pairs."""
-    spark = lists.sparkSession
-    members = settle(lists.select("cls", "n", F.explode("prefix").alias("region")), "jaccard-regions")
-    pivots = members.groupBy("region").agg(F.min(F.struct("n", "cls")).alias("p"), F.count("*").alias("size")).where("size > 1")
-    starred = members.join(pivots.select("region", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pivot_n")), "region")
-    window = F.expr(f"100 * pivot_n >= {PERCENT} * n")
+def _near(n1: str, rest1: str, n2: str, rest2: str) -> str:
+    """Whether two members of a region can be linked by it: if its code is the first they share, they share no more than what either has from it on."""
+    return f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2}) and {100 + PERCENT} * least({rest1}, {rest2}) >= {PERCENT} * ({n1} + {n2})"
+
+
+def roots_of(lists: DataFrame) -> DataFrame:
+    """(node, root) of the connected components of all linked pairs of classes (unlinked classes may be missing)."""
+    members = lists.select("cls", "n", F.size("codes").alias("k"), F.posexplode("prefix").alias("at", "region")).select("region", "cls", "n", (F.col("k") - F.col("at")).alias("rest"), F.expr("n * 1000000 div k").alias("own"))
+    pivots = members.groupBy("region").agg(F.min(F.struct("own", "cls", "n", "rest")).alias("p"), F.count("*").alias("size")).where("size > 1")
+    starred = members.join(pivots.select("region", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.rest").alias("pivot_rest")), "region")
+    starred = settle(starred, "jaccard-regions")
+    window = F.expr(_near("n", "rest", "pivot_n", "pivot_rest"))
     pairs = starred.where(F.col("cls") != F.col("pivot")).where(window).select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
     tested = settle(_verified(pairs, lists), "jaccard-tested")
-    linked = tested.where(f"100 * common >= {PERCENT} * either").select("a", "b")
-    # open members: region, class, label, its distance to the region's pivot (null where the size window ruled it out)
-    found = [linked]
-    labels = linked.groupBy(F.col("b").alias("cls")).agg(F.min("a").alias("label"))
+    found = tested.where(f"100 * common >= {PERCENT} * either").select("a", "b")
+    roots = settle(components(found), "jaccard-roots")
     distance = tested.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), (1 - F.col("common") / F.col("either")).alias("distance"))
-    state = starred.join(distance, ["pivot", "cls"], "left").join(labels, "cls", "left")
-    state = state.select("region", "cls", "n", F.coalesce("label", "cls").alias("label"), F.when(F.col("cls") == F.col("pivot"), 0.0).otherwise(F.col("distance")).alias("distance"), (F.col("cls") != F.col("pivot")).alias("open"))
-    done, most = tested.select("a", "b"), FIRST_PIVOTS
+    # regions whose members other than the pivot are not all connected yet
+    labelled = _labelled(starred, roots)
+    open_regions = labelled.where("cls <> pivot").groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region")
+    state = labelled.join(open_regions, "region").join(distance, ["pivot", "cls"], "left")
+    distance_or_0 = F.when(F.col("cls") == F.col("pivot"), 0.0).otherwise(F.col("distance"))
+    state = settle(state.select("region", "cls", "n", "rest", "own", distance_or_0.alias("distance"), (F.col("cls") != F.col("pivot")).alias("open")), "jaccard-open")
+    done, most, round_no = tested.select("a", "b"), FIRST_PIVOTS, 0
     while True:
-        mixed = state.groupBy("region").agg(F.min(F.when(F.col("open"), F.col("label"))).alias("lo"), F.max(F.when(F.col("open"), F.col("label"))).alias("hi")).where("lo < hi").select("region", "lo")
-        state = settle(state.join(mixed, "region"), "jaccard-open")
+        labelled = _labelled(state, roots)
+        mixed = labelled.where("open").groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region", "lo")
+        state = settle(labelled.join(mixed, "region"), "jaccard-open")
         if state.isEmpty():
-            break
-        # the next pivots of a region: open members that don't carry its first label
-        turn = Window.partitionBy("region").orderBy("n", "cls")
-        chosen = state.where("open and label <> lo").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= most)
-        chosen = chosen.select("region", F.col("cls").alias("q"), F.col("n").alias("qn"), F.col("label").alias("ql"), F.col("distance").alias("qd"))
-        near = state.join(chosen, "region").where("label <> ql").where(f"100 * least(n, qn) >= {PERCENT} * greatest(n, qn)")
+            return roots
+        # the next pivots of a region: first one open member of each component but the first, then any open members of those
+        own = state.where("open and label <> lo")
+        if round_no == 0:
+            own = own.groupBy("region", "label").agg(F.min(F.struct("own", "cls", "n", "rest", "distance")).alias("q")).select("region", "label", "q.*")
+        turn = Window.partitionBy("region").orderBy("own", "cls")
+        chosen = own.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= most)
+        chosen = chosen.select("region", F.col("cls").alias("q"), F.col("n").alias("qn"), F.col("rest").alias("qr"), F.col("label").alias("ql"), F.col("distance").alias("qd"))
+        near = state.join(chosen, "region").where("label <> ql").where(_near("n", "rest", "qn", "qr"))
         near = near.where("qd is null or distance is null or abs(qd - distance) <= 0.2 + 1e-9")
         pairs = near.select(F.least("q", "cls").alias("a"), F.greatest("q", "cls").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-        tested = settle(_verified(pairs, lists), "jaccard-tested")
-        linked = tested.where(f"100 * common >= {PERCENT} * either").select("a", "b")
-        found.append(linked)
-        done = done.unionByName(tested.select("a", "b"))
+        pairs = settle(pairs, "jaccard-pairs")
+        if not pairs.isEmpty():
+            done = done.unionByName(pairs)
+            linked = settle(_verified(pairs, lists), "jaccard-tested").where(f"100 * common >= {PERCENT} * either").select("a", "b")
+            if not linked.isEmpty():
+                found = found.unionByName(linked)
+                roots = settle(components(found), "jaccard-roots")
         closed = chosen.select("region", F.col("q").alias("cls"), F.lit(False).alias("shut"))
-        state = state.drop("lo").join(closed, ["region", "cls"], "left").withColumn("open", F.coalesce("shut", "open")).drop("shut")
-        # a label is a class known to be in the same component: relabel through the new links
-        over = linked.join(state.select(F.col("cls").alias("a"), F.col("label").alias("la")).distinct(), "a").join(state.select(F.col("cls").alias("b"), F.col("label").alias("lb")).distinct(), "b")
-        both = over.select(F.greatest("la", "lb").alias("label"), F.least("la", "lb").alias("to")).where("label <> to").groupBy("label").agg(F.min("to").alias("to"))
-        state = state.join(both, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
-        most *= 2
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+        state = state.join(closed, ["region", "cls"], "left").select("region", "cls", "n", "rest", "own", "distance", F.coalesce("shut", "open").alias("open"))
+        most, round_no = most * 2, round_no + 1
+
+
+def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the root of each class's component so far."""
+    return rows.join(roots.select(F.col("node").alias("cls"), F.col("root").alias("label")), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -306,7 +343,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text)."""
     rows, lists = classes_of(docs)
-    roots = components(links_of(lists))
+    roots = roots_of(lists)
     edges = roots.select(F.col("node").alias("cls"), "root")
     named = rows.join(edges, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("cls"))
     # the smallest id of each component
