@@ -8,7 +8,7 @@ frame and its number of ids (unsigned 32); then the numbers of frames and docume
 magic number 0x8F92EAB1. A reader fetches the tail, then only the frames of the documents it wants.
 
 Texts are encoded by the ``tokenizers`` library. The vocabulary drops white space and lower-cases, and its splitting pattern never crosses white
-space; so each stretch between white space is encoded once per worker and kept (at most ``CACHED``), and a text's
+space; so each stretch between white space is encoded once per worker and kept (at most ``CACHED`` of late and as many before), and a text's
 ids are those of its stretches in order. A text that holds ``<|`` could name a special token and is encoded in one piece.
 
 The table is cut into ranges of ``doc_id``; each range is one file, named after its range and renamed into
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from genoframe.llm.common import reduce_tasks, settle, shared_folder
 
 FRAME_BYTES = 1 << 18
-CACHED = 400_000
+CACHED = 800_000
 _SKIPPABLE, _END = 0x184D2A5E, 0x8F92EAB1
 _FRAME = np.dtype([("packed", "<u4"), ("raw", "<u4"), ("crc", "<u4")])
 _DOC = np.dtype([("doc_id", "<i8"), ("frame", "<u4"), ("first", "<u4"), ("count", "<u4")])
@@ -51,16 +51,23 @@ class Encoder:
         self.tokenizer, self.type = Tokenizer.from_file(path), f"<u{id_bytes}"
         self.end = b"" if end_id is None else np.array([end_id], self.type).tobytes()
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [None if b"<|" in t else t.lower().split() for t in texts]
-        known = self.known
-        if len(known) > CACHED:
-            known.clear()
-        fresh = list({w for words in split if words for w in words if w not in known})
+        if len(self.known) > CACHED:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        fresh = []
+        for w in {w for words in split if words for w in words if w not in known}:
+            ids = older.get(w)
+            if ids is None:
+                fresh.append(w)
+            else:
+                known[w] = ids
         for lo in range(0, len(fresh), 10_000):
             some = fresh[lo : lo + 10_000]
             known.update(zip(some, self._ids([w.decode() for w in some]), strict=True))
@@ -227,5 +234,5 @@ def op3(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) ->
     # one row per file: ids of the files before it (files hold disjoint, ordered ranges)
     order = Window.orderBy("least", "file").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("file", F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("base"))
-    rows = read_files(files, digest=True).join(starts, "file")
+    rows = read_files(files, digest=True).join(F.broadcast(starts), "file")
     return rows.select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
