@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoframe.operators import genotypes as G
+from genoframe.operators.windows import kept
 
 
 def _missing(gt: DataFrame, key: str, cutoff: float) -> DataFrame:
@@ -107,23 +108,34 @@ def ld_prune(gt: DataFrame, window: int = 50, step: int = 5, vif: float = 2.0) -
     return kept.unionByName(above)
 
 
-def ibs_pairs(gt: DataFrame, block: int = 64) -> DataFrame:
+def ibs_pairs(gt: DataFrame, block: int = 256) -> DataFrame:
     """Q10: per pair of individuals the numbers of markers with 0, 1, 2 shared alleles, and the distance.
 
-    An individual's calls are one array (a marker order shared by all); pairs are formed between blocks of individuals, so that a block meets each other
-    block once, and compared element by element. The result has a row per pair by definition.
+    An individual's calls are three bit sets (62 markers a word), so that a pair costs a few words of bit counts. Pairs are formed between blocks of
+    individuals, each block meeting each other block once. The result has a row per pair by definition.
     """
-    order = gt.select("marker").distinct().withColumn("k", F.row_number().over(Window.orderBy("marker")) - 1)
-    calls = gt.join(F.broadcast(order), "marker").groupBy("iid").agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("gt", F.lit(-1)).alias("g")))).alias("c")).select("iid", F.transform("c", lambda x: x["g"].cast("byte")).alias("c"))
-    people = calls.select("iid").distinct().agg(F.count("*").alias("n")).first()["n"]
+    from genoframe.operators.windows import global_rank
+
+    order = global_rank(gt.select("marker").distinct(), ["marker"], "k")
+    placed = gt.where("gt is not null").join(order, "marker").select("iid", "gt", F.floor(F.col("k") / 62).cast("int").alias("word"), F.lit(1).cast("long").alias("one"), (F.col("k") % 62).cast("int").alias("bit"))
+    plane = lambda g: F.coalesce(F.bit_or(F.when(F.col("gt") == g, F.expr("shiftleft(one, bit)"))), F.lit(0).cast("long")).alias(f"w{g}")
+    words = placed.groupBy("iid", "word").agg(plane(0), plane(1), plane(2))
+    sets = words.groupBy("iid").agg(F.map_from_entries(F.collect_list(F.struct("word", F.struct("w0", "w1", "w2")))).alias("m"), F.max("word").alias("top"))
+    last = sets.agg(F.max("top").alias("last"))
+    none = F.struct(*(F.lit(0).cast("long").alias(f"w{g}") for g in range(3)))
+    dense = sets.join(F.broadcast(last)).select("iid", F.transform(F.sequence(F.lit(0), F.col("last")), lambda k: F.coalesce(F.element_at("m", k), none)).alias("c"))
+    everyone = gt.select("iid").distinct().join(dense, "iid", "left").withColumn("c", F.coalesce("c", F.array(none)))
+    people = everyone.count()
     blocks = max(1, -(-people // block))
-    keyed = calls.withColumn("b", F.pmod(F.xxhash64("iid"), F.lit(blocks)).cast("int"))
+    keyed = everyone.withColumn("b", F.pmod(F.xxhash64("iid"), F.lit(blocks)).cast("int"))
     left = keyed.select(F.col("iid").alias("id1"), F.col("c").alias("c1"), F.col("b").alias("b1"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b2"))
     right = keyed.select(F.col("iid").alias("id2"), F.col("c").alias("c2"), F.col("b").alias("b2"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b1"))
     pairs = left.join(right, ["b1", "b2"]).where("id1 < id2")
-    shared = F.zip_with("c1", "c2", lambda a, b: F.when((a < 0) | (b < 0), F.lit(-1)).otherwise(2 - F.abs(a - b)))
-    count = lambda k: F.size(F.filter(shared, lambda x: x == k))
-    out = pairs.select("id1", "id2", count(0).alias("ibs0"), count(1).alias("ibs1"), count(2).alias("ibs2"))
+    bits = lambda e: f"aggregate(zip_with(c1, c2, (x, y) -> {e}), 0, (a, v) -> a + coalesce(v, 0))"
+    ibs0 = F.expr(bits("bit_count(x.w0 & y.w2) + bit_count(x.w2 & y.w0)"))
+    ibs2 = F.expr(bits("bit_count(x.w0 & y.w0) + bit_count(x.w1 & y.w1) + bit_count(x.w2 & y.w2)"))
+    both = F.expr(bits("bit_count((x.w0 | x.w1 | x.w2) & (y.w0 | y.w1 | y.w2))"))
+    out = pairs.select("id1", "id2", ibs0.alias("ibs0"), ibs2.alias("ibs2"), both.alias("n")).select("id1", "id2", "ibs0", (F.col("n") - F.col("ibs0") - F.col("ibs2")).alias("ibs1"), "ibs2")
     return out.withColumn("distance", (F.col("ibs1") * 0.5 + F.col("ibs2")) / F.nullif(F.col("ibs0") + F.col("ibs1") + F.col("ibs2"), F.lit(0)))
 
 
@@ -162,15 +174,13 @@ def mds(pairs: DataFrame, dims: int = 2, sweeps: int = 12, rule: str | None = No
     diagonal = rows.select(F.col("id").alias("id1"), F.col("id").alias("id2"), F.lit(0.0).alias("d2"))
     b = full.unionByName(diagonal).join(rows.select(F.col("id").alias("id1"), F.col("m").alias("m1"), "all"), "id1").join(rows.select(F.col("id").alias("id2"), F.col("m").alias("m2")), "id2")
     b = b.select("id1", "id2", (-(F.col("d2") - F.col("m1") - F.col("m2") + F.col("all")) / 2).alias("b"))
-    from genoframe.operators.reshape import _kept
-
-    b = _kept(b)
+    b = kept(b)
     start = [((F.xxhash64(F.lit(k), F.col("id1")) / F.lit(float(1 << 63)))).alias(f"v{k}") for k in range(dims)]
     v = b.select("id1").distinct().select(F.col("id1").alias("id"), *start)
     names = [f"v{k}" for k in range(dims)]
     value = np.zeros(dims)
     for _ in range(sweeps):
-        w = _kept(b.join(v.withColumnRenamed("id", "id2"), "id2").groupBy(F.col("id1").alias("id")).agg(*(F.sum(F.col("b") * F.col(c)).alias(c) for c in names)))
+        w = kept(b.join(v.withColumnRenamed("id", "id2"), "id2").groupBy(F.col("id1").alias("id")).agg(*(F.sum(F.col("b") * F.col(c)).alias(c) for c in names)))
         gram = np.array(w.agg(*(F.sum(F.col(a) * F.col(c)) for a in names for c in names)).first(), float).reshape(dims, dims)
         value, turn = np.linalg.eigh(gram)
         order = value.argsort()[::-1]
@@ -189,9 +199,7 @@ def drop_nan_ids(pairs: DataFrame) -> DataFrame:
 
     Only pairs that lack a distance matter; rounds run on those.
     """
-    from genoframe.operators.reshape import _kept
-
-    bad = _kept(pairs.where("value is null or isnan(value)").select("id1", "id2"))
+    bad = kept(pairs.where("value is null or isnan(value)").select("id1", "id2"))
     gone: list = []
     while True:
         worst = bad.select(F.explode(F.array("id1", "id2")).alias("id")).groupBy("id").agg(F.count("*").alias("k")).orderBy(F.desc("k"), "id").first()

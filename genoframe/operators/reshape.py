@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoframe.operators.windows import kept
+
 
 
 def group_max_row(df: DataFrame, key: list[str], value: str, line: str) -> DataFrame:
@@ -214,28 +216,19 @@ def corr_clusters(df: DataFrame, cols: list[str], eps: float) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) with the smallest connected node, by min-label steps; labels are checkpointed so that plans stay short."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    kept = _kept(both)
-    labels = _kept(kept.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).select(F.col("a").alias("node"), "root"))
+    links = kept(both)
+    labels = kept(links.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).select(F.col("a").alias("node"), "root"))
     while True:
-        near = kept.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        near = links.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         step = labels.join(near, "node").select("node", F.least("root", "near").alias("next"), "root")
         # a label points to the label of its own root
         jump = step.join(step.select(F.col("node").alias("at"), F.col("next").alias("over")), F.col("next") == F.col("at"), "left").select("node", F.least("next", F.coalesce("over", "next")).alias("root"), F.col("root").alias("was"))
-        after = _kept(jump)
+        after = kept(jump)
         if after.where("root <> was").isEmpty():
             return after.select("node", "root")
         labels = after.select("node", "root")
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="genoframe-"))
-    return df.checkpoint()
-
-
 def center(df: DataFrame, cols: list[str], scale: bool = False, keep_mean: bool = False) -> DataFrame:
     """A30, A31"""
     stats = df.agg(*(F.avg(c).alias(f"__m_{c}") for c in cols), *(F.stddev_samp(c).alias(f"__s_{c}") for c in cols))

@@ -209,12 +209,11 @@ def refit(df: DataFrame, label: str, xs: list[str], penalties: list[float], cuto
 def roc(df: DataFrame, prob: str, label: str) -> DataFrame:
     """At each cutoff (predicted if score >= cutoff) counts, rates and the class shares ``tp`` and ``tn``: sums by distinct score, cumulated."""
     by = df.where(F.col(prob).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(prob).alias("cutoff")).agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"))
-    total = by.agg(F.sum("pos").alias("P"), F.sum(F.col("n") - F.col("pos")).alias("N"))
-    blocks = global_rank(by, ["cutoff"], "k")
-    up = _cumulated(blocks, ["pos", "n"])
+    total = by.agg(F.sum("pos").alias("all_pos"), F.sum(F.col("n") - F.col("pos")).alias("all_neg"))
+    up = _cumulated(global_rank(by, ["cutoff"], "k"), ["pos", "n"])
     j = up.join(F.broadcast(total))
     below_pos, below_neg = F.col("cum_pos") - F.col("pos"), F.col("cum_n") - F.col("n") - F.col("cum_pos") + F.col("pos")
-    return j.select("cutoff", ((F.col("P") - below_pos) / F.col("P")).alias("tp"), (below_neg / F.col("N")).alias("tn"), ((F.col("N") - below_neg) / F.col("N")).alias("fpr"))
+    return j.select("cutoff", ((F.col("all_pos") - below_pos) / F.col("all_pos")).alias("tp"), (below_neg / F.col("all_neg")).alias("tn"), ((F.col("all_neg") - below_neg) / F.col("all_neg")).alias("fpr"))
 
 
 def _cumulated(ranked: DataFrame, cols: list[str], block: int = 50_000) -> DataFrame:

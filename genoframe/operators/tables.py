@@ -143,7 +143,8 @@ def kept_rownums(df: DataFrame, line: str, sql: str) -> DataFrame:
 
 def filter_results(df: DataFrame, p: float = 1.0, r2: float = 0.4, maf: float = 0.02, beta: float = 1e4, marker_beta: float = 1e4, af: str = "allele_freq", info: str = "impute_info", pvalue: str = "p") -> DataFrame:
     """complete rows below P, within the frequency and information limits, all ``beta1*`` below ``beta``."""
-    kept = df.dropna().filter((F.col(pvalue) < p) & F.col(af).between(maf, 1 - maf) & (F.col(info) >= r2))
+    whole = functools.reduce(operator.and_, (F.col(f"`{c}`").isNotNull() for c in df.columns))
+    kept = df.filter(whole).filter((F.col(pvalue) < p) & F.col(af).between(maf, 1 - maf) & (F.col(info) >= r2))
     kept = filter_cols(kept, r"^beta1", f"abs(_) < {beta}")
     return filter_cols(kept, r"^beta1\.marker", f"_ < {marker_beta}")
 

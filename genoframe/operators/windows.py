@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint, in a folder of its own where the session names none."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="genoframe-"))
+    return df.checkpoint()
+
+
 def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int | None = None) -> DataFrame:
     """Row numbers from 1 by ``order`` (names or sort columns; give a full tie-break): rows are range-partitioned, numbered by partition, and shifted by the
     counts of the partitions before."""
@@ -16,6 +26,8 @@ def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # ids ascend by partition in the upper 31 bits and count rows in the lower 33
     placed = ranged.withColumn("__id", F.monotonically_increasing_id()).withColumns({"__part": F.shiftright("__id", 33), "__row": F.col("__id").bitwiseAND((1 << 33) - 1)})
+    # range bounds come from a sample that may differ when a lost task is run again: numbers are fixed before they are used
+    placed = kept(placed)
     sizes = placed.groupBy("__part").agg(F.count("*").alias("__k"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__k").over(before), F.lit(0)).alias("__before"))  # one row per partition
