@@ -201,3 +201,95 @@ def mendel_errors(fam: DataFrame, gt: DataFrame) -> DataFrame:
     least = (F.col("f") == 2).cast("int") + (F.col("m") == 2).cast("int")
     most = (F.col("f") > 0).cast("int") + (F.col("m") > 0).cast("int")
     return trio.groupBy("marker").agg(F.count("*").alias("trios"), F.count_if((F.col("gt") < least) | (F.col("gt") > most)).alias("errors"))
+
+
+def extract_genotypes(df: DataFrame, key: str, pattern: str, missing_rate: float = 1.0) -> DataFrame:
+    """Columns whose name matches ``pattern`` (one group: the marker; two columns of a marker are its alleles) to (key, marker, a, b); markers with
+    a larger share of missing calls go. One column holds both alleles as ``AB`` or ``A/B``."""
+    import re
+
+    found: dict[str, list[str]] = {}
+    for c in df.columns:
+        if m := re.fullmatch(pattern, c):
+            found.setdefault(m[1], []).append(c)
+    if not found:
+        raise ValueError(f"no column matches {pattern!r}")
+    rows = []
+    for name, cols in found.items():
+        if len(cols) == 2:
+            a, b = (F.col(f"`{c}`") for c in cols)
+        else:
+            plain = F.replace(F.col(f"`{cols[0]}`"), F.lit("/"), F.lit(""))
+            a, b = F.substring(plain, 1, 1), F.substring(plain, 2, 1)
+        rows.append(F.struct(F.lit(name).alias("marker"), F.coalesce(F.nullif(a, F.lit("")), F.lit("0")).alias("a"), F.coalesce(F.nullif(b, F.lit("")), F.lit("0")).alias("b")))
+    long = df.select(key, F.explode(F.array(*rows)).alias("x")).select(key, "x.*")
+    if missing_rate >= 1:
+        return long
+    kept = long.groupBy("marker").agg(F.avg(((F.col("a") == "0") | (F.col("b") == "0")).cast("double")).alias("m")).where(F.col("m") <= missing_rate)
+    return long.join(kept.select("marker"), "marker", "left_semi")
+
+
+def group_haplotypes(df: DataFrame, haplotype: str, cutoff: float, other: str = "rare") -> DataFrame:
+    """Haplotypes below a frequency become one group."""
+    counts = df.where(F.col(haplotype).isNotNull()).groupBy(haplotype).agg(F.count("*").alias("__k"))
+    total = counts.agg(F.sum("__k").alias("__n"))
+    named = counts.join(F.broadcast(total)).select(haplotype, F.when(F.col("__k") / F.col("__n") < cutoff, F.lit(other)).otherwise(F.col(haplotype)).alias("group"))
+    return df.join(named, haplotype, "left")
+
+
+def haplotype_dosage(df: DataFrame, key: str, haplotypes: list[str], first: str = "h1", second: str = "h2") -> DataFrame:
+    """Copies of each listed haplotype per individual (two haplotype columns)."""
+    copies = [((F.col(first) == h).cast("int") + (F.col(second) == h).cast("int")).alias(f"n_{h}") for h in haplotypes]
+    return df.select(key, *copies)
+
+
+def flip_to_ref(gt: DataFrame, aligned: DataFrame) -> DataFrame:
+    """Calls turned where alleles are swapped against the reference; incompatible markers go (``aligned`` as of ``align_alleles``)."""
+    kinds = aligned.where("kind <> 'incompatible'").select(F.col("snp").alias("marker"), F.col("kind").isin("swapped", "flip_swapped").alias("__turn"))
+    return gt.join(kinds, "marker").withColumn("gt", F.when(F.col("__turn"), 2 - F.col("gt")).otherwise(F.col("gt"))).drop("__turn")
+
+
+def reorder(markers: DataFrame) -> DataFrame:
+    """Place of each marker by chromosome and position."""
+    return markers.withColumn("place", F.row_number().over(Window.partitionBy("chr").orderBy("pos", "marker")))
+
+
+def split_chr(df: DataFrame, path: str) -> DataFrame:
+    """One folder per chromosome; gives the sorted list of chromosomes."""
+    df.write.mode("overwrite").partitionBy("chr").parquet(path)
+    return df.sparkSession.read.parquet(path).select("chr").distinct().orderBy("chr")
+
+
+def rename_snps(df: DataFrame, pattern: str, replacement: str, col: str = "id", order: str = "line") -> DataFrame:
+    """Ids by a regular expression, repeats numbered."""
+    from genoframe.operators.windows import dedup_labels
+
+    return dedup_labels(df.withColumn(col, F.regexp_replace(col, pattern, replacement)), col, [order])
+
+
+def pedigree_stats(fam: DataFrame) -> DataFrame:
+    """(iid, sex by role, offspring, depth, family): depth is 0 for founders, else one more than the deeper parent; families are connected components."""
+    from genoframe.operators.reshape import components
+    from genoframe.operators.windows import kept
+
+    parents = fam.select(F.col("pid").alias("p"), F.lit(1).alias("sex")).unionByName(fam.select(F.col("mid").alias("p"), F.lit(2).alias("sex"))).where("p is not null")
+    roles = parents.groupBy(F.col("p").alias("iid")).agg(F.min("sex").alias("sex"), F.count("*").alias("offspring"))
+    links = fam.select(F.col("iid").alias("a"), F.explode(F.array("pid", "mid")).alias("b")).where("b is not null")
+    family = components(links)
+    depth = kept(fam.select("iid", F.when(F.col("pid").isNull() & F.col("mid").isNull(), 0).alias("depth")))
+    while True:
+        known = depth.where("depth is not null")
+        open_ = fam.join(depth.where("depth is null").select("iid"), "iid", "left_semi")
+        up = open_.select("iid", F.explode(F.array_compact(F.array("pid", "mid"))).alias("p")).join(known.select(F.col("iid").alias("p"), F.col("depth").alias("d")), "p", "left")
+        ready = up.groupBy("iid").agg(F.count("*").alias("n"), F.count("d").alias("k"), F.max("d").alias("d")).where("n = k").select("iid", (F.col("d") + 1).alias("new"))
+        after = kept(depth.join(ready, "iid", "left").select("iid", F.coalesce("depth", "new").alias("depth")))
+        if after.where("depth is null").count() == depth.where("depth is null").count():
+            break
+        depth = after
+    out = fam.select("iid").join(roles, "iid", "left").join(after, "iid", "left").join(family.select(F.col("node").alias("iid"), F.col("root").alias("family")), "iid", "left")
+    return out.select("iid", "sex", F.coalesce("offspring", F.lit(0)).alias("offspring"), "depth", F.coalesce("family", "iid").alias("family"))
+
+
+def unique_iid(fam: DataFrame, sep: str = ":") -> DataFrame:
+    """G30"""
+    return fam.withColumn("iid", F.concat_ws(sep, F.col("fid").cast("string"), F.col("iid").cast("string")))

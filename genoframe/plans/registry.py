@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: tuple[str, ...] = ("q_genetics", "q_tables", "q_results")
+MODULES: tuple[str, ...] = ("q_genetics", "q_tables", "q_results", "q_more")
 
 
 def _gather(attribute: str) -> dict:
