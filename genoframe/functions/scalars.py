@@ -231,6 +231,11 @@ def int_ranges(spec: str) -> list[int]:
     return out
 
 
+def corr(a: str, b: str) -> Column:
+    """Correlation; null where a side does not vary (the built-in one divides by zero there)."""
+    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b))), F.lit(0.0))
+
+
 def log_multinomial(counts: Column) -> Column:
     """Log of the multinomial coefficient of an array of counts; log factorials are sums of logs."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda acc, x: acc + x)

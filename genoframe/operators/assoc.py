@@ -169,7 +169,10 @@ def lm_per_marker(df: DataFrame, y: str, f1: list[str], f0: list[str] = (), key:
                         q[i, j] = q[j, i] = row[f"q{i}_{j}"]
                 got = {key: row[key], "n": n, "p": None, "stat": None} | dict.fromkeys(names)
                 k1, k0 = [xs.index(x) for x in f1], [xs.index(x) for x in f0]
-                if n > len(k1) + 1:
+                full = np.empty((len(k1) + 1, len(k1) + 1))
+                full[0, 0], full[0, 1:], full[1:, 0], full[1:, 1:] = n, s[k1], s[k1], q[np.ix_(k1, k1)]
+                # a variable that does not vary beside the others has no effect to speak of
+                if n > len(k1) + 1 and np.linalg.matrix_rank(full / np.sqrt(np.outer(np.diag(full), np.diag(full)) + 1e-300)) == len(full):
                     b1, i1, r1 = _solve(q, s, n, k1, m)
                     b0, i0, r0 = _solve(q, s, n, k0, m)
                     free, more = n - len(k1) - 1, len(k1) - len(k0)
@@ -532,7 +535,7 @@ def r2_max_post(prob: DataFrame) -> DataFrame:
     """Squared correlation of the dosage with the most likely genotype."""
     best = F.when((F.col("p_bb") > F.col("p_ab")) & (F.col("p_bb") > F.col("p_aa")), 2.0).when(F.col("p_ab") > F.col("p_aa"), 1.0).otherwise(0.0)
     rows = prob.where("p_aa + p_ab + p_bb > 0").withColumns({"best": best, "dose": F.col("p_ab") + 2 * F.col("p_bb")})
-    return rows.groupBy("marker").agg(F.pow(F.corr("best", "dose"), F.lit(2)).alias("r2"))
+    return rows.groupBy("marker").agg(F.pow(S.corr("best", "dose"), F.lit(2)).alias("r2"))
 
 
 def imputed_lr(prob: DataFrame, y: str, scores: tuple[float, float, float] = (0.0, 0.5, 1.0)) -> DataFrame:

@@ -28,7 +28,7 @@ def allele_freq(gt: DataFrame, minor: bool = False) -> DataFrame:
 
 def hwe_column(n0: str = "n0", n1: str = "n1", n2: str = "n2") -> tuple[str, str]:
     """(chi-square, P) of Hardy-Weinberg equilibrium as SQL over genotype counts, one degree of freedom."""
-    n = f"({n0} + {n1} + {n2})"
+    n = f"nullif({n0} + {n1} + {n2}, 0)"
     p = f"((2e0 * {n2} + {n1}) / (2e0 * {n}))"
     parts = [f"power({obs} - {n} * {exp}, 2) / ({n} * {exp})" for obs, exp in ((n2, f"{p} * {p}"), (n1, f"2e0 * {p} * (1e0 - {p})"), (n0, f"(1e0 - {p}) * (1e0 - {p})"))]
     chi = f"(case when {p} > 0 and {p} < 1 then {' + '.join(parts)} end)"

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoframe.functions import scalars as S
 from genoframe.operators import genotypes as G
 from genoframe.operators.windows import kept
 
@@ -80,7 +81,7 @@ def ld_prune(gt: DataFrame, window: int = 50, step: int = 5, vif: float = 2.0) -
     left = ranked.select("iid", "chr", F.col("k").alias("ka"), F.col("gt").alias("ga"), F.explode(F.array(cell, cell + 1)).alias("cell"))
     right = ranked.select("iid", "chr", F.col("k").alias("kb"), F.col("gt").alias("gb"), cell.alias("cell"))
     near = left.join(right, ["chr", "iid", "cell"]).where(f"kb > ka and kb - ka < {window}")
-    pairs = near.groupBy("chr", "ka", "kb").agg(F.corr("ga", "gb").alias("r"))
+    pairs = near.groupBy("chr", "ka", "kb").agg(S.corr("ga", "gb").alias("r"))
 
     def prune(own: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         n = int(own["k"].max())

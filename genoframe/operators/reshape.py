@@ -8,6 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoframe.functions import scalars as S
 from genoframe.operators.windows import kept
 
 
@@ -204,7 +205,7 @@ def lump_factor(df: DataFrame, col: str, min_n: int) -> DataFrame:
 def corr_clusters(df: DataFrame, cols: list[str], eps: float) -> DataFrame:
     """(column, cluster) of columns tied by |r| > 1 - eps; the cluster's first column names it."""
     pairs = [(a, b) for k, a in enumerate(cols) for b in cols[k + 1 :]]
-    row = df.agg(*(F.corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs))).first() if pairs else []
+    row = df.agg(*(S.corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs))).first() if pairs else []
     root = {c: c for c in cols}
     for (a, b), r in zip(pairs, row, strict=True):
         if r is not None and abs(r) > 1 - eps:

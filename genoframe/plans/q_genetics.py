@@ -65,7 +65,7 @@ def slice_top_hits(s, d):
 # --- genotypes
 
 
-@query("g01_alleles_to_gens", f"select 'snp-' || lpad(cast(marker as varchar), 3, '0') || '-' || cast(chr as varchar) as snp, cast(sum(case when gt = 0 then 1 else 0 end) as bigint) as k from ({X.GT}) g group by 1")
+@query("g01_alleles_to_gens", f"select 'snp-' || lpad(cast(marker as varchar), 3, '0') || '-' || cast(chr as varchar) as snp, case when count(*) filter (where gt < 2) = 0 then count(gt) else count(*) filter (where gt = 0) end as k from ({X.GT}) g group by 1 having count(gt) > 0")
 def _(s, d):
     g = X.gt(s, d)
     t = g.select("marker", "chr", "iid", F.when(F.col("gt").isNull(), "0").when(F.col("gt") == 2, "C").otherwise("A").alias("a"), F.when(F.col("gt").isNull(), "0").when(F.col("gt") == 0, "A").otherwise("C").alias("b"))
@@ -80,7 +80,7 @@ def _pairs(s, d):
     return X.gt(s, d).select("marker", "iid", F.when(g.isNull(), "0").when(g == 2, "T").otherwise("C").alias("a"), F.when(g.isNull(), "0").when(g == 0, "C").otherwise("T").alias("b"))
 
 
-@query("g02_encode", f"select marker, iid, case when a <> '0' then cast(a = 'T' as int) + cast(b = 'T' as int) end as code from ({_PAIRS})")
+@query("g02_encode", f"with p as ({_PAIRS}), c as (select marker, max(cast(a = 'C' or b = 'C' as int)) as both from p group by 1 having max(a) <> '0') select p.marker, iid, case when a <> '0' then (cast(a = 'T' as int) + cast(b = 'T' as int)) * c.both end as code from p join c on c.marker = p.marker")
 def _(s, d):
     return G.encode_alleles(_pairs(s, d)).select("marker", "iid", F.col("code").cast("int").alias("code"))
 
@@ -419,7 +419,7 @@ def _(s, d):
 @query("t27_permute_p")
 def _(s, d):
     one = X.gt(s, d).where("marker = 10").join(X.sample(s, d).select("iid", "y"), "iid").where("gt is not null").select("iid", "gt", "y")
-    return T.permute_p(one, "iid", "y", F.abs(F.corr("y", "gt")), 50)
+    return T.permute_p(one, "iid", "y", F.abs(S.corr("y", "gt")), 50)
 
 
 @query("d01_per_marker")
