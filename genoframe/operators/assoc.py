@@ -172,7 +172,7 @@ def lm_per_marker(df: DataFrame, y: str, f1: list[str], f0: list[str] = (), key:
                 full = np.empty((len(k1) + 1, len(k1) + 1))
                 full[0, 0], full[0, 1:], full[1:, 0], full[1:, 1:] = n, s[k1], s[k1], q[np.ix_(k1, k1)]
                 # a variable that does not vary beside the others has no effect to speak of
-                if n > len(k1) + 1 and np.linalg.matrix_rank(full / np.sqrt(np.outer(np.diag(full), np.diag(full)) + 1e-300)) == len(full):
+                if n > len(k1) + 1 and np.linalg.matrix_rank(full / np.sqrt(np.outer(np.diag(full), np.diag(full)) + 1e-300), tol=1e-10) == len(full):
                     b1, i1, r1 = _solve(q, s, n, k1, m)
                     b0, i0, r0 = _solve(q, s, n, k0, m)
                     free, more = n - len(k1) - 1, len(k1) - len(k0)

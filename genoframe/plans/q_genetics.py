@@ -400,7 +400,7 @@ def _(s, d):
     return T.logistic_per_marker(_with_y(s, d), "cc", ["gt"])
 
 
-@query("t23_expected_dosage", f"select marker, count(*) as n, round(regr_slope(y, {_DOSE}), 4) as beta from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0 group by 1")
+@query("t23_expected_dosage", f"select marker, count(*) as n, case when stddev_pop({_DOSE}) > 1e-6 then round(regr_slope(y, {_DOSE}), 4) end as beta from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0 group by 1")
 def _(s, d):
     p = _prob_y(s, d).withColumn("dosage", F.when(F.col("p_aa") + F.col("p_ab") + F.col("p_bb") > 0, G.dosage()))
     return T.lm_per_marker(p, "y", ["dosage"]).select("marker", "n", F.round("`beta1.dosage`", 4).alias("beta"))
