@@ -17,7 +17,7 @@ LEAST_QUALITY = 0.5
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents that the rule ensemble rejects go."""
     model = rule_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return rule_quality.scored(docs, model, out="__score").where(F.col("__score") >= LEAST_QUALITY).drop("__score")
+    return rule_quality.accepted(docs, model, LEAST_QUALITY)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,6 +174,17 @@ def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score"
     return values.withColumn(out, model.score([F.col(own[n]) for n in NAMES])).drop(*own.values())
 
 
+def accepted(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """``docs`` whose score reaches ``least``.
+
+    Statistics come from a projection that also holds a row number: a filter is not pushed through it, which would write the statistics out in every rule.
+    """
+    own = {n: f"__stat_{n}" for n in NAMES}
+    values = docs.select("*", *(c.cast("double").alias(own[n]) for n, c in statistics(F.col(f"`{text}`")).items()), F.monotonically_increasing_id().alias("__row"))
+    scored_rows = values.withColumn("__score", model.score([F.col(own[n]) for n in NAMES]))
+    return scored_rows.where((F.col("__score") >= least) & (F.col("__row") >= 0)).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
