@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -458,3 +459,21 @@ def test_language_model_odd(odd, nothing):
     got = attention_lm.scored(odd, path).toPandas()
     assert len(got) == 10 and np.isfinite(got.score).all() and np.isfinite(got.base_score).all()
     assert attention_lm.scored(nothing, path).count() == 0
+
+
+def test_every_id_is_learnt_once():
+    random = np.random.default_rng(2)
+    classes = random.permutation(1 << 16)
+    texts = [random.integers(0, 49_000, n).astype("<u2").tobytes() for n in (0, 1, 14, 15, 16, 17, 400, 200_000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k::2], pa.binary())], names=["ids"]) for k in range(2)]
+    found = Counter()
+    for k in range(attention_lm.ROUNDS):
+        for rows, lengths in attention_lm._windows(iter(batches), classes, k):
+            assert 0 < len(rows) <= attention_lm.TAUGHT
+            for row, n in zip(rows, lengths, strict=True):
+                found.update(zip(row[: n - 1].tolist(), row[1:n].tolist(), strict=True))
+    expected = Counter()
+    for t in texts:
+        own = classes[np.append(np.frombuffer(t, "<u2").astype(int) + 1, 0)].tolist()
+        expected.update(zip([attention_lm.BEGIN, *own[:-1]], own, strict=True))
+    assert found == expected
