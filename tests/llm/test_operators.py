@@ -477,3 +477,16 @@ def test_every_id_is_learnt_once():
         own = classes[np.append(np.frombuffer(t, "<u2").astype(int) + 1, 0)].tolist()
         expected.update(zip([attention_lm.BEGIN, *own[:-1]], own, strict=True))
     assert found == expected
+
+
+def test_classes_follow_the_counts_of_all_training_documents(spark, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(k, " ".join(f"{w}{k % 3}" for w in words)) for k, words in enumerate([["alpha"] * 40, ["beta", "gamma"] * 30, ["delta"] * 20, ["beta"] * 50, ["omega", "alpha"] * 10])]
+    texts = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    expected = np.zeros(1 << 16, np.int64)
+    for code in token_files.encoder(path, 2, None).encode(texts):
+        expected += np.bincount(np.append(np.frombuffer(code, "<u2").astype(int) + 1, 0), minlength=1 << 16)
+    given, classes_of = [], attention_lm.classes_of
+    monkeypatch.setattr(attention_lm, "classes_of", lambda counts: classes_of(given.append(counts.copy()) or counts))
+    attention_lm.scored(spark.createDataFrame(rows, "doc_id long, text string"), path)
+    assert len(given) == 1 and (given[0] == expected).all() and expected.sum() > 0
