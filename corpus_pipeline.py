@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.llm import jaccard_join, merge_replay, pii, rule_quality, temperature_mix
+from genoframe.llm.common import settle
 
 #: Documents under this score are rejected.
 LEAST_QUALITY = 0.5
@@ -21,10 +22,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each group of linked documents the one with the smallest id stays; rows without an id stay, they can't be named."""
-    groups = jaccard_join.near_duplicates(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """Operator 7: of each group of linked rows one stays, the one with the smallest id (rows of one id: the first as settled; rows without an id come last). Rows without words are in no group and stay."""
+    # a key by row, in a settled table: it must not change between the readings
+    key, again = "__row", [F.col(f"`{c}`") for c in docs.columns]
+    rows = settle(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows")
+    named = jaccard_join.grouped(rows.select(F.col(key).alias("doc_id"), "text")).where("n > 0").select(F.col("doc_id").alias(key), "cls")
+    ids = rows.select(key, F.col("doc_id").cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", key))
+    kept = named.join(ids, key).groupBy("cls").agg(first.alias("first")).select(F.col(f"first.{key}").alias(key))
+    wordless = rows.join(named.select(key), key, "left_anti").select(key)
+    return rows.join(kept.unionByName(wordless), key, "left_semi").select(*again)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

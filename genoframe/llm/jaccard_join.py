@@ -340,12 +340,17 @@ def components(edges: DataFrame) -> DataFrame:
         current = after
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text)."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, n (shingles) and cls (the component; 0 shingles have none) for each row of ``docs`` (doc_id, text)."""
     rows, lists = classes_of(docs)
     roots = roots_of(lists)
     edges = roots.select(F.col("node").alias("cls"), "root")
-    named = rows.join(edges, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("cls"))
+    return rows.join(edges, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("cls"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text)."""
+    named = grouped(docs)
     # the smallest id of each component
     full = named.where("n > 0")
     least = full.groupBy("cls").agg(F.min("doc_id").alias("component_id"))

@@ -45,3 +45,13 @@ def test_registered():
 def test_empty_tables(spark, stage):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     assert dict(corpus_pipeline.STAGES)[stage](spark, empty, DATA).count() == 0
+
+
+def test_near_duplicates_by_row(spark):
+    one, two = (" ".join(f"{w}{k}" for k in range(40)) for w in "ab")
+    rows = [(7, one), (7, one), (7, one), (3, two), (9, two), (9, one), (None, one), (None, one), (5, "other words that stand alone here"), (6, None), (6, ""), (None, "no id but words of its own"), (None, "no id but words of its own")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, DATA)
+    assert kept.columns == docs.columns
+    expected = [(7, one), (3, two), (5, rows[8][1]), (6, None), (6, ""), (None, rows[11][1])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(expected, key=str)
