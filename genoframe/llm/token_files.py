@@ -11,9 +11,10 @@ Texts are encoded by the ``tokenizers`` library. The vocabulary drops white spac
 space; so each stretch between white space is encoded once per worker and kept (at most ``CACHED`` of late and as many before), and a text's
 ids are those of its stretches in order. A text that holds ``<|`` could name a special token and is encoded in one piece.
 
-The table is cut into ranges of ``doc_id``; each range is one file, named after its range and renamed into
-place when it is complete, so that a repeated task leaves a whole file. Defined results: a null text is empty (one id, the
-end); null ids come first; rows that repeat an id keep their rows, in an order that the text gives; an empty table gives no file.
+The table is cut into ranges of (``doc_id``, hash of the text); each range is one file, named after the range's number and renamed into
+place when it is complete, so that a repeated task leaves a whole file. The files' order is that of their ranges, also where one id fills several of them.
+Defined results: a null text is empty (one id, the end); null ids come first; rows that repeat an id keep their rows, in an order that the text gives;
+an empty table gives no file; columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -159,14 +161,16 @@ def _opened(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
-_FILES = pa.schema([("file", pa.string()), ("least", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64())])
+_FILES = pa.schema([("file", pa.string()), ("part", pa.int32()), ("least", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64())])
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None = 1, id_bytes: int = 2) -> DataFrame:
-    """Writes ``docs`` (doc_id, text) in id order; gives (file, least, docs, ids) for each file, ``least`` its first id."""
+    """Writes ``docs`` (doc_id, text) in id order; gives (file, part, least, docs, ids) for each file: ``part`` its place in that order, ``least`` its first id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, least, count, total, done = None, None, 0, 0, []
+        # the number of the task is that of its range
+        number = TaskContext.get().partitionId()
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
@@ -175,7 +179,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int |
                     if writer is None:
                         store, root = _opened(folder)
                         store.create_dir(root, recursive=True)
-                        path = f"{root}/{uuid.uuid4().hex}"
+                        path = f"{root}/{number:06d}-{uuid.uuid4().hex}"
                         out = store.open_output_stream(f"{path}.part", compression=None)
                         writer, least = Writer(out, id_bytes), doc_id
                     writer.add(doc_id, ids)
@@ -184,15 +188,15 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int |
             writer.close()
             out.close()
             store.move(f"{path}.part", f"{path}.tokz")
-            done.append((f"{folder}/{path.rpartition('/')[2]}.tokz", _NULL_ID if least is None else least, count, total))
-        columns = list(zip(*done, strict=True)) or [[]] * 4
+            done.append((f"{folder}/{path.rpartition('/')[2]}.tokz", number, _NULL_ID if least is None else least, count, total))
+        columns = list(zip(*done, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _FILES, strict=True)], schema=_FILES)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(1, reduce_tasks(docs.sparkSession))
     ranged = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     # the list of the files is what counts: files that a lost task left behind are in no list
-    return settle(ranged.mapInArrow(run, "file string, least long, docs long, ids long"), "token-file-list")
+    return settle(ranged.mapInArrow(run, "file string, part int, least long, docs long, ids long"), "token-file-list")
 
 
 _DOCS = pa.schema([("file", pa.string()), ("place", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("ids", pa.binary())])
@@ -226,13 +230,18 @@ def read_files(files: DataFrame, digest: bool = False) -> DataFrame:
     return spread.mapInArrow(run, ddl)
 
 
+def placed(files: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of each document of the files that ``write_files`` gave; ``start`` counts the ids of all documents before it."""
+    # one row per file: ids of the files before it
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("file", F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("base"))
+    rows = read_files(files, digest=True).join(F.broadcast(starts), "file")
+    return rows.select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op3(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     files = write_files(docs, shared_folder(spark, "token-files"), tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
-    # one row per file: ids of the files before it (files hold disjoint, ordered ranges)
-    order = Window.orderBy("least", "file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("file", F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("base"))
-    rows = read_files(files, digest=True).join(F.broadcast(starts), "file")
-    return rows.select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    return placed(files)

@@ -211,6 +211,21 @@ def test_token_files_odd(odd, nothing, spark, tmp_path):
     assert token_files.read_files(token_files.write_files(nothing, f"file://{tmp_path}/b", path)).count() == 0
 
 
+def test_token_starts_of_repeated_ids(spark, tmp_path):
+    """Null and repeated ids that fill several files: the starts leave no gap and follow the ids, in each of two runs alike."""
+    rows = [(None, f"no id {k} {k % 7}") for k in range(400)] + [(5, f"five {k}") for k in range(400)] + [(7, f"seven of {k}") for k in range(30)] + [(7, "same"), (7, "same")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = []
+    for run in range(2):
+        files = token_files.write_files(docs, f"file://{tmp_path}/{run}", public_tokenizers.path("word_bpe_49k.json"))
+        assert files.where("least < 0").count() >= 2 and files.count() >= 3
+        got = sorted(map(tuple, token_files.placed(files).collect()), key=lambda r: r[1])
+        assert [r[1] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1].tolist()]
+        assert [r[0] for r in got] == [None] * 400 + [5] * 400 + [7] * 32
+        found.append(got)
+    assert found[0] == found[1]
+
+
 # --- 4
 
 
