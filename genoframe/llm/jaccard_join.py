@@ -2,21 +2,22 @@
 
 Two sets A and B are linked when 100 * |A & B| >= 80 * |A | B|, i.e. when their Jaccard distance is at most 0.2.
 
-1. Equal sets are one class (64-bit digest of the set). Shingle codes go, packed by bucket, to the reducers,
-   which count in how many classes each occurs. A class can only have a partner if at least 80 % of its
-   shingles occur in another class too; all others leave here.
-2. What is left is put in regions: a class belongs to the region of each of its ``n - ceil(0.8 n) + 1`` rarest
-   shingles (rarest first, so what very many documents share opens a region only for documents made of it).
-   Two linked classes share at least one region. These regions take the place of a first Voronoi level over
-   pivot documents: unrelated documents all lie at distance 1 from each other, so that triangle windows around
-   pivot documents would send every document to every region.
-3. In each region a pivot (the class with the smallest share of shingles of its own) is compared with all members, within the windows that the size metric and the places of the region's code
-   in both orders allow. Members
-   that links connect are one component. Only members of other components are compared further, region by
+1. Equal sets are one class (64-bit digest of the set). Shortened shingle codes go, packed by bucket, to the reducers, which count in how
+   many classes each occurs. A class can only have a partner if at least 80 % of its shingles occur in another class too; all others leave here.
+   Shortening can only merge codes, never part them, so that it lets more classes pass, but drops none (codes that merge within a class are
+   counted and allowed for).
+2. Pivots create regions. Each shared code elects, among the classes that have it in their prefix (the ``n - ceil(0.8 n) + 1`` rarest codes), the
+   one with the smallest share of shingles of its own. A class is put in the region of each pivot that its prefix reaches, so in those of
+   near pivots, and boundary classes in several. Two linked classes share a code of their prefixes, hence a pivot's region. (Regions over
+   a few pivots for all documents would not do: unrelated documents all lie at distance 1 from each other.)
+3. Distances to the pivots are taken. Members that links connect are one component. Only members of other components are compared further, region by
    region, with new pivots (first one open member of each component, then more of them, twice as many in each round), skipping by the triangle inequality
-   pairs whose distances to a common pivot differ by more than 0.2. A region ends when its open members are in one component.
+   pairs whose distances to the region's pivot differ by more than 0.2. A region ends when its open members are in one component.
 4. Links give connected components; the smallest document id of a component names it.
 
+Distances are exact: they come from the words of both texts, numbered in each batch, not from hashes. Only the equality of whole sets rests on a digest
+(two of N different sets meet with a chance of about N * N / 2**65).
+
 Defined results: null or word-free texts have the empty set and form a component of their own; a text of fewer
 than five words has one shingle, its whole word sequence; repeated rows and repeated ids are separate rows that share a class
 when their sets are equal; a null id never names a component unless nothing else is there. Only the columns
@@ -30,7 +31,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from genoframe.llm.common import reduce_tasks, settle, words_of
@@ -39,6 +41,10 @@ WORDS = 5
 PERCENT = 80
 #: Entries that a map task holds before it sends them on.
 CHUNK = 1_500_000
+#: Bytes of text for each task that counts codes.
+TASK_BYTES = 64 << 20
+#: Bytes of text that are compared at a time.
+COMPARED = 8 << 20
 FIRST_PIVOTS = 16
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -62,44 +68,44 @@ def shingle_codes(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary()), ("classes", pa.binary()), ("homed", pa.binary()), ("sizes", pa.binary())])
-_PACKED_DDL = "bucket int, doc_id long, n long, cls long, codes binary, counts binary, classes binary, homed binary, sizes binary"
-
+def _bucketed(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """Sorted distinct shortened codes: the bucket, which the high 16 bits give, above the low 32 bits."""
+    bucket = ((codes >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)
+    return np.unique((bucket << np.uint64(32) | (codes & np.uint64(0xFFFFFFFF))).astype(np.int64))
 
-def _short(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of each value."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
+#: A class at home: its digest, its number of shingles and of shortened codes, and one of its documents (hash of the text, id, whether that is null).
+_HOME = np.dtype([("cls", "<i8"), ("n", "<u4"), ("short", "<u4"), ("hash", "<i8"), ("doc_id", "<i8"), ("none", "u1")])
+_PACKED = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary()), ("classes", pa.binary()), ("homed", pa.binary())])
+_PACKED_DDL = "bucket int, doc_id long, n long, cls long, codes binary, counts binary, classes binary, homed binary"
 
-def _long(data: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
-    return out.view("<i8").ravel()
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and lengths of the runs of equal keys, cut so that a length fits one byte."""
+    starts = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1)) if len(keys) else np.empty(0, np.int64)
+    lengths = np.diff(starts, append=len(keys))
+    pieces = -(-lengths // 255)
+    at = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.repeat(starts, pieces) + at * 255, np.minimum(255, np.repeat(lengths, pieces) - at * 255)
 
-def _pack(sets: list[np.ndarray], classes: list[int], buckets: int) -> pa.RecordBatch:
-    """One row per bucket: codes class by class, with counts by class; and the sizes of the classes at home there.
 
-    A code's bucket comes from its high bits, so that 40 more bits are enough beside it.
-    """
+def _pack(sets: list[np.ndarray], homes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row per bucket: codes class by class, with counts by class; and the classes at home there."""
     lengths = np.fromiter(map(len, sets), np.int64, len(sets))
     codes = np.concatenate(sets)
-    bucket = (((codes >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int64)
-    order = np.argsort(bucket * len(sets) + np.repeat(np.arange(len(sets)), lengths), kind="stable")
-    codes, key = codes[order], (bucket * len(sets) + np.repeat(np.arange(len(sets)), lengths))[order]
-    group = np.flatnonzero(np.diff(key, prepend=-1))
-    count = np.diff(group, append=len(key)).astype("<u4")
+    key = (codes >> 32) * len(sets) + np.repeat(np.arange(len(sets)), lengths)
+    order = np.argsort(key, kind="stable")
+    codes, key = codes[order].astype("<u4"), key[order]
+    group, count = _runs(key)
     owner, bucket = key[group] % len(sets), key[group] // len(sets)
-    names = np.array(classes, np.int64)
-    home = names % buckets
     first = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
     ends = np.append(group, len(key))
+    home = homes["cls"] % buckets
     at_home = np.argsort(home, kind="stable")
     bounds = np.searchsorted(home[at_home], np.arange(buckets + 1))
-    rows: dict[int, list] = {int(bucket[a]): [_short(codes[ends[a] : ends[b]], 5), count[a:b].tobytes(), names[owner[a:b]].tobytes(), b"", b""] for a, b in zip(first, first[1:], strict=False)}
+    rows: dict[int, list] = {int(bucket[a]): [codes[ends[a] : ends[b]].tobytes(), count[a:b].astype("u1").tobytes(), homes["cls"][owner[a:b]].tobytes(), b""] for a, b in zip(first, first[1:], strict=False)}
     for k in np.unique(home).tolist():
-        mine = at_home[bounds[k] : bounds[k + 1]]
-        rows.setdefault(k, [b"", b"", b"", b"", b""])[3:] = [names[mine].tobytes(), lengths[mine].astype("<u4").tobytes()]
+        rows.setdefault(k, [b"", b"", b"", b""])[3] = homes[at_home[bounds[k] : bounds[k + 1]]].tobytes()
     none = pa.nulls(len(rows), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), none, none, none, *(pa.array(list(c), pa.binary()) for c in zip(*rows.values(), strict=True))], schema=_PACKED)
 
@@ -107,132 +113,135 @@ def _pack(sets: list[np.ndarray], classes: list[int], buckets: int) -> pa.Record
 def _shingled(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: list[np.ndarray] = []
-        classes: list[int] = []
+        homes: list[tuple] = []
         seen: set[int] = set()
         held = 0
         for batch in batches:
             ids, ns, own = batch.column(0), [], []
-            for value in batch.column(1):
+            for doc_id, value, digest in zip(ids.to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 codes = shingle_codes(value.as_buffer().to_pybytes() if value.is_valid else None)
                 ns.append(len(codes))
                 name = xxhash.xxh3_64_intdigest(codes.tobytes()) - (1 << 63)
                 own.append(name)
                 if len(codes) and name not in seen:
                     seen.add(name)
-                    sets.append(codes)
-                    classes.append(name)
+                    sets.append(_bucketed(codes, buckets))
+                    homes.append((name, len(codes), len(sets[-1]), digest, doc_id or 0, doc_id is None))
                     held += len(codes)
                     if held >= CHUNK:
-                        yield _pack(sets, classes, buckets)
-                        sets, classes, held = [], [], 0
+                        yield _pack(sets, np.array(homes, _HOME), buckets)
+                        sets, homes, held = [], [], 0
                         if len(seen) > 200_000:
                             seen = set()
             spread = np.arange(batch.num_rows) * 31 % buckets
             nothing = pa.nulls(batch.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(spread, pa.int32()), ids, pa.array(ns, pa.int64()), pa.array(own, pa.int64()), *[nothing] * 5], schema=_PACKED)
+            yield pa.RecordBatch.from_arrays([pa.array(spread, pa.int32()), ids, pa.array(ns, pa.int64()), pa.array(own, pa.int64()), *[nothing] * 4], schema=_PACKED)
         if sets:
-            yield _pack(sets, classes, buckets)
+            yield _pack(sets, np.array(homes, _HOME), buckets)
 
     return run
 
 
-_SHARED = pa.schema([("home", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("codes", pa.binary()), ("classes", pa.binary()), ("spread", pa.binary()), ("homed", pa.binary()), ("sizes", pa.binary())])
-_SHARED_DDL = "home int, doc_id long, n long, cls long, codes binary, classes binary, spread binary, homed binary, sizes binary"
-#: Parts in which a task works through its entries, to hold less at a time.
-PARTS = 8
+_SHARED = pa.schema([("home", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("bucket", pa.int32()), ("codes", pa.binary()), ("spread", pa.binary()), ("counts", pa.binary()), ("classes", pa.binary()), ("homed", pa.binary())])
+_SHARED_DDL = "home int, doc_id long, n long, cls long, bucket int, codes binary, spread binary, counts binary, classes binary, homed binary"
+
+
+def _rows_of(schema: pa.Schema, size: int, **columns) -> pa.RecordBatch:
+    """A batch in which the columns that are not given are null."""
+    filled = [columns.get(f.name) for f in schema]
+    return pa.RecordBatch.from_arrays([pa.nulls(size, f.type) if c is None else c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(filled, schema, strict=True)], schema=schema)
+
+
+def _rarity(counts: np.ndarray) -> np.ndarray:
+    """A byte that grows with the number of classes: exact up to 16, then in steps of an eighth of a doubling."""
+    return np.where(counts <= 16, counts, np.minimum(255, 16 + np.ceil(8 * np.log2(np.maximum(counts, 1) / 16)))).astype("u1")
 
 
 def _counted(homes: int):
-    """Keeps the codes that occur in two classes or more, with the number of classes; sends them to the class's home."""
+    """Keeps the codes that occur in two classes or more, with their rarity; sends them to the class's home."""
 
-    def found(codes: np.ndarray, names: np.ndarray) -> Iterator[tuple]:
+    def found(bucket: int, codes: np.ndarray, names: np.ndarray) -> Iterator[list]:
         order = np.lexsort((names, codes))
         codes, names = codes[order], names[order]
         fresh = np.ones(len(codes), bool)
         fresh[1:] = (codes[1:] != codes[:-1]) | (names[1:] != names[:-1])
         codes, names = codes[fresh], names[fresh]
-        starts = np.flatnonzero(np.diff(codes, prepend=-1))
+        starts = np.flatnonzero(np.diff(codes.astype(np.int64), prepend=-1))
         spread = np.diff(starts, append=len(codes))
         spread = np.repeat(spread, spread)
         keep = spread > 1
-        codes, names, spread = codes[keep], names[keep], spread[keep].astype("<u4")
+        codes, names, spread = codes[keep], names[keep], _rarity(spread[keep])
+        order = np.lexsort((names, names % homes))
+        codes, names, spread = codes[order], names[order], spread[order]
         home = names % homes
-        order = np.argsort(home, kind="stable")
-        codes, names, spread, home = codes[order], names[order], spread[order], home[order]
         cuts = np.append(np.flatnonzero(np.diff(home, prepend=-1)), len(home)).tolist()
         for a, b in zip(cuts, cuts[1:], strict=False):
-            yield int(home[a]), _short(codes[a:b], 7), names[a:b].tobytes(), spread[a:b].tobytes()
+            group, count = _runs(names[a:b])
+            yield [int(home[a]), bucket, codes[a:b].tobytes(), spread[a:b].tobytes(), count.astype("u1").tobytes(), names[a:b][group].tobytes()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple] = []
+        parts: dict[int, list[tuple]] = {}
         for batch in batches:
             packed = batch.column(4).is_valid()
             plain = batch.filter(pa.compute.invert(packed))
-            none = pa.nulls(plain.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([plain.column(0), plain.column(1), plain.column(2), plain.column(3), *[none] * 5], schema=_SHARED)
+            yield _rows_of(_SHARED, plain.num_rows, home=plain.column(0), doc_id=plain.column(1), n=plain.column(2), cls=plain.column(3))
             batch = batch.filter(packed)
-            none, nothing = pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), none, none, none, nothing, nothing, nothing, batch.column(7), batch.column(8)], schema=_SHARED)
+            yield _rows_of(_SHARED, batch.num_rows, home=batch.column(0), homed=batch.column(7))
             for bucket, codes, counts, names in zip(*(batch.column(k).to_pylist() for k in (0, 4, 5, 6)), strict=True):
-                parts.append((_long(codes, 5) | (bucket & 0xFFFF) << 40, np.repeat(np.frombuffer(names, np.int64), np.frombuffer(counts, "<u4"))))
-        if not parts:
-            return
-        codes, names = (np.concatenate(c) for c in zip(*parts, strict=True))
-        del parts
-        turn = (codes >> 37) % PARTS
-        gathered: dict[int, list[tuple]] = {}
-        for k in range(PARTS):
-            here = turn == k
-            for home, *row in found(codes[here], names[here]):
-                gathered.setdefault(home, []).append(row)
-        rows = [(home, *(b"".join(c) for c in zip(*some, strict=True))) for home, some in gathered.items()]
-        for lo in range(0, len(rows), 1000):
-            some = rows[lo : lo + 1000]
-            none, nothing = pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.binary())
-            columns = list(zip(*some, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), none, none, none, *(pa.array(c, pa.binary()) for c in columns[1:]), nothing, nothing], schema=_SHARED)
+                parts.setdefault(bucket, []).append((np.frombuffer(codes, "<u4"), np.repeat(np.frombuffer(names, np.int64), np.frombuffer(counts, "u1"))))
+        for bucket in sorted(parts):
+            codes, names = (np.concatenate(c) for c in zip(*parts.pop(bucket), strict=True))
+            held: list[list] = []
+            for row in found(bucket, codes, names):
+                held.append(row)
+                if len(held) == 1000:
+                    yield _rows_of(_SHARED, len(held), **dict(zip(_SENT, zip(*held, strict=True), strict=True)))
+                    held = []
+            if held:
+                yield _rows_of(_SHARED, len(held), **dict(zip(_SENT, zip(*held, strict=True), strict=True)))
 
     return run
 
 
-_CLASS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("codes", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
-_CLASS_DDL = "doc_id long, n long, cls long, codes array<long>, prefix array<long>"
+_SENT = ("home", "bucket", "codes", "spread", "counts", "classes")
+_CLASS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("hash", pa.int64()), ("own", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+_CLASS_DDL = "doc_id long, n long, cls long, hash long, own long, prefix array<long>"
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Classes of which enough is shared: their shared codes in order, and the rarest of them as prefix."""
+    """Rows as they are; and of each class of which enough is shared its shingles of its own (in a million) and its prefix, the rarest shared codes."""
     parts: list[tuple] = []
-    known: list[tuple] = []
+    known: list[np.ndarray] = []
     for batch in batches:
-        plain = batch.filter(pa.compute.and_(pa.compute.invert(batch.column(4).is_valid()), pa.compute.invert(batch.column(7).is_valid())))
-        none = pa.nulls(plain.num_rows, pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([plain.column(1), plain.column(2), plain.column(3), none, none], schema=_CLASS)
-        for codes, names, spread, homed, sizes in zip(*(batch.column(k).to_pylist() for k in range(4, 9)), strict=True):
-            if codes:
-                parts.append((_long(codes, 7), np.frombuffer(names, np.int64), np.frombuffer(spread, "<u4").astype(np.int64)))
-            if homed:
-                known.append((np.frombuffer(homed, np.int64), np.frombuffer(sizes, "<u4").astype(np.int64)))
+        coded, homed = batch.column(5).is_valid(), batch.column(9).is_valid()
+        plain = batch.filter(pa.compute.and_(pa.compute.invert(coded), pa.compute.invert(homed)))
+        yield _rows_of(_CLASS, plain.num_rows, doc_id=plain.column(1), n=plain.column(2), cls=plain.column(3))
+        for bucket, codes, spread, counts, names in zip(*(batch.filter(coded).column(k).to_pylist() for k in range(4, 9)), strict=True):
+            parts.append((np.frombuffer(codes, "<u4").astype(np.int64) | bucket << 32, np.repeat(np.frombuffer(names, np.int64), np.frombuffer(counts, "u1")), np.frombuffer(spread, "u1")))
+        known += [np.frombuffer(h, _HOME) for h in batch.filter(homed).column(9).to_pylist()]
     if not parts:
         return
-    homed, sizes = (np.concatenate(c) for c in zip(*known, strict=True))
-    homed, first = np.unique(homed, return_index=True)
-    sizes = sizes[first]
+    # of a class that several tasks met the same entry, whatever their order
+    homes = np.sort(np.concatenate(known), order=["cls", "none", "doc_id", "hash"])
+    homes = homes[np.flatnonzero(np.diff(homes["cls"], prepend=homes["cls"][0] - 1))]
     codes, names, spread = (np.concatenate(c) for c in zip(*parts, strict=True))
     del parts, known
     # first those classes only of which enough is shared
-    place = np.searchsorted(homed, names)
-    common = np.bincount(place, minlength=len(homed))
-    prefix = np.where(common > 0, sizes - (PERCENT * sizes + 99) // 100 + 1 - (sizes - common), 0)
+    place = np.searchsorted(homes["cls"], names)
+    common = np.bincount(place, minlength=len(homes))
+    n, short = homes["n"].astype(np.int64), homes["short"].astype(np.int64)
+    prefix = np.where(common > 0, n - (PERCENT * n + 99) // 100 + 1 - (short - common), 0)
     keep = prefix[place] > 0
     codes, spread, place = codes[keep], spread[keep], place[keep]
     order = np.lexsort((codes, spread, place))
     codes, place = codes[order], place[order]
     starts = np.flatnonzero(np.diff(place, prepend=-1))
-    ends = np.append(starts[1:], len(place))
     own = place[starts]
     for lo in range(0, len(own), 2000):
-        some = range(lo, min(lo + 2000, len(own)))
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64()), pa.array(sizes[own[lo : lo + 2000]], pa.int64()), pa.array(homed[own[lo : lo + 2000]], pa.int64()), pa.array([codes[starts[k] : ends[k]] for k in some], pa.list_(pa.int64())), pa.array([codes[starts[k] : starts[k] + prefix[own[k]]] for k in some], pa.list_(pa.int64()))], schema=_CLASS)
+        some = own[lo : lo + 2000]
+        lists = [codes[a : a + prefix[k]] for a, k in zip(starts[lo : lo + 2000], some, strict=True)]
+        ids = pa.array(homes["doc_id"][some], pa.int64(), mask=homes["none"][some].astype(bool))
+        yield _rows_of(_CLASS, len(some), doc_id=ids, n=n[some], cls=homes["cls"][some], hash=homes["hash"][some], own=(n[some] * 1_000_000) // common[some], prefix=lists)
 
 
 def _task_keys(spark: SparkSession, tasks: int) -> Column:
@@ -243,49 +252,99 @@ def _task_keys(spark: SparkSession, tasks: int) -> Column:
 
 
 def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, cls) of every document, and (cls, n, codes, prefix) of each class that may have a partner."""
+    """(doc_id, n, cls) of every document, and (cls, n, own, prefix, text) of each class that may have a partner."""
     spark = docs.sparkSession
-    tasks = min(65536, reduce_tasks(spark))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = min(65536, max(reduce_tasks(spark), -(-size // TASK_BYTES)))
     keys = _task_keys(spark, tasks)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     packed = source.mapInArrow(_shingled(tasks), _PACKED_DDL).repartition(tasks, keys[F.col("bucket")])
     shared = packed.mapInArrow(_counted(tasks), _SHARED_DDL).repartition(tasks, keys[F.col("home")])
     rows = settle(shared.mapInArrow(_candidates, _CLASS_DDL), "jaccard-classes")
-    return rows.where("codes is null").select("doc_id", "n", "cls"), rows.where("codes is not null").select("cls", "n", "codes", "prefix")
+    lists = rows.where("prefix is not null").select("cls", "n", "own", "prefix", "hash", F.col("doc_id").alias("of"))
+    # the text of one document of each class; rows that repeat id and text are brought together after a first step in each task
+    told = source.join(lists.select("cls", "hash", "of"), "hash").where(F.col("doc_id").eqNullSafe(F.col("of"))).groupBy("cls").agg(F.first("text").alias("text"))
+    texts = settle(told, "jaccard-texts")
+    return rows.where("prefix is null").select("doc_id", "n", "cls"), lists.select("cls", "n", "own", "prefix").join(texts, "cls")
+
+
+def _numbered(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """The shingle sets of texts as sorted numbers; equal shingles of any two of them have equal numbers, others have not."""
+    names: dict[bytes, int] = {}
+    short: dict[tuple, int] = {}
+    coded = [np.fromiter((names.setdefault(w, len(names)) for w in words_of(t)), np.int64) for t in texts]
+    if not any(len(c) >= words for c in coded):
+        return [np.array([short.setdefault(tuple(c.tolist()), len(short))] if len(c) else [], np.int64) for c in coded]
+    flat = np.concatenate(coded)
+    # numbers of longer and longer sequences: of the sequence before and the word after it
+    grams = flat
+    for k in range(1, words):
+        grams = np.unique(grams[:-1] * (len(names) + 1) + flat[k:], return_inverse=True)[1]
+    out, at = [], 0
+    for c in coded:
+        own = np.unique(grams[at : at + len(c) - words + 1]) if len(c) >= words else np.array([-1 - short.setdefault(tuple(c.tolist()), len(short))] if len(c) else [], np.int64)
+        out.append(own)
+        at += len(c)
+    return out
+
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, common, either) of pairs of texts (a, b, text_a, text_b)."""
+
+    def measure(a: list, b: list, pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        places = {t: k for k, t in enumerate(dict.fromkeys(t for p in pairs for t in p))}
+        sets = _numbered(list(places))
+        common, either = [], []
+        for s, t in pairs:
+            x, y = sets[places[s]], sets[places[t]]
+            shared = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
+            common.append(shared)
+            either.append(len(x) + len(y) - shared)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, common, either)], names=["a", "b", "common", "either"])
 
-
-def _verified(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    for batch in batches:
+        a, b, held, size, begin = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], 0, 0
+        for k, (s, t) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            held.append((s.as_buffer().to_pybytes(), t.as_buffer().to_pybytes()))
+            size += len(held[-1][0]) + len(held[-1][1])
+            if size >= COMPARED:
+                yield measure(a[begin : k + 1], b[begin : k + 1], held)
+                held, size, begin = [], 0, k + 1
+        if held:
+            yield measure(a[begin:], b[begin:], held)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, common, either) with the sizes of intersection and union."""
-    left = lists.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("codes").alias("ca"))
-    right = lists.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("codes").alias("cb"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", F.size(F.array_intersect("ca", "cb")).cast("long").alias("common"))
-    return joined.select("a", "b", "common", (F.col("na") + F.col("nb") - F.col("common")).alias("either"))
+    left = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+    return joined.mapInArrow(_measured, "a long, b long, common long, either long")
 
 
-def _near(n1: str, rest1: str, n2: str, rest2: str) -> str:
-    """Whether two members of a region can be linked by it: if its code is the first they share, they share no more than what either has from it on."""
-    return f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2}) and {100 + PERCENT} * least({rest1}, {rest2}) >= {PERCENT} * ({n1} + {n2})"
+def _near(n1: str, n2: str) -> str:
+    """Whether the sizes of two sets let them be linked."""
+    return f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2})"
 
 
 def roots_of(lists: DataFrame) -> DataFrame:
     """(node, root) of the connected components of all linked pairs of classes (unlinked classes may be missing)."""
-    members = lists.select("cls", "n", F.size("codes").alias("k"), F.posexplode("prefix").alias("at", "region")).select("region", "cls", "n", (F.col("k") - F.col("at")).alias("rest"), F.expr("n * 1000000 div k").alias("own"))
-    pivots = members.groupBy("region").agg(F.min(F.struct("own", "cls", "n", "rest")).alias("p"), F.count("*").alias("size")).where("size > 1")
-    starred = members.join(pivots.select("region", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.rest").alias("pivot_rest")), "region")
-    starred = settle(starred, "jaccard-regions")
-    window = F.expr(_near("n", "rest", "pivot_n", "pivot_rest"))
-    pairs = starred.where(F.col("cls") != F.col("pivot")).where(window).select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-    tested = settle(_verified(pairs, lists), "jaccard-tested")
+    texts = lists.select("cls", "text")
+    index = lists.select("cls", "n", "own", F.explode("prefix").alias("code"))
+    elected = index.groupBy("code").agg(F.min(F.struct("own", "cls", "n")).alias("p"), F.count("*").alias("size")).where("size > 1")
+    elected = elected.select("code", F.col("p.cls").alias("region"), F.col("p.n").alias("pivot_n"))
+    regions = settle(index.join(elected, "code").select("region", "pivot_n", "cls", "n", "own").distinct(), "jaccard-regions")
+    pairs = regions.where("cls <> region").where(_near("n", "pivot_n")).select(F.col("region").alias("a"), F.col("cls").alias("b"))
+    tested = settle(_verified(pairs, texts), "jaccard-tested")
     found = tested.where(f"100 * common >= {PERCENT} * either").select("a", "b")
     roots = settle(components(found), "jaccard-roots")
-    distance = tested.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), (1 - F.col("common") / F.col("either")).alias("distance"))
+    distance = tested.select(F.col("a").alias("region"), F.col("b").alias("cls"), (1 - F.col("common") / F.col("either")).alias("distance"))
     # regions whose members other than the pivot are not all connected yet
-    labelled = _labelled(starred, roots)
-    open_regions = labelled.where("cls <> pivot").groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region")
-    state = labelled.join(open_regions, "region").join(distance, ["pivot", "cls"], "left")
-    distance_or_0 = F.when(F.col("cls") == F.col("pivot"), 0.0).otherwise(F.col("distance"))
-    state = settle(state.select("region", "cls", "n", "rest", "own", distance_or_0.alias("distance"), (F.col("cls") != F.col("pivot")).alias("open")), "jaccard-open")
-    done, most, round_no = tested.select("a", "b"), FIRST_PIVOTS, 0
+    labelled = _labelled(regions.where("cls <> region").select("region", "cls", "n", "own"), roots)
+    mixed = labelled.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region")
+    state = labelled.drop("label").join(mixed, "region").join(distance, ["region", "cls"], "left").withColumn("open", F.lit(True))
+    state = settle(state.select("region", "cls", "n", "own", "distance", "open"), "jaccard-open")
+    done, most, round_no = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), FIRST_PIVOTS, 0
     while True:
         labelled = _labelled(state, roots)
         mixed = labelled.where("open").groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region", "lo")
@@ -295,22 +354,22 @@ def roots_of(lists: DataFrame) -> DataFrame:
         # the next pivots of a region: first one open member of each component but the first, then any open members of those
         own = state.where("open and label <> lo")
         if round_no == 0:
-            own = own.groupBy("region", "label").agg(F.min(F.struct("own", "cls", "n", "rest", "distance")).alias("q")).select("region", "label", "q.*")
+            own = own.groupBy("region", "label").agg(F.min(F.struct("own", "cls", "n", "distance")).alias("q")).select("region", "label", "q.*")
         turn = Window.partitionBy("region").orderBy("own", "cls")
         chosen = own.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= most)
-        chosen = chosen.select("region", F.col("cls").alias("q"), F.col("n").alias("qn"), F.col("rest").alias("qr"), F.col("label").alias("ql"), F.col("distance").alias("qd"))
-        near = state.join(chosen, "region").where("label <> ql").where(_near("n", "rest", "qn", "qr"))
+        chosen = settle(chosen.select("region", F.col("cls").alias("q"), F.col("n").alias("qn"), F.col("label").alias("ql"), F.col("distance").alias("qd")), "jaccard-pivots")
+        near = state.join(chosen, "region").where("label <> ql").where(_near("n", "qn"))
         near = near.where("qd is null or distance is null or abs(qd - distance) <= 0.2 + 1e-9")
         pairs = near.select(F.least("q", "cls").alias("a"), F.greatest("q", "cls").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
         pairs = settle(pairs, "jaccard-pairs")
         if not pairs.isEmpty():
             done = done.unionByName(pairs)
-            linked = settle(_verified(pairs, lists), "jaccard-tested").where(f"100 * common >= {PERCENT} * either").select("a", "b")
+            linked = settle(_verified(pairs, texts), "jaccard-tested").where(f"100 * common >= {PERCENT} * either").select("a", "b")
             if not linked.isEmpty():
                 found = found.unionByName(linked)
                 roots = settle(components(found), "jaccard-roots")
         closed = chosen.select("region", F.col("q").alias("cls"), F.lit(False).alias("shut"))
-        state = state.join(closed, ["region", "cls"], "left").select("region", "cls", "n", "rest", "own", "distance", F.coalesce("shut", "open").alias("open"))
+        state = state.join(closed, ["region", "cls"], "left").select("region", "cls", "n", "own", "distance", F.coalesce("shut", "open").alias("open"))
         most, round_no = most * 2, round_no + 1
 
 

@@ -89,6 +89,30 @@ def test_jaccard_families_of_edited_copies(spark):
     assert got.component_id.to_dict() == _components(list(range(120)), _sets([r[1] for r in rows]))
 
 
+def test_jaccard_shingle_numbers():
+    """Sets of numbered shingles are the sets of word tuples, short texts and repeats included."""
+    random = np.random.default_rng(4)
+    texts = [" ".join(random.choice(["a", "B", "c"], int(n))).encode() for n in random.integers(0, 30, 60)] + [b"", b"a b", b"A  b", b"a b c d", b"a b c d e"]
+    sets, got = _sets([t.decode() for t in texts]), jaccard_join._numbered(texts)
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            assert len(np.intersect1d(got[i], got[j])) == len(sets[i] & sets[j])
+    short = jaccard_join._numbered([b"a b", b"a  B", b"b a", b""])
+    assert short[0].tolist() == short[1].tolist() != short[2].tolist() and len(short[3]) == 0
+
+
+def test_jaccard_many_partitions(spark, docs):
+    """The same components with 211 shuffle partitions, and where shortened codes run into each other."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    expected = _components(docs.doc_id.tolist(), _sets(docs.text))
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:
+        got = jaccard_join.op7(spark, DATA).toPandas().set_index("doc_id")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got.component_id.to_dict() == expected
+
+
 def test_jaccard_odd_rows(odd, nothing):
     got = sorted(map(tuple, jaccard_join.near_duplicates(odd.withColumn("n", F.lit(1)).withColumn("cls", F.lit(2))).collect()), key=str)
     by = {}
