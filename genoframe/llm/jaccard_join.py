@@ -11,7 +11,7 @@ Two sets A and B are linked when 100 * |A & B| >= 80 * |A | B|, i.e. when their
    near pivots, and boundary classes in several. Two linked classes share a code of their prefixes, hence a pivot's region. (Regions over
    a few pivots for all documents would not do: unrelated documents all lie at distance 1 from each other.)
 3. Distances to the pivots are taken. Members that links connect are one component. Only members of other components are compared further, region by
-   region, with new pivots (first one open member of each component, then more of them, twice as many in each round), skipping by the triangle inequality
+   region, with new pivots (first one open member of each component, then more of them, four times as many in each round), skipping by the triangle inequality
    pairs whose distances to the region's pivot differ by more than 0.2. A region ends when its open members are in one component.
 4. Links give connected components; the smallest document id of a component names it.
 
@@ -204,12 +204,12 @@ def _counted(homes: int):
 
 
 _SENT = ("home", "bucket", "codes", "spread", "counts", "classes")
-_CLASS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("hash", pa.int64()), ("own", pa.int64()), ("prefix", pa.list_(pa.int64()))])
-_CLASS_DDL = "doc_id long, n long, cls long, hash long, own long, prefix array<long>"
+_CLASS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("hash", pa.int64()), ("own", pa.int64()), ("shared", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+_CLASS_DDL = "doc_id long, n long, cls long, hash long, own long, shared long, prefix array<long>"
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows as they are; and of each class of which enough is shared its shingles of its own (in a million) and its prefix, the rarest shared codes."""
+    """Rows as they are; and of each class of which enough is shared: ``own``, which grows with its shingles of its own, the most shingles that it may share, and its prefix, the rarest shared codes."""
     parts: list[tuple] = []
     known: list[np.ndarray] = []
     for batch in batches:
@@ -241,7 +241,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = own[lo : lo + 2000]
         lists = [codes[a : a + prefix[k]] for a, k in zip(starts[lo : lo + 2000], some, strict=True)]
         ids = pa.array(homes["doc_id"][some], pa.int64(), mask=homes["none"][some].astype(bool))
-        yield _rows_of(_CLASS, len(some), doc_id=ids, n=n[some], cls=homes["cls"][some], hash=homes["hash"][some], own=(n[some] * 1_000_000) // common[some], prefix=lists)
+        yield _rows_of(_CLASS, len(some), doc_id=ids, n=n[some], cls=homes["cls"][some], hash=homes["hash"][some], own=(n[some] * 1_000_000) // common[some], shared=common[some] + n[some] - short[some], prefix=lists)
 
 
 def _task_keys(spark: SparkSession, tasks: int) -> Column:
@@ -252,7 +252,7 @@ def _task_keys(spark: SparkSession, tasks: int) -> Column:
 
 
 def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, cls) of every document, and (cls, n, own, prefix, text) of each class that may have a partner."""
+    """(doc_id, n, cls) of every document, and (cls, n, own, shared, prefix, text) of each class that may have a partner."""
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -261,11 +261,11 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     packed = source.mapInArrow(_shingled(tasks), _PACKED_DDL).repartition(tasks, keys[F.col("bucket")])
     shared = packed.mapInArrow(_counted(tasks), _SHARED_DDL).repartition(tasks, keys[F.col("home")])
     rows = settle(shared.mapInArrow(_candidates, _CLASS_DDL), "jaccard-classes")
-    lists = rows.where("prefix is not null").select("cls", "n", "own", "prefix", "hash", F.col("doc_id").alias("of"))
+    lists = rows.where("prefix is not null").select("cls", "n", "own", "shared", "prefix", "hash", F.col("doc_id").alias("of"))
     # the text of one document of each class; rows that repeat id and text are brought together after a first step in each task
     told = source.join(lists.select("cls", "hash", "of"), "hash").where(F.col("doc_id").eqNullSafe(F.col("of"))).groupBy("cls").agg(F.first("text").alias("text"))
     texts = settle(told, "jaccard-texts")
-    return rows.where("prefix is null").select("doc_id", "n", "cls"), lists.select("cls", "n", "own", "prefix").join(texts, "cls")
+    return rows.where("prefix is null").select("doc_id", "n", "cls"), lists.select("cls", "n", "own", "shared", "prefix").join(texts, "cls")
 
 
 def _numbered(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
@@ -322,30 +322,29 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(_measured, "a long, b long, common long, either long")
 
 
-def _near(n1: str, n2: str) -> str:
-    """Whether the sizes of two sets let them be linked."""
-    return f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2})"
+def _near(n1: str, rest1: str, n2: str, rest2: str) -> str:
+    """Whether sizes let two members of a region be linked by it: if one of its codes is the first that they share, they share no more than what either has from it on."""
+    return f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2}) and {100 + PERCENT} * least({rest1}, {rest2}) >= {PERCENT} * ({n1} + {n2})"
 
 
 def roots_of(lists: DataFrame) -> DataFrame:
     """(node, root) of the connected components of all linked pairs of classes (unlinked classes may be missing)."""
     texts = lists.select("cls", "text")
-    index = lists.select("cls", "n", "own", F.explode("prefix").alias("code"))
-    elected = index.groupBy("code").agg(F.min(F.struct("own", "cls", "n")).alias("p"), F.count("*").alias("size")).where("size > 1")
-    elected = elected.select("code", F.col("p.cls").alias("region"), F.col("p.n").alias("pivot_n"))
-    regions = settle(index.join(elected, "code").select("region", "pivot_n", "cls", "n", "own").distinct(), "jaccard-regions")
-    pairs = regions.where("cls <> region").where(_near("n", "pivot_n")).select(F.col("region").alias("a"), F.col("cls").alias("b"))
+    index = lists.select("cls", "n", "own", "shared", F.posexplode("prefix").alias("at", "code")).select("cls", "n", "own", "code", (F.col("shared") - F.col("at")).alias("rest"))
+    elected = index.groupBy("code").agg(F.min(F.struct("own", "cls", "n", "rest")).alias("p"), F.count("*").alias("size")).where("size > 1")
+    elected = elected.select("code", F.col("p.cls").alias("region"), F.col("p.n").alias("pivot_n"), F.col("p.rest").alias("pivot_rest"))
+    near = F.expr(_near("n", "rest", "pivot_n", "pivot_rest"))
+    regions = index.join(elected, "code").groupBy("region", "cls").agg(F.max("rest").alias("rest"), F.max(near).alias("near"), F.first("n").alias("n"), F.first("own").alias("own"))
+    regions = settle(regions, "jaccard-regions")
+    pairs = regions.where("cls <> region and near").select(F.col("region").alias("a"), F.col("cls").alias("b"))
     tested = settle(_verified(pairs, texts), "jaccard-tested")
     found = tested.where(f"100 * common >= {PERCENT} * either").select("a", "b")
     roots = settle(components(found), "jaccard-roots")
     distance = tested.select(F.col("a").alias("region"), F.col("b").alias("cls"), (1 - F.col("common") / F.col("either")).alias("distance"))
-    # regions whose members other than the pivot are not all connected yet
-    labelled = _labelled(regions.where("cls <> region").select("region", "cls", "n", "own"), roots)
-    mixed = labelled.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region")
-    state = labelled.drop("label").join(mixed, "region").join(distance, ["region", "cls"], "left").withColumn("open", F.lit(True))
-    state = settle(state.select("region", "cls", "n", "own", "distance", "open"), "jaccard-open")
+    state = regions.where("cls <> region").select("region", "cls", "n", "rest", "own").join(distance, ["region", "cls"], "left").withColumn("open", F.lit(True))
     done, most, round_no = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), FIRST_PIVOTS, 0
     while True:
+        # regions whose open members are not all connected yet
         labelled = _labelled(state, roots)
         mixed = labelled.where("open").groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region", "lo")
         state = settle(labelled.join(mixed, "region"), "jaccard-open")
@@ -354,11 +353,11 @@ def roots_of(lists: DataFrame) -> DataFrame:
         # the next pivots of a region: first one open member of each component but the first, then any open members of those
         own = state.where("open and label <> lo")
         if round_no == 0:
-            own = own.groupBy("region", "label").agg(F.min(F.struct("own", "cls", "n", "distance")).alias("q")).select("region", "label", "q.*")
+            own = own.groupBy("region", "label").agg(F.min(F.struct("own", "cls", "n", "rest", "distance")).alias("q")).select("region", "label", "q.*")
         turn = Window.partitionBy("region").orderBy("own", "cls")
         chosen = own.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= most)
-        chosen = settle(chosen.select("region", F.col("cls").alias("q"), F.col("n").alias("qn"), F.col("label").alias("ql"), F.col("distance").alias("qd")), "jaccard-pivots")
-        near = state.join(chosen, "region").where("label <> ql").where(_near("n", "qn"))
+        chosen = settle(chosen.select("region", F.col("cls").alias("q"), F.col("n").alias("qn"), F.col("rest").alias("qr"), F.col("label").alias("ql"), F.col("distance").alias("qd")), "jaccard-pivots")
+        near = state.join(chosen, "region").where("label <> ql").where(_near("n", "rest", "qn", "qr"))
         near = near.where("qd is null or distance is null or abs(qd - distance) <= 0.2 + 1e-9")
         pairs = near.select(F.least("q", "cls").alias("a"), F.greatest("q", "cls").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
         pairs = settle(pairs, "jaccard-pairs")
@@ -369,8 +368,8 @@ def roots_of(lists: DataFrame) -> DataFrame:
                 found = found.unionByName(linked)
                 roots = settle(components(found), "jaccard-roots")
         closed = chosen.select("region", F.col("q").alias("cls"), F.lit(False).alias("shut"))
-        state = state.join(closed, ["region", "cls"], "left").select("region", "cls", "n", "own", "distance", F.coalesce("shut", "open").alias("open"))
-        most, round_no = most * 2, round_no + 1
+        state = state.join(closed, ["region", "cls"], "left").select("region", "cls", "n", "rest", "own", "distance", F.coalesce("shut", "open").alias("open"))
+        most, round_no = most * 4, round_no + 1
 
 
 def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
