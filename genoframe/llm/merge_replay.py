@@ -1,6 +1,6 @@
 """Operator 8: byte-level BPE by replaying the merges over a corpus of distinct pieces.
 
-The corpus of a task is the set of distinct pieces (matches of the splitting pattern) of the documents it holds at a time.
+The corpus of a replay is the set of distinct pieces (matches of the splitting pattern) of the documents that a task holds at a time: some ``CORPUS`` code points of text.
 All pieces are laid out as one sequence of symbols with links to left and right neighbours. An inverted index
 maps what a pair would merge to (its rank) to the places where the pair stands. Ranks are taken in order from a heap; all places of a
 rank are merged left to right, and only the two neighbours of each merged pair are looked up and indexed
@@ -8,10 +8,10 @@ again. Where a merge makes a pair of lower rank within the same piece, that one
 encoded alone by its lowest rank first. A piece that is in the vocabulary as a whole is one id.
 
 The corpus is a task's and not the table's: ids then need no join back to the 600 pieces of each document, nothing is shuffled, and
-memory is bound by ``PIECES``. Pieces met before in the same worker process are kept (at most ``CACHED``).
+memory is bound by ``CORPUS`` and ``PIECES``. Pieces met before in the same worker process are kept (at most ``CACHED``).
 
 Defined results: a null text is empty (no ids); every byte is in the vocabulary, so that any text is encoded and decoding gives its
-bytes back; texts of any length are encoded whole, ``PIECES`` distinct pieces at a time.
+bytes back; texts of any length are encoded whole, ``PIECES`` distinct pieces at a time, within a text too.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 PIECES = 200_000
+CORPUS = 4_000_000
 CACHED = 400_000
 
 
@@ -150,7 +151,9 @@ class Vocabulary:
 
         def finish() -> None:
             missing = list(fresh)
-            known.update(zip(missing, self.replay([p.encode() for p in missing]), strict=True))
+            for lo in range(0, len(missing), PIECES):
+                some = missing[lo : lo + PIECES]
+                known.update(zip(some, self.replay([p.encode() for p in some]), strict=True))
             for pieces in split:
                 out.append([i for p in pieces for i in known[p]])
             split.clear()
@@ -188,9 +191,13 @@ def _default(path: str | None, pattern: str | None) -> tuple[str, str]:
 
 def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1000):
-            part = batch.slice(lo, 1000)
-            yield part, [t or "" for t in part.column(column).to_pylist()]
+        begin, held, size = 0, [], 0
+        for k, text in enumerate(batch.column(column)):
+            held.append(text.as_py() or "")
+            size += len(held[-1])
+            if size >= CORPUS or k + 1 == batch.num_rows:
+                yield batch.slice(begin, k + 1 - begin), held
+                begin, held, size = k + 1, [], 0
 
 
 def with_ids(df: DataFrame, text: str = "text", out: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ phone (``+`` and 9 to 15 digits). Scored kinds, kept from ``KEEP`` on: iban (mod
 where one of the kind's context words stands within ``NEAR`` code points before the span.
 
 Defined results: a null text counts as empty and has no spans; places are code points, the end exclusive; spans are ordered by start, then by kind
-as in ``KINDS``; repeated rows give repeated results. ``redact`` keeps every column and null texts as they are.
+as in ``KINDS``; repeated rows give repeated results. ``with_spans`` raises an error where its new column is there already; ``redact`` keeps every column and null texts as they are.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genoframe.llm.common import free_names
+
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
 BASE = KINDS[:4]
 NEAR = 40
@@ -130,7 +132,9 @@ def _scored(text: Column, spans: Column, kind: str) -> Column:
 
 
 def with_spans(df: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
-    """``df`` with an array of struct(rank, start, end, match), ordered by start, then kind."""
+    """``df`` with an array of struct(rank, start, end, match), ordered by start, then kind, in a new column."""
+    if out.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"there is a column {out} already")
     work = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     base = F.concat(*(_proposed(work, kind) for kind in BASE))
     more = F.concat(*(_scored(work, _proposed(work, kind), kind) for kind in KINDS[4:]))
@@ -145,9 +149,7 @@ def _text_of(spans: Column) -> Column:
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """Spans replaced by ``<KIND>``; where spans overlap, the first keeps its place and the others' rest goes with it."""
-    own = "__spans"
-    while own in df.columns:
-        own += "_"
+    (own,) = free_names(df, "__spans")
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
     source = F.col(f"`{text}`")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

@@ -5,11 +5,13 @@ node is a conjunctive rule. Lasso logistic regression over the rules (and nothin
 column: the logistic function of a weighted sum of comparisons. Scoring all rows is one pass without Python.
 
 The sample: labelled rows outside the held-out fold, each kept if a hash of its id falls under ``fit_rows`` over their number, so that about ``fit_rows``
-rows (documented bound, default 20,000) reach the driver at any size of the table. Trees and weights are fitted there with numpy.
+ids (documented bound, default 20,000) reach the driver at any size of the table, each with at most ``ROWS_PER_ID`` rows. Trees and weights are fitted there with numpy.
 
 Statistics see the text only; labels, lang, source and doc_id are never inputs of a score. Defined results: a null or empty text has all
-statistics 0 and gets a score like any other; documents without a label are scored and not learnt from; an id with several labels counts with each; with no labelled
-row, or one class only, the score is that class's share (0.5 without rows), the same for all; an empty table gives an empty result.
+statistics 0 and gets a score like any other; documents without a label are scored and not learnt from; an id with both labels counts with each, labels that repeat count once; of
+an id that repeats, the ``ROWS_PER_ID`` rows of least hash are learnt from; with no labelled
+row, or one class only, the score is that class's share (0.5 without rows), the same for all; an empty table gives an empty result. ``scored`` raises an error where its
+new column is there already; columns of other names, also those of the helpers, come back as they were.
 """
 
 from __future__ import annotations
@@ -17,12 +19,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genoframe.llm.common import crc32_of_id
+from genoframe.llm.common import crc32_of_id, free_names
 
 FIT_ROWS = 20_000
+ROWS_PER_ID = 8
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.7
 TREES, DEPTH, BINS = 16, 3, 32
@@ -158,18 +161,22 @@ def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 7) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """The model of ``docs`` (doc_id, text) and ``labels`` (doc_id, quality), without the held-out fold."""
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
-    known = known.where(crc32_of_id("doc_id") % FOLDS != HELD)
+    known = known.where(crc32_of_id("doc_id") % FOLDS != HELD).distinct()
     count = known.count()
     if count > fit_rows:
         known = known.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / count))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "quality", *(c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()))
+    rows = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "quality", F.xxhash64("text").alias("hash"), *(c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()))
+    turn = Window.partitionBy("doc_id", "quality").orderBy("hash")
+    rows = rows.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= ROWS_PER_ID).drop("hash", "turn")
     sample = rows.toPandas().sort_values(["doc_id", *NAMES, "quality"], kind="stable")
     return fit_rules(sample[NAMES].to_numpy(float), sample["quality"].to_numpy(float))
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the model's score."""
-    own = {n: f"__stat_{n}" for n in NAMES}
+    """``docs`` with the model's score in a new column."""
+    if out.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"there is a column {out} already")
+    own = dict(zip(NAMES, free_names(docs, *(f"__stat_{n}" for n in NAMES)), strict=True))
     values = docs.select("*", *(c.cast("double").alias(own[n]) for n, c in statistics(F.col(f"`{text}`")).items()))
     return values.withColumn(out, model.score([F.col(own[n]) for n in NAMES])).drop(*own.values())
 
@@ -179,10 +186,11 @@ def accepted(docs: DataFrame, model: Model, least: float, text: str = "text") ->
 
     Statistics come from a projection that also holds a row number: a filter is not pushed through it, which would write the statistics out in every rule.
     """
-    own = {n: f"__stat_{n}" for n in NAMES}
-    values = docs.select("*", *(c.cast("double").alias(own[n]) for n, c in statistics(F.col(f"`{text}`")).items()), F.monotonically_increasing_id().alias("__row"))
-    scored_rows = values.withColumn("__score", model.score([F.col(own[n]) for n in NAMES]))
-    return scored_rows.where((F.col("__score") >= least) & (F.col("__row") >= 0)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    *names, row, score = free_names(docs, *(f"__stat_{n}" for n in NAMES), "__row", "__score")
+    own = dict(zip(NAMES, names, strict=True))
+    values = docs.select("*", *(c.cast("double").alias(own[n]) for n, c in statistics(F.col(f"`{text}`")).items()), F.monotonically_increasing_id().alias(row))
+    scored_rows = values.withColumn(score, model.score([F.col(own[n]) for n in NAMES]))
+    return scored_rows.where((F.col(score) >= least) & (F.col(row) >= 0)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

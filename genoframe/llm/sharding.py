@@ -2,7 +2,7 @@
 
 The tree splits its widest leaf dimension (the spread of the node's values over the spread of all values) at
 the weighted median, level by level, until the leaves reach the target bytes; with eight shards that is three levels.
-Values are whole numbers; each is followed by 31 bits of a hash of the row, so that a value which very many rows share (a hot source, a
+Values are whole numbers (ids by their place between the least and the greatest one); each is followed by 31 bits of a hash of the row, so that a value which very many rows share (a hot source, a
 group of copies) is cut within. A median is found by narrowing: for all nodes at once, the weights of ``BINS`` equal intervals
 are summed by Spark, the interval that holds the median is cut again, until it is one value wide. The driver sees
 ``nodes x BINS`` sums at most.
@@ -30,11 +30,15 @@ def metadata(docs: DataFrame) -> DataFrame:
     """doc_id, size, text_crc32 and the dimensions d0.. as whole numbers below 2**62."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = F.octet_length(text).cast("long") + 1
-    low = F.lit((1 << VALUE_BITS) - 1)
+    low = F.lit((1 << VALUE_BITS) - 2)
+    ends = docs.agg(F.min(F.col("doc_id").cast("double")).alias("a"), F.max(F.col("doc_id").cast("double")).alias("b")).first()
+    first, width = ends["a"] or 0.0, max((ends["b"] or 0.0) - (ends["a"] or 0.0), 1.0)
+    # ids close together keep their distances, others are scaled to the bits there are
+    scale = min(1.0, ((1 << VALUE_BITS) - 3) / width)
     spread = F.xxhash64(F.lit("spread"), F.col("doc_id"), F.col("text")).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
     named = lambda c: F.when(F.col(c).isNull(), F.lit(-1)).otherwise(F.crc32(F.col(c).cast("string").cast("binary")).cast("long") % (1 << 20))
     values = [
-        F.least(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)) + (1 << 29), low),
+        F.coalesce(F.least(F.floor((F.col("doc_id").cast("double") - F.lit(first)) * F.lit(scale)).cast("long"), low), F.lit(-1)),
         F.least((F.log2(size) * (1 << 20)).cast("long"), low),
         named("lang"),
         named("source"),

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genoframe.llm.common import settle
+from genoframe.llm.common import free_names, settle
 
 #: Part of the entropy of equal weights that the mix shall reach, and passes over a source at most.
 TARGET, MOST_REPEATS = 0.97, 4.0
@@ -74,7 +74,7 @@ def weights(sources: DataFrame, target: float = TARGET, most_repeats: float = MO
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", target: float = TARGET, most_repeats: float = MOST_REPEATS, budget: float | None = None) -> DataFrame:
     """``docs`` once for each pass that takes the document, with mix_tokens, mix_weight and mix_block (0, 1, ...)."""
-    clash = {"mix_tokens", "mix_weight", "mix_block"} & set(docs.columns)
+    clash = {"mix_tokens", "mix_weight", "mix_block"} & {c.lower() for c in docs.columns}
     if clash:
         raise ValueError(f"columns there already: {sorted(clash)}")
     own = [F.col(f"`{c}`") for c in docs.columns]
@@ -102,14 +102,16 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", target: f
     ends = plan.join(edge.select(F.col("s").alias("es"), "bucket"), F.col("s").eqNullSafe(F.col("es")), "left").drop("es").join(last.withColumnRenamed("s", "ls"), F.col("s").eqNullSafe(F.col("ls")), "left").drop("ls")
     ends = settle(ends, "mix-ends")
     # one pass over the documents: the plan of a source is one small row
-    renamed = ends.select(*(F.col(c).alias(f"__{c}") for c in ends.columns))
-    spread = docs.withColumns({"mix_tokens": _tokens(text), "__key": key, "__source": F.col(f"`{source}`").cast("string")})
-    joined = spread.join(renamed, F.col("__source").eqNullSafe(F.col("__s")))
-    place = F.xxhash64(F.col("__full"), F.col("__key"))
-    bucket = F.pmod(F.shiftrightunsigned(place, 20), F.col("__buckets"))
-    ended = F.when(F.col("__bucket").isNull(), F.col("__rest") > 0.5).otherwise((bucket < F.col("__bucket")) | ((bucket == F.col("__bucket")) & (place <= F.col("__last_turn"))))
-    taken = F.col("__full") + F.coalesce(ended, F.lit(False)).cast("int")
-    return joined.withColumn("__taken", taken).where("__taken > 0").select(*own, "mix_tokens", F.col("__weight").alias("mix_weight"), F.explode(F.sequence(F.lit(0), F.col("__taken") - 1)).alias("mix_block"))
+    names = dict(zip(("key", "source", "taken", *ends.columns), free_names(docs, "__key", "__source", "__taken", *(f"__{c}" for c in ends.columns)), strict=True))
+    of = lambda c: F.col(names[c])
+    renamed = ends.select(*(F.col(c).alias(names[c]) for c in ends.columns))
+    spread = docs.withColumns({"mix_tokens": _tokens(text), names["key"]: key, names["source"]: F.col(f"`{source}`").cast("string")})
+    joined = spread.join(renamed, of("source").eqNullSafe(of("s")))
+    place = F.xxhash64(of("full"), of("key"))
+    bucket = F.pmod(F.shiftrightunsigned(place, 20), of("buckets"))
+    ended = F.when(of("bucket").isNull(), of("rest") > 0.5).otherwise((bucket < of("bucket")) | ((bucket == of("bucket")) & (place <= of("last_turn"))))
+    taken = of("full") + F.coalesce(ended, F.lit(False)).cast("int")
+    return joined.withColumn(names["taken"], taken).where(of("taken") > 0).select(*own, "mix_tokens", of("weight").alias("mix_weight"), F.explode(F.sequence(F.lit(0), of("taken") - 1)).alias("mix_block"))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
