@@ -281,6 +281,28 @@ def test_rules_match_their_columns(spark):
     assert ((np.array(got) > 0.5) == (y > 0.5)).mean() > 0.97
 
 
+def test_quality_names_and_repeats(spark):
+    """Columns named like the helpers come back as they were; many rows of one id reach the fit only up to a bound."""
+    rows = [(k, f"word{k} and some more words, {k}", k, k + 1, "s") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row int, __score int, __stat_upper string")
+    model = rule_quality.Model(0.0, ((rule_quality.Rule(((0, True, 0.0),)), 1.0),))
+    got = rule_quality.accepted(docs, model, 0.5)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == rows
+    assert rule_quality.scored(docs, model).columns == [*docs.columns, "score"]
+    with pytest.raises(ValueError, match="score"):
+        rule_quality.scored(docs.withColumn("score", F.lit(1)), model)
+    hot = spark.createDataFrame([(5, f"text number {k % 50}") for k in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(5, q) for q in (0, 1) for _ in range(30)], "doc_id long, quality int")
+    seen = {}
+    before = rule_quality.fit_rules
+    rule_quality.fit_rules = lambda x, y, seed=7: seen.setdefault("rows", len(y)) and before(x, y, seed)
+    try:
+        rule_quality.fit(hot, labels)
+    finally:
+        rule_quality.fit_rules = before
+    assert seen["rows"] == 2 * rule_quality.ROWS_PER_ID
+
+
 # --- 5
 
 
@@ -424,6 +446,34 @@ def test_mixing_odd(odd, nothing):
         temperature_mix.mixed(odd.withColumn("mix_block", F.lit(1)))
 
 
+def test_mix_names(spark):
+    """Columns named like the helpers come back as they were."""
+    rows = [(k, f"text {k}", f"s{k % 3}", k, "x", k + 1) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __key int, __source string, __s int")
+    got = temperature_mix.mixed(docs)
+    assert got.columns[:6] == docs.columns
+    assert {tuple(r)[:6] for r in got.collect()} == set(rows)
+
+
+def test_pii_names(spark):
+    docs = spark.createDataFrame([(1, "a.b@c.de", 5)], "doc_id long, text string, SPANS int")
+    with pytest.raises(ValueError, match="spans"):
+        pii.with_spans(docs)
+
+
+def test_merge_replay_long_texts(spark):
+    """A text of many pieces goes through several replays, with the same ids."""
+    words = merge_replay.Vocabulary(*merge_replay._default(None, None))
+    text = " ".join(f"w{k}x" for k in range(500))
+    whole = words.encode([text])
+    before = merge_replay.PIECES
+    merge_replay.PIECES = 37
+    try:
+        assert merge_replay.Vocabulary(*merge_replay._default(None, None)).encode([text, "", text]) == [*whole, [], *whole]
+    finally:
+        merge_replay.PIECES = before
+
+
 # --- 10
 
 
@@ -504,10 +554,10 @@ def test_every_id_is_learnt_once():
     random = np.random.default_rng(2)
     classes = random.permutation(1 << 16)
     texts = [random.integers(0, 49_000, n).astype("<u2").tobytes() for n in (0, 1, 14, 15, 16, 17, 400, 200_000)]
-    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k::2], pa.binary())], names=["ids"]) for k in range(2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([k] * 4, pa.int64()), pa.array(texts[k::2], pa.binary())], names=["doc_id", "ids"]) for k in range(2)]
     found = Counter()
     for k in range(attention_lm.ROUNDS):
-        for rows, lengths in attention_lm._windows(iter(batches), classes, k):
+        for rows, lengths in attention_lm._windows(attention_lm._windowed(classes, k)(iter(batches))):
             assert 0 < len(rows) <= attention_lm.TAUGHT
             for row, n in zip(rows, lengths, strict=True):
                 found.update(zip(row[: n - 1].tolist(), row[1:n].tolist(), strict=True))
@@ -529,3 +579,12 @@ def test_classes_follow_the_counts_of_all_training_documents(spark, monkeypatch)
     monkeypatch.setattr(attention_lm, "classes_of", lambda counts: classes_of(given.append(counts.copy()) or counts))
     attention_lm.scored(spark.createDataFrame(rows, "doc_id long, text string"), path)
     assert len(given) == 1 and (given[0] == expected).all() and expected.sum() > 0
+
+
+def test_scores_do_not_depend_on_partitions(spark, docs):
+    """The same rows in one and in seven partitions: replicas learn from the same documents in the same order."""
+    path, found = public_tokenizers.path("word_bpe_49k.json"), []
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    for parts in (1, 7):
+        found.append(attention_lm.scored(rows.repartition(parts), path).toPandas().set_index("doc_id").score)
+    assert np.allclose(found[0], found[1].loc[found[0].index], rtol=1e-5)
