@@ -105,7 +105,7 @@ def descriptives(gt: DataFrame, markers: DataFrame) -> DataFrame:
     """G17"""
     total = F.col("n0") + F.col("n1") + F.col("n2")
     af = (F.col("n1") + 2 * F.col("n2")) / (2 * total)
-    return hwe(gt).join(F.broadcast(markers.select("marker", "a1", "a2")), "marker").select("marker", "a1", "a2", F.least(af, 1 - af).alias("maf"), (F.col("n_missing") / (total + F.col("n_missing"))).alias("missing"), "p_hwe")
+    return hwe(gt).join(markers.select("marker", "a1", "a2"), "marker").select("marker", "a1", "a2", F.least(af, 1 - af).alias("maf"), (F.col("n_missing") / (total + F.col("n_missing"))).alias("missing"), "p_hwe")
 
 
 def encode_alleles(pairs: DataFrame) -> DataFrame:

@@ -80,8 +80,8 @@ def lookup_qc(assoc: DataFrame, qc: DataFrame, keys: list[str], defaults: dict[s
 
 
 def product(frames: list[DataFrame], constraint: str | None = None, drop_equal: tuple[str, str] | None = None) -> DataFrame:
-    """Parameter grid of small tables, with a constraint."""
-    out = functools.reduce(lambda a, b: a.crossJoin(F.broadcast(b)), frames)
+    """Parameter grid, with a constraint; the result is the product by definition."""
+    out = functools.reduce(DataFrame.crossJoin, frames)
     if drop_equal:
         out = out.where(F.col(drop_equal[0]) != F.col(drop_equal[1]))
     return out.where(constraint) if constraint else out

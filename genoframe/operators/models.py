@@ -23,6 +23,10 @@ class Model:
     subset: str | None = None
     tag: str = ""
     options: dict = field(default_factory=dict, hash=False)
+    #: For ``expand_models``: responses, named subsets and scaling components.
+    responses: tuple[str, ...] = ()
+    subsets: dict = field(default_factory=dict, hash=False)
+    components: tuple[int, ...] = ()
 
 
 FITS = {
@@ -35,14 +39,16 @@ FITS = {
 }
 
 
-def expand_models(model: Model, responses: list[str], subsets: dict[str, str | None], components: int = 0) -> list[Model]:
-    """One model for each response, subset and number of scaling components (0 up to ``components``), with a tag of its own."""
+def expand_models(models: list[Model]) -> list[Model]:
+    """One model for each response and subset that a model names, in this order. The scaling components it names (by number) are covariates
+    ``c1``, ``c2``, ... of both formulas. The tag is made of response, subset and components."""
     out = []
-    for response in responses:
-        for name, condition in subsets.items():
-            for k in {0, components}:
-                extra = tuple(f"c{i + 1}" for i in range(k))
-                out.append(replace(model, response=response, subset=condition, f1=model.f1 + extra, f0=model.f0 + extra, tag=f"{response}_{name}_mds{k}"))
+    for model in models:
+        extra = tuple(f"c{i}" for i in model.components)
+        for response in model.responses or (model.response,):
+            for name, condition in (model.subsets or {"all": model.subset}).items():
+                parts = [model.tag, response, name, *(["mds" + "-".join(map(str, model.components))] if extra else [])]
+                out.append(replace(model, response=response, responses=(), subset=condition, subsets={}, components=(), f1=model.f1 + extra, f0=model.f0 + extra, tag="_".join(p for p in parts if p)))
     return out
 
 

@@ -141,7 +141,7 @@ def ibs_pairs(gt: DataFrame, block: int = 256) -> DataFrame:
 
 
 def ibd_pairs(pairs: DataFrame, gt: DataFrame) -> DataFrame:
-    """Q11: pi-hat by the method of moments: expected counts of shared alleles given 0 or 1 alleles by descent, from allele frequencies."""
+    """Q11: pi-hat by the method of moments: expected counts of shared alleles given 0 or 1 alleles by descent, from allele frequencies. Pairs without common markers have nulls."""
     p, q = F.col("af"), 1 - F.col("af")
     freq = G.allele_freq(gt).where("af > 0 and af < 1")
     sums = freq.agg(
@@ -149,7 +149,7 @@ def ibd_pairs(pairs: DataFrame, gt: DataFrame) -> DataFrame:
         F.sum(2 * p * p * q + 2 * p * q * q).alias("e11"), F.sum(F.pow(p, 3) + F.pow(q, 3) + p * p * q + p * q * q).alias("e21"), F.count("*").alias("m"),
     )
     n = F.col("ibs0") + F.col("ibs1") + F.col("ibs2")
-    share = n / F.col("m")
+    share = F.nullif(n, F.lit(0)) / F.nullif(F.col("m"), F.lit(0))
     j = pairs.join(F.broadcast(sums))
     z0 = F.least(F.col("ibs0") / (F.col("e00") * share), F.lit(1.0))
     z1 = F.greatest(F.least((F.col("ibs1") - z0 * F.col("e10") * share) / (F.col("e11") * share), 1 - z0), F.lit(0.0))
@@ -198,17 +198,21 @@ def mds(pairs: DataFrame, dims: int = 2, sweeps: int = 12, rule: str | None = No
 def drop_nan_ids(pairs: DataFrame) -> DataFrame:
     """Q14: ids go, the one with the most missing distances first (smallest id on ties), until no pair lacks one.
 
-    Only pairs that lack a distance matter; rounds run on those.
+    Only pairs that lack a distance matter. All ids that come before each of their partners in this order go in one round: counts only fall, and an id's
+    own count falls by its partners only, so that it would go before any of them in any case. The ids that went are a table, never a list on the driver.
     """
     bad = kept(pairs.where("value is null or isnan(value)").select("id1", "id2"))
-    gone: list = []
-    while True:
-        worst = bad.select(F.explode(F.array("id1", "id2")).alias("id")).groupBy("id").agg(F.count("*").alias("k")).orderBy(F.desc("k"), "id").first()
-        if worst is None:
-            break
-        gone.append(worst["id"])
-        bad = bad.where((F.col("id1") != worst["id"]) & (F.col("id2") != worst["id"]))
-    return pairs.where(~F.col("id1").isin(gone) & ~F.col("id2").isin(gone)) if gone else pairs
+    gone = None
+    while not bad.isEmpty():
+        ends = bad.select(F.col("id1").alias("id"), F.col("id2").alias("other")).unionByName(bad.select(F.col("id2").alias("id"), F.col("id1").alias("other")))
+        ranks = ends.groupBy("id").agg(F.struct((-F.count("*")).alias("k"), F.col("id").alias("at")).alias("rank"))
+        against = ends.join(ranks, "id").join(ranks.select(F.col("id").alias("other"), F.col("rank").alias("other_rank")), "other")
+        worst = kept(against.groupBy("id").agg(F.max(F.col("rank") > F.col("other_rank")).alias("later")).where("not later").select("id"))
+        gone = worst if gone is None else gone.unionByName(worst)
+        bad = kept(bad.join(worst.withColumnRenamed("id", "id1"), "id1", "left_anti").join(worst.withColumnRenamed("id", "id2"), "id2", "left_anti").select("id1", "id2"))
+    if gone is None:
+        return pairs
+    return pairs.join(gone.withColumnRenamed("id", "id1"), "id1", "left_anti").join(gone.withColumnRenamed("id", "id2"), "id2", "left_anti").select(*pairs.columns)
 
 
 def marker_totals(markers: DataFrame, baseline: DataFrame, excluded: DataFrame) -> DataFrame:

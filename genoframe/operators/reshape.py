@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoframe.functions import scalars as S
-from genoframe.operators.windows import kept
+from genoframe.operators.windows import exact_quantiles, kept
 
 
 
@@ -49,11 +49,20 @@ def entropy(df: DataFrame, col: str) -> DataFrame:
 def summary_num(df: DataFrame, cols: list[str]) -> DataFrame:
     """Quantiles, mean, sd and missing share, one row per column."""
     long = df.select(*(F.col(c).cast("double").alias(c) for c in cols)).unpivot([], cols, "variable", "x")
-    q = F.percentile("x", F.array(*map(F.lit, (0.0, 0.25, 0.5, 0.75, 1.0))))
-    out = long.groupBy("variable").agg(q.alias("q"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"), F.avg(F.col("x").isNull().cast("double")).alias("missing"))
+    # one row a column
+    levels = df.sparkSession.createDataFrame([(c, exact_quantiles(df, F.col(c), [0.0, 0.25, 0.5, 0.75, 1.0])) for c in cols], "variable string, q array<double>")
+    out = long.groupBy("variable").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"), F.avg(F.col("x").isNull().cast("double")).alias("missing")).join(F.broadcast(levels), "variable")
     return out.select("variable", *(F.get("q", F.lit(k)).alias(n) for k, n in enumerate(("min", "q25", "median", "q75", "max"))), "mean", "sd", "missing")
 
 
+def sample_description(df: DataFrame, col: str, levels: list[float] | None = None) -> DataFrame:
+    """Mean, median, sd and quantiles of one sample, as one row; quantiles are an array."""
+    q = exact_quantiles(df, F.col(col), [0.5, *(levels or [0.25, 0.75])])
+    values = F.array(*(F.lit(v).cast("double") for v in q[1:]))
+    x = F.col(col).cast("double")
+    return df.agg(F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd")).select("mean", F.lit(q[0]).cast("double").alias("median"), "sd", values.alias("quantiles"))
+
+
 def descriptives(df: DataFrame, col: str) -> DataFrame:
     """With outliers beyond 1.5 hinge spreads; hinges are medians of the lower and upper halves (the middle value in both)."""
     x = df.select(F.col(col).cast("double").alias("x"))
@@ -61,14 +70,11 @@ def descriptives(df: DataFrame, col: str) -> DataFrame:
     n = known.count()
     # the hinges stand at depth (floor((n + 1) / 2) + 1) / 2 from either end
     depth = ((n + 1) // 2 + 1) / 2
-    if n:
-        level = (depth - 1) / max(n - 1, 1)
-        hinges = known.agg(F.percentile("x", level).alias("lo"), F.percentile("x", 1 - level).alias("hi"))
-    else:
-        hinges = known.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    spread = F.col("hi") - F.col("lo")
-    outside = (F.col("x") < F.col("lo") - 1.5 * spread) | (F.col("x") > F.col("hi") + 1.5 * spread)
-    return x.join(F.broadcast(hinges)).agg(F.count("x").alias("n"), F.count_if(F.col("x").isNull()).alias("n_na"), (100.0 * F.avg(F.col("x").isNull().cast("double"))).alias("na_percent"), F.avg("x").alias("mean"), F.percentile("x", 0.5).alias("median"), (F.stddev_samp("x") / F.sqrt(F.count("x"))).alias("se"), F.count_if(outside).alias("outliers"))
+    level = (depth - 1) / max(n - 1, 1) if n else 0.5
+    lo, median, hi = (F.lit(q).cast("double") for q in exact_quantiles(known, F.col("x"), [level, 0.5, 1 - level]))
+    spread = hi - lo
+    outside = (F.col("x") < lo - 1.5 * spread) | (F.col("x") > hi + 1.5 * spread)
+    return x.agg(F.count("x").alias("n"), F.count_if(F.col("x").isNull()).alias("n_na"), (100.0 * F.avg(F.col("x").isNull().cast("double"))).alias("na_percent"), F.avg("x").alias("mean"), F.max(median).alias("median"), (F.stddev_samp("x") / F.sqrt(F.count("x"))).alias("se"), F.count_if(outside).alias("outliers"))
 
 
 def skewness(df: DataFrame, col: str) -> DataFrame:
@@ -261,9 +267,11 @@ def design_matrix(df: DataFrame, formula: str, line: str, intercept: bool = True
     return rows.withColumn("intercept", F.lit(1.0)) if intercept else rows
 
 
-def records_to_frame(df: DataFrame, column: str, id_col: str) -> DataFrame:
-    """A column of maps with differing keys (1,000 at most) to columns; absent keys are null."""
-    keys = sorted(r[0] for r in df.select(F.explode(F.map_keys(column))).distinct().limit(1000).collect())
+def records_to_frame(df: DataFrame, column: str, id_col: str, most: int = 1000) -> DataFrame:
+    """A column of maps with differing keys to columns; absent keys are null. A frame has at most ``most`` such columns, more keys are an error."""
+    keys = sorted(r[0] for r in df.select(F.explode(F.map_keys(column))).distinct().limit(most + 1).collect())
+    if len(keys) > most:
+        raise ValueError(f"more than {most} different keys in {column}")
     return df.select(id_col, *(F.col(column)[k].alias(k) for k in keys))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoframe.functions import scalars as S
-from genoframe.operators.windows import global_rank, prune_distance_iter
+from genoframe.operators.windows import exact_quantiles, global_rank, prune_distance_iter
 
 # Medians of chi-square (one degree) that the three variants divide by.
 MEDIAN_SQUARE, MEDIAN_STAT = 0.4549, 0.456
@@ -21,7 +21,12 @@ def inflation(df: DataFrame, p: str = "p") -> DataFrame:
     """Lambda from the root of the median, from the median of roots, and median / 0.456."""
     chi = df.where(F.col(p).isNotNull()).select(F.expr(S.chi2_isf_1(p)).alias("chi2"))
     half = math.sqrt(MEDIAN_SQUARE)
-    return chi.agg(F.pow(F.sqrt(F.percentile("chi2", 0.5)) / half, F.lit(2)).alias("lambda_median"), F.pow(F.percentile(F.sqrt("chi2"), 0.5) / half, F.lit(2)).alias("lambda_roots"), (F.percentile("chi2", 0.5) / MEDIAN_STAT).alias("lambda_stat"))
+    known = chi.where("chi2 is not null").count()
+    # the two middle values: the same ones give the median of the roots
+    low, high = exact_quantiles(chi, F.col("chi2"), [(known - 1) // 2 / max(known - 1, 1), known // 2 / max(known - 1, 1)]) if known else (None, None)
+    median = F.lit(None if low is None else (low + high) / 2).cast("double")
+    root = F.lit(None if low is None else (math.sqrt(low) + math.sqrt(high)) / 2).cast("double")
+    return df.sparkSession.range(1).select(F.pow(F.sqrt(median) / half, F.lit(2)).alias("lambda_median"), F.pow(root / half, F.lit(2)).alias("lambda_roots"), (median / MEDIAN_STAT).alias("lambda_stat"))
 
 
 def correct_inflation(df: DataFrame, lam: float, p: str = "p", beta: str = "beta", sd: str = "sd") -> DataFrame:

@@ -10,6 +10,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.operators.windows import exact_quantiles
+
 
 def resolve(df: DataFrame, spec: str | Iterable) -> list[str]:
     """Column names of a spec: names, 0-based numbers and ranges ``a:b``, comma or semicolon between them."""
@@ -87,8 +89,11 @@ def add_col(df: DataFrame, name: str, sql: str) -> DataFrame:
 
 
 def project_to(df: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:
-    """The columns that a table of names lists (a table has few columns)."""
-    return select_cols(df, [r[0] for r in names.select(column).limit(10_000).collect()])
+    """The columns that a table of names lists, in its order; more names than ``df`` has columns are an error."""
+    listed = [r[0] for r in names.select(column).limit(len(df.columns) + 1).collect()]
+    if len(listed) > len(df.columns):
+        raise ValueError(f"more names than the table's {len(df.columns)} columns")
+    return select_cols(df, listed)
 
 
 def cols_like(df: DataFrame, include: str, exclude: str | None = None) -> DataFrame:
@@ -191,7 +196,8 @@ def select_qc(df: DataFrame, r2: float = 40, maf: float = 0.02, p: float = 1e-6,
     kept = df.filter(F.col(r2_col) >= r2)
     for c in af_cols:
         kept = kept.filter(F.col(c).between(maf, 1 - maf))
-    lam = kept.agg((F.percentile("stat", 0.5) / 0.456).alias("lambda"))
+    median = exact_quantiles(kept, F.col("stat"), [0.5])[0]
+    lam = df.sparkSession.range(1).select((F.lit(median).cast("double") / 0.456).alias("lambda"))
     return kept, lam, kept.filter(F.col("p") <= p).withColumn("phenotype", F.lit(phenotype)).orderBy(F.desc("stat"))
 
 

@@ -6,15 +6,29 @@ import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Values that one task may hold for an exact percentile; more are ranked by range.
+FEW = 1_000_000
+
+
+def shared_base(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Without that setting a temporary one on a single machine (master ``local``); on a cluster that is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="genoframe-")
+    return base.rstrip("/")
+
+
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` as a reliable checkpoint, in a folder of its own where the session names none."""
+    """``df`` as a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="genoframe-"))
+        context.setCheckpointDir(shared_base(df.sparkSession))
     return df.checkpoint()
 
 
@@ -34,6 +48,21 @@ def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int
     return placed.join(F.broadcast(offsets), "__part").withColumn(name, F.col("__before") + F.col("__row") + 1).drop("__id", "__part", "__row", "__before")
 
 
+def exact_quantiles(df: DataFrame, value: Column, levels: list[float], few: int | None = None) -> list[float | None]:
+    """Exact quantiles of the non-null values, linear between neighbours; nulls without values.
+
+    Up to ``few`` values go through one aggregation; more are ranked by range partitions, and two values for each level come to the driver.
+    """
+    x = df.select(value.cast("double").alias("x")).where("x is not null")
+    n = x.count()
+    if n <= (FEW if few is None else few):
+        return list(x.agg(F.percentile("x", F.array(*map(F.lit, levels))).alias("q")).first()["q"] or [None] * len(levels))
+    places = [level * (n - 1) for level in levels]
+    wanted = sorted({k for p in places for k in (int(p) + 1, min(int(p) + 2, n))})
+    at = {r["rank"]: r["x"] for r in global_rank(x, ["x"]).where(F.col("rank").isin(wanted)).collect()}
+    return [at[int(p) + 1] * (1 - (p - int(p))) + at[min(int(p) + 2, n)] * (p - int(p)) for p in places]
+
+
 def lag_diff(df: DataFrame, value: str, by: list[str], order: list[str], out: str = "diff") -> DataFrame:
     """W1"""
     return df.withColumn(out, F.col(value) - F.lag(value).over(Window.partitionBy(*by).orderBy(*order)))
@@ -45,12 +74,32 @@ def cum_sum(df: DataFrame, value: str, by: list[str], order: list[str], out: str
 
 
 def prune_distance(df: DataFrame, d: int, chr: str = "chr", pos: str = "pos", p: str = "p", marker: str = "marker") -> DataFrame:
-    """Along a chromosome a gap of more than ``d`` begins a group; the best P of each group stays."""
-    along = Window.partitionBy(chr).orderBy(pos, marker)
-    broken = df.withColumn("__new", F.coalesce((F.col(pos) - F.lag(pos).over(along) > d).cast("int"), F.lit(1)))
-    grouped = broken.withColumn("__group", F.sum("__new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    best = F.row_number().over(Window.partitionBy(chr, "__group").orderBy(p, marker))
-    return grouped.withColumn("__k", best).where("__k = 1").drop("__new", "__group", "__k")
+    """Along a chromosome a gap of more than ``d`` begins a group; the best P of each group stays (the least marker on ties)."""
+    best = F.min_by(F.struct(*(F.col(c) for c in df.columns)), F.struct(p, marker)).alias("best")
+    return _clumped(df, d, chr, pos).groupBy(chr, "__begin").agg(best).select("best.*")
+
+
+def _clumped(df: DataFrame, d: int, chr: str, pos: str) -> DataFrame:
+    """``df`` with ``__begin``, the position at which its group begins: groups are cut at gaps of more than ``d``.
+
+    Chromosomes are cut into cells, so that no task sorts a chromosome; a table of cells (one row each: first and last
+    position, last begin) carries groups over the borders.
+    """
+    cell = F.floor(F.col(pos) / max(d, 1 << 18))
+    inside = Window.partitionBy(chr, "__cell").orderBy(pos)
+    before = F.lag(pos).over(inside)
+    rows = df.withColumn("__cell", cell)
+    # a row's begin if its group begins in the cell; rows before the first gap wait for the cell's border
+    rows = rows.withColumn("__new", F.when(F.col(pos) - before > d, F.col(pos)))
+    rows = rows.withColumn("__own", F.max("__new").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    cells = rows.groupBy(chr, "__cell").agg(F.min(pos).alias("lo"), F.max(pos).alias("hi"), F.max("__new").alias("last"))
+    along = Window.partitionBy(chr).orderBy("__cell")
+    gap = F.col("lo") - F.lag("hi").over(along)
+    cells = cells.withColumn("first", F.when(gap.isNull() | (gap > d), F.col("lo")))
+    reach = F.last(F.coalesce("last", "first"), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    borders = cells.withColumn("__border", F.coalesce("first", reach)).select(F.col(chr).alias("__chr"), F.col("__cell").alias("__at"), "__border")
+    joined = rows.join(borders, F.col(chr).eqNullSafe(F.col("__chr")) & F.col("__cell").eqNullSafe(F.col("__at")))
+    return joined.withColumn("__begin", F.coalesce("__own", "__border")).drop("__cell", "__new", "__own", "__chr", "__at", "__border")
 
 
 def prune_distance_iter(df: DataFrame, d: int, rounds: int = 15, **names: str) -> DataFrame:
@@ -58,9 +107,8 @@ def prune_distance_iter(df: DataFrame, d: int, rounds: int = 15, **names: str) -
     count = None
     for k in range(rounds):
         step = d if rounds == 1 else round(d / 100 * 100 ** (k / (rounds - 1)))
-        df = prune_distance(df, step, **names)
+        df = kept(prune_distance(df, step, **names))
         if k % 5 == 4:
-            df = df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
             now = df.count()
             if now == count and step == d:
                 break
@@ -71,7 +119,8 @@ def prune_distance_iter(df: DataFrame, d: int, rounds: int = 15, **names: str) -
 def top_hits(df: DataFrame, n: int, region: int, p_limit: float | None = None, overshoot: int = 30, chr: str = "chr", pos: str = "pos", p: str = "p", marker: str = "marker") -> DataFrame:
     """Greedily the best P, without others closer than ``region`` on the chromosome (equal positions stay).
 
-    Candidates are rows under the P limit, or else the ``overshoot * n`` best.
+    With a P limit the candidates are all rows up to it, and every hit is returned; else they are the ``overshoot * n`` best rows, and ``n`` hits at most are
+    returned (fewer, where these candidates lie in fewer regions). Candidates are cut at gaps of ``region`` or more, over which no hit reaches; each part is worked through alone.
     """
     narrow = df.select(F.col(chr).cast("int").alias("chr"), F.col(pos).cast("long").alias("pos"), F.col(p).alias("p"), F.col(marker).cast("long").alias("marker")).where("p is not null")
     candidates = narrow.where(F.col("p") <= p_limit) if p_limit is not None else narrow.orderBy("p", "marker").limit(overshoot * n)
@@ -87,8 +136,10 @@ def top_hits(df: DataFrame, n: int, region: int, p_limit: float | None = None, o
             gone |= (distance > 0) & (distance < region)
         return rows.loc[kept]
 
-    hits = candidates.groupBy("chr").applyInPandas(greedy, candidates.schema)
-    return hits.orderBy("p", "marker").limit(n)
+    parts = _clumped(candidates, region - 1, "chr", "pos")
+    names = candidates.columns
+    hits = parts.groupBy("chr", "__begin").applyInPandas(lambda rows: greedy(rows[names]), candidates.schema)
+    return hits.orderBy("p", "marker") if p_limit is not None else hits.orderBy("p", "marker").limit(n)
 
 
 def genome_positions(df: DataFrame, chr: str = "chr", pos: str = "pos") -> tuple[DataFrame, DataFrame]:
@@ -172,15 +223,15 @@ def unique_by(df: DataFrame, cols: list[str], order: list[str]) -> DataFrame:
 
 def quantile_bins(df: DataFrame, x: str, n: int, out: str = "bin") -> DataFrame:
     """Quantile bins 1..n, closed on the right; the least value is in the first."""
-    cuts = df.agg(F.percentile(x, F.array(*(F.lit(k / n) for k in range(1, n)))).alias("__q"))
-    place = F.size(F.filter("__q", lambda q: F.col(x) > q)) + 1
-    return df.join(F.broadcast(cuts)).withColumn(out, F.when(F.col(x).isNotNull(), place)).drop("__q")
+    cuts = exact_quantiles(df, F.col(x), [k / n for k in range(1, n)])
+    place = sum(((F.col(x) > q).cast("int") for q in cuts if q is not None), F.lit(1))
+    return df.withColumn(out, F.when(F.col(x).isNotNull(), place))
 
 
 def quantile_normalize(reference: DataFrame, df: DataFrame, cols: list[str], key: str, points: int = 1001) -> DataFrame:
     """Each column takes the reference's quantile at its rank (ties: mean rank); nulls become the row's median. ``reference`` is one column."""
     levels = [k / (points - 1) for k in range(points)]
-    grid = reference.agg(F.percentile(reference.columns[0], F.array(*map(F.lit, levels))).alias("__g"))
+    grid = df.sparkSession.createDataFrame([(exact_quantiles(reference, F.col(reference.columns[0]), levels),)], "__g array<double>")  # one row
     filled = df.withColumn("__m", F.element_at(F.array_sort(F.filter(F.array(*cols), lambda x: x.isNotNull())), F.greatest(F.ceil(F.size(F.filter(F.array(*cols), lambda x: x.isNotNull())) / 2).cast("int"), F.lit(1))))
     long = filled.select(key, *(F.coalesce(c, "__m").alias(c) for c in cols)).unpivot([key], cols, "col", "x")
     by = Window.partitionBy("col")
@@ -196,7 +247,7 @@ def quantile_normalize(reference: DataFrame, df: DataFrame, cols: list[str], key
 
 def quantile_normalize_medians(df: DataFrame, cols: list[str], key: str, around: int = 1) -> DataFrame:
     """The reference is made of the ``around`` columns on either side of the median of the column medians."""
-    medians = df.agg(*(F.percentile(c, 0.5).alias(c) for c in cols)).first().asDict()
+    medians = {c: exact_quantiles(df, F.col(c), [0.5])[0] for c in cols}
     ordered = sorted(cols, key=lambda c: (medians[c], c))
     middle = len(ordered) // 2
     chosen = ordered[max(0, middle - around) : middle + around + 1]

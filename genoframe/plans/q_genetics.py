@@ -253,7 +253,7 @@ def _(s, d):
     return Q.ld_prune(X.gt(s, d))
 
 
-@query("q10_ibs_pairs", f"with g as (select iid, marker, gt from ({X.GT}) g), p as (select a.iid as id1, b.iid as id2, count(*) filter (where 2 - abs(a.gt - b.gt) = 0) as ibs0, count(*) filter (where 2 - abs(a.gt - b.gt) = 1) as ibs1, count(*) filter (where 2 - abs(a.gt - b.gt) = 2) as ibs2 from g a join g b on a.marker = b.marker and a.iid < b.iid group by 1, 2) select id1, id2, cast(ibs0 as int) as ibs0, cast(ibs1 as int) as ibs1, cast(ibs2 as int) as ibs2, round((ibs1 * 0.5e0 + ibs2) / (ibs0 + ibs1 + ibs2), 8) as distance from p")
+@query("q10_ibs_pairs", f"with g as (select iid, marker, gt from ({X.GT}) g), p as (select a.iid as id1, b.iid as id2, count(*) filter (where 2 - abs(a.gt - b.gt) = 0) as ibs0, count(*) filter (where 2 - abs(a.gt - b.gt) = 1) as ibs1, count(*) filter (where 2 - abs(a.gt - b.gt) = 2) as ibs2 from g a join g b on a.marker = b.marker and a.iid < b.iid group by 1, 2), i as (select distinct iid from g) select a.iid as id1, b.iid as id2, cast(coalesce(ibs0, 0) as int) as ibs0, cast(coalesce(ibs1, 0) as int) as ibs1, cast(coalesce(ibs2, 0) as int) as ibs2, round((ibs1 * 0.5e0 + ibs2) / nullif(ibs0 + ibs1 + ibs2, 0), 8) as distance from i a join i b on a.iid < b.iid left join p on p.id1 = a.iid and p.id2 = b.iid")
 def _(s, d):
     return _rounded(_ibs(s, d), 8, "distance")
 
@@ -442,15 +442,15 @@ def _(s, d):
     return D.row_apply(X.table(s, d, "part").select("p_partkey", "p_size"), lambda r: {"p_partkey": r["p_partkey"], "twice": r["p_size"] * 2}, "p_partkey long, twice int")
 
 
-@query("d04_cl_apply", "select n_nationkey as k, cast(n_nationkey * (n_nationkey + 1) / 2 as bigint) as total from nation")
+@query("d04_cl_apply", "select p_partkey as k, cast(p_size * (p_size + 1) // 2 as bigint) as total from part")
 def _(s, d):
-    return D.cl_apply(X.table(s, d, "nation").select(F.col("n_nationkey").alias("k")), lambda r: {"k": r["k"], "total": sum(range(r["k"] + 1))}, "k int, total long")
+    return D.cl_apply(X.table(s, d, "part").select(F.col("p_partkey").alias("k"), "p_size"), lambda r: {"k": r["k"], "total": sum(range(r["p_size"] + 1))}, "k long, total long")
 
 
-@query("d05_iterate_models", "select r_regionkey as a, n_nationkey as b, r_regionkey * 100 + n_nationkey as value from region, nation where n_nationkey > r_regionkey")
+@query("d05_iterate_models", "select r_regionkey as a, s_suppkey as b, r_regionkey * 100 + s_suppkey as value from region, supplier where s_suppkey > r_regionkey")
 def _(s, d):
-    grid = [X.table(s, d, "region").select(F.col("r_regionkey").alias("a")), X.table(s, d, "nation").select(F.col("n_nationkey").alias("b"))]
-    return D.iterate_models(grid, lambda r: {"a": r["a"], "b": r["b"], "value": r["a"] * 100 + r["b"]}, "a int, b int, value int", "b > a")
+    grid = [X.table(s, d, "region").select(F.col("r_regionkey").alias("a")), X.table(s, d, "supplier").select(F.col("s_suppkey").alias("b"))]
+    return D.iterate_models(grid, lambda r: {"a": r["a"], "b": r["b"], "value": r["a"] * 100 + r["b"]}, "a int, b long, value long", "b > a")
 
 
 @query("d08_sow_reap", "select 'ind' as kind, 'sex' as reason, c_custkey as id from customer where c_custkey % 7 = 0 union all select 'ind', 'missing', c_custkey from customer where c_custkey % 9 = 0")

@@ -114,16 +114,19 @@ def _(s, d):
 _AF = "(n1 + 2 * n2) / (2 * (n0 + n1 + n2))"
 
 
-@query("t14_association", f"with c as (select marker, least({_AF}, 1 - {_AF}) >= 0.1e0 and cast(n0 < 5 as int) + cast(n1 < 5 as int) + cast(n2 < 5 as int) < 2 as ok from ({_COUNTS})) select 'y_all_mds0' as tag, count(*) filter (where ok) as ok, cast(0 as bigint) as failed, count(*) filter (where not ok) as excluded from c")
+@query("t14_association", f"with c as (select marker, least({_AF}, 1 - {_AF}) >= 0.1e0 and cast(n0 < 5 as int) + cast(n1 < 5 as int) + cast(n2 < 5 as int) < 2 as ok from ({_COUNTS})) select 'y_all' as tag, count(*) filter (where ok) as ok, cast(0 as bigint) as failed, count(*) filter (where not ok) as excluded from c")
 def _(s, d):
-    models = M.expand_models(M.Model("y", ("gt",)), ["y"], {"all": None})
+    models = M.expand_models([M.Model("y", ("gt",))])
     return M.status_counts(M.association(_with_y(s, d), models, maf=0.1))
 
 
 @query("t13_expanded_models")
 def _(s, d):
-    models = M.expand_models(M.Model("y", ("gt",)), ["y", "cc"], {"all": None, "women": "age > 40"})
-    return M.association(_with_y(s, d), models)
+    """Two responses on two subsets, and one model with scaling components as covariates."""
+    models = M.expand_models([M.Model("y", ("gt",), responses=("y", "cc"), subsets={"all": None, "old": "age > 40"}), M.Model("y", ("gt",), components=(1, 2))])
+    # two covariates stand for the components
+    rows = _with_y(s, d).withColumns({"c1": F.col("iid") % 17 - 8, "c2": F.col("iid") % 23 - 11})
+    return M.association(rows, models)
 
 
 @query("t15_single_marker", f"select marker, round(regr_slope(y, gt), 4) as beta from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null and marker = 12 group by 1")
@@ -148,14 +151,14 @@ def _(s, d):
     return ranked.select("p_partkey", F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e < F.col("k"))).alias("chunk"))
 
 
-@query("sc05_prefixed_table", "select n_nationkey, n_name from nation")
+@query("sc05_prefixed_table", "select c_custkey, c_name from customer")
 def _(s, d):
     path = _folder(s)
-    lines = X.table(s, d, "nation").select((F.col("n_nationkey") + 10).alias("at"), F.concat_ws("\t", "n_nationkey", "n_name").alias("value"))
-    head = s.createDataFrame([(0, "source: test"), (1, "version: 2"), (2, ""), (3, "n_nationkey\tn_name")], "at int, value string")
+    lines = X.table(s, d, "customer").select((F.col("c_custkey") + 10).alias("at"), F.concat_ws("\t", "c_custkey", "c_name").alias("value"))
+    head = s.createDataFrame([(0, "source: test"), (1, "version: 2"), (2, ""), (3, "c_custkey\tc_name")], "at long, value string")
     head.unionByName(lines).coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
     _, table = SC.read_prefixed(s, path)
-    return table.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name")
+    return table.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name")
 
 
 @query("sc06_combine_files", "select c_custkey, c_nationkey as part from customer")
@@ -166,11 +169,13 @@ def _(s, d):
     return out.select(F.col("c_custkey").cast("long").alias("c_custkey"), "part")
 
 
-@query("sc25_probe_columns", "select cast(7 as int) as n from (values (1)) v")
+@query("sc25_probe_columns", "select distinct cast(k + 2 as int) as n from (select l_linenumber as k from lineitem)")
 def _(s, d):
+    """One folder of files for each line number k, whose lines have k + 2 fields."""
     path = _folder(s)
-    X.table(s, d, "nation").select(F.concat_ws("\t", *[F.lit("x")] * 7).alias("v")).coalesce(1).write.text(path)
-    return SC.probe_columns(s, [path]).select("n")
+    fields = F.concat_ws("\t", F.concat_ws("\t", "l_orderkey", "l_partkey"), F.array_repeat(F.col("l_quantity").cast("string"), F.col("l_linenumber").cast("int")))
+    X.table(s, d, "lineitem").select(F.col("l_linenumber").alias("k"), fields.alias("v")).write.partitionBy("k").text(path)
+    return SC.probe_columns(s, [path]).select("n").distinct()
 
 
 @query("sc27_dataset_meta", "select * from (values ('s_suppkey', 'id', 'integer id'), ('s_name', 'text', 'name'), ('s_nationkey', 'id', 'integer id'), ('s_acctbal', 'unknown', 'unknown')) v(\"column\", type, full_type)")

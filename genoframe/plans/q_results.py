@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from genoframe.functions import scalars as S
 from genoframe.operators import genotypes as G
 from genoframe.operators import results as R
 from genoframe.operators import windows as W
+from genoframe.operators.windows import shared_base
 from genoframe.plans import fixtures as X
 from genoframe.plans.q_genetics import _COUNTS
 from genoframe.sources import tables as SC
@@ -214,10 +215,10 @@ def _(s, d):
     return X.table(s, d, "orders").select("o_orderkey", S.regex_extract(F.col("o_orderpriority"), r"^(\d)-(\w+)", 2).alias("word"))
 
 
-@query("x02_interpolate", "select n_nationkey, replace(replace('Hello NAME_LONG', 'NAME_LONG', n_name), 'NAME', 'x') as t from nation")
+@query("x02_interpolate", "select c_custkey, replace(replace('Hello NAME_LONG', 'NAME_LONG', c_name), 'NAME', 'x') as t from customer")
 def _(s, d):
-    n = X.table(s, d, "nation").withColumn("t", F.concat(F.lit("Hello "), F.lit("NAME_LONG")))
-    return n.select("n_nationkey", F.replace(F.replace("t", F.lit("NAME_LONG"), F.col("n_name")), F.lit("NAME"), F.lit("x")).alias("t"))
+    n = X.table(s, d, "customer").withColumn("t", F.concat(F.lit("Hello "), F.lit("NAME_LONG")))
+    return n.select("c_custkey", F.replace(F.replace("t", F.lit("NAME_LONG"), F.col("c_name")), F.lit("NAME"), F.lit("x")).alias("t"))
 
 
 @query("x03_abbreviate", "select p_partkey, case when length(p_name) > 12 then substr(p_name, 1, 9) || '...' else p_name end as short, upper(trim(p_brand)) as brand from part")
@@ -231,10 +232,9 @@ def _(s, d):
     return X.table(s, d, "part").select("p_partkey", x[0].alias("d2"), x[1].alias("d1"), x[2].alias("d0"), S.from_digits(x, 7).alias("back"))
 
 
-@query("x05_pair_enc", "select a.n_nationkey as a, b.n_nationkey as b, cast(greatest(a.n_nationkey, b.n_nationkey) * (greatest(a.n_nationkey, b.n_nationkey) + 1) // 2 + least(a.n_nationkey, b.n_nationkey) as bigint) as code, cast(greatest(a.n_nationkey, b.n_nationkey) as bigint) as x, cast(least(a.n_nationkey, b.n_nationkey) as bigint) as y from nation a, nation b")
+@query("x05_pair_enc", "select l_suppkey as a, l_partkey as b, cast(greatest(l_suppkey, l_partkey) * (greatest(l_suppkey, l_partkey) + 1) // 2 + least(l_suppkey, l_partkey) as bigint) as code, cast(greatest(l_suppkey, l_partkey) as bigint) as x, cast(least(l_suppkey, l_partkey) as bigint) as y from lineitem")
 def _(s, d):
-    n = X.table(s, d, "nation")
-    t = n.select(F.col("n_nationkey").alias("a")).crossJoin(n.select(F.col("n_nationkey").alias("b"))).withColumn("code", F.expr(S.pair_enc("a", "b")).cast("long"))
+    t = X.table(s, d, "lineitem").select(F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b")).withColumn("code", F.expr(S.pair_enc("a", "b")).cast("long"))
     return t.select("a", "b", "code", S.pair_dec(F.col("code"))["x"].alias("x"), S.pair_dec(F.col("code"))["y"].alias("y"))
 
 
@@ -307,10 +307,7 @@ def _(s, d):
 
 
 def _folder(s) -> str:
-    base = s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="genoframe-")
-    import uuid
-
-    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
+    return f"{shared_base(s)}/tables-{uuid.uuid4().hex}"
 
 
 @query("sc01_csv_round_trip", "select s_suppkey, s_name, s_acctbal from supplier")
@@ -347,11 +344,11 @@ def _(s, d):
     return SC.variables_table(p.select("iid", "y", "age"), p.select("fid", "iid"), ["y", "age"])
 
 
-@query("sc15_gzip", "select n_nationkey, n_name from nation")
+@query("sc15_gzip", "select c_custkey, c_name from customer")
 def _(s, d):
     path = _folder(s) + ".gz"
-    SC.write_table(X.table(s, d, "nation"), [path], ["n_nationkey", "n_name"])
-    return SC.read_table(s, path, schema="n_nationkey int, n_name string")
+    SC.write_table(X.table(s, d, "customer"), [path], ["c_custkey", "c_name"])
+    return SC.read_table(s, path, schema="c_custkey long, c_name string")
 
 
 @query("sc17_indexed", "select o_orderkey as id, o_custkey as cust from orders")
@@ -384,13 +381,14 @@ def _(s, d):
     return SC.normalize_map(db["map"], db["data"]).select("map_incl", "gvar_name")
 
 
-@query("sc07_gens", f"select marker, iid, p_aa, p_ab, p_bb from ({X.PROB}) p")
+@query("sc07_gens", f"with m as (select distinct marker from ({X.PROB}) p) select m.marker, s.iid, coalesce(p_aa, 0e0) as p_aa, coalesce(p_ab, 0e0) as p_ab, coalesce(p_bb, 0e0) as p_bb from m cross join ({X.SAMPLE}) s left join ({X.PROB}) p on p.marker = m.marker and p.iid = s.iid")
 def _(s, d):
-    """Probabilities written as gens lines by marker and read back."""
+    """Probabilities written as gens lines by marker (0 0 0 where there is no call) and read back."""
     path, info = _folder(s), _folder(s)
     people = W.global_rank(X.sample(s, d).select("iid"), ["iid"], "no")
-    rows = X.prob(s, d).join(people, "iid").groupBy("marker").agg(F.array_sort(F.collect_list(F.struct("no", "p_aa", "p_ab", "p_bb"))).alias("x"))
-    line = F.concat_ws(" ", F.lit("---"), F.concat(F.lit("rs"), "marker"), "marker", F.lit("A"), F.lit("G"), F.array_join(F.transform("x", lambda t: F.concat_ws(" ", t["p_aa"], t["p_ab"], t["p_bb"])), " "))
+    rows = X.prob(s, d).join(people, "iid").groupBy("marker").agg(F.map_from_entries(F.collect_list(F.struct("no", F.concat_ws(" ", "p_aa", "p_ab", "p_bb")))).alias("m"))
+    rows = rows.withColumn("x", F.transform(F.sequence(F.lit(1), F.lit(people.count())), lambda k: F.coalesce(F.element_at("m", k.cast("long")), F.lit("0 0 0"))))
+    line = F.concat_ws(" ", F.lit("---"), F.concat(F.lit("rs"), "marker"), "marker", F.lit("A"), F.lit("G"), F.array_join("x", " "))
     rows.orderBy("marker").select(line.alias("value")).coalesce(1).write.text(path)
     names = s.createDataFrame([(-1, "snp_id rs_id position")], "marker long, value string").unionByName(rows.select("marker", F.concat_ws(" ", F.lit("---"), F.concat(F.lit("rs"), "marker"), "marker").alias("value")))
     names.coalesce(1).sortWithinPartitions("marker").select("value").write.text(info)

@@ -29,9 +29,9 @@ def query(name: str, sql: str | None = None):
 # --- columns and filters
 
 
-@query("p01_select_cols", "select n_nationkey, n_name, n_regionkey, n_nationkey as k2 from nation")
+@query("p01_select_cols", "select c_custkey, c_name, c_acctbal, c_custkey as k2 from customer")
 def _(s, d):
-    return P.select_cols(table(s, d, "nation"), "0:1,n_regionkey").withColumn("k2", F.col("n_nationkey"))
+    return P.select_cols(table(s, d, "customer"), "0:1,c_acctbal").withColumn("k2", F.col("c_custkey"))
 
 
 @query("p02_drop_cols", "select s_suppkey, s_acctbal from supplier")
@@ -44,29 +44,29 @@ def _(s, d):
     return P.drop_cols(table(s, d, "supplier"), "s_name", then_select="2,0")
 
 
-@query("p04_reshuffle", "select n_regionkey as n_nationkey, n_name, n_nationkey as n_regionkey from nation")
+@query("p04_reshuffle", "select o_totalprice as o_orderkey, o_custkey, o_orderkey as o_totalprice from orders")
 def _(s, d):
-    return P.reshuffle(table(s, d, "nation"), [0, 2], [2, 0])
+    return P.reshuffle(table(s, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), [0, 2], [2, 0])
 
 
-@query("p05_constants", "select 'x' as \"C_0\", r_regionkey, 7 as \"C_1\", r_name from region")
+@query("p05_constants", "select 'x' as \"C_0\", o_orderkey, 7 as \"C_1\", o_custkey from orders")
 def _(s, d):
-    return P.add_constants(table(s, d, "region"), {0: "x", 2: 7})
+    return P.add_constants(table(s, d, "orders").select("o_orderkey", "o_custkey"), {0: "x", 2: 7})
 
 
-@query("p06_set_header", "select r_regionkey as key, r_name from region")
+@query("p06_set_header", "select p_partkey as key, p_name from part")
 def _(s, d):
-    return P.set_header(table(s, d, "region"), {0: "key"})
+    return P.set_header(table(s, d, "part").select("p_partkey", "p_name"), {0: "key"})
 
 
-@query("p07_edit_cols", "select n_nationkey, lower(n_name) as n_name, n_regionkey from nation")
+@query("p07_edit_cols", "select c_custkey, lower(c_name) as c_name, lower(c_mktsegment) as c_mktsegment from customer")
 def _(s, d):
-    return P.edit_cols(table(s, d, "nation"), ["n_name"], "lower(_)")
+    return P.edit_cols(table(s, d, "customer").select("c_custkey", "c_name", "c_mktsegment"), ["c_name", "c_mktsegment"], "lower(_)")
 
 
-@query("p08_cols_to_front", "select n_regionkey, n_nationkey, n_name from nation")
+@query("p08_cols_to_front", "select o_totalprice, o_orderkey, o_custkey from orders")
 def _(s, d):
-    return P.cols_to_front(table(s, d, "nation"), "n_regionkey")
+    return P.cols_to_front(table(s, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_totalprice")
 
 
 @query("p09_header_table", "select * from (values (0, 'r_regionkey'), (1, 'r_name')) v(position, name)")
@@ -84,10 +84,10 @@ def _(s, d):
     return P.select_cols(table(s, d, "orders"), ["o_orderkey", "o_totalprice"])
 
 
-@query("p12_project_to", "select r_regionkey, r_name from region")
+@query("p12_project_to", "select p_partkey, p_brand from part")
 def _(s, d):
-    r = table(s, d, "region")
-    return P.project_to(r, P.header_table(r))
+    p = table(s, d, "part")
+    return P.project_to(p, P.header_table(p.select("p_partkey", "p_brand")))
 
 
 @query("p13_cols_like", "select l_discount, l_tax from lineitem")
@@ -249,10 +249,10 @@ def _(s, d):
     return P.exclude_ids(table(s, d, "customer"), "c_custkey", table(s, d, "orders"), "o_custkey").select("c_custkey")
 
 
-@query("j12_product", "select a.r_name as a, b.n_name as b from region a, nation b where a.r_regionkey <> b.n_regionkey")
+@query("j12_product", "select a.n_name as a, b.c_custkey as b from nation a, customer b where a.n_nationkey <> b.c_nationkey")
 def _(s, d):
-    a, b = table(s, d, "region").select(F.col("r_name").alias("a"), "r_regionkey"), table(s, d, "nation").select(F.col("n_name").alias("b"), "n_regionkey")
-    return J.product([a, b], drop_equal=("r_regionkey", "n_regionkey")).select("a", "b")
+    a, b = table(s, d, "nation").select(F.col("n_name").alias("a"), "n_nationkey"), table(s, d, "customer").select(F.col("c_custkey").alias("b"), "c_nationkey")
+    return J.product([b, a], drop_equal=("n_nationkey", "c_nationkey")).select("a", "b")
 
 
 @query("j13_row_search", "select a.s_suppkey as line_a, b.c_custkey as line_b from supplier a join customer b on a.s_nationkey is not distinct from b.c_nationkey and floor(a.s_acctbal / 1000) is not distinct from floor(b.c_acctbal / 1000)")
@@ -288,9 +288,9 @@ def _(s, d):
     return J.remap_ids(bim, mapping, "line").select("line", "id")
 
 
-@query("j18_complete_pairs", "with i as (select n_nationkey as id from nation), p as (select a.id as id1, b.id as id2, a.id * b.id as value from i a, i b where a.id < b.id and (a.id + b.id) % 2 = 0), f as (select * from p union all select id2, id1, value from p) select a.id as id1, b.id as id2, f.value from i a cross join i b left join f on f.id1 = a.id and f.id2 = b.id")
+@query("j18_complete_pairs", "with i as (select s_suppkey as id from supplier), p as (select a.id as id1, b.id as id2, a.id * b.id as value from i a, i b where a.id < b.id and (a.id + b.id) % 2 = 0), f as (select * from p union all select id2, id1, value from p) select a.id as id1, b.id as id2, f.value from i a cross join i b left join f on f.id1 = a.id and f.id2 = b.id")
 def _(s, d):
-    i = table(s, d, "nation").select(F.col("n_nationkey").alias("id"))
+    i = table(s, d, "supplier").select(F.col("s_suppkey").alias("id"))
     p = i.select(F.col("id").alias("id1")).crossJoin(i.select(F.col("id").alias("id2"))).where("id1 < id2 and (id1 + id2) % 2 = 0").withColumn("value", F.col("id1") * F.col("id2"))
     return J.complete_pairs(p, i)
 
@@ -301,11 +301,11 @@ def _(s, d):
     return J.genes_to_markers(c).select("gene", F.size("markers").cast("long").alias("n"))
 
 
-_TRIPLES = "select 'g' || l_partkey as subject, 'interacts' as predicate, 'g' || l_suppkey as object from lineitem where l_quantity > 45 union all select 'g' || p_partkey, 'in_pathway', 'w' || p_size from part union all select 'w' || p_size, 'label', p_brand from part"
+_TRIPLES = "select 'g' || l_partkey as subject, 'interacts' as predicate, 'g' || l_suppkey as object from lineitem union all select 'g' || p_partkey, 'in_pathway', 'w' || p_size from part union all select 'w' || p_size, 'label', p_brand from part"
 
 
 def _triples(s, d):
-    li, p = table(s, d, "lineitem").where("l_quantity > 45"), table(s, d, "part")
+    li, p = table(s, d, "lineitem"), table(s, d, "part")
     t = li.select(F.concat(F.lit("g"), "l_partkey").alias("subject"), F.lit("interacts").alias("predicate"), F.concat(F.lit("g"), "l_suppkey").alias("object"))
     return t.unionByName(p.select(F.concat(F.lit("g"), "p_partkey").alias("subject"), F.lit("in_pathway").alias("predicate"), F.concat(F.lit("w"), "p_size").alias("object"))).unionByName(p.select(F.concat(F.lit("w"), "p_size").alias("subject"), F.lit("label").alias("predicate"), F.col("p_brand").alias("object")))
 
@@ -494,9 +494,9 @@ def _(s, d):
     return A.reshape_long_re(t, ["x", "y"])
 
 
-@query("a17_transpose", "select 0 as \"column\", string_agg(cast(n_nationkey as varchar), ',' order by n_nationkey) as cells from nation union all select 1, string_agg(n_name, ',' order by n_nationkey) from nation")
+@query("a17_transpose", "select 0 as \"column\", string_agg(cast(s_suppkey as varchar), ',' order by s_suppkey) as cells from supplier union all select 1, string_agg(s_name, ',' order by s_suppkey) from supplier")
 def _(s, d):
-    return A.transpose(table(s, d, "nation"), "n_nationkey", ["n_nationkey", "n_name"]).select("column", F.array_join("cells", ",").alias("cells"))
+    return A.transpose(table(s, d, "supplier"), "s_suppkey", ["s_suppkey", "s_name"]).select("column", F.array_join("cells", ",").alias("cells"))
 
 
 @query("a18_cbind", "select coalesce(a.line, b.line) as line, a.n_name as name, b.s_name as \"name.1\" from (select n_nationkey + 1 as line, n_name from nation) a full join (select s_suppkey as line, s_name from supplier) b on a.line = b.line")
@@ -548,7 +548,7 @@ def _(s, d):
 
 @query("a29_components")
 def _(s, d):
-    li = table(s, d, "lineitem").where("l_quantity > 48")
+    li = table(s, d, "lineitem")
     return A.components(li.select((F.col("l_partkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")).where("a <> b"))
 
 
@@ -597,9 +597,19 @@ def _(s, d):
     return W.prune_distance(X.assoc(s, d), 500).select("marker", "chr", "pos", F.round("p", 7).alias("p"))
 
 
-@query("w03_prune_iter", f"select marker from ({_PRUNE.format(d=20000, t=_PRUNE.format(d=2000, t=_PRUNE.format(d=200, t=f'select * from ({X.ASSOC}) where p < 0.05e0')))})")
+def _prune_rounds(d: int, rounds: int) -> str:
+    """All rounds as chained tables, from d/100 to d in steps even in logs; the distances are written out as they are at d = 20000."""
+    steps = [200, 278, 386, 537, 746, 1036, 1439, 2000, 2779, 3861, 5365, 7455, 10359, 14394, 20000]
+    assert len(steps) == rounds and steps[-1] == d
+    parts = [f"r0 as materialized ({X.ASSOC})"]
+    for k, step in enumerate(steps):
+        parts.append(f"r{k + 1} as materialized ({_PRUNE.format(d=step, t=f'select * from r{k}')})")
+    return f"with {', '.join(parts)} select marker from r{rounds}"
+
+
+@query("w03_prune_iter", _prune_rounds(20000, 15))
 def _(s, d):
-    return W.prune_distance_iter(X.assoc(s, d).where("p < 0.05e0"), 20000, 3).select("marker")
+    return W.prune_distance_iter(X.assoc(s, d), 20000).select("marker")
 
 
 @query("w04_top_hits")
@@ -627,15 +637,15 @@ def _(s, d):
     return W.bin_thin(table(s, d, "lineitem").select(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("key"), "l_quantity", "l_extendedprice"), "l_quantity", "l_extendedprice", 20, 3, "key")
 
 
-@query("w09_order_rows", "select n_name from nation order by n_regionkey, n_name")
+@query("w09_order_rows", "select o_orderkey from orders order by o_orderstatus, o_orderkey")
 def _(s, d):
-    return W.order_rows(table(s, d, "nation"), ["n_regionkey", "n_name"], dictionary={"n_regionkey": [0, 1, 2, 3, 4]}).select("n_name")
+    return W.order_rows(table(s, d, "orders"), ["o_orderstatus", "o_orderkey"], dictionary={"o_orderstatus": ["F", "O", "P"]}).select("o_orderkey")
 
 
-@query("w10_insert_order", "select n_name, lpad(cast(n_nationkey as varchar), 6, '0') as \"order\" from nation")
+@query("w10_insert_order", "select c_name, lpad(cast(c_custkey as varchar), 6, '0') as \"order\" from customer")
 def _(s, d):
-    n = table(s, d, "nation")
-    return W.insert_order(n.select("n_name"), "n_name", n, "n_name", "n_nationkey")
+    c = table(s, d, "customer")
+    return W.insert_order(c.select("c_name"), "c_name", c, "c_name", "c_custkey")
 
 
 @query("w11_order_align", "select c_custkey from customer where c_custkey in (select o_custkey from orders)")
