@@ -35,14 +35,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from genoframe.llm.common import reduce_tasks, settle, words_of
+from genoframe.llm.common import settle, words_of
 
 WORDS = 5
 PERCENT = 80
 #: Entries that a map task holds before it sends them on.
 CHUNK = 1_500_000
-#: Bytes of text for each task that counts codes.
-TASK_BYTES = 64 << 20
+#: Bytes of text for each task that counts codes, and the parts in which a task works through them, to hold less at a time.
+TASK_BYTES = 16 << 20
+PARTS = 8
 #: Bytes of text that are compared at a time.
 COMPARED = 8 << 20
 FIRST_PIVOTS = 16
@@ -191,14 +192,12 @@ def _counted(homes: int):
                 parts.setdefault(bucket, []).append((np.frombuffer(codes, "<u4"), np.repeat(np.frombuffer(names, np.int64), np.frombuffer(counts, "u1"))))
         for bucket in sorted(parts):
             codes, names = (np.concatenate(c) for c in zip(*parts.pop(bucket), strict=True))
-            held: list[list] = []
-            for row in found(bucket, codes, names):
-                held.append(row)
-                if len(held) == 1000:
-                    yield _rows_of(_SHARED, len(held), **dict(zip(_SENT, zip(*held, strict=True), strict=True)))
-                    held = []
-            if held:
-                yield _rows_of(_SHARED, len(held), **dict(zip(_SENT, zip(*held, strict=True), strict=True)))
+            turn = codes >> np.uint32(29)
+            for k in range(PARTS):
+                held = list(found(bucket, codes[turn == k], names[turn == k]))
+                for lo in range(0, len(held), 1000):
+                    some = held[lo : lo + 1000]
+                    yield _rows_of(_SHARED, len(some), **dict(zip(_SENT, zip(*some, strict=True), strict=True)))
 
     return run
 
@@ -251,12 +250,16 @@ def _task_keys(spark: SparkSession, tasks: int) -> Column:
     return F.array(*(F.lit(found.get(k, k)) for k in range(tasks)))
 
 
-def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def tasks_for(docs: DataFrame) -> int:
+    """Tasks for the texts of ``docs``, by their bytes."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return min(65536, max(8, -(-size // TASK_BYTES)))
+
+
+def classes_of(docs: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, cls) of every document, and (cls, n, own, shared, prefix, text) of each class that may have a partner."""
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
-    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    tasks = min(65536, max(reduce_tasks(spark), -(-size // TASK_BYTES)))
     keys = _task_keys(spark, tasks)
     packed = source.mapInArrow(_shingled(tasks), _PACKED_DDL).repartition(tasks, keys[F.col("bucket")])
     shared = packed.mapInArrow(_counted(tasks), _SHARED_DDL).repartition(tasks, keys[F.col("home")])
@@ -264,7 +267,7 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lists = rows.where("prefix is not null").select("cls", "n", "own", "shared", "prefix", "hash", F.col("doc_id").alias("of"))
     # the text of one document of each class; rows that repeat id and text are brought together after a first step in each task
     told = source.join(lists.select("cls", "hash", "of"), "hash").where(F.col("doc_id").eqNullSafe(F.col("of"))).groupBy("cls").agg(F.first("text").alias("text"))
-    texts = settle(told, "jaccard-texts")
+    texts = settle(told.coalesce(tasks), "jaccard-texts")
     return rows.where("prefix is null").select("doc_id", "n", "cls"), lists.select("cls", "n", "own", "shared", "prefix").join(texts, "cls")
 
 
@@ -314,12 +317,12 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield measure(a[begin:], b[begin:], held)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, tasks: int) -> DataFrame:
     """(a, b, common, either) with the sizes of intersection and union."""
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(_measured, "a long, b long, common long, either long")
+    return joined.coalesce(tasks).mapInArrow(_measured, "a long, b long, common long, either long")
 
 
 def _near(n1: str, rest1: str, n2: str, rest2: str) -> str:
@@ -327,19 +330,19 @@ def _near(n1: str, rest1: str, n2: str, rest2: str) -> str:
     return f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2}) and {100 + PERCENT} * least({rest1}, {rest2}) >= {PERCENT} * ({n1} + {n2})"
 
 
-def roots_of(lists: DataFrame) -> DataFrame:
-    """(node, root) of the connected components of all linked pairs of classes (unlinked classes may be missing)."""
+def roots_of(lists: DataFrame, tasks: int) -> DataFrame:
+    """(node, root) of the connected components of all linked pairs of classes (unlinked classes may be missing). What is written goes into ``tasks`` files at most."""
     texts = lists.select("cls", "text")
     index = lists.select("cls", "n", "own", "shared", F.posexplode("prefix").alias("at", "code")).select("cls", "n", "own", "code", (F.col("shared") - F.col("at")).alias("rest"))
     elected = index.groupBy("code").agg(F.min(F.struct("own", "cls", "n", "rest")).alias("p"), F.count("*").alias("size")).where("size > 1")
     elected = elected.select("code", F.col("p.cls").alias("region"), F.col("p.n").alias("pivot_n"), F.col("p.rest").alias("pivot_rest"))
     near = F.expr(_near("n", "rest", "pivot_n", "pivot_rest"))
     regions = index.join(elected, "code").groupBy("region", "cls").agg(F.max("rest").alias("rest"), F.max(near).alias("near"), F.first("n").alias("n"), F.first("own").alias("own"))
-    regions = settle(regions, "jaccard-regions")
+    regions = settle(regions.coalesce(tasks), "jaccard-regions")
     pairs = regions.where("cls <> region and near").select(F.col("region").alias("a"), F.col("cls").alias("b"))
-    tested = settle(_verified(pairs, texts), "jaccard-tested")
+    tested = settle(_verified(pairs, texts, tasks), "jaccard-tested")
     found = tested.where(f"100 * common >= {PERCENT} * either").select("a", "b")
-    roots = settle(components(found), "jaccard-roots")
+    roots = components(found, tasks)
     distance = tested.select(F.col("a").alias("region"), F.col("b").alias("cls"), (1 - F.col("common") / F.col("either")).alias("distance"))
     state = regions.where("cls <> region").select("region", "cls", "n", "rest", "own").join(distance, ["region", "cls"], "left").withColumn("open", F.lit(True))
     done, most, round_no = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), FIRST_PIVOTS, 0
@@ -347,7 +350,7 @@ def roots_of(lists: DataFrame) -> DataFrame:
         # regions whose open members are not all connected yet
         labelled = _labelled(state, roots)
         mixed = labelled.where("open").groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region", "lo")
-        state = settle(labelled.join(mixed, "region"), "jaccard-open")
+        state = settle(labelled.join(mixed, "region").coalesce(tasks), "jaccard-open")
         if state.isEmpty():
             return roots
         # the next pivots of a region: first one open member of each component but the first, then any open members of those
@@ -356,17 +359,16 @@ def roots_of(lists: DataFrame) -> DataFrame:
             own = own.groupBy("region", "label").agg(F.min(F.struct("own", "cls", "n", "rest", "distance")).alias("q")).select("region", "label", "q.*")
         turn = Window.partitionBy("region").orderBy("own", "cls")
         chosen = own.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= most)
-        chosen = settle(chosen.select("region", F.col("cls").alias("q"), F.col("n").alias("qn"), F.col("rest").alias("qr"), F.col("label").alias("ql"), F.col("distance").alias("qd")), "jaccard-pivots")
+        chosen = settle(chosen.select("region", F.col("cls").alias("q"), F.col("n").alias("qn"), F.col("rest").alias("qr"), F.col("label").alias("ql"), F.col("distance").alias("qd")).coalesce(tasks), "jaccard-pivots")
         near = state.join(chosen, "region").where("label <> ql").where(_near("n", "rest", "qn", "qr"))
         near = near.where("qd is null or distance is null or abs(qd - distance) <= 0.2 + 1e-9")
         pairs = near.select(F.least("q", "cls").alias("a"), F.greatest("q", "cls").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "jaccard-pairs")
+        pairs = settle(pairs.coalesce(tasks), "jaccard-pairs")
         if not pairs.isEmpty():
             done = done.unionByName(pairs)
-            linked = settle(_verified(pairs, texts), "jaccard-tested").where(f"100 * common >= {PERCENT} * either").select("a", "b")
+            linked = settle(_verified(pairs, texts, tasks), "jaccard-tested").where(f"100 * common >= {PERCENT} * either").select("a", "b")
             if not linked.isEmpty():
-                found = found.unionByName(linked)
-                roots = settle(components(found), "jaccard-roots")
+                roots = _joined_roots(roots, linked, tasks)
         closed = chosen.select("region", F.col("q").alias("cls"), F.lit(False).alias("shut"))
         state = state.join(closed, ["region", "cls"], "left").select("region", "cls", "n", "rest", "own", "distance", F.coalesce("shut", "open").alias("open"))
         most, round_no = most * 4, round_no + 1
@@ -377,10 +379,20 @@ def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots.select(F.col("node").alias("cls"), F.col("root").alias("label")), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): for every node of the edges (a, b), the smallest node that it is connected with."""
-    both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    current = settle(both, "components")
+def _joined_roots(roots: DataFrame, linked: DataFrame, tasks: int) -> DataFrame:
+    """``roots`` after more links (a, b): only their components are joined, not their nodes anew."""
+    ends = _labelled(linked.select(F.col("a").alias("cls"), "b"), roots).select(F.col("label").alias("a"), F.col("b").alias("cls"))
+    over = components(_labelled(ends, roots).select("a", F.col("label").alias("b")), tasks).select(F.col("node").alias("root"), F.col("root").alias("now"))
+    # a node that had no link yet is its own root
+    nodes = roots.unionByName(over.select(F.col("root").alias("node"), "root").join(roots.select("node"), "node", "left_anti"))
+    return settle(nodes.join(over, "root", "left").select("node", F.coalesce("now", "root").alias("root")).coalesce(tasks), "jaccard-roots")
+
+
+def components(edges: DataFrame, tasks: int) -> DataFrame:
+    """(node, root), written: for every node of the edges (a, b), the smallest node that it is connected with."""
+    measure = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+    current = settle(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().coalesce(tasks), "components")
+    known = current.agg(measure).first()[0]
     while True:
         # large star: larger neighbours of a node point to its smallest neighbour
         around = current.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(current.select(F.col("b").alias("node"), F.col("a").alias("other")))
@@ -391,17 +403,19 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("least"))
         moved = large.join(small, "a").select(F.col("b").alias("x"), F.col("a").alias("y"), "least")
         moved = moved.select("x", "least").unionByName(moved.select(F.col("y").alias("x"), "least")).where("x <> least")
-        after = settle(moved.select(F.col("x").alias("a"), F.col("least").alias("b")).distinct(), "components")
-        measure = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
-        if after.agg(measure).first()[0] == current.agg(measure).first()[0]:
-            return after.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-        current = after
+        current = settle(moved.select(F.col("x").alias("a"), F.col("least").alias("b")).distinct().coalesce(tasks), "components")
+        before, known = known, current.agg(measure).first()[0]
+        if known == before:
+            # every node but a root points to its root
+            rows = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return settle(rows.unionByName(rows.select(F.col("root").alias("node"), "root").distinct()).coalesce(tasks), "jaccard-roots")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, n (shingles) and cls (the component; 0 shingles have none) for each row of ``docs`` (doc_id, text)."""
-    rows, lists = classes_of(docs)
-    roots = roots_of(lists)
+    tasks = tasks_for(docs)
+    rows, lists = classes_of(docs, tasks)
+    roots = roots_of(lists, tasks)
     edges = roots.select(F.col("node").alias("cls"), "root")
     return rows.join(edges, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("cls"))
 
