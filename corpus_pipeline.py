@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.llm import jaccard_join, merge_replay, pii, rule_quality, temperature_mix
-from genoframe.llm.common import settle
+from genoframe.llm.common import free_names, settle
 
 #: Documents under this score are rejected.
 LEAST_QUALITY = 0.5
@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: of each group of linked rows one stays, the one with the smallest id (rows of one id: the first as settled; rows without an id come last). Rows without words are in no group and stay."""
     # a key by row, in a settled table: it must not change between the readings
-    key, again = "__row", [F.col(f"`{c}`") for c in docs.columns]
+    (key,), again = free_names(docs, "__row"), [F.col(f"`{c}`") for c in docs.columns]
     rows = settle(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows")
     named = jaccard_join.grouped(rows.select(F.col(key).alias("doc_id"), "text")).where("n > 0").select(F.col("doc_id").alias(key), "cls")
     ids = rows.select(key, F.col("doc_id").cast("long").alias("id"))
@@ -57,7 +57,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order; each but the last is written before the next one reads it, as later stages read their input more than once."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
