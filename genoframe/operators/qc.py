@@ -151,8 +151,9 @@ def ibd_pairs(pairs: DataFrame, gt: DataFrame) -> DataFrame:
     n = F.col("ibs0") + F.col("ibs1") + F.col("ibs2")
     share = F.nullif(n, F.lit(0)) / F.nullif(F.col("m"), F.lit(0))
     j = pairs.join(F.broadcast(sums))
-    z0 = F.least(F.col("ibs0") / (F.col("e00") * share), F.lit(1.0))
-    z1 = F.greatest(F.least((F.col("ibs1") - z0 * F.col("e10") * share) / (F.col("e11") * share), 1 - z0), F.lit(0.0))
+    known = lambda c: F.when(share.isNotNull(), c)  # noqa: E731  (least and greatest skip nulls)
+    z0 = known(F.least(F.col("ibs0") / (F.col("e00") * share), F.lit(1.0)))
+    z1 = known(F.greatest(F.least((F.col("ibs1") - z0 * F.col("e10") * share) / (F.col("e11") * share), 1 - z0), F.lit(0.0)))
     return j.select("id1", "id2", z0.alias("z0"), z1.alias("z1"), (1 - z0 - z1).alias("z2"), (z1 / 2 + 1 - z0 - z1).alias("pi_hat"))
 
 

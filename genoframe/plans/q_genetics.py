@@ -12,6 +12,7 @@ from genoframe.operators import genotypes as G
 from genoframe.operators import qc as Q
 from genoframe.operators import udf as D
 from genoframe.plans import fixtures as X
+from genoframe.plans import tails
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -44,12 +45,16 @@ _COUNTS = f"select marker, min(chr) as chr, min(pos) as pos, count(*) filter (wh
 _TAB = "select marker, " + ", ".join(f"count(*) filter (where cc = {c} and gt = {k}) as {n}{k}" for n, c in (("r", 1), ("s", 0)) for k in range(3)) + f" from ({X.GT}) g join ({X.SAMPLE}) s using (iid) group by marker"
 _CHI, _ = G.hwe_column()
 _AF = "(n1 + 2 * n2) / (2 * (n0 + n1 + n2))"
+# oracle side, written anew: Hardy-Weinberg by the inbreeding coefficient, N * (1 - heterozygotes / expected heterozygotes)^2; trend and allele tests as N * r^2
+_HWE = f"select *, case when n1 + 2 * n2 > 0 and n1 + 2 * n0 > 0 then (n0 + n1 + n2) * power(1 - n1 / ((n0 + n1 + n2) * 2 * {_AF} * (1 - {_AF})), 2) end as chi from ({_COUNTS})"
+_CALLS = f"select marker, gt, cc from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null"
+_TREND = f"select marker, case when stddev_pop(gt) > 0 and stddev_pop(cc) > 0 then count(*) * power(corr(gt, cc), 2) end as chi2 from ({_CALLS}) group by 1"
+_ALLELES = f"select marker, case when stddev_pop(a) > 0 and stddev_pop(cc) > 0 then count(*) * power(corr(a, cc), 2) end as chi2 from (select marker, cc, unnest([cast(gt = 2 as int), cast(gt >= 1 as int)]) as a from ({_CALLS})) group by 1"
 
 
 @query(
     "slice_top_hits",
-    f"""with c as (select *, {_CHI} as chi from ({_COUNTS})), h as (select *, {S.chi2_sf("chi", 1)} as p_hwe, {_AF} as af, n_missing / (n0 + n1 + n2 + n_missing) as miss from c),
- t as (select marker, {T.armitage()[0]} as chi2 from ({_TAB}))
+    f"""with c as ({_HWE}), h as (select *, {tails.chi2("chi", 1)} as p_hwe, {_AF} as af, n_missing / (n0 + n1 + n2 + n_missing) as miss from c), t as ({_TREND})
  select marker, chr, pos, round(af, 6) as af, round(miss, 6) as f_miss, round(chi2, 5) as chi2 from h join t using (marker) where miss <= 0.04e0 and least(af, 1 - af) >= 0.01e0 and not (chr <= 22 and p_hwe < 5e-7) order by chi2 desc, marker limit 20""",
 )
 def slice_top_hits(s, d):
@@ -148,19 +153,19 @@ def _(s, d):
     return G.is_monomorphic(X.gt(s, d))
 
 
-@query("g15_hwe", f"with c as (select *, {_CHI} as chi from ({_COUNTS})) select marker, round(chi, 5) as chi2, round({S.chi2_sf('chi', 1)}, 6) as p_hwe from c")
+@query("g15_hwe", f"with c as ({_HWE}) select marker, round(chi, 5) as chi2, round({tails.chi2('chi', 1)}, 6) as p_hwe from c")
 def _(s, d):
     return G.hwe(X.gt(s, d)).select("marker", F.round("chi2", 5).alias("chi2"), F.round("p_hwe", 6).alias("p_hwe"))
 
 
-@query("g16_hwe_multi", f"with c as (select *, {_CHI} as chi from ({_COUNTS}) where n1 + 2 * n2 > 0 and n1 + 2 * n0 > 0) select marker, round(chi, 5) as chi2, cast(1 as bigint) as df from c")
+@query("g16_hwe_multi", f"with c as ({_HWE}) select marker, round(chi, 5) as chi2, cast(1 as bigint) as df from c where chi is not null")
 def _(s, d):
     g = F.col("gt")
     p = X.gt(s, d).select("marker", F.when(g == 2, 1).when(g.isNotNull(), 0).alias("x"), F.when(g >= 1, 1).when(g.isNotNull(), 0).alias("y"))
     return _rounded(G.hwe_multi(p).where("df > 0"), 5, "chi2")
 
 
-@query("g17_descriptives", f"with c as (select *, {_CHI} as chi from ({_COUNTS})) select c.marker, a1, a2, round(least({_AF}, 1 - {_AF}), 6) as maf, round(n_missing / (n0 + n1 + n2 + n_missing), 6) as missing, round({S.chi2_sf('chi', 1)}, 6) as p_hwe from c join ({X.MARKER}) m using (marker)")
+@query("g17_descriptives", f"with c as ({_HWE}) select c.marker, a1, a2, round(least({_AF}, 1 - {_AF}), 6) as maf, round(n_missing / (n0 + n1 + n2 + n_missing), 6) as missing, round({tails.chi2('chi', 1)}, 6) as p_hwe from c join ({X.MARKER}) m using (marker)")
 def _(s, d):
     return _rounded(G.descriptives(X.gt(s, d), X.marker(s, d)), 6, "maf", "missing", "p_hwe")
 
@@ -177,7 +182,8 @@ def _(s, d):
     return G.merge_gt(g, g.where("marker % 3 = 0").withColumn("gt", ((F.col("gt") + 1) % 3).cast("int")))
 
 
-@query("g24_split_chunks")
+@query("g24_split_chunks", f"""with m as ({X.MARKER}), c as (select chr, count(*) as n, count(*) * 64 / sum(count(*)) over () as quota from m group by 1), f as (select *, 64 - sum(floor(quota)) over () as rest, row_number() over (order by quota - floor(quota) desc, chr) as place from c),
+ e as (select chr, n, greatest(floor(quota) + cast(place <= rest as int), 1) as seats from f) select m.chr, marker, pos, cast(floor((row_number() over (partition by m.chr order by pos, marker) - 1) * seats / n) as bigint) as chunk from m join e on e.chr = m.chr""")
 def _(s, d):
     return G.split_chunks(X.marker(s, d), 64)
 
@@ -238,12 +244,12 @@ def _(s, d):
     return Q.excl_maf(X.gt(s, d), 0.1)
 
 
-@query("q07_excl_hwe", f"with c as (select *, {_CHI} as chi from ({_COUNTS})) select marker from c where chr <= 22 and least({_AF}, 1 - {_AF}) >= 0.01e0 and {S.chi2_sf('chi', 1)} < 0.2e0")
+@query("q07_excl_hwe", f"with c as ({_HWE}) select marker from c where chr <= 22 and least({_AF}, 1 - {_AF}) >= 0.01e0 and {tails.chi2('chi', 1)} < 0.2e0")
 def _(s, d):
     return Q.excl_hwe(X.gt(s, d), 0.01, 0.2)
 
 
-@query("q08_hwe_by_missing", f"with c as (select *, {_CHI} as chi from ({_COUNTS})) select marker, round(-log10(greatest({S.chi2_sf('chi', 1)}, 1e-10)), 5) as hwe, round(-log10(greatest(n_missing / (n0 + n1 + n2 + n_missing), 1e-10)), 5) as missing from c where chi is not null")
+@query("q08_hwe_by_missing", f"with c as ({_HWE}) select marker, round(-log10(greatest({tails.chi2('chi', 1)}, 1e-10)), 5) as hwe, round(-log10(greatest(n_missing / (n0 + n1 + n2 + n_missing), 1e-10)), 5) as missing from c where chi is not null")
 def _(s, d):
     return _rounded(Q.hwe_by_missing(X.gt(s, d)), 5, "hwe", "missing")
 
@@ -263,12 +269,19 @@ def _ibs(s, d):
     return Q.ibs_pairs(X.gt(s, d))
 
 
-@query("q11_ibd_pairs")
+_Q11 = f"""with a as (select {_AF} as p, 1 - {_AF} as q from ({_COUNTS}) where n0 + n1 + n2 > 0), f as (select * from a where p > 0 and q > 0),
+ e as (select sum(2 * p * p * q * q) as e00, sum(4 * p * q * (p * p + q * q)) as e10, sum(power(p, 4) + power(q, 4) + 4 * p * p * q * q) as e20, sum(2 * p * q) as e11, count(*) as m from f),
+ i as (select id1, id2, ibs0, ibs1, nullif(ibs0 + ibs1 + ibs2, 0) / m as share, e.* from ({ORACLES['q10_ibs_pairs']}) x, e), z as (select *, case when share is not null then least(ibs0 / (e00 * share), 1) end as z0 from i),
+ y as (select *, case when share is not null then greatest(least((ibs1 - z0 * e10 * share) / (e11 * share), 1 - z0), 0) end as z1 from z)
+ select id1, id2, round(z0, 7) as z0, round(z1, 7) as z1, round(1 - z0 - z1, 7) as z2, round(z1 / 2 + 1 - z0 - z1, 7) as pi_hat from y"""
+
+
+@query("q11_ibd_pairs", _Q11)
 def _(s, d):
-    return Q.ibd_pairs(_ibs(s, d), X.gt(s, d))
+    return _rounded(Q.ibd_pairs(_ibs(s, d), X.gt(s, d)), 7, "z0", "z1", "z2", "pi_hat")
 
 
-@query("q12_ibs_filter")
+@query("q12_ibs_filter", f"select unnest([id1, id2]) as id from ({ORACLES['q10_ibs_pairs']}) x where coalesce(distance > 0.8e0, false) or ibs0 < 5 group by 1")
 def _(s, d):
     return Q.ibs_filter(_ibs(s, d), "distance > 0.8e0 or ibs0 < 5")
 
@@ -283,9 +296,15 @@ def _(s, d):
     return Q.drop_nan_ids(_ibs(s, d).select("id1", "id2", F.when((F.col("id1") % 40 == 3) & (F.col("id2") % 3 == 0), None).otherwise(F.col("distance")).alias("value")))
 
 
-@query("q15_qc_report")
+_EXCLUDED = f"""with g as ({X.GT}), i as (select avg(cast(gt is null as double)) > 0.02e0 as x from g group by iid), h as ({_HWE}), m as (select marker, chr, n_missing / (n0 + n1 + n2 + n_missing) > 0.02e0 as miss, n0 + n1 + n2 = 0 or least({_AF}, 1 - {_AF}) < 0.01e0 as low,
+ chr <= 22 and least({_AF}, 1 - {_AF}) >= 0.01e0 and {tails.chi2('chi', 1)} < 5e-7 as hwe from h), c as (select 'individuals' as kind, 'missing' as reason, count(*) filter (where x) as excluded, (select count(distinct c_custkey) from customer) as total from i
+ union all select 'markers', 'missing', count(*) filter (where miss), count(*) from m union all select 'markers', 'maf', count(*) filter (where low), count(*) from m union all select 'markers', 'hwe', count(*) filter (where hwe), count(*) from m)
+ select kind, reason, excluded, total, round(excluded / total, 8) as share from c"""
+
+
+@query("q15_qc_report", _EXCLUDED)
 def _(s, d):
-    return Q.qc_report(X.gt(s, d), X.sample(s, d))
+    return _rounded(Q.qc_report(X.gt(s, d), X.sample(s, d)), 8, "share")
 
 
 @query("q16_marker_totals", f"select count(*) as n_all, count(*) filter (where marker % 5 <> 0) as n_baseline, count(*) filter (where marker % 5 <> 0 and marker % 3 <> 0) as n_post from ({X.MARKER}) m")
@@ -294,7 +313,8 @@ def _(s, d):
     return Q.marker_totals(m, m.where("marker % 5 = 0"), m.where("marker % 3 = 0"))
 
 
-@query("q17_describe_variables")
+@query("q17_describe_variables", f"""with s as ({X.SAMPLE}), k as (select strat, count(*) as n from s group by 1), m as (select avg(y) as my, stddev_samp(y) as sy, avg(age) as ma, stddev_samp(age) as sa from s) select 'y' as variable, 0e0 as missing, format('mean {{:.4f}}, sd {{:.4f}}', my, sy) as distribution from m
+ union all select 'age', 0e0, format('mean {{:.4f}}, sd {{:.4f}}', ma, sa) from m union all select 'strat', 0e0, string_agg(strat || ': ' || n, ', ' order by n desc, strat) from k""")
 def _(s, d):
     return Q.describe_variables(X.sample(s, d), ["y", "age", "strat"])
 
@@ -302,21 +322,28 @@ def _(s, d):
 # --- association
 
 
-@query("t01_trend", f"with t as (select marker, {T.armitage()[0]} as chi2 from ({_TAB})) select marker, round(chi2, 5) as chi2, round({S.chi2_sf('chi2', 1)}, 6) as p from t")
+@query("t01_trend", f"with t as ({_TREND}) select marker, round(chi2, 5) as chi2, round({tails.chi2('chi2', 1)}, 6) as p from t")
 def _(s, d):
     t = T.count_tests(G.gt_table(_with_y(s, d), "cc"))
     return t.select("marker", F.round("chi2_trend", 5).alias("chi2"), F.round("p_trend", 6).alias("p"))
 
 
-@query("t02_allelic", f"with t as (select marker, {T.allelic()[0]} as chi2 from ({_TAB})) select marker, round(chi2, 5) as chi2, round({S.chi2_sf('chi2', 1)}, 6) as p from t")
+@query("t02_allelic", f"with t as ({_ALLELES}) select marker, round(chi2, 5) as chi2, round({tails.chi2('chi2', 1)}, 6) as p from t")
 def _(s, d):
     t = T.count_tests(G.gt_table(_with_y(s, d), "cc"))
     return t.select("marker", F.round("chi2_allelic", 5).alias("chi2"), F.round("p_allelic", 6).alias("p"))
 
 
-@query("t03_genotype_chi2", f"select marker, round({T.genotype_chi2()[0]}, 5) as chi2, cast({T.genotype_chi2()[1]} as int) as df from ({_TAB})")
+_CELLS = f"""with c as ({_CALLS}), m as (select marker, count(*) as n from c group by 1), r as (select marker, cc, count(*) as n from c group by 1, 2), k as (select marker, gt, count(*) as n from c group by 1, 2),
+ o as (select marker, cc, gt, count(*) as n from c group by 1, 2, 3), e as (select r.marker, r.cc, k.gt, r.n * 1e0 * k.n / m.n as e, coalesce(o.n, 0) as o from r join k using (marker) join m using (marker) left join o on o.marker = r.marker and o.cc = r.cc and o.gt = k.gt),
+ t as (select marker, sum(power(o - e, 2) / e) as chi2, (count(distinct cc) - 1) * (count(distinct gt) - 1) as df, count(*) = 6 and min(o) >= 5 as large from e group by 1)"""
+
+
+@query("t03_genotype_chi2", _CELLS + f" select marker, round(chi2, 5) as chi2, cast(df as int) as df, case when large then round({tails.chi2('chi2', 2)}, 6) end as p from t")
 def _(s, d):
-    return T.genotype_test(G.gt_table(_with_y(s, d), "cc")).select("marker", F.round("chi2", 5).alias("chi2"), "df")
+    """P of tables without small cells; the others have random tables behind their P, which the tests look at."""
+    out = T.genotype_test(G.gt_table(_with_y(s, d), "cc"))
+    return out.select("marker", F.round("chi2", 5).alias("chi2"), "df", F.when(~F.col("simulated"), F.round("p", 6)).alias("p"))
 
 
 @query("t04_linear", f"select marker, count(*) as n, round(regr_slope(y, gt), 4) as beta, round(regr_intercept(y, gt), 4) as intercept, round(regr_r2(y, gt) / (1 - regr_r2(y, gt)) * (count(*) - 2), 5) as stat from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null group by 1")
@@ -330,14 +357,45 @@ def _(s, d):
     return T.lm_per_marker(_with_y(s, d), "y", ["gt"], test="LR").select("marker", F.round("stat", 5).alias("stat"))
 
 
-@query("t06_logistic")
+_GTCELLS = f"select marker, {', '.join(f'count(*) filter (where cc = {c} and gt = {k}) * 1e0 as {n}{k}' for n, c in (('r', 1), ('s', 0)) for k in range(3))} from ({_CALLS}) group by 1"
+
+
+def _logistic_sql(scores: tuple[float, float, float]) -> str:
+    """Newton steps of a logistic fit on six cells, as a recursive query; one row per marker and step. The last step (40) is the fit."""
+    p = [f"(1 / (1 + exp(-(b0 + b1 * {x}e0))))" for x in scores]
+    n = [f"(r{k} + s{k})" for k in range(3)]
+    w = [f"({n[k]} * {p[k]} * (1 - {p[k]}))" for k in range(3)]
+    total = lambda parts: "(" + " + ".join(parts) + ")"
+    g0, g1 = total([f"(r{k} - {n[k]} * {p[k]})" for k in range(3)]), total([f"{scores[k]}e0 * (r{k} - {n[k]} * {p[k]})" for k in range(3)])
+    h00, h01, h11 = total(w), total([f"{scores[k]}e0 * {w[k]}" for k in range(3)]), total([f"{scores[k] ** 2}e0 * {w[k]}" for k in range(3)])
+    return f"""c as ({_GTCELLS}), fit as (with recursive f(k, marker, b0, b1, h00, h01, h11) as (select 0, marker, 0e0, 0e0, 0e0, 0e0, 0e0 from c union all
+ select k + 1, marker, b0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), b1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01), h00, h01, h11 from (
+ select k, f.marker, b0, b1, {g0} as g0, {g1} as g1, {h00} as h00, {h01} as h01, {h11} as h11 from f join c on c.marker = f.marker where k < 40)) select * from f where k = 40),
+ t as (select c.marker, cast(r0 + r1 + r2 + s0 + s1 + s2 as bigint) as n, b1 as beta, sqrt(h00 / (h00 * h11 - h01 * h01)) as sd, 2 * ({" + ".join(f"r{k} * ln({p[k]}) + s{k} * ln(1 - {p[k]})" for k in range(3))}
+ - (r0 + r1 + r2) * ln((r0 + r1 + r2) / (r0 + r1 + r2 + s0 + s1 + s2)) - (s0 + s1 + s2) * ln((s0 + s1 + s2) / (r0 + r1 + r2 + s0 + s1 + s2))) as stat from c join fit using (marker))"""
+
+
+# gt and age against age: cells by genotype and age, three and two coefficients in one recursion (m = 1 and 0)
+_T06 = f"""with recursive c as (select marker, gt * 1e0 as g, (age - 45) / 10e0 as a, sum(cc) * 1e0 as r, count(*) * 1e0 as n from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null group by 1, 2, 3),
+ f(k, marker, m, b0, b1, b2) as (select 0, marker, m, 0e0, 0e0, 0e0 from (select distinct marker from c), (values (0), (1)) v(m) union all
+ select k + 1, marker, m, b0 + (g0 * (hgg * haa - hga * hga) + gg * (hga * h0a - h0g * haa) + ga * (h0g * hga - hgg * h0a)) / det, b1 + m * (g0 * (hga * h0a - h0g * haa) + gg * (h00 * haa - h0a * h0a) + ga * (h0g * h0a - h00 * hga)) / det,
+ b2 + (g0 * (h0g * hga - hgg * h0a) + gg * (h0a * h0g - h00 * hga) + ga * (h00 * hgg - h0g * h0g)) / det from (select *, h00 * (hgg * haa - hga * hga) - h0g * (h0g * haa - hga * h0a) + h0a * (h0g * hga - hgg * h0a) as det from (
+ select k, marker, m, b0, b1, b2, sum(e) as g0, sum(m * g * e) as gg, sum(a * e) as ga, sum(w) as h00, sum(m * g * w) as h0g, sum(a * w) as h0a, sum(case when m = 1 then g * g * w else 1e0 end) as hgg, sum(m * g * a * w) as hga, sum(a * a * w) as haa from (
+ select f.*, g, a, r - n / (1 + exp(-(b0 + b1 * g + b2 * a))) as e, n / (1 + exp(-(b0 + b1 * g + b2 * a))) / (1 + exp(b0 + b1 * g + b2 * a)) as w from f join c using (marker) where k < 25) group by all))),
+ l as (select marker, m, max(b1) as b1, sum(r * (b0 + b1 * g + b2 * a) - n * ln(1 + exp(b0 + b1 * g + b2 * a))) as l, cast(sum(n) as bigint) as n from f join c using (marker) where k = 25 group by 1, 2),
+ t as (select one.marker, one.n, one.b1, 2 * (one.l - null.l) as stat from l as one join l as null using (marker) where one.m = 1 and null.m = 0)
+ select marker, n, round(b1, 5) as beta, round(stat, 5) as stat, round({tails.chi2("stat", 1)}, 6) as p from t""".replace("null.l", "zero.l").replace("as null", "as zero").replace("null.m", "zero.m")
+
+
+@query("t06_logistic", _T06)
 def _(s, d):
-    return T.logistic_per_marker(_with_y(s, d), "cc", ["gt", "age"], ["age"])
+    out = T.logistic_per_marker(_with_y(s, d), "cc", ["gt", "age"], ["age"])
+    return out.select("marker", "n", F.round("`beta1.gt`", 5).alias("beta"), F.round("stat", 5).alias("stat"), F.round("p", 6).alias("p"))
 
 
-@query("t07_logistic_table")
+@query("t07_logistic_table", f"with {_logistic_sql((0.0, 0.5, 1.0))} select marker, round(beta, 5) as beta, round(sd, 5) as sd, round(stat, 5) as stat, round({tails.chi2('stat', 1)}, 6) as p from t")
 def _(s, d):
-    return T.logistic_table(G.gt_table(_with_y(s, d), "cc"))
+    return _rounded(_rounded(T.logistic_table(G.gt_table(_with_y(s, d), "cc")), 5, "beta", "sd", "stat"), 6, "p")
 
 
 @query("t08_ordinal")
@@ -375,9 +433,14 @@ def _(s, d):
     return out.select("marker", F.round(F.col("score") / 1000, 3).alias("score"), F.round(F.col("missing_information") / F.col("v"), -1).alias("lost"))
 
 
-@query("t18_imputed_score_gt")
+_T18 = f"""with q as (select marker, y, p_ab as a, p_bb as b from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0), m as (select marker, avg(y) as my, avg(a) as ma, avg(b) as mb from q group by 1),
+ v as (select marker, sum((y - my) * a) as ua, sum((y - my) * b) as ub, sum(power(y - my, 2) * (ma * (1 - ma) - a * (1 - a))) as vaa, sum(power(y - my, 2) * (mb * (1 - mb) - b * (1 - b))) as vbb, sum(power(y - my, 2) * (a * b - ma * mb)) as vab from q join m using (marker) group by 1),
+ t as (select marker, case when vaa * vbb - vab * vab > 0 then (ua * ua * vbb - 2 * ua * ub * vab + ub * ub * vaa) / (vaa * vbb - vab * vab) end as stat from v) select marker, round(stat, 4) as stat, round(exp(-stat / 2), 5) as p from t"""
+
+
+@query("t18_imputed_score_gt", _T18)
 def _(s, d):
-    return T.imputed_score_gt(_prob_y(s, d), "y")
+    return _rounded(_rounded(T.imputed_score_gt(_prob_y(s, d), "y"), 4, "stat"), 5, "p")
 
 
 @query("t19_imputed_lr")
@@ -390,14 +453,16 @@ def _(s, d):
     return _rounded(T.r2_max_post(X.prob(s, d)), 7, "r2")
 
 
-@query("t21_assoc_multi")
+@query("t21_assoc_multi", " union all ".join(f"select '{y}' as phenotype, marker, count(*) as n, round(regr_slope({y}, gt), 4) as beta, round(regr_r2({y}, gt) / (1 - regr_r2({y}, gt)) * (count(*) - 2), 5) as stat from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null group by marker" for y in ("y", "cc")))
 def _(s, d):
-    return T.assoc_multi(_with_y(s, d).select("marker", "gt", "y", "cc"), ["y", "cc", "absent"], ["gt"])
+    out = T.assoc_multi(_with_y(s, d).select("marker", "gt", "y", "cc"), ["y", "cc", "absent"], ["gt"])
+    return out.select("phenotype", "marker", "n", F.round("`beta1.gt`", 4).alias("beta"), F.round("stat", 5).alias("stat"))
 
 
-@query("t22_assoc_cc")
+@query("t22_assoc_cc", f"with {_logistic_sql((0.0, 1.0, 2.0))} select marker, n, round(beta, 5) as beta, round(sd, 5) as sd, round(stat, 5) as stat, round({tails.chi2('stat', 1)}, 6) as p from t")
 def _(s, d):
-    return T.logistic_per_marker(_with_y(s, d), "cc", ["gt"])
+    out = T.logistic_per_marker(_with_y(s, d), "cc", ["gt"])
+    return out.select("marker", "n", F.round("`beta1.gt`", 5).alias("beta"), F.round("`sd1.gt`", 5).alias("sd"), F.round("stat", 5).alias("stat"), F.round("p", 6).alias("p"))
 
 
 @query("t23_expected_dosage", f"select marker, count(*) as n, case when stddev_pop({_DOSE}) > 1e-6 then round(regr_slope(y, {_DOSE}), 4) end as beta from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0 group by 1")
@@ -422,13 +487,13 @@ def _(s, d):
     return T.permute_p(one, "iid", "y", F.abs(S.corr("y", "gt")), 50)
 
 
-@query("d01_per_marker")
+@query("d01_per_marker", f"select marker, round(case when stddev_pop({_DOSE}) > 1e-9 then corr({_DOSE}, y) end, 7) as r from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0 group by 1")
 def _(s, d):
     def fit(p: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"marker": p["marker"].iloc[:1], "r": [np.corrcoef(p["dosage"], p["y"])[0, 1]]})
 
     p = _prob_y(s, d).where("p_aa + p_ab + p_bb > 0").select("marker", G.dosage().alias("dosage"), "y")
-    return D.per_marker(p, fit, "marker long, r double")
+    return D.per_marker(p, fit, "marker long, r double").select("marker", F.round(F.nanvl("r", F.lit(None).cast("double")), 7).alias("r"))
 
 
 @query("d02_n_to_one", "select (select count(*) from customer) + (select count(*) from supplier) as n")

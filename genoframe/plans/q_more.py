@@ -120,13 +120,21 @@ def _(s, d):
     return M.status_counts(M.association(_with_y(s, d), models, maf=0.1))
 
 
-@query("t13_expanded_models")
+_T13 = f"with g as (select * from ({X.GT}) g join ({X.SAMPLE}) s using (iid))" + "".join(
+    f", {t} as (select marker, count(*) filter (where gt = 0) as n0, count(*) filter (where gt = 1) as n1, count(*) filter (where gt = 2) as n2 from g where {w} group by 1)" for t, w in (("a", "true"), ("o", "age > 40"))
+) + " union all ".join(
+    f"{'' if k else ' '}select '{tag}' as tag, marker, case when ok then round({_AF}, 7) end as af, case when ok then 'ok' else 'excluded' end as status from (select *, least({_AF}, 1 - {_AF}) >= 0.01e0 and cast(n0 < 5 as int) + cast(n1 < 5 as int) + cast(n2 < 5 as int) < 2 as ok from {t})"
+    for k, (tag, t) in enumerate((("y_all", "a"), ("y_old", "o"), ("cc_all", "a"), ("cc_old", "o"), ("y_all_mds1-2", "a")))
+)
+
+
+@query("t13_expanded_models", _T13)
 def _(s, d):
     """Two responses on two subsets, and one model with scaling components as covariates."""
     models = M.expand_models([M.Model("y", ("gt",), responses=("y", "cc"), subsets={"all": None, "old": "age > 40"}), M.Model("y", ("gt",), components=(1, 2))])
     # two covariates stand for the components
     rows = _with_y(s, d).withColumns({"c1": F.col("iid") % 17 - 8, "c2": F.col("iid") % 23 - 11})
-    return M.association(rows, models)
+    return M.association(rows, models).select("tag", "marker", F.round("af", 7).alias("af"), "status")
 
 
 @query("t15_single_marker", f"select marker, round(regr_slope(y, gt), 4) as beta from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null and marker = 12 group by 1")

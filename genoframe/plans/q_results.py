@@ -12,7 +12,9 @@ from genoframe.operators import results as R
 from genoframe.operators import windows as W
 from genoframe.operators.windows import shared_base
 from genoframe.plans import fixtures as X
+from genoframe.plans import tails
 from genoframe.plans.q_genetics import _COUNTS
+from genoframe.plans.q_tables import prune_rounds
 from genoframe.sources import tables as SC
 
 QUERIES: dict = {}
@@ -36,7 +38,7 @@ def _rounded(df, n: int, *cols: str):
 A = X.ASSOC
 
 
-@query("r01_inflation", f"with c as (select {S.chi2_isf_1('p')} as x from ({A}) a) select round(power(sqrt(quantile_cont(x, 0.5)) / sqrt(0.4549e0), 2), 6) as lambda_median, round(power(quantile_cont(sqrt(x), 0.5) / sqrt(0.4549e0), 2), 6) as lambda_roots, round(quantile_cont(x, 0.5) / 0.456e0, 6) as lambda_stat from c")
+@query("r01_inflation", f"with m as (select quantile_disc(p, 0.5e0) as a, (select max(p) from (select p from ({A}) b order by p limit (select count(*) // 2 + 1 from ({A}) c))) as b from ({A}) a), x as (select {tails.chi2_quantile_of('(select a from m)')} as x, {tails.chi2_quantile_of('(select b from m)')} as y) select round((x + y) / 2 / 0.4549e0, 6) as lambda_median, round(power((sqrt(x) + sqrt(y)) / 2, 2) / 0.4549e0, 6) as lambda_roots, round((x + y) / 2 / 0.456e0, 6) as lambda_stat from x")
 def _(s, d):
     return _rounded(R.inflation(X.assoc(s, d)), 6, "lambda_median", "lambda_roots", "lambda_stat")
 
@@ -84,7 +86,7 @@ def _(s, d):
     return R.q_value(X.assoc(s, d)).select("marker", F.round("q", 7).alias("q"))
 
 
-@query("r10_fisher", f"select marker, round({S.chi2_sf('(-2e0 * ln(p) - 2e0 * ln(af))', 4)}, 8) as p from ({A}) a where af > 0 and af <= 1")
+@query("r10_fisher", f"select marker, round(p * af * (1 - ln(p * af)), 8) as p from ({A}) a where af > 0 and af <= 1")
 def _(s, d):
     return X.assoc(s, d).where("af > 0 and af <= 1").select("marker", F.round(R.fisher_p(["p", "af"]), 8).alias("p"))
 
@@ -112,9 +114,9 @@ def _(s, d):
     return R.meta_reml({str(k): X.study(s, d, k) for k in range(3)})
 
 
-@query("r14_prs_snps")
+@query("r14_prs_snps", prune_rounds(20000, 15, f"select * from ({A}) a where p < 0.01e0", "marker, round(p, 7) as p"))
 def _(s, d):
-    return R.prs_snps(X.assoc(s, d), 0.01, 20000).select("marker", "p")
+    return R.prs_snps(X.assoc(s, d), 0.01, 20000).select("marker", F.round("p", 7).alias("p"))
 
 
 @query("r16_prs_score", f"select iid, round(sum((marker % 7 - 3) * (p_ab + 2 * p_bb) * 0.1e0), 5) as score from ({X.PROB}) p group by 1")
@@ -266,10 +268,11 @@ def _(s, d):
     return X.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.expr(S.err_sum("l_tax", "l_discount", "0.001e0")), 8).alias("s"), F.round(F.expr(S.err_prod("l_quantity", "l_extendedprice", "0.1e0", "0.2e0", "0.5e0")), 2).alias("p"))
 
 
-@query("x11_tails", f"select marker, round(-log10(p), 7) as m, round({S.chi2_sf('(beta * 20 + 20)', 1)}, 7) as c1, round({S.chi2_sf('(beta * 20 + 20)', 2)}, 7) as c2, round({S.chi2_sf('(beta * 20 + 20)', 5)}, 6) as c5, round({S.chi2_isf_1('p')}, 6) as q from ({A}) a")
+@query("x11_tails", f"select marker, round(-log10(p), 7) as m, round({tails.chi2('x', 1)}, 7) as c1, round({tails.chi2('x', 2)}, 7) as c2, round({tails.chi2('x', 5)}, 6) as c5, 1 as inverse from (select *, beta * 20 + 20 as x from ({A})) a")
 def _(s, d):
     x = "(beta * 20 + 20)"
-    return X.assoc(s, d).select("marker", F.round(F.expr(S.mlog10("p")), 7).alias("m"), F.round(F.expr(S.chi2_sf(x, 1)), 7).alias("c1"), F.round(F.expr(S.chi2_sf(x, 2)), 7).alias("c2"), F.round(F.expr(S.chi2_sf(x, 5)), 6).alias("c5"), F.round(F.expr(S.chi2_isf_1("p")), 6).alias("q"))
+    a = X.assoc(s, d).withColumn("isf", F.expr(S.chi2_isf_1("p")))
+    return a.select("marker", F.round(F.expr(S.mlog10("p")), 7).alias("m"), F.round(F.expr(S.chi2_sf(x, 1)), 7).alias("c1"), F.round(F.expr(S.chi2_sf(x, 2)), 7).alias("c2"), F.round(F.expr(S.chi2_sf(x, 5)), 6).alias("c5"), (F.abs(F.expr(S.chi2_sf("isf", 1)) / F.col("p") - 1) < 1e-7).cast("int").alias("inverse"))
 
 
 @query("x12_complement", f"select marker, translate(a1, 'ACGT', 'TGCA') as c, translate(a1, 'ACGT', 'TGCA') = a2 as f from ({X.MARKER}) m")

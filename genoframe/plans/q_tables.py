@@ -455,9 +455,20 @@ def _(s, d):
     return out.select("variable", *(F.round(c, 5).alias(c) for c in out.columns[1:]))
 
 
-@query("a08_descriptives")
+_A08 = """with x as (select l_extendedprice * 1e0 as x, row_number() over (order by l_extendedprice) as k, count(*) over () as n from lineitem), h as (select quantile_cont(x, 0.5e0) filter (where k <= (n + 1) // 2) as lo, quantile_cont(x, 0.5e0) filter (where k > n // 2) as hi, quantile_cont(x, 0.5e0) as median from x)
+ select count(*) as n, cast(0 as bigint) as n_na, 0e0 as na_percent, round(avg(x), 4) as mean, round(max(median), 4) as median, round(stddev_samp(x) / sqrt(count(*)), 5) as se, count(*) filter (where x < lo - 1.5e0 * (hi - lo) or x > hi + 1.5e0 * (hi - lo)) as outliers from x, h"""
+
+
+@query("a08_descriptives", _A08)
+def _(s, d):
+    out = A.descriptives(table(s, d, "lineitem"), "l_extendedprice")
+    return out.withColumns({"mean": F.round("mean", 4), "median": F.round("median", 4), "se": F.round("se", 5)})
+
+
+@query("a09_sample_description", "select round(avg(o_totalprice), 4) as mean, round(quantile_cont(o_totalprice, 0.5e0), 4) as median, round(stddev_samp(o_totalprice), 4) as sd, round(quantile_cont(o_totalprice, 0.25e0), 4) as lo, round(quantile_cont(o_totalprice, 0.75e0), 4) as hi from orders")
 def _(s, d):
-    return A.descriptives(table(s, d, "lineitem"), "l_extendedprice")
+    out = A.sample_description(table(s, d, "orders"), "o_totalprice")
+    return out.select(*(F.round(c, 4).alias(c) for c in ("mean", "median", "sd")), F.round(F.get("quantiles", F.lit(0)), 4).alias("lo"), F.round(F.get("quantiles", F.lit(1)), 4).alias("hi"))
 
 
 @query("a10_skewness", "with m as (select avg(l_extendedprice) as m, count(*) as n from lineitem) select round(sum(power(l_extendedprice - m, 3)) / max(n) / power(sum(power(l_extendedprice - m, 2)) / max(n), 1.5e0) * power(1 - 1.0e0 / max(n), 1.5e0), 6) as skewness from lineitem, m")
@@ -540,13 +551,22 @@ def _(s, d):
     return A.lump_factor(table(s, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey", 50)
 
 
-@query("a28_corr_clusters")
+@query("a28_corr_clusters", "select * from (select case when abs(corr(l_quantity, l_extendedprice)) > 0.99e0 then 1 else 0 end as near from lineitem) x, (values ('l_quantity', 'l_quantity'), ('twice', 'l_quantity'), ('l_tax', 'l_tax')) v(\"column\", cluster) union all select near, 'l_extendedprice', case when near = 1 then 'l_quantity' else 'l_extendedprice' end from (select cast(abs(corr(l_quantity, l_extendedprice)) > 0.99e0 as int) as near from lineitem) y")
 def _(s, d):
     t = table(s, d, "lineitem").select("l_quantity", "l_extendedprice", (F.col("l_quantity") * 2).alias("twice"), "l_tax")
-    return A.corr_clusters(t, ["l_quantity", "l_extendedprice", "twice", "l_tax"], 0.01)
+    out = A.corr_clusters(t, ["l_quantity", "l_extendedprice", "twice", "l_tax"], 0.01)
+    return out.select("column", "cluster", F.lit(0).alias("near"))
 
 
-@query("a29_components")
+def _label_rounds(edges: str, rounds: int) -> str:
+    """Least labels over ``rounds`` steps; the graph of the query is far narrower."""
+    parts = [f"e as materialized ({edges})", "l as materialized (select a, b from e union select b, a from e)", "r0 as materialized (select distinct a as node, a as root from l)"]
+    for k in range(rounds):
+        parts.append(f"r{k + 1} as materialized (select r.node, least(r.root, min(o.root)) as root from r{k} r join l on l.a = r.node join r{k} o on o.node = l.b group by r.node, r.root)")
+    return f"with {', '.join(parts)} select node, root from r{rounds}"
+
+
+@query("a29_components", _label_rounds("select distinct l_partkey * 2 as a, l_suppkey * 2 + 1 as b from lineitem", 12))
 def _(s, d):
     li = table(s, d, "lineitem")
     return A.components(li.select((F.col("l_partkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")).where("a <> b"))
@@ -597,24 +617,29 @@ def _(s, d):
     return W.prune_distance(X.assoc(s, d), 500).select("marker", "chr", "pos", F.round("p", 7).alias("p"))
 
 
-def _prune_rounds(d: int, rounds: int) -> str:
+def prune_rounds(d: int, rounds: int, source: str = X.ASSOC, wanted: str = "marker") -> str:
     """All rounds as chained tables, from d/100 to d in steps even in logs; the distances are written out as they are at d = 20000."""
     steps = [200, 278, 386, 537, 746, 1036, 1439, 2000, 2779, 3861, 5365, 7455, 10359, 14394, 20000]
     assert len(steps) == rounds and steps[-1] == d
-    parts = [f"r0 as materialized ({X.ASSOC})"]
+    parts = [f"r0 as materialized ({source})"]
     for k, step in enumerate(steps):
         parts.append(f"r{k + 1} as materialized ({_PRUNE.format(d=step, t=f'select * from r{k}')})")
-    return f"with {', '.join(parts)} select marker from r{rounds}"
+    return f"with {', '.join(parts)} select {wanted} from r{rounds}"
 
 
-@query("w03_prune_iter", _prune_rounds(20000, 15))
+@query("w03_prune_iter", prune_rounds(20000, 15))
 def _(s, d):
     return W.prune_distance_iter(X.assoc(s, d), 20000).select("marker")
 
 
-@query("w04_top_hits")
+_W04 = f"""with recursive c as materialized (select marker, chr, pos, p from ({X.ASSOC}) a order by p, marker limit 600), t(k, taken) as (select 0, cast([] as struct(marker bigint, chr int, pos bigint)[]) union all
+ select k + 1, list_append(taken, (select struct_pack(marker := marker, chr := chr, pos := pos) from c where len([x for x in t.taken if x.marker = c.marker or (x.chr = c.chr and abs(x.pos - c.pos) > 0 and abs(x.pos - c.pos) < 20000)]) = 0 order by p, marker limit 1)) from t where k < 20)
+ select h.marker, c.chr, c.pos, round(c.p, 7) as p from (select unnest(taken).marker as marker from t where k = 20) h join c on c.marker = h.marker"""
+
+
+@query("w04_top_hits", _W04)
 def _(s, d):
-    return W.top_hits(X.assoc(s, d), 20, 20000)
+    return W.top_hits(X.assoc(s, d), 20, 20000).select("marker", "chr", "pos", F.round("p", 7).alias("p"))
 
 
 @query("w05_genome_positions", f"with a as ({X.ASSOC}), e as (select chr, max(pos) as length from a group by 1) select a.marker, cast(coalesce((select sum(length) from e where e.chr < a.chr), 0) + a.pos as bigint) as genome_pos from a")
