@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import functools
+import operator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Cody's rational approximations of erfc for 0.46875 to 4 (used from 0 on, where the relative error stays below 5e-12) and beyond.
@@ -244,6 +247,20 @@ def corr(a: str, b: str) -> Column:
     return F.covar_pop(a, b) / F.nullif(F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b))), F.lit(0.0))
 
 
+def log_sum_exp(df: DataFrame, keys: list[str], col: str, out: str = "lse") -> DataFrame:
+    """Log of the sum of exponentials by key, pivoted at each key's maximum so that nothing overflows; nulls are left out."""
+    top = df.groupBy(*keys).agg(F.max(col).alias("__top"))
+    joined = df.join(top.select(*(F.col(k).alias(f"__{k}") for k in keys), "__top"), functools.reduce(operator.and_, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys)))
+    return joined.groupBy(*keys, "__top").agg(F.sum(F.exp(F.col(col) - F.col("__top"))).alias("__x")).select(*keys, (F.col("__top") + F.log("__x")).alias(out))
+
+
+def factor_guess(df: DataFrame, col: str, most: float = 0.05) -> DataFrame:
+    """Share of distinct values among the known ones, whether the column looks like a factor (share at most ``most``), and whether it has two values."""
+    kinds = df.agg(F.count_distinct(col).alias("k"), F.count(col).alias("n"))
+    share = F.col("k") / F.nullif(F.col("n"), F.lit(0))
+    return kinds.select(share.alias("share"), (share <= most).alias("is_factor"), (F.col("k") == 2).alias("is_binary"))
+
+
 def log_multinomial(counts: Column) -> Column:
     """Log of the multinomial coefficient of an array of counts; log factorials are sums of logs."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda acc, x: acc + x)

@@ -252,9 +252,7 @@ def _(s, d):
 
 @query("x08_log_sum_exp", "select l_returnflag, round(max(l_quantity) + ln(sum(exp(l_quantity - 50))) + 50 - max(l_quantity), 7) as lse from lineitem group by 1")
 def _(s, d):
-    li = X.table(s, d, "lineitem")
-    m = li.groupBy("l_returnflag").agg(F.max("l_quantity").alias("m"))
-    return li.join(F.broadcast(m), "l_returnflag").groupBy("l_returnflag", "m").agg(F.sum(F.exp(F.col("l_quantity") - F.col("m"))).alias("x")).select("l_returnflag", F.round(F.col("m") + F.log("x"), 7).alias("lse"))
+    return _rounded(S.log_sum_exp(X.table(s, d, "lineitem"), ["l_returnflag"], "l_quantity"), 7, "lse")
 
 
 @query("x09_ci", f"select marker, round({S.ci_to_sd('(beta - 2 * sd)', '(beta + 2 * sd)')}, 7) as sd, round({S.ci_to_p('(beta - 2 * sd)', '(beta + 2 * sd)')}, 6) as p, round({S.beta_p_to_sd('beta', 'p')}, 5) as sd_p from ({A}) a where p < 0.9e0")
@@ -296,9 +294,9 @@ def _(s, d):
     return X.table(s, d, "part").select("p_partkey", S.chromosome_of(F.concat(F.lit("/a/b/x_chr"), F.col("p_partkey") % 23, F.lit("_c3.gens"))).alias("chr"))
 
 
-@query("x17_factor_guess", "select round(count(distinct l_linenumber) / count(l_linenumber), 8) as share, count(distinct l_linenumber) = 2 as is_binary from lineitem")
+@query("x17_factor_guess", "select round(count(distinct l_linenumber) / count(l_linenumber), 8) as share, count(distinct l_linenumber) / count(l_linenumber) <= 0.05e0 as is_factor, count(distinct l_linenumber) = 2 as is_binary from lineitem")
 def _(s, d):
-    return X.table(s, d, "lineitem").agg(F.round(F.count_distinct("l_linenumber") / F.count("l_linenumber"), 8).alias("share"), (F.count_distinct("l_linenumber") == 2).alias("is_binary"))
+    return _rounded(S.factor_guess(X.table(s, d, "lineitem"), "l_linenumber"), 8, "share")
 
 
 @query("x18_multinomial", f"select marker, round(lgamma(n0 + n1 + n2 + 1) - lgamma(n0 + 1) - lgamma(n1 + 1) - lgamma(n2 + 1), 5) as coef from ({_COUNTS})")

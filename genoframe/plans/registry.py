@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: tuple[str, ...] = ("q_genetics", "q_tables", "q_results", "q_more")
+MODULES: tuple[str, ...] = ("q_genetics", "q_tables", "q_results", "q_more", "q_sources")
 
 
 def _gather(attribute: str) -> dict:

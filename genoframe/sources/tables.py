@@ -138,37 +138,94 @@ def read_bim(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BIM).options(sep="\t").csv(path)
 
 
-def read_bed(spark: SparkSession, bed: str, bim: DataFrame, fam: DataFrame, line: str = "line") -> DataFrame:
-    """SC11: (marker number, individual number, gt) of the public packed format: after three magic bytes ceil(n / 4) bytes a marker, two bits a call,
-    00 two copies of the first allele, 01 missing, 10 one, 11 none. Numbers are file order, from 0.
+def read_bed(spark: SparkSession, bed: str, bim: DataFrame, fam: DataFrame, markers_at_once: int = 1000) -> DataFrame:
+    """SC11: (marker_no, person_no, gt) of the public packed format: after three magic bytes ceil(n / 4) bytes a marker, two bits a call,
+    00 two copies of the first allele, 01 missing, 10 one, 11 none. Numbers are file order, from 0; missing calls are null.
 
-    The file is read as fixed-length records of one marker, so that it splits; the bits are taken apart by numpy.
+    Tasks read ranges of ``markers_at_once`` markers by their place in the file, so that a large file is read by many of them; the bits are taken apart by
+    numpy. A file whose length does not fit the two tables is an error.
     """
     import numpy as np
-    import pandas as pd
-
-    n = fam.count()
-    width = -(-n // 4)
-    records = spark.sparkContext.binaryFiles(bed)  # (path, bytes): a marker-major file is cut below
-
-    def rows(pair):
-        data = pair[1]
-        if data[:3] != b"\x6c\x1b\x01":
-            raise ValueError("not a marker-major packed genotype file")
-        for k in range((len(data) - 3) // width):
-            yield k, bytearray(data[3 + k * width : 3 + (k + 1) * width])
-
-    packed = spark.createDataFrame(records.flatMap(rows), "k long, data binary")
-
-    def unpack(batches):
-        table = np.array([2, -1, 1, 0], np.int8)
-        for pdf in batches:
-            for k, data in zip(pdf["k"], pdf["data"], strict=True):
-                codes = np.frombuffer(data, np.uint8)
-                calls = table[(codes[:, None] >> np.array([0, 2, 4, 6])) & 3].ravel()[:n]
-                yield pd.DataFrame({"marker_no": k, "person_no": np.arange(n), "gt": pd.array(np.where(calls < 0, 0, calls), "Int8").astype("Int32").where(calls >= 0)})
-
-    return packed.mapInPandas(unpack, "marker_no long, person_no long, gt int")
+    import pyarrow as pa
+    from pyarrow import fs
+
+    people, markers = fam.count(), bim.count()
+    width = -(-people // 4)
+    out = pa.schema([("marker_no", pa.int64()), ("person_no", pa.int64()), ("gt", pa.int32())])
+
+    def run(batches):
+        table = np.array([2, -1, 1, 0], np.int32)
+        for batch in batches:
+            for first in batch.column(0).to_pylist():
+                store, path = fs.FileSystem.from_uri(bed) if "://" in bed else (fs.LocalFileSystem(), bed)
+                with store.open_input_file(path) as source:
+                    if source.read(3) != b"\x6c\x1b\x01" or source.size() != 3 + markers * width:
+                        raise ValueError("not a marker-major packed genotype file of these markers and individuals")
+                    count = min(markers_at_once, markers - first)
+                    source.seek(3 + first * width)
+                    codes = np.frombuffer(source.read(count * width), np.uint8).reshape(count, width)
+                for k in range(count):
+                    calls = table[(codes[k][:, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3].ravel()[:people]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(people, first + k)), pa.array(np.arange(people)), pa.array(calls, pa.int32(), mask=calls < 0)], schema=out)
+
+    ranges = spark.range(0, markers, markers_at_once) if markers else spark.range(0)
+    return ranges.mapInArrow(run, "marker_no long, person_no long, gt int")
+
+
+def bed_records(gt: DataFrame, people: int) -> DataFrame:
+    """SC11, the other way: (marker_no, data) with the packed calls of each marker of (marker_no, person_no, gt); absent calls are missing ones."""
+    calls = gt.groupBy("marker_no").agg(F.map_from_entries(F.collect_list(F.struct("person_no", F.when(F.col("gt") == 2, 0).when(F.col("gt") == 1, 2).when(F.col("gt") == 0, 3).otherwise(1)))).alias("m"))
+    code = lambda byte, k: F.shiftleft(F.when(byte * 4 + k < people, F.coalesce(F.element_at("m", (byte * 4 + k).cast("long")), F.lit(1))).otherwise(0), 2 * k)
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(-(-people // 4) - 1)), lambda byte: F.lpad(F.hex(code(byte, 0) + code(byte, 1) + code(byte, 2) + code(byte, 3)), 2, "0"))
+    return calls.select("marker_no", F.unhex(F.array_join(pairs, "")).alias("data"))
+
+
+def join_id_files(spark: SparkSession, templates: list[str], values: dict[str, list[str]], column: int = 0, sep: str = "\t") -> DataFrame:
+    """Distinct ids of a column of all files that the templates (``{name}`` filled in with each of the values) lead to; absent and empty files are passed over."""
+    import itertools
+
+    paths = [t.format(**dict(zip(values, combination, strict=True))) for t in templates for combination in itertools.product(*values.values())]
+    context = spark.sparkContext
+    there = []
+    for path in dict.fromkeys(paths):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(place):
+            there.append(path)
+    if not there:
+        return spark.createDataFrame([], "id string")
+    cell = F.get(F.split("value", sep), F.lit(column))
+    return spark.read.text(there).select(F.trim(cell).alias("id")).where("id <> ''").distinct()
+
+
+def export_clean(df: DataFrame, components: DataFrame | None, excluded: DataFrame, markers_excluded: DataFrame, prefix: str, key: str = "id") -> dict[str, str]:
+    """SC26: variables of the individuals that are not excluded, with their scaling components, and the lists of individuals in and out and of excluded
+    markers, each as CSV below ``prefix``; gives the paths. Individuals without components keep nulls."""
+    whole = df if components is None else df.join(components, key, "left")
+    kept = whole.join(excluded.select(F.col("id").alias(key)).distinct(), key, "left_anti")
+    tables = {
+        "individuals-excluded": excluded.select("id").distinct(), "individuals-included": kept.select(key).distinct(), "variables": kept,
+        "markers-excluded": markers_excluded.select("id").distinct(),
+    }
+    paths = {}
+    for name, table in tables.items():
+        paths[name] = f"{prefix}-{name}.csv"
+        write_table(table, [paths[name]], sep=",")
+    return paths
+
+
+def add_map(folder: str, chart: DataFrame, source: str, version: str, overwrite: bool = False) -> None:
+    """SC20: writes the map below ``folder``; one that is there is an error, or with ``overwrite`` it is kept as ``map-backup``. A row of metadata is added."""
+    spark = chart.sparkSession
+    context = spark.sparkContext
+    place, backup = (context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}") for name in ("map", "map-backup"))
+    store = place.getFileSystem(context._jsc.hadoopConfiguration())
+    if store.exists(place):
+        if not overwrite:
+            raise ValueError(f"there is a map in {folder} already")
+        store.delete(backup, True)
+        store.rename(place, backup)
+    chart.write.parquet(f"{folder}/map")
+    spark.createDataFrame([("map", source, version)], "table string, source string, version string").write.mode("append").parquet(f"{folder}/metadata")
 
 
 def write_table(df: DataFrame, paths: list[str], columns: list[str] | None = None, sep: str = "\t", header: bool = True, quote: bool = False, decimal: str = ".", mode: str = "overwrite") -> None:
