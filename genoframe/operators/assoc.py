@@ -7,10 +7,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoframe.functions import scalars as S
+from genoframe.operators.windows import global_rank, kept
 
 
 def armitage() -> tuple[str, str]:
@@ -573,64 +575,198 @@ def lh_test_lr(df: DataFrame, cols: list[str], loglik: Callable[[np.ndarray, pd.
 
 # --- permutations ----------------------------------------------------------------------------------------------
 
+_MIX1, _MIX2, _GOLDEN = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
-def _permuted(sample: DataFrame, y: str, reps: int, seed: int) -> DataFrame:
-    """(rep, iid, y): for each replicate the phenotypes dealt anew: rank by a seeded hash of the individual meets rank by another."""
-    from pyspark.sql import Window
 
-    ids = sample.where(F.col(y).isNotNull()).select("iid", y)
-    replicated = ids.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
-    rank = lambda tag: F.row_number().over(Window.partitionBy("rep").orderBy(F.xxhash64(F.lit(seed), F.lit(tag), F.col("rep"), F.col("iid")), "iid"))
-    from_ = replicated.select("rep", rank("y").alias("k"), F.col(y))
-    to = replicated.select("rep", rank("id").alias("k"), "iid")
-    return to.join(from_, ["rep", "k"]).select("rep", "iid", y)
+def _uniform(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Numbers in [0, 1) by hash, one for each row key (64 bits) and column number."""
+    x = rows[:, None] + (columns[None, :] + np.uint64(1)) * _GOLDEN
+    x = (x ^ (x >> np.uint64(30))) * _MIX1
+    x = (x ^ (x >> np.uint64(27))) * _MIX2
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
-def global_emp(gt: DataFrame, sample: DataFrame, y: str, reps: int = 100, seed: int = 1, how: str = "min") -> DataFrame:
-    """P of an aggregate over markers (least P, or tail strength) from permuted phenotypes, ``#{p < p0} / M``; trend statistics by replicate are native sums."""
-    from genoframe.operators.genotypes import gt_table
+def _keys(column: pa.Array) -> np.ndarray:
+    return column.to_numpy().view(np.uint64)
 
-    observed = sample.select(F.lit(0).alias("rep"), "iid", y)
-    every = observed.unionByName(_permuted(sample, y, reps, seed))
-    # genotypes first summed by individual patterns are not needed: the join is on iid, sums are partial
-    joined = gt.where("gt is not null").select("iid", "marker", "gt").join(every, "iid").withColumn("marker", F.struct("rep", "marker"))
-    tested = count_tests(gt_table(joined, y)).select("marker.rep", "p_trend")
-    value = F.min("p_trend") if how == "min" else F.avg(-F.log("p_trend"))
-    per = tested.groupBy("rep").agg(value.alias("value"))
+
+def _dealt_cases(sample: DataFrame, y: str, reps: int, seed: int) -> DataFrame:
+    """(iid, key, cases): bit 0 of ``cases`` is the individual's own status, bit r whether it is a case in replicate r.
+
+    In each replicate the cases are the ``n1`` individuals of least hash, so that their number stays. The hash up to which they go lies near n1 / n: a first
+    pass counts what lies surely below and sends on the few values near it (some square root of n a replicate), of which the right one is taken.
+    """
+    known = sample.where(F.col(y).isNotNull()).select("iid", F.col(y).cast("int").alias("y"), F.xxhash64(F.lit(seed), "iid").alias("key"))
+    n, n1 = known.agg(F.count("*"), F.sum("y")).first()
+    if not n:
+        return known.select("iid", "key", F.lit(None).cast("binary").alias("cases"))
+    share, columns = n1 / n, np.arange(reps, dtype=np.uint64)
+    around = 8 * math.sqrt(share * (1 - share) / n) + 2 / n
+    lo, hi = share - around, share + around
+
+    def near(batches):
+        below = np.zeros(reps, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                u = _uniform(_keys(batch.column(2))[at : at + 256], columns)
+                below += (u < lo).sum(0)
+                row, rep = np.nonzero((u >= lo) & (u <= hi))
+                yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int32()), pa.array(u[row, rep]), pa.nulls(len(rep), pa.int64())], names=["rep", "u", "below"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(reps), pa.int32()), pa.nulls(reps, pa.float64()), pa.array(below)], names=["rep", "u", "below"])
+
+    counted = kept(known.mapInArrow(near, "rep int, u double, below long"))
+    below = counted.where("u is null").groupBy("rep").agg(F.sum("below").alias("below"))
+    placed = counted.where("u is not null").withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy("u"))).drop("below").join(below, "rep")
+    found = {r["rep"]: r["u"] for r in placed.where(F.col("k") + F.col("below") == n1).select("rep", "u").collect()}  # one number a replicate
+    least = np.array([found.get(r, share if 0 < n1 < n else (-1.0 if n1 == 0 else 2.0)) for r in range(reps)])
+
+    def deal(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                cases = np.empty((part.num_rows, reps + 1), bool)
+                cases[:, 0] = part.column(1).to_numpy() > 0
+                cases[:, 1:] = _uniform(_keys(part.column(2)), columns) <= least
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([x.tobytes() for x in np.packbits(cases, axis=1)], pa.binary())], names=["iid", "key", "cases"])
+
+    return known.mapInArrow(deal, "iid long, key long, cases binary")
+
+
+def _erfc(x: np.ndarray) -> np.ndarray:
+    """For x of 0 or more, by the approximation that the scalar functions use."""
+    y = np.maximum(x, 4.0)
+    inverse = 1 / (y * y)
+    large = np.exp(-y * y) / y * (1 / math.sqrt(math.pi) - inverse * np.polyval(S._ERF_P, inverse) / np.polyval(S._ERF_Q, inverse))
+    z = np.minimum(x, 4.0)
+    return np.where(x > 4, large, np.exp(-z * z) * np.polyval(S._ERF_C, z) / np.polyval(S._ERF_D, z))
+
+
+def _trend(cases: np.ndarray, totals: np.ndarray, all_cases: np.ndarray) -> np.ndarray:
+    """Trend chi-square by replicate from ``cases`` (3, replicates) and ``totals`` (3, replicates); 0 where it is not defined."""
+    n, r = totals.sum(0), all_cases
+    x, xx = totals[1] + 2.0 * totals[2], totals[1] + 4.0 * totals[2]
+    low = r * (n - r) * (n * xx - x * x)
+    top = n * (cases[1] + 2.0 * cases[2]) - r * x
+    return np.where(low > 0, n * top * top / np.where(low > 0, low, 1), 0.0)
+
+
+def _by_replicate(rows: DataFrame, reps: int, seed: int, drawn: bool, how: str) -> DataFrame:
+    """(rep, value) over all markers of ``rows`` (marker, key, cases and gt, or p_aa and p_ab where genotypes are drawn): replicates are
+    summed side by side as arrays, marker by marker, in one pass. ``how``: the greatest trend statistic (``max``) or the sum of -log P (``log``)."""
+    columns = np.arange(reps + 1, dtype=np.uint64)
+
+    def run(batches):
+        best = np.zeros(reps + 1)
+        marker, cases, totals = None, np.zeros((3, reps + 1)), np.zeros((3, reps + 1))
+
+        def close() -> None:
+            chi2 = _trend(cases, totals, cases.sum(0))
+            if how == "max":
+                np.maximum(best, chi2, out=best)
+            else:
+                best[:] -= np.log(np.maximum(_erfc(np.sqrt(chi2 / 2)), 1e-300))
+
+        for batch in batches:
+            names = batch.column(0).to_numpy()
+            for at in range(0, len(names), 512):
+                part = batch.slice(at, 512)
+                dealt = np.unpackbits(np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(part.num_rows, -1), axis=1)[:, : reps + 1].astype(bool)
+                if drawn:
+                    u = _uniform(_keys(part.column(1)) ^ (names[at : at + 512].view(np.uint64) + np.uint64(seed)) * _MIX1, columns)
+                    first = part.column(3).to_numpy()[:, None]
+                    g = (u >= first).astype(np.int8) + (u >= first + part.column(4).to_numpy()[:, None])
+                else:
+                    g = np.broadcast_to(part.column(3).to_numpy().astype(np.int8)[:, None], dealt.shape)
+                own = names[at : at + 512]
+                for a in np.flatnonzero(np.diff(own, prepend=own[0] - 1)).tolist():
+                    b = a + int(np.searchsorted(own[a:], own[a], "right"))
+                    if marker is not None and own[a] != marker:
+                        close()
+                        cases[:], totals[:] = 0, 0
+                    marker = own[a]
+                    for k in range(3):
+                        here = g[a:b] == k
+                        totals[k] += here.sum(0)
+                        cases[k] += (here & dealt[a:b]).sum(0)
+        if marker is not None:
+            close()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(reps + 1), pa.int32()), pa.array(best)], names=["rep", "value"])
+
+    dealt = rows.repartition("marker").sortWithinPartitions("marker")
+    parts = dealt.mapInArrow(run, "rep int, value double")
+    return parts.groupBy("rep").agg((F.max("value") if how == "max" else F.sum("value")).alias("value"))
+
+
+def global_emp(gt: DataFrame, sample: DataFrame, y: str, reps: int = 5000, seed: int = 1, how: str = "min") -> DataFrame:
+    """P of an aggregate over markers (least trend P, or the mean of -log P with ``how="tail"``) from permuted cases, ``#{better than observed} / M``.
+
+    Replicates are an array of bits for each individual; a marker's calls pass once, whatever the number of replicates.
+    """
+    dealt = _dealt_cases(sample, y, reps, seed)
+    rows = gt.where("gt is not null").join(dealt, "iid").select("marker", "key", "cases", "gt")
+    per = _by_replicate(rows, reps, seed, False, "max" if how == "min" else "log")
     first = per.where("rep = 0").select(F.col("value").alias("v0"))
-    better = F.col("value") < F.col("v0") if how == "min" else F.col("value") > F.col("v0")
-    return per.where("rep > 0").join(F.broadcast(first)).agg(F.first("v0").alias("observed"), (F.count_if(better) / reps).alias("p"))
+    out = per.where("rep > 0").join(F.broadcast(first)).agg(F.first("v0").alias("v0"), (F.count_if(F.col("value") > F.col("v0")) / reps).alias("p"))
+    markers = gt.where("gt is not null").agg(F.count_distinct("marker").alias("m"))
+    observed = F.expr(S.chi2_sf("v0", 1)) if how == "min" else F.col("v0") / F.col("m")
+    return out.join(F.broadcast(markers)).select(observed.alias("observed"), "p")
 
 
-def set_permutation(prob: DataFrame, sample: DataFrame, y: str, reps: int = 50, seed: int = 1) -> DataFrame:
-    """Genotypes drawn from the probabilities by a seeded hash, sum of -log P over the markers, ``(1 + #{T >= T0}) / (M + 1)``."""
-    from genoframe.operators.genotypes import gt_table
+def set_permutation(prob: DataFrame, sample: DataFrame, y: str, reps: int = 5000, seed: int = 1) -> DataFrame:
+    """In each replicate cases are permuted and genotypes drawn anew from the probabilities by a hash; sum of -log P over the markers, ``(1 + #{T >= T0}) / (M + 1)``."""
+    dealt = _dealt_cases(sample, y, reps, seed)
+    rows = prob.where("p_aa + p_ab + p_bb > 0").join(dealt, "iid").select("marker", "key", "cases", "p_aa", "p_ab")
+    per = _by_replicate(rows, reps, seed, True, "log")
+    first = per.where("rep = 0").select(F.col("value").alias("t0"))
+    return per.where("rep > 0").join(F.broadcast(first)).agg(F.first("t0").alias("observed"), ((1 + F.count_if(F.col("value") >= F.col("t0"))) / (reps + 1)).alias("p"))
 
-    observed = sample.select(F.lit(0).alias("rep"), "iid", y)
-    every = observed.unionByName(_permuted(sample, y, reps, seed))
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col("rep"), F.col("iid"), F.col("marker")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    drawn = prob.where("p_aa + p_ab + p_bb > 0").join(every, "iid").withColumn("gt", F.when(u < F.col("p_aa"), 0).when(u < F.col("p_aa") + F.col("p_ab"), 1).otherwise(2)).withColumn("marker", F.struct("rep", "marker"))
-    per = count_tests(gt_table(drawn, y)).groupBy("marker.rep").agg(F.sum(-F.log("p_trend")).alias("t"))
-    first = per.where("rep = 0").select(F.col("t").alias("t0"))
-    return per.where("rep > 0").join(F.broadcast(first)).agg(F.first("t0").alias("observed"), ((1 + F.count_if(F.col("t") >= F.col("t0"))) / (reps + 1)).alias("p"))
 
+def _permuted(sample: DataFrame, y: str, reps: int, seed: int, cluster: str | None = None) -> DataFrame:
+    """(rep, iid, y): for each replicate the phenotypes dealt anew. With ``cluster`` whole clusters change places with clusters of their size, members by the order of their ids.
 
-def permute_p(df: DataFrame, key: str, y: str, stat, n: int, side: str = "upper", seed: int = 1) -> DataFrame:
-    """P of a statistic (an aggregate column) under permutation of y, lower, upper or two-tailed; divided by n."""
+    Units are ordered by replicate, size and a seeded hash, once as givers and once as takers; equal places meet. The order is made over range partitions, so
+    that no task holds a replicate.
+    """
+    ids = sample.where(F.col(y).isNotNull()).select("iid", F.col(y).alias("y"), (F.col(cluster) if cluster else F.col("iid")).alias("unit"))
+    if cluster:
+        ids = kept(ids.withColumn("member", F.row_number().over(Window.partitionBy("unit").orderBy("iid"))))
+        units = ids.groupBy("unit").agg(F.count("*").alias("size"))
+    else:
+        ids = ids.withColumn("member", F.lit(1))
+        units = ids.select("unit", F.lit(1).alias("size"))
+    every = units.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
+
+    def ordered(tag: str) -> DataFrame:
+        hashed = every.withColumn("h", F.xxhash64(F.lit(seed), F.lit(tag), F.col("rep"), F.col("unit"))).select("rep", "size", "h", "unit")
+        return global_rank(hashed, ["rep", "size", "h", "unit"], "k").select("k", "rep", F.col("unit").alias(tag))
+
+    # a replicate's places are the same numbers in both orders
+    met = ordered("giver").join(ordered("taker").drop("rep"), "k")
+    given = met.join(ids.select(F.col("unit").alias("giver"), "member", "y"), "giver")
+    return given.join(ids.select(F.col("unit").alias("taker"), "member", "iid"), ["taker", "member"]).select("rep", "iid", F.col("y").alias(y))
+
+
+def permute_p(df: DataFrame, key: str, y: str, stat: Column, n: int = 5000, side: str = "upper", seed: int = 1, by: list[str] | None = None, cluster: str | None = None) -> DataFrame:
+    """P of a statistic (an aggregate column) under permutation of y, lower, upper or two-tailed; divided by n.
+
+    With ``by`` (markers) there is a row for each group; a replicate deals the individuals' phenotypes once for all groups. An individual has one y.
+    """
+    by = by or []
     renamed = df.withColumnRenamed(key, "iid")
-    fixed = renamed.drop(y)
-    per = _permuted(renamed.select("iid", y), y, n, seed).join(fixed, "iid").groupBy("rep").agg(stat.alias("s"))
-    first = df.agg(stat.alias("s0"))
+    people = renamed.select("iid", y, *([cluster] if cluster else [])).dropDuplicates(["iid"])
+    per = _permuted(people, y, n, seed, cluster).join(renamed.drop(y), "iid").groupBy(*by, "rep").agg(stat.alias("s"))
+    first = df.groupBy(*by).agg(stat.alias("s0"))
     test = {"upper": F.col("s") >= F.col("s0"), "lower": F.col("s") <= F.col("s0"), "two": F.abs("s") >= F.abs("s0")}[side]
-    return per.join(F.broadcast(first)).agg(F.first("s0").alias("observed"), (F.count_if(test) / n).alias("p"))
+    joined = per.join(first, by) if by else per.join(F.broadcast(first))
+    return joined.groupBy(*by).agg(F.first("s0").alias("observed"), (F.count_if(test) / n).alias("p"))
 
 
-def permuted_lr(df: DataFrame, key: str, y: str, stat, chunk: int = 1000, most: int = 100_000, precision: float = 0.3, seed: int = 1) -> DataFrame:
-    """T27 (upper) in chunks, until the relative deviation of P reaches ``precision`` or ``most`` draws are done."""
+def permuted_lr(df: DataFrame, key: str, y: str, stat: Column, chunk: int = 1000, most: int = 100_000, precision: float = 0.3, seed: int = 1, cluster: str | None = None) -> DataFrame:
+    """T27 (upper) in chunks, until the relative deviation of P reaches ``precision`` or ``most`` draws are done; clusters are permuted among those of their size."""
     hits = draws = 0
     observed = None
     while draws < most:
-        row = permute_p(df, key, y, stat, chunk, "upper", seed + draws).first()
+        row = permute_p(df, key, y, stat, chunk, "upper", seed + draws, cluster=cluster).first()
         observed, draws = row["observed"], draws + chunk
         hits += round(row["p"] * chunk)
         if hits and math.sqrt((1 - hits / draws) / hits) <= precision:

@@ -72,8 +72,8 @@ def hwe_by_missing(gt: DataFrame, floor: float = 1e-10) -> DataFrame:
 def ld_prune(gt: DataFrame, window: int = 50, step: int = 5, vif: float = 2.0) -> DataFrame:
     """Q9: (marker, pruned): windows of markers along a chromosome; while some marker's variance inflation passes ``vif`` the worst goes.
 
-    Only moments cross to Python: correlations of markers within a window of each other come from a banded join and native sums. Chromosomes
-    above 22 are pruned whole.
+    Only moments cross to Python: correlations of markers within a window of each other come from a banded join and native sums. The sweep along a chromosome
+    goes from window to window by definition; its task holds ``window`` numbers a marker. Chromosomes above 22 are pruned whole.
     """
     markers = gt.select("marker", "chr", "pos").distinct().where("chr <= 22").withColumn("k", F.row_number().over(Window.partitionBy("chr").orderBy("pos", "marker")))
     ranked = gt.where("gt is not null").select("iid", "marker", "gt").join(markers.select("marker", "chr", "k"), "marker")
@@ -85,10 +85,10 @@ def ld_prune(gt: DataFrame, window: int = 50, step: int = 5, vif: float = 2.0) -
 
     def prune(own: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         n = int(own["k"].max())
-        corr = np.eye(n)
-        values = np.nan_to_num(r["r"].to_numpy(float))
-        corr[r["ka"] - 1, r["kb"] - 1] = values
-        corr[r["kb"] - 1, r["ka"] - 1] = values
+        # row k holds the correlations of marker k with the next ones, as far as a window reaches
+        band = np.zeros((n, window))
+        band[:, 0] = 1
+        band[r["ka"] - 1, r["kb"] - r["ka"]] = np.nan_to_num(r["r"].to_numpy(float))
         alive = np.ones(n, bool)
         for lo in range(0, max(1, n - window + 1 + step), step):
             at = np.arange(lo, min(lo + window, n))
@@ -96,7 +96,8 @@ def ld_prune(gt: DataFrame, window: int = 50, step: int = 5, vif: float = 2.0) -
                 at = at[alive[at]]
                 if len(at) < 2:
                     break
-                factors = np.diag(np.linalg.pinv(corr[np.ix_(at, at)]))
+                first, second = np.minimum(at[:, None], at), np.maximum(at[:, None], at)
+                factors = np.diag(np.linalg.pinv(band[first, second - first]))
                 worst = int(factors.argmax())
                 if factors[worst] <= vif:
                     break

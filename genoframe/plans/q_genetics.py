@@ -473,18 +473,26 @@ def _(s, d):
 
 @query("t24_set_permutation")
 def _(s, d):
-    return T.set_permutation(X.prob(s, d), X.sample(s, d), "cc", 20)
+    return T.set_permutation(X.prob(s, d), X.sample(s, d), "cc")
 
 
 @query("t25_global_emp")
 def _(s, d):
-    return T.global_emp(X.gt(s, d), X.sample(s, d), "cc", 20)
+    return T.global_emp(X.gt(s, d), X.sample(s, d), "cc")
+
+
+@query("t26_permuted_lr")
+def _(s, d):
+    """One marker, chunk by chunk; families change places with families of their size."""
+    one = X.gt(s, d).where("marker = 7 and gt is not null").join(X.sample(s, d).select("iid", "y", "fid"), "iid").select("iid", "gt", "y", "fid")
+    return T.permuted_lr(one, "iid", "y", F.abs(S.corr("y", "gt")), most=5000, cluster="fid")
 
 
 @query("t27_permute_p")
 def _(s, d):
-    one = X.gt(s, d).where("marker = 10").join(X.sample(s, d).select("iid", "y"), "iid").where("gt is not null").select("iid", "gt", "y")
-    return T.permute_p(one, "iid", "y", F.abs(S.corr("y", "gt")), 50)
+    """All markers; a replicate deals each individual's phenotype once."""
+    rows = X.gt(s, d).where("gt is not null").join(X.sample(s, d).select("iid", "y"), "iid").select("iid", "marker", "gt", "y")
+    return T.permute_p(rows, "iid", "y", F.abs(S.corr("y", "gt")), 1000, by=["marker"])
 
 
 @query("d01_per_marker", f"select marker, round(case when stddev_pop({_DOSE}) > 1e-9 then corr({_DOSE}, y) end, 7) as r from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0 group by 1")
