@@ -27,7 +27,20 @@ QUERIES = {
     "op10_attention_lm": attention_lm.op10,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
+#: Words and shingles as text, links from counts of common shingles, components by rounds of least labels (far more than a chain of links needs here).
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+_ROUNDS = 12
+_OP7 = (
+    f"""with w as materialized (select doc_id, {_WORDS} as w from documents),
+ s as materialized (select distinct doc_id, unnest(case when len(w) >= 5 then [array_to_string(w[i : i + 4], chr(10)) for i in range(1, len(w) - 3)] when len(w) > 0 then [array_to_string(w, chr(10))] else [] end) as g from w),
+ n as materialized (select doc_id, count(g) as n from w left join s using (doc_id) group by 1),
+ c as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+ l as materialized (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+ e as materialized (select a, b from l union all select b, a from l), r0 as materialized (select doc_id, doc_id as root from n)"""
+    + "".join(f", r{k + 1} as materialized (select r.doc_id, least(r.root, coalesce(min(o.root), r.root)) as root from r{k} r left join e on e.a = r.doc_id left join r{k} o on o.doc_id = e.b group by r.doc_id, r.root)" for k in range(_ROUNDS))
+    + f" select doc_id, n as n_shingles, root as component_id from r{_ROUNDS} join n using (doc_id)"
+)
+ORACLES: dict[str, str] = {"op7_ngram_jaccard_join": _OP7}
 
 
 def queries() -> dict:
