@@ -161,8 +161,9 @@ def qq_points(df: DataFrame, p: str = "p", tie: str = "marker", bottom: float =
 
 def qq_points_by(df: DataFrame, group: str, p: str = "p", tie: str = "marker") -> DataFrame:
     """W6 within groups."""
-    window = Window.partitionBy(group)
-    rows = df.where(F.col(p).isNotNull()).withColumns({"rank": F.row_number().over(window.orderBy(p, tie)), "__n": F.count("*").over(window)})
+    ranked = global_rank(df.where(F.col(p).isNotNull()).select(group, tie, p), [group, p, tie], "__rank")
+    sizes = ranked.groupBy(F.col(group).alias("__g")).agg(F.min("__rank").alias("__first"), F.count("*").alias("__n"))
+    rows = ranked.join(sizes, F.col(group).eqNullSafe(F.col("__g"))).withColumn("rank", F.col("__rank") - F.col("__first") + 1)
     return rows.select(group, "rank", tie, (-F.log10(F.col("rank") / F.col("__n"))).alias("expected"), (-F.log10(p)).alias("observed"))
 
 
@@ -234,10 +235,13 @@ def quantile_normalize(reference: DataFrame, df: DataFrame, cols: list[str], key
     grid = df.sparkSession.createDataFrame([(exact_quantiles(reference, F.col(reference.columns[0]), levels),)], "__g array<double>")  # one row
     filled = df.withColumn("__m", F.element_at(F.array_sort(F.filter(F.array(*cols), lambda x: x.isNotNull())), F.greatest(F.ceil(F.size(F.filter(F.array(*cols), lambda x: x.isNotNull())) / 2).cast("int"), F.lit(1))))
     long = filled.select(key, *(F.coalesce(c, "__m").alias(c) for c in cols)).unpivot([key], cols, "col", "x")
-    by = Window.partitionBy("col")
-    ties = Window.partitionBy("col", "x")
-    rank = (F.rank().over(by.orderBy("x")) + (F.count("*").over(ties) - 1) / 2)
-    placed = long.withColumn("__u", (rank - 1) / F.greatest(F.count("*").over(by) - 1, F.lit(1)))
+    # ranks over range partitions; a column's ranks follow those of the columns before it
+    ranked = global_rank(long, ["col", "x", key], "__rank")
+    ties = ranked.groupBy(F.col("col").alias("__c"), F.col("x").alias("__x")).agg(F.min("__rank").alias("__lo"), F.count("*").alias("__k"))
+    ends = ranked.groupBy(F.col("col").alias("__e")).agg(F.min("__rank").alias("__first"), F.count("*").alias("__n"))  # one row a column
+    met = ranked.join(ties, (F.col("col") == F.col("__c")) & F.col("x").eqNullSafe(F.col("__x"))).join(F.broadcast(ends), F.col("col") == F.col("__e"))
+    place = F.col("__lo") - F.col("__first") + (F.col("__k") - 1) / 2
+    placed = met.select(key, "col", (place / F.greatest(F.col("__n") - 1, F.lit(1))).alias("__u"))
     at = F.floor(F.col("__u") * (points - 1)).cast("int")
     part = F.col("__u") * (points - 1) - at
     value = F.get("__g", at) * (1 - part) + F.coalesce(F.get("__g", at + 1), F.get("__g", at)) * part

@@ -109,9 +109,15 @@ def _(s, d):
     return _rounded(_rounded(m, 6, "beta_fixed", "tau2", "beta_random"), 7, "sd_fixed").select("id", "k", "beta_fixed", "sd_fixed", "tau2", "beta_random")
 
 
-@query("r12_meta_reml")
+# restricted likelihood by its fixed point, 400 steps from the moment estimate, one row an id and step
+_REML = f"""with recursive r as materialized ({" union all ".join(f"select id, beta as b, sd * sd as v from ({q}) x" for q in _ST)}), t(k, id, tau) as (select 0, id, case when count(*) > 1 then greatest(var_samp(b) - avg(v), 0) else 0e0 end from r group by id union all
+ select k + 1, id, greatest(sum(w * w * ((b - m) * (b - m) - v)) / sum(w * w) + 1 / sum(w), 0) from (select k, id, b, v, 1 / (v + tau) as w, sum(b / (v + tau)) over (partition by id) / sum(1 / (v + tau)) over (partition by id) as m from t join r using (id) where k < 400) group by k, id having count(*) > 1),
+ f as (select id, max(k) as k from t group by 1), e as (select r.id, sum(b / (v + tau)) / sum(1 / (v + tau)) as beta, power(sum(1 / (v + tau)), -0.5e0) as sd, max(tau) as tau2 from r join t using (id) join f on f.id = r.id and f.k = t.k group by 1) select id, round(beta, 5) as beta, round(sd, 5) as sd, round(tau2, 5) as tau2 from e"""
+
+
+@query("r12_meta_reml", _REML)
 def _(s, d):
-    return R.meta_reml({str(k): X.study(s, d, k) for k in range(3)})
+    return _rounded(R.meta_reml({str(k): X.study(s, d, k) for k in range(3)}, 400), 5, "beta", "sd", "tau2")
 
 
 @query("r14_prs_snps", prune_rounds(20000, 15, f"select * from ({A}) a where p < 0.01e0", "marker, round(p, 7) as p"))
@@ -181,9 +187,13 @@ def _(s, d):
     return _rounded(R.log_rank(p, "age", "cc", "g"), 6, "expected", "variance").select("observed", "expected", "variance")
 
 
-@query("r22_surv_table")
+_R22 = _KM + """, k as (select strat, time, case when max(cast(events = at_risk as int)) over (partition by strat order by time) = 1 then 0 else exp(sum(case when events < at_risk then ln(1 - events / at_risk) end) over (partition by strat order by time)) end as survival from r),
+ m as (select *, coalesce(lag(survival) over (partition by strat order by time), 1) * (time - coalesce(lag(time) over (partition by strat order by time), 0)) as area from k) select strat, min(time) filter (where survival <= 0.5) as median, round(sum(area), 6) as mean from m group by 1"""
+
+
+@query("r22_surv_table", _R22)
 def _(s, d):
-    return R.surv_table(R.kaplan_meier(X.sample(s, d), "age", "cc", "strat"), "strat")
+    return _rounded(R.surv_table(R.kaplan_meier(X.sample(s, d), "age", "cc", "strat"), "strat"), 6, "mean")
 
 
 @query("r23_impute_mean", "select o_orderkey, round(coalesce(case when o_orderkey % 5 <> 0 then o_totalprice end, (select avg(o_totalprice) from orders where o_orderkey % 5 <> 0)), 4) as x from orders")

@@ -657,9 +657,14 @@ def _(s, d):
     return W.dedup_labels(table(s, d, "part").select("p_partkey", "p_brand"), "p_brand", ["p_partkey"])
 
 
-@query("w08_bin_thin")
+_CELL = "select least(cast(floor((l_quantity - x0) / (x1 - x0) * 20) as bigint), 19) as cell_x, least(cast(floor((l_extendedprice - y0) / (y1 - y0) * 20) as bigint), 19) as cell_y from lineitem, (select min(l_quantity) as x0, max(l_quantity) as x1, min(l_extendedprice) as y0, max(l_extendedprice) as y1 from lineitem) e"
+
+
+@query("w08_bin_thin", f"select cell_x, cell_y, least(count(*), 3) as n from ({_CELL}) c group by 1, 2")
 def _(s, d):
-    return W.bin_thin(table(s, d, "lineitem").select(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("key"), "l_quantity", "l_extendedprice"), "l_quantity", "l_extendedprice", 20, 3, "key")
+    """How many rows are left in each cell; which ones is up to the hash."""
+    out = W.bin_thin(table(s, d, "lineitem").select(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("key"), "l_quantity", "l_extendedprice"), "l_quantity", "l_extendedprice", 20, 3, "key")
+    return out.groupBy("cell_x", "cell_y").agg(F.count("*").alias("n"))
 
 
 @query("w09_order_rows", "select o_orderkey from orders order by o_orderstatus, o_orderkey")
@@ -699,16 +704,27 @@ def _(s, d):
     return W.quantile_bins(table(s, d, "part").select("p_partkey", "p_retailprice"), "p_retailprice", 4).select("p_partkey", "bin")
 
 
-@query("w15_quantile_normalize")
+def _normalized(cols: dict[str, str]) -> str:
+    """Each column at the quantiles of ``a``, from mean ranks."""
+    levels = ", ".join(f"{k / 1000!r}" for k in range(1001))
+    ranks = " union all ".join(f"select s_suppkey, '{c}' as col, (rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2 - 1) / greatest(count(*) over () - 1, 1) * 1000 as u from t" for c in cols)
+    value = "g[cast(floor(u) as int) + 1] * (1 - (u - floor(u))) + coalesce(g[cast(floor(u) as int) + 2], g[cast(floor(u) as int) + 1]) * (u - floor(u))"
+    wide = ", ".join(f"round(max(x) filter (where col = '{c}'), 4) as {c}" for c in cols)
+    return f"with t as (select s_suppkey, {', '.join(f'{e} as {c}' for c, e in cols.items())} from supplier), g as (select quantile_cont(a, [{levels}]) as g from t), r as ({ranks}), v as (select s_suppkey, col, {value} as x from r, g) select s_suppkey, {wide} from v group by 1"
+
+
+@query("w15_quantile_normalize", _normalized({"a": "s_acctbal", "b": "s_acctbal * s_acctbal"}))
 def _(s, d):
     t = table(s, d, "supplier").select("s_suppkey", F.col("s_acctbal").alias("a"), (F.col("s_acctbal") * F.col("s_acctbal")).alias("b"))
-    return W.quantile_normalize(t.select("a"), t, ["a", "b"], "s_suppkey")
+    out = W.quantile_normalize(t.select("a"), t, ["a", "b"], "s_suppkey")
+    return out.select("s_suppkey", F.round("a", 4).alias("a"), F.round("b", 4).alias("b"))
 
 
-@query("w16_quantile_medians")
+@query("w16_quantile_medians", _normalized({"a": "s_acctbal", "b": "s_acctbal * 3", "c": "s_acctbal - 5"}))
 def _(s, d):
     t = table(s, d, "supplier").select("s_suppkey", F.col("s_acctbal").alias("a"), (F.col("s_acctbal") * 3).alias("b"), (F.col("s_acctbal") - 5).alias("c"))
-    return W.quantile_normalize_medians(t, ["a", "b", "c"], "s_suppkey", 0)
+    out = W.quantile_normalize_medians(t, ["a", "b", "c"], "s_suppkey", 0)
+    return out.select("s_suppkey", *(F.round(c, 4).alias(c) for c in "abc"))
 
 
 @query("w18_drop_duplicates", "select c_custkey from (select c_custkey, row_number() over (partition by c_nationkey, c_mktsegment order by c_acctbal, c_custkey) as k from customer) where k > 1")
