@@ -28,7 +28,17 @@ def settle(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.options(compression="zstd", **options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.settled_in = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes settled tables of which nothing is read any more, neither directly nor by a table that is still to be computed."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(table.settled_in)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from genoframe.llm.common import settle, words_of
+from genoframe.llm.common import release, settle, words_of
 
 WORDS = 5
 PERCENT = 80
@@ -380,12 +380,15 @@ def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _joined_roots(roots: DataFrame, linked: DataFrame, tasks: int) -> DataFrame:
-    """``roots`` after more links (a, b): only their components are joined, not their nodes anew."""
+    """``roots``, which is removed, after more links (a, b): only their components are joined, not their nodes anew."""
     ends = _labelled(linked.select(F.col("a").alias("cls"), "b"), roots).select(F.col("label").alias("a"), F.col("b").alias("cls"))
-    over = components(_labelled(ends, roots).select("a", F.col("label").alias("b")), tasks).select(F.col("node").alias("root"), F.col("root").alias("now"))
+    contracted = components(_labelled(ends, roots).select("a", F.col("label").alias("b")), tasks)
+    over = contracted.select(F.col("node").alias("root"), F.col("root").alias("now"))
     # a node that had no link yet is its own root
     nodes = roots.unionByName(over.select(F.col("root").alias("node"), "root").join(roots.select("node"), "node", "left_anti"))
-    return settle(nodes.join(over, "root", "left").select("node", F.coalesce("now", "root").alias("root")).coalesce(tasks), "jaccard-roots")
+    joined = settle(nodes.join(over, "root", "left").select("node", F.coalesce("now", "root").alias("root")).coalesce(tasks), "jaccard-roots")
+    release(roots, contracted)
+    return joined
 
 
 def components(edges: DataFrame, tasks: int) -> DataFrame:
@@ -403,12 +406,15 @@ def components(edges: DataFrame, tasks: int) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("least"))
         moved = large.join(small, "a").select(F.col("b").alias("x"), F.col("a").alias("y"), "least")
         moved = moved.select("x", "least").unionByName(moved.select(F.col("y").alias("x"), "least")).where("x <> least")
-        current = settle(moved.select(F.col("x").alias("a"), F.col("least").alias("b")).distinct().coalesce(tasks), "components")
+        older, current = current, settle(moved.select(F.col("x").alias("a"), F.col("least").alias("b")).distinct().coalesce(tasks), "components")
+        release(older)
         before, known = known, current.agg(measure).first()[0]
         if known == before:
             # every node but a root points to its root
             rows = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
-            return settle(rows.unionByName(rows.select(F.col("root").alias("node"), "root").distinct()).coalesce(tasks), "jaccard-roots")
+            roots = settle(rows.unionByName(rows.select(F.col("root").alias("node"), "root").distinct()).coalesce(tasks), "jaccard-roots")
+            release(current)
+            return roots
 
 
 def grouped(docs: DataFrame) -> DataFrame:
