@@ -55,3 +55,56 @@ def test_near_duplicates_by_row(spark):
     assert kept.columns == docs.columns
     expected = [(7, one), (3, two), (5, rows[8][1]), (6, None), (6, ""), (None, rows[11][1])]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_stages_by_hand(spark):
+    """Rejected rows by their score, one row of each component, redaction by the spans, ids as tiktoken gives them."""
+    import public_tokenizers
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    from genoframe.llm import pii, rule_quality
+    from test_operators import _components, _sets
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = rule_quality.fit(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
+    scores = rule_quality.scored(docs, model).toPandas().set_index("doc_id").score
+    kept = corpus_pipeline.quality(spark, docs, DATA).checkpoint()
+    ids = sorted(r.doc_id for r in kept.select("doc_id").collect())
+    assert ids == sorted(scores.index[scores >= corpus_pipeline.LEAST_QUALITY])
+    text = kept.toPandas().set_index("doc_id").text
+    component = _components(ids, _sets([text[i] for i in ids]))
+    single = corpus_pipeline.near_duplicates(spark, kept, DATA).checkpoint()
+    assert sorted(r.doc_id for r in single.select("doc_id").collect()) == sorted(set(component.values()))
+    spans = {r.doc_id: r.spans for r in pii.with_spans(single).select("doc_id", "spans").collect()}
+    clean = corpus_pipeline.personal_data(spark, single, DATA).checkpoint()
+    for row in clean.collect():
+        out, at = [], 0
+        for s in spans[row.doc_id]:
+            if s["start"] >= at:
+                out += [text[row.doc_id][at : s["start"]], f"<{pii.KINDS[s['rank']].upper()}>"]
+            at = max(at, s["end"])
+        assert row.text == "".join(out) + text[row.doc_id][at:] and row.n_chars == len(row.text)
+    coded = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    plain = {r.doc_id: r.text for r in clean.collect()}
+    for row in corpus_pipeline.encode(spark, clean, DATA).collect():
+        assert list(row.ids) == coded.encode_ordinary(plain[row.doc_id]) and row.n_tokens == len(row.ids)
+
+
+@pytest.mark.parametrize("stage", [s for s, _ in corpus_pipeline.STAGES])
+def test_odd_rows(spark, stage):
+    """Nulls in any column, repeated rows, empty and long texts, columns named like the helpers."""
+    long = " ".join(f"w{k % 977}x{k}" for k in range(20_000))
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (4, "one two three four five six", "en", "b", 3), (4, "one two three four five six", "en", "b", 3), (5, long, "en", "a", 1), (None, "no id, mail a.b@c.de", None, "a", 1)]
+    docs = spark.createDataFrame([(*r, k, "s", 0.5) for k, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, __row int, __s string, __score double")
+    out = dict(corpus_pipeline.STAGES)[stage](spark, docs, DATA)
+    found = out.collect()
+    if stage == "encode":
+        assert len(found) == len(rows)
+        return
+    assert out.columns == docs.columns
+    assert {r["__row"] for r in found} <= set(range(len(rows)))
+    if stage == "near_duplicates":
+        assert sorted(r["__row"] for r in found) in ([0, 1, 2, 3, 5, 6], [0, 1, 2, 4, 5, 6])
+    if stage in ("personal_data", "mix"):
+        assert {r["__row"] for r in found} == set(range(len(rows)))
