@@ -8,7 +8,7 @@ frame and its number of ids (unsigned 32); then the numbers of frames and docume
 magic number 0x8F92EAB1. A reader fetches the tail, then only the frames of the documents it wants.
 
 Texts are encoded by the ``tokenizers`` library. The vocabulary drops white space and lower-cases, and its splitting pattern never crosses white
-space; so each stretch between white space is encoded once per worker and kept (at most ``CACHED`` of late and as many before), and a text's
+space; so each stretch between white space is encoded once per worker and kept (at most ``CACHED`` of late and as many before; many new ones in one call), and a text's
 ids are those of its stretches in order. A text that holds ``<|`` could name a special token and is encoded in one piece.
 
 The table is cut into ranges of (``doc_id``, hash of the text); each range is one file, named after the range's number and renamed into
@@ -52,12 +52,22 @@ class Encoder:
 
         self.tokenizer, self.type = Tokenizer.from_file(path), f"<u{id_bytes}"
         self.end = b"" if end_id is None else np.array([end_id], self.type).tobytes()
+        mark = self.tokenizer.encode("\1", add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words without white space, many in one call: a control character stands between them, whose id parts them again."""
+        if self.mark is None or any(b"\1" in w for w in words):
+            return self._ids([w.decode() for w in words])
+        ids = np.array(self.tokenizer.encode_batch_fast([b" \1 ".join(words).decode()], add_special_tokens=False)[0].ids, self.type)
+        cuts, raw, size = np.flatnonzero(ids == self.mark), ids.tobytes(), ids.itemsize
+        return [raw[a:b] for a, b in zip([0, *((cuts + 1) * size).tolist()], [*(cuts * size).tolist(), len(raw)], strict=True)]
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [None if b"<|" in t else t.lower().split() for t in texts]
         if len(self.known) > CACHED:
@@ -72,7 +82,7 @@ class Encoder:
                 known[w] = ids
         for lo in range(0, len(fresh), 10_000):
             some = fresh[lo : lo + 10_000]
-            known.update(zip(some, self._ids([w.decode() for w in some]), strict=True))
+            known.update(zip(some, self._ids_of_words(some), strict=True))
         get = known.__getitem__
         return [(self._ids([t.decode()])[0] if words is None else b"".join(map(get, words))) + self.end for t, words in zip(texts, split, strict=True)]
 

@@ -221,7 +221,7 @@ def test_token_files(spark, docs):
 def test_token_encoder_words():
     own = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"), 2, None)
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    for text in ("", "Don't stop, it's 42.", "É́ ÇA va bien", "a<|endoftext|>b <|x", "\U0001f600\U0001f600", "ΑΣ ΣΑΣ", "Ḱ ́x"):
+    for text in ("", "Don't stop, it's 42.", "É́ ÇA va bien", "a<|endoftext|>b <|x", "\U0001f600\U0001f600", "ΑΣ ΣΑΣ", "Ḱ ́x", "a\1b \1 \1\1c", "\u0301a \u0308 e\u0301"):
         assert np.frombuffer(own.encode([text.encode()])[0], "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
