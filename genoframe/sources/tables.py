@@ -18,12 +18,12 @@ def read_table(spark: SparkSession, path: str | list[str], sep: str = "\t", head
     reader = spark.read.options(sep=sep, nullValue=na, quote=quote, multiLine=multiline)
     if skip == 0:
         return (reader.schema(schema) if schema else reader).options(header=header).csv(path)
-    lines = spark.read.text(path).withColumn("__f", F.input_file_name()).withColumn("__id", F.monotonically_increasing_id())
-    # a file's first lines are in its first split: line numbers by file are needed for those only
-    numbered = lines.withColumn("__n", F.row_number().over(Window.partitionBy("__f").orderBy("__id"))).where(F.col("__n") > skip)
     if schema is None:
         raise ValueError("a schema is needed where lines are skipped")
-    kept = numbered.where(F.col("__n") > skip + 1) if header else numbered
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__b"), F.monotonically_increasing_id().alias("__id"))
+    # ids count lines within a split; the lines to skip are the first ones of the split that begins a file (one row a file)
+    begin = lines.where("__b = 0").groupBy("__f").agg(F.min("__id").alias("__first"))
+    kept = lines.join(begin, "__f", "left").where((F.col("__b") > 0) | (F.col("__id") >= F.col("__first") + (skip + 1 if header else skip)))
     return kept.select(F.from_csv("value", schema, {"sep": sep, "nullValue": na, "quote": quote}).alias("r")).select("r.*")
 
 
@@ -95,9 +95,12 @@ def combine_files(spark: SparkSession, path: str, pattern: str, captures: dict[s
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, line from 1, value): ids ascend within a file."""
-    text = spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("__id"), "value")
-    return text.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("__id"))).drop("__id")
+    """(file, line from 1, value): ids count lines within a split of a file, splits follow one another by their place."""
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__at"), F.monotonically_increasing_id().alias("__id"), "value")
+    splits = text.groupBy("file", "__at").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy("file").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)  # one row a split
+    splits = splits.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    return text.join(splits, ["file", "__at"]).select("file", (F.col("__before") + F.col("__id") - F.col("__first") + 1).alias("line"), "value")
 
 
 def triples_of(numbers: Column) -> Column:

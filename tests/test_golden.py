@@ -112,3 +112,63 @@ def test_cox_and_logistic_agree_with_direction(spark):
     logistic = T.logistic_per_marker(df, "y", ["gt"]).first()
     assert logistic["beta1.gt"] == pytest.approx(1.0, abs=0.35)
     assert logistic.p < 1e-6
+
+
+def test_skipped_lines_of_split_files(spark, tmp_path):
+    """Head lines are passed over once for each file, also where a file is read in several splits."""
+    from genoframe.sources import tables as SC
+
+    for name, n in (("a", 4000), ("b", 3)):
+        (tmp_path / f"{name}.txt").write_text("note one\nnote two\nk\tx\n" + "".join(f"{k}\t{name}{k}\n" for k in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = SC.read_table(spark, str(tmp_path / "*.txt"), skip=2, schema="k long, x string")
+        assert got.rdd.getNumPartitions() > 3
+        assert sorted((r.x, r.k) for r in got.collect()) == sorted([(f"a{k}", k) for k in range(4000)] + [(f"b{k}", k) for k in range(3)])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_simulated_p_of_small_tables(spark):
+    """P from random tables against the exact sum over all tables with the same margins."""
+    cells = (4, 3, 1, 2, 6, 5)
+    r, columns = sum(cells[:3]), [cells[k] + cells[k + 3] for k in range(3)]
+    n = sum(columns)
+
+    def chi2(row):
+        return sum((row[k] - r * columns[k] / n) ** 2 / (r * columns[k] / n) + (columns[k] - row[k] - (n - r) * columns[k] / n) ** 2 / ((n - r) * columns[k] / n) for k in range(3))
+
+    exact = 0.0
+    for a in range(columns[0] + 1):
+        for b in range(columns[1] + 1):
+            c = r - a - b
+            if 0 <= c <= columns[2] and chi2((a, b, c)) >= chi2(cells[:3]) - 1e-9:
+                exact += math.comb(columns[0], a) * math.comb(columns[1], b) * math.comb(columns[2], c) / math.comb(n, r)
+    tab = spark.createDataFrame([(1, *cells)], "marker long, r0 int, r1 int, r2 int, s0 int, s1 int, s2 int")
+    got = T.genotype_test(tab, draws=20_000).first()
+    assert got.simulated and got.p == pytest.approx(exact, abs=0.012)
+
+
+def test_tails_of_the_normal():
+    """The tail formula against the C library, down to the smallest doubles."""
+    import duckdb
+
+    for x in [0.0, 0.01, 0.3, 0.47, 1.0, 2.5, 3.99, 4.01, 8.0, 15.0, 26.0]:
+        got = duckdb.sql(f"select {S.erfc(f'({x}e0)')}").fetchall()[0][0]
+        assert got == pytest.approx(math.erfc(x), rel=1e-11)
+    assert duckdb.sql(f"select {S.chi2_sf('1370e0', 1)}").fetchall()[0][0] == pytest.approx(math.erfc(math.sqrt(685)), rel=1e-10)
+
+
+def test_line_numbers_of_split_files(spark, tmp_path):
+    from genoframe.sources import tables as SC
+
+    (tmp_path / "a.txt").write_text("".join(f"line {k}\n" for k in range(1, 3001)))
+    (tmp_path / "b.txt").write_text("line 1\nline 2\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = SC._lines(spark, str(tmp_path / "*.txt")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 3002 and all(r.value == f"line {r.line}" for r in rows)
