@@ -60,8 +60,9 @@ def genotype_test(tab: DataFrame, min_cell: int = 5, draws: int = 5000, seed: in
 
     def simulate(batches):
         for pdf in batches:
-            for i, row in pdf.iterrows():
-                random = np.random.default_rng([seed, int(row["marker"])])
+            p = pdf["p"].to_numpy(float, na_value=np.nan).copy()
+            for i, row in enumerate(pdf.itertuples(index=False)):
+                random = np.random.default_rng([seed, int(row.marker)])
                 cases, columns = int(row.r0 + row.r1 + row.r2), np.array([row.r0 + row.s0, row.r1 + row.s1, row.r2 + row.s2], int)
                 n = int(columns.sum())
                 if n == 0 or not 0 < cases < n:
@@ -70,8 +71,8 @@ def genotype_test(tab: DataFrame, min_cell: int = 5, draws: int = 5000, seed: in
                 expected = np.outer([cases, n - cases], columns) / n
                 used = expected[0] > 0
                 stat = ((drawn - expected[0])[:, used] ** 2 / expected[0][used]).sum(1) + ((columns - drawn - expected[1])[:, used] ** 2 / expected[1][used]).sum(1)
-                pdf.loc[i, "p"] = (1 + (stat >= row.chi2 - 1e-9).sum()) / (draws + 1)
-            yield pdf
+                p[i] = (1 + (stat >= row.chi2 - 1e-9).sum()) / (draws + 1)
+            yield pdf.assign(p=p)
 
     exact = flagged.mapInPandas(simulate, rows.schema).withColumn("simulated", F.lit(True))
     return rows.where(F.least("r0", "r1", "r2", "s0", "s1", "s2") >= min_cell).withColumn("simulated", F.lit(False)).unionByName(exact)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from genoframe.operators import assoc as T
 from genoframe.operators import genotypes as G
+from genoframe.operators.windows import kept
 
 
 @dataclass(frozen=True)
@@ -53,12 +54,11 @@ def expand_models(models: list[Model]) -> list[Model]:
 
 
 def testable(df: DataFrame, maf: float = 0.01, counts: int = 5) -> DataFrame:
-    """Markers that are tested: enough minor alleles, and at most one genotype with fewer than ``counts`` carriers."""
-    c = G.gt_counts(df)
-    n = F.col("n0") + F.col("n1") + F.col("n2")
+    """(marker, af) of all markers; ``af`` is null for those that are not tested: too few minor alleles, or more than one genotype with fewer than ``counts`` carriers."""
+    n = F.nullif(F.col("n0") + F.col("n1") + F.col("n2"), F.lit(0))
     af = (F.col("n1") + 2 * F.col("n2")) / (2 * n)
     few = sum((F.col(f"n{k}") < counts).cast("int") for k in range(3))
-    return c.where((F.least(af, 1 - af) >= maf) & (few < 2)).select("marker", af.alias("af"))
+    return G.gt_counts(df).select("marker", F.when((F.least(af, 1 - af) >= maf) & (few < 2), af).alias("af"))
 
 
 def association(df: DataFrame, models: list[Model], maf: float = 0.01, counts: int = 5) -> DataFrame:
@@ -66,9 +66,10 @@ def association(df: DataFrame, models: list[Model], maf: float = 0.01, counts: i
     parts = []
     for m in models:
         rows = df.where(m.subset) if m.subset else df
-        allowed = testable(rows, maf, counts)
-        fitted = FITS[m.kind](rows.join(allowed.select("marker"), "marker", "left_semi"), m).select("marker", "p")
-        every = rows.select("marker").distinct().join(allowed, "marker", "left").join(fitted, "marker", "left")
+        # one row a marker, written, so that the genotypes are read once to count and once to fit
+        every = kept(testable(rows, maf, counts))
+        fitted = FITS[m.kind](rows.join(every.where("af is not null").select("marker"), "marker", "left_semi"), m).select("marker", "p")
+        every = every.join(fitted, "marker", "left")
         status = F.when(F.col("af").isNull(), "excluded").when(F.col("p").isNull() | F.isnan("p"), "failed").otherwise("ok")
         parts.append(every.select(F.lit(m.tag or m.response).alias("tag"), "marker", "af", "p", status.alias("status")))
     return functools.reduce(DataFrame.unionByName, parts)

@@ -418,9 +418,15 @@ def _(s, d):
     return T.lmm(_with_y(s, d), "y", ["gt"], [], "fid")
 
 
-@query("t12_gee")
+_T12 = f"""with d as (select marker, gt * 1e0 as x, y, fid from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null), b as (select marker, count(*) as n, regr_slope(y, x) as b1, regr_intercept(y, x) as b0, sum(x) as sx, sum(x * x) as sxx from d group by 1),
+ u as (select d.marker, fid, sum(y - b0 - b1 * x) as u0, sum(x * (y - b0 - b1 * x)) as u1 from d join b on b.marker = d.marker group by 1, 2), m as (select marker, sum(u0 * u0) as m00, sum(u0 * u1) as m01, sum(u1 * u1) as m11 from u group by 1),
+ t as (select marker, n, b1, sqrt(sx * sx * m00 - 2 * n * sx * m01 + n * n * m11) / (n * sxx - sx * sx) as sd from b join m using (marker)), z as (select *, power(b1 / sd, 2) as stat from t) select marker, n, round(b1, 4) as beta, round(sd, 4) as sd, round({tails.chi2("stat", 1)}, 6) as p from z"""
+
+
+@query("t12_gee", _T12)
 def _(s, d):
-    return T.gee(_with_y(s, d), "y", ["gt"], [], "fid")
+    out = T.gee(_with_y(s, d), "y", ["gt"], [], "fid")
+    return out.select("marker", "n", F.round("`beta1.gt`", 4).alias("beta"), F.round("`sd1.gt`", 4).alias("sd"), F.round("p", 6).alias("p"))
 
 
 _DOSE = "(p_ab + 2 * p_bb)"
