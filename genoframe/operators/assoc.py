@@ -206,7 +206,10 @@ def _grouped(df: DataFrame, key: str, cols: list[str], names: list[str], fit: Ca
             pass
         return pd.DataFrame([out], columns=[key, "n", *names])
 
-    return df.select(key, *dict.fromkeys(cols)).dropna(subset=list(dict.fromkeys(cols))).groupBy(key).applyInPandas(run, schema)
+    rows = df.select(key, *dict.fromkeys(cols)).dropna(subset=list(dict.fromkeys(cols)))
+    # fits cost far more than their few rows tell: partitions are not merged by size
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, key).groupBy(key).applyInPandas(run, schema)
 
 
 def _design(pdf: pd.DataFrame, xs: list[str]) -> np.ndarray:
