@@ -42,7 +42,7 @@ _OP7 = (
     + "".join(f", r{k + 1} as materialized (select r.doc_id, least(r.root, coalesce(min(o.root), r.root)) as root from r{k} r left join e on e.a = r.doc_id left join r{k} o on o.doc_id = e.b group by r.doc_id, r.root)" for k in range(_ROUNDS))
     + f" select doc_id, n as n_shingles, root as component_id from r{_ROUNDS} join n using (doc_id)"
 )
-_SOUND = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0"
+_SOUND = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0"
 #: Six rounds of assignments and floored means, each over all entries.
 _NEAREST = "select x.vec_id, x.part, c.entry, sum((x.v - c.v) * (x.v - c.v))::bigint as d from x join c{k} c using (part, pos) group by 1, 2, 3"
 _OP12 = (
@@ -61,7 +61,7 @@ _OP12 = (
  select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, (select sha256(string_agg(v::varchar, ',' order by part, entry, pos)) from c6) as codebooks_sha256 from r"""
 )
 _OP13 = (
-    f"""with k as materialized (select vec_id, embedding::double[] as e from embeddings where {_SOUND} and len(list_filter(embedding, c -> c <> 0)) > 0),
+    f"""with k as materialized (select vec_id, embedding::double[] as e from embeddings where {_SOUND} and len(list_filter(embedding, lambda c: c <> 0)) > 0),
  e as materialized (select a.vec_id as a, b.vec_id as b from k a join k b on a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.9),
  r0 as materialized (select vec_id, vec_id as root from embeddings)"""
     + "".join(f", r{k + 1} as materialized (select r.vec_id, least(r.root, coalesce(min(o.root), r.root)) as root from r{k} r left join e on e.a = r.vec_id left join r{k} o on o.vec_id = e.b group by r.vec_id, r.root)" for k in range(_ROUNDS))
