@@ -751,7 +751,7 @@ def _permuted(sample: DataFrame, y: str, reps: int, seed: int, cluster: str | No
 
 
 def permute_p(df: DataFrame, key: str, y: str, stat: Column, n: int = 5000, side: str = "upper", seed: int = 1, by: list[str] | None = None, cluster: str | None = None) -> DataFrame:
-    """P of a statistic (an aggregate column) under permutation of y, lower, upper or two-tailed; divided by n.
+    """T27 for any aggregate column, which need not be a function of sums: rows are joined with every replicate, so use ``permute.permutation_p`` where sums will do. P lower, upper or two-tailed; divided by n.
 
     With ``by`` (markers) there is a row for each group; a replicate deals the individuals' phenotypes once for all groups. An individual has one y.
     """
@@ -765,19 +765,6 @@ def permute_p(df: DataFrame, key: str, y: str, stat: Column, n: int = 5000, side
     return joined.groupBy(*by).agg(F.first("s0").alias("observed"), (F.count_if(test) / n).alias("p"))
 
 
-def permuted_lr(df: DataFrame, key: str, y: str, stat: Column, chunk: int = 1000, most: int = 100_000, precision: float = 0.3, seed: int = 1, cluster: str | None = None) -> DataFrame:
-    """T27 (upper) in chunks, until the relative deviation of P reaches ``precision`` or ``most`` draws are done; clusters are permuted among those of their size."""
-    hits = draws = 0
-    observed = None
-    while draws < most:
-        row = permute_p(df, key, y, stat, chunk, "upper", seed + draws, cluster=cluster).first()
-        observed, draws = row["observed"], draws + chunk
-        hits += round(row["p"] * chunk)
-        if hits and math.sqrt((1 - hits / draws) / hits) <= precision:
-            break
-    return df.sparkSession.createDataFrame([(observed, hits / draws, draws)], "observed double, p double, draws int")
-
-
 def assoc_multi(df: DataFrame, phenotypes: list[str], f1: list[str], f0: list[str] = ()) -> DataFrame:
     """Quantitative association of all phenotypes that exist: unpivoted, one job, key (phenotype, marker)."""
     known = [p for p in phenotypes if p in df.columns]

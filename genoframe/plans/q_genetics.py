@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from genoframe.functions import scalars as S
 from genoframe.operators import assoc as T
 from genoframe.operators import genotypes as G
+from genoframe.operators import permute as P
 from genoframe.operators import qc as Q
 from genoframe.operators import udf as D
 from genoframe.plans import fixtures as X
@@ -487,18 +488,28 @@ def _(s, d):
     return T.global_emp(X.gt(s, d), X.sample(s, d), "cc")
 
 
+def _permutable(s, d):
+    """Calls with the individuals' phenotypes; households of three by their numbers."""
+    people = X.sample(s, d).select("iid", "y", F.floor(F.col("iid") / 3).alias("household"))
+    return X.gt(s, d).where("gt is not null").join(people, "iid").select("iid", "marker", "gt", "y", "household")
+
+
 @query("t26_permuted_lr")
 def _(s, d):
-    """One marker, chunk by chunk; families change places with families of their size."""
-    one = X.gt(s, d).where("marker = 7 and gt is not null").join(X.sample(s, d).select("iid", "y", "fid"), "iid").select("iid", "gt", "y", "fid")
-    return T.permuted_lr(one, "iid", "y", F.abs(S.corr("y", "gt")), most=5000, cluster="fid")
+    """Every marker, chunk by chunk until its own P is precise enough."""
+    return P.adaptive_p(_permutable(s, d), "iid", "y", ["gt"], P.absolute_correlation, by="marker")
+
+
+@query("t26_permuted_clusters")
+def _(s, d):
+    """The same with households changing places as a whole."""
+    return P.adaptive_p(_permutable(s, d), "iid", "y", ["gt"], P.absolute_correlation, by="marker", cluster="household")
 
 
 @query("t27_permute_p")
 def _(s, d):
     """All markers; a replicate deals each individual's phenotype once."""
-    rows = X.gt(s, d).where("gt is not null").join(X.sample(s, d).select("iid", "y"), "iid").select("iid", "marker", "gt", "y")
-    return T.permute_p(rows, "iid", "y", F.abs(S.corr("y", "gt")), 1000, by=["marker"])
+    return P.permutation_p(_permutable(s, d), "iid", "y", ["gt"], P.absolute_correlation, by="marker")
 
 
 @query("d01_per_marker", f"select marker, round(case when stddev_pop({_DOSE}) > 1e-9 then corr({_DOSE}, y) end, 7) as r from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0 group by 1")
