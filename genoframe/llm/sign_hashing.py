@@ -164,7 +164,8 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, bucket: int = BUCKET,
     tasks = max(8, -(-count // TASK_NODES))
     placed = nodes.select("node", "weight", "embedding", "codes", F.posexplode("codes").alias("turn", "code"))
     balls = _balls(placed, nodes, width, bucket, cosine)
-    placed = placed.join(balls, "node", "left")
+    # the ball is joined to nodes, of which there is one row, before tables multiply them
+    placed = nodes.join(balls, "node", "left").select("node", "weight", "ball", "embedding", "codes", F.posexplode("codes").alias("turn", "code"))
     groups = _blocked(placed, bucket).groupBy("turn", "code", "lo", "hi")
     found = settle(groups.applyInArrow(lambda table: compared(table, width, cosine), "node long, links long, root long"), "hash-links")
     edges = found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(balls.select(F.col("node").alias("a"), F.col("ball").alias("b")))
