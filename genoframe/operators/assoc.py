@@ -335,60 +335,6 @@ def ordinal_per_marker(df: DataFrame, y: str, f1: list[str], f0: list[str] = (),
     return _grouped(counted, key, [*cols, "__w"], ["stat", "p", *names], fit)
 
 
-def cox_per_marker(df: DataFrame, time: str, event: str, f1: list[str], f0: list[str] = (), key: str = "marker") -> DataFrame:
-    """Cox regression with Efron ties; Wald P for one added variable or an empty null model, else the likelihood ratio."""
-    f0 = list(f0)
-    names = [f"{k}.{x}" for x in f1 for k in ("beta1", "sd1")]
-
-    def cox(pdf: pd.DataFrame, xs: list[str]) -> tuple:
-        order = np.argsort(-pdf[time].to_numpy(float), kind="stable")
-        t, d, x = pdf[time].to_numpy(float)[order], pdf[event].to_numpy(float)[order], pdf[xs].to_numpy(float)[order] if xs else np.zeros((len(pdf), 0))
-        x = x - x.mean(0)
-        ends = np.flatnonzero(np.diff(t, append=t[-1] - 1))
-        beta = np.zeros(x.shape[1])
-        info, loglik = np.eye(max(1, len(xs))), 0.0
-        for _ in range(30):
-            risk = np.exp(np.clip(x @ beta, -50, 50))
-            s0, s1, s2 = np.cumsum(risk), np.cumsum(x * risk[:, None], 0), np.cumsum(x[:, :, None] * x[:, None, :] * risk[:, None, None], 0)
-            loglik, grad, info = 0.0, np.zeros(len(xs)), np.zeros((len(xs), len(xs)))
-            start = 0
-            for end in ends:
-                dead = start + np.flatnonzero(d[start : end + 1] > 0)
-                start = end + 1
-                m = len(dead)
-                if not m:
-                    continue
-                e0, e1, e2 = risk[dead].sum(), (x[dead] * risk[dead, None]).sum(0), (x[dead, :, None] * x[dead, None, :] * risk[dead, None, None]).sum(0)
-                loglik += (x[dead] @ beta).sum()
-                grad += x[dead].sum(0)
-                for j in range(m):
-                    a0, a1, a2 = s0[end] - j / m * e0, s1[end] - j / m * e1, s2[end] - j / m * e2
-                    loglik -= math.log(a0)
-                    grad -= a1 / a0
-                    info += a2 / a0 - np.outer(a1, a1) / a0**2
-            if not xs:
-                return beta, np.zeros((0, 0)), loglik
-            change = np.linalg.solve(info, grad)
-            beta = beta + change
-            if np.abs(change).max() < 1e-9:
-                break
-        return beta, np.linalg.inv(info), loglik
-
-    def fit(pdf: pd.DataFrame) -> dict:
-        one, null = cox(pdf, f1), cox(pdf, f0)
-        sds = np.sqrt(np.diag(one[1]))
-        added = [x for x in f1 if x not in f0]
-        if len(added) == 1 or not f0:
-            at = [f1.index(x) for x in added]
-            b = one[0][at]
-            stat = float(b @ np.linalg.solve(one[1][np.ix_(at, at)], b))
-        else:
-            stat = 2 * (one[2] - null[2])
-        return {"stat": stat, "p": chi2_sf(stat, len(added))} | dict(zip(names, [v for i in range(len(f1)) for v in (one[0][i], sds[i])], strict=True))
-
-    return _grouped(df, key, [time, event, *f1, *f0], ["stat", "p", *names], fit)
-
-
 def lmm(df: DataFrame, y: str, f1: list[str], f0: list[str], cluster: str, key: str = "marker") -> DataFrame:
     """Linear mixed model with a random intercept by cluster, maximum likelihood, likelihood ratio.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from genoframe.operators import assoc as T
 from genoframe.operators import genotypes as G
+from genoframe.operators.cox import cox_per_marker
 from genoframe.operators.windows import kept
 
 
@@ -35,7 +36,7 @@ FITS = {
     "gaussian": lambda df, m: T.lm_per_marker(df, m.response, list(m.f1), list(m.f0), test="LR"),
     "logistic": lambda df, m: T.logistic_per_marker(df, m.response, list(m.f1), list(m.f0)),
     "ordinal": lambda df, m: T.ordinal_per_marker(df, m.response, list(m.f1), list(m.f0)),
-    "cox": lambda df, m: T.cox_per_marker(df, m.options["time"], m.response, list(m.f1), list(m.f0)),
+    "cox": lambda df, m: cox_per_marker(df, m.options["time"], m.response, list(m.f1), list(m.f0), cluster=m.options.get("cluster")),
     "mixed": lambda df, m: T.lmm(df, m.response, list(m.f1), list(m.f0), m.options["cluster"]),
 }
 

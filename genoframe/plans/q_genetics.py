@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from genoframe.functions import scalars as S
 from genoframe.operators import assoc as T
+from genoframe.operators import cox as C
 from genoframe.operators import genotypes as G
 from genoframe.operators import permute as P
 from genoframe.operators import qc as Q
@@ -404,9 +405,43 @@ def _(s, d):
     return T.ordinal_per_marker(_with_y(s, d).withColumn("grade", F.least(F.floor(F.col("y") / 3500), F.lit(2))), "grade", ["gt"])
 
 
-@query("t09_cox")
+def _cox_sql(steps: int = 12) -> str:
+    """One covariate, each step of each tie a row: Newton steps b0.., information i{steps}, risk sets z{steps} at the last coefficient."""
+    at = "(s0 - j / m * e0)"
+    sql = f"c as materialized (select marker as k, age as t, cc as d, gt * 1e0 as x, fid, count(*) as w from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null group by all), b0 as materialized (select distinct k, 0e0 as b from c)"
+    for n in range(steps + 1):
+        sql += f""", y{n} as (select k, t, sum(w * exp(b * x)) as s0, sum(w * x * exp(b * x)) as s1, sum(w * x * x * exp(b * x)) as s2, sum(w * d) as m, sum(w * d * x) as dx, sum(w * d * exp(b * x)) as e0, sum(w * d * x * exp(b * x)) as e1, sum(w * d * x * x * exp(b * x)) as e2 from c join b{n} using (k) group by 1, 2),
+ z{n} as materialized (select k, t, m, dx, e0, e1, e2, sum(s0) over o as s0, sum(s1) over o as s1, sum(s2) over o as s2 from y{n} window o as (partition by k order by t desc)),
+ j{n} as (select *, unnest(range(cast(m as bigint))) as j from z{n} where m > 0),
+ i{n} as materialized (select k, sum(case when j = 0 then dx else 0 end) - sum((s1 - j / m * e1) / {at}) as g, sum((s2 - j / m * e2) / {at} - power((s1 - j / m * e1) / {at}, 2)) as h from j{n} group by 1),
+ b{n + 1} as materialized (select k, b + case when h > 1e-9 then g / h end as b from b{n} join i{n} using (k))"""
+    return sql
+
+
+_COX_N = "n as (select k, cast(sum(w) as bigint) as n from c group by 1)"
+_T09 = f"with {_cox_sql()}, {_COX_N}, f as (select k, n, b, 1 / sqrt(h) as sd, b * b * h as stat from b12 join i12 using (k) join n using (k)) select k as marker, n, round(b, 6) as beta, round(sd, 6) as sd, round({tails.chi2('stat', 1)}, 6) as p from f"
+#: Score residuals: what each row had, less what was expected of it up to its own time.
+_T09_CLUSTERS = f"""with {_cox_sql()}, {_COX_N}, a as (select k, t, m, j, s0 - j / m * e0 as a, (s1 - j / m * e1) / (s0 - j / m * e0) as x from j12),
+ q as (select k, t, sum(1 / a) as a, sum(x / a) as b, sum((1 - j / m) / a) as ao, sum((1 - j / m) * x / a) as bo, avg(x) as x from a group by 1, 2),
+ l as (select k, t, coalesce(a, 0) as a, coalesce(b, 0) as b, coalesce(ao, 0) as ao, coalesce(bo, 0) as bo, coalesce(q.x, 0) as mean, sum(coalesce(a, 0)) over o as ca, sum(coalesce(b, 0)) over o as cb from (select distinct k, t from c) u left join q using (k, t) window o as (partition by k order by t)),
+ u as (select c.k, fid, sum(w * (d * (x - mean) - exp(f.b * x) * (x * ca - cb - d * ((x * a - l.b) - (x * ao - bo))))) as u from c join l on l.k = c.k and l.t = c.t join b12 f on f.k = c.k group by 1, 2),
+ v as (select k, sum(u * u) as v from u group by 1), f as (select k, n, b, sqrt(v) / h as sd, power(b * h, 2) / v as stat from b12 join i12 using (k) join n using (k) join v using (k))
+ select k as marker, n, round(b, 6) as beta, round(sd, 6) as sd, round({tails.chi2('stat', 1)}, 6) as p from f"""
+
+
+def _cox(df, cluster=None):
+    out = C.cox_per_marker(df, "age", "cc", ["gt"], cluster=cluster)
+    return out.select("marker", "n", F.round("`beta1.gt`", 6).alias("beta"), F.round("`sd1.gt`", 6).alias("sd"), F.round("p", 6).alias("p"))
+
+
+@query("t09_cox", _T09)
+def _(s, d):
+    return _cox(_with_y(s, d))
+
+
+@query("t09_cox_clusters", _T09_CLUSTERS)
 def _(s, d):
-    return T.cox_per_marker(_with_y(s, d), "age", "cc", ["gt"])
+    return _cox(_with_y(s, d), "fid")
 
 
 @query("t10_glmm")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from genoframe.functions import scalars as S
 from genoframe.operators import assoc as T
+from genoframe.operators import cox as C
 from genoframe.operators import qc as Q
 from genoframe.operators import reshape as A
 from genoframe.operators import windows as W
@@ -156,12 +157,41 @@ def test_cox_against_the_likelihood_written_out(spark, people):
     beta = _best(loglik, -5, 5)
     information = -(loglik(beta + 1e-3) - 2 * loglik(beta) + loglik(beta - 1e-3)) / 1e-6
     df = X.gt(spark, DATA).where("marker = 3").join(X.sample(spark, DATA).select("iid", "age", "cc"), "iid")
-    got = T.cox_per_marker(df, "age", "cc", ["gt"]).first()
+    got = C.cox_per_marker(df, "age", "cc", ["gt"]).first()
     assert got["beta1.gt"] == pytest.approx(beta, abs=1e-5)
     assert got["sd1.gt"] == pytest.approx(information**-0.5, rel=1e-3)
     assert got.p == pytest.approx(math.erfc(abs(beta) * information**0.5 / math.sqrt(2)), rel=1e-2)
 
 
+def test_cox_with_clusters_by_hand(spark, people):
+    """Two covariates: every individual's score residual step by step of each tie, summed by cluster; and nulls, a marker that does not vary and an empty table."""
+    df = X.gt(spark, DATA).where("marker in (3, 5)").join(X.sample(spark, DATA), "iid").withColumn("z", F.col("y") / 1000)
+    got = C.cox_per_marker(df, "age", "cc", ["gt", "z"], cluster="fid").toPandas().set_index("marker")
+    plain = C.cox_per_marker(df, "age", "cc", ["gt", "z"], ["z"]).toPandas().set_index("marker")
+    for marker, g in df.where("gt is not null").toPandas().groupby("marker"):
+        t, d, x = g.age.to_numpy(float), g.cc.to_numpy(), g[["gt", "z"]].to_numpy(float)
+        beta = got.loc[marker, ["beta1.gt", "beta1.z"]].to_numpy(float)
+        assert np.allclose(beta, plain.loc[marker, ["beta1.gt", "beta1.z"]].to_numpy(float))
+        risk, u, information = np.exp(x @ beta), np.zeros(x.shape), np.zeros((2, 2))
+        for time in sorted(set(t[d == 1])):
+            dead, there = (t == time) & (d == 1), t >= time
+            for j in range(dead.sum()):
+                share = there - dead * j / dead.sum()
+                total = (share * risk).sum()
+                mean = (share * risk) @ x / total
+                information += (x * (share * risk)[:, None]).T @ x / total - np.outer(mean, mean)
+                u += dead[:, None] / dead.sum() * (x - mean) - (share * risk / total)[:, None] * (x - mean)
+        assert np.allclose(u.sum(0), 0, atol=1e-6)
+        by = np.array([u[g.fid.to_numpy() == f].sum(0) for f in set(g.fid)])
+        cov = np.linalg.inv(information) @ by.T @ by @ np.linalg.inv(information)
+        assert np.allclose(got.loc[marker, ["sd1.gt", "sd1.z"]].to_numpy(float), np.sqrt(np.diag(cov)), rtol=1e-6)
+        assert got.stat[marker] == pytest.approx(beta @ np.linalg.solve(cov, beta), rel=1e-6)
+    flat = C.cox_per_marker(df.withColumn("gt", F.lit(1)), "age", "cc", ["gt"]).toPandas()
+    assert len(flat) == 2 and flat.p.isna().all() and (flat.n > 0).all()
+    assert C.cox_per_marker(df.where("false"), "age", "cc", ["gt"]).count() == 0
+    assert C.cox_per_marker(df.withColumn("z", F.lit(None).cast("double")), "age", "cc", ["gt", "z"]).count() == 0
+
+
 def test_mixed_model_against_dense_matrices(spark, people):
     one = people[people.marker == 3]
     y, x = one.y.to_numpy(float), np.column_stack([np.ones(len(one)), one["gt"]])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from genoframe.functions import scalars as S
 from genoframe.operators import assoc as T
+from genoframe.operators import cox as C
 from genoframe.operators import genotypes as G
 from genoframe.operators import joins as J
 from genoframe.operators import reshape as A
@@ -107,7 +108,7 @@ def test_cox_and_logistic_agree_with_direction(spark):
         g = int(random.integers(0, 3))
         rows.append((1, float(g), float(round(random.exponential(1 / np.exp(0.7 * g)), 2)), 1, int(random.random() < 1 / (1 + np.exp(-g + 1)))))
     df = spark.createDataFrame(rows, "marker long, gt double, t double, event int, y int")
-    cox = T.cox_per_marker(df, "t", "event", ["gt"]).first()
+    cox = C.cox_per_marker(df, "t", "event", ["gt"]).first()
     assert cox["beta1.gt"] == pytest.approx(0.7, abs=0.2)
     logistic = T.logistic_per_marker(df, "y", ["gt"]).first()
     assert logistic["beta1.gt"] == pytest.approx(1.0, abs=0.35)
