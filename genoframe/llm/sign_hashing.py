@@ -106,6 +106,8 @@ def _blocked(placed: DataFrame, bucket: int) -> DataFrame:
     sizes = sizes.withColumn("offset", F.coalesce(F.sum("blocks").over(before), F.lit(0))).withColumn("all", F.sum("blocks").over(whole)).withColumn("total", F.sum("size").over(whole))
     # other buckets are one block, and pairs of one ball are passed over as they are compared
     hot = sizes.where(F.col("total") > 2 * bucket).select(F.col("turn").alias("t"), F.col("code").alias("c"), F.col("ball").alias("b"), "blocks", "offset", "all")
+    # written first: it is small where few buckets are hot, and then no row of the others has to move for it
+    hot = settle(hot, "hash-hot")
     cut = placed.join(hot, (F.col("turn") == F.col("t")) & (F.col("code") == F.col("c")) & F.col("ball").eqNullSafe(F.col("b")), "left")
     cut = cut.withColumn("own", F.expr("coalesce(offset + pmod(xxhash64(node, 7), blocks), 0)"))
     others = F.expr("case when all is null then array(0L) else filter(sequence(0L, all - 1), v -> ball is null or v < offset or v >= offset + blocks) end")
