@@ -335,16 +335,22 @@ def ordinal_per_marker(df: DataFrame, y: str, f1: list[str], f0: list[str] = (),
     return _grouped(counted, key, [*cols, "__w"], ["stat", "p", *names], fit)
 
 
+def _cluster_sums(df: DataFrame, key: str, cluster: str, cols: list[str]) -> DataFrame:
+    """By key and cluster: n, sums s0.. and sums of products q0_0.. of the columns, over rows complete in all of them."""
+    d = lambda c: F.col(c).cast("double")
+    sums = [F.count("*").cast("double").alias("n"), *(F.sum(d(a)).alias(f"s{i}") for i, a in enumerate(cols))]
+    sums += [F.sum(d(a) * d(b)).alias(f"q{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+    return df.dropna(subset=[*cols, cluster]).groupBy(key, cluster).agg(*sums)
+
+
 def lmm(df: DataFrame, y: str, f1: list[str], f0: list[str], cluster: str, key: str = "marker") -> DataFrame:
     """Linear mixed model with a random intercept by cluster, maximum likelihood, likelihood ratio.
 
     Spark sums each cluster's rows; a marker's group holds one row of sums per cluster, and the variance ratio is searched in one dimension.
     """
     xs = list(dict.fromkeys([*f1, *f0]))
-    d = lambda c: F.col(c).cast("double")
     cols = [*xs, y]
-    rows = df.dropna(subset=[*cols, cluster])
-    sums = rows.groupBy(key, cluster).agg(F.count("*").cast("double").alias("n"), *(F.sum(d(a)).alias(f"s{i}") for i, a in enumerate(cols)), *(F.sum(d(a) * d(b)).alias(f"q{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i))
+    sums = _cluster_sums(df, key, cluster, cols)
     names = [*_names("1", f1)]
     m = len(cols)
 
@@ -424,28 +430,46 @@ def glmm_binary(df: DataFrame, y: str, f1: list[str], f0: list[str], cluster: st
 
 
 def gee(df: DataFrame, y: str, f1: list[str], f0: list[str], cluster: str, family: str = "gaussian", key: str = "marker") -> DataFrame:
-    """Independence working correlation, robust deviations by cluster, Wald P of what f1 adds to f0."""
-    cols = list(dict.fromkeys([y, *f1, *f0, cluster]))
-    names = _names("1", f1)
+    """Independence working correlation, robust deviations by cluster, Wald P of what f1 adds to f0.
 
-    def fit(pdf: pd.DataFrame) -> dict:
-        x, yy = _design(pdf, f1), pdf[y].to_numpy(float)
-        if family == "binomial":
-            beta, bread, _ = logistic_fit(x, yy)
-            mean = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        else:
-            bread = np.linalg.inv(x.T @ x)
-            beta = bread @ (x.T @ yy)
-            mean = x @ beta
-        _, code = np.unique(pdf[cluster].to_numpy(), return_inverse=True)
-        scores = x * (yy - mean)[:, None]
-        u = np.column_stack([np.bincount(code, scores[:, i]) for i in range(x.shape[1])])
+    Python gets one row of sums for each cluster of a marker (gaussian), or one for each combination of values that occurs in it (binomial), not the individuals.
+    """
+    f1, names = list(f1), _names("1", f1)
+    cols = list(dict.fromkeys([y, *f1, *f0]))
+    m = len(f1)
+
+    def wald(n: float, beta: np.ndarray, bread: np.ndarray, u: np.ndarray) -> dict:
         cov = bread @ (u.T @ u) @ bread
         at = [1 + f1.index(v) for v in f1 if v not in f0]
         stat = float(beta[at] @ np.linalg.solve(cov[np.ix_(at, at)], beta[at]))
-        return {"stat": stat, "p": chi2_sf(stat, len(at))} | dict(zip(names, [v for pair in zip(beta, np.sqrt(np.diag(cov)), strict=True) for v in pair], strict=True))
+        return {"n": int(n), "stat": stat, "p": chi2_sf(stat, len(at))} | dict(zip(names, [v for pair in zip(beta, np.sqrt(np.diag(cov)), strict=True) for v in pair], strict=True))
 
-    return _grouped(df, key, cols, ["stat", "p", *names], fit)
+    def from_sums(pdf: pd.DataFrame) -> dict:
+        gram, right = np.empty((len(pdf), m + 1, m + 1)), np.empty((len(pdf), m + 1))
+        gram[:, 0, 0], right[:, 0] = pdf["n"], pdf[f"s{m}"]
+        for i in range(m):
+            gram[:, 0, i + 1] = gram[:, i + 1, 0] = pdf[f"s{i}"]
+            right[:, i + 1] = pdf[f"q{i}_{m}"]
+            for j in range(i, m):
+                gram[:, i + 1, j + 1] = gram[:, j + 1, i + 1] = pdf[f"q{i}_{j}"]
+        bread = np.linalg.inv(gram.sum(axis=0))
+        beta = bread @ right.sum(axis=0)
+        # a cluster's score is what its sums leave over
+        return wald(pdf["n"].sum(), beta, bread, right - gram @ beta)
+
+    def from_counts(pdf: pd.DataFrame) -> dict:
+        x, yy, w = _design(pdf, f1), pdf[y].to_numpy(float), pdf["__w"].to_numpy(float)
+        beta, bread, _ = logistic_fit(x, yy, w)
+        scores = x * (w * (yy - 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))))[:, None]
+        _, code = np.unique(pdf[cluster].to_numpy(), return_inverse=True)
+        return wald(w.sum(), beta, bread, np.column_stack([np.bincount(code, scores[:, i]) for i in range(m + 1)]))
+
+    if family == "binomial":
+        counted = df.dropna(subset=[*cols, cluster]).groupBy(key, cluster, *cols).agg(F.count("*").cast("double").alias("__w"))
+        return _grouped(counted, key, [cluster, *cols, "__w"], ["stat", "p", *names], from_counts)
+    complete = df.dropna(subset=[*cols, cluster])
+    sums = _cluster_sums(complete, key, cluster, [*f1, y])
+    return _grouped(sums, key, [c for c in sums.columns if c != key], ["stat", "p", *names], from_sums)
 
 
 # --- imputed genotypes -----------------------------------------------------------------------------------------

@@ -465,6 +465,18 @@ def _(s, d):
     return out.select("marker", "n", F.round("`beta1.gt`", 4).alias("beta"), F.round("`sd1.gt`", 4).alias("sd"), F.round("p", 6).alias("p"))
 
 
+_T12_BINOMIAL = f"""with {_logistic_sql((0.0, 1.0, 2.0))}, d as (select g.marker, gt, fid, cc - 1 / (1 + exp(-(b0 + b1 * gt))) as e from ({X.GT}) g join ({X.SAMPLE}) s using (iid) join fit on fit.marker = g.marker where gt is not null),
+ u as (select marker, fid, sum(e) as u0, sum(gt * e) as u1 from d group by 1, 2), m as (select marker, sum(u0 * u0) as m00, sum(u0 * u1) as m01, sum(u1 * u1) as m11 from u group by 1),
+ z as (select marker, n, b1, sqrt(h01 * h01 * m00 - 2 * h00 * h01 * m01 + h00 * h00 * m11) / (h00 * h11 - h01 * h01) as sd from t join fit using (marker) join m using (marker)), w as (select *, power(b1 / sd, 2) as stat from z)
+ select marker, n, round(b1, 5) as beta, round(sd, 5) as sd, round({tails.chi2("stat", 1)}, 6) as p from w"""
+
+
+@query("t12_gee_binomial", _T12_BINOMIAL)
+def _(s, d):
+    out = T.gee(_with_y(s, d), "cc", ["gt"], [], "fid", "binomial")
+    return out.select("marker", "n", F.round("`beta1.gt`", 5).alias("beta"), F.round("`sd1.gt`", 5).alias("sd"), F.round("p", 6).alias("p"))
+
+
 _DOSE = "(p_ab + 2 * p_bb)"
 
 

@@ -233,6 +233,54 @@ def test_robust_deviations_written_out(spark, people):
     assert got.p == pytest.approx(math.erfc(abs(beta[1] / sd[1]) / math.sqrt(2)), rel=1e-8)
 
 
+def test_robust_logistic_deviations_written_out(spark, people):
+    """Binomial with a covariate: scores of single individuals, summed by cluster."""
+    one = people[people.marker == 5]
+    y, x = one.cc.to_numpy(float), np.column_stack([np.ones(len(one)), one["gt"], one.age])
+    df = X.gt(spark, DATA).where("marker = 5").join(X.sample(spark, DATA), "iid")
+    got = T.gee(df, "cc", ["gt", "age"], ["age"], "fid", "binomial").first()
+    beta = np.array([got[f"beta1.{v}"] for v in ("(Intercept)", "gt", "age")])
+    p = 1 / (1 + np.exp(-x @ beta))
+    assert np.allclose(x.T @ (y - p), 0, atol=1e-6)
+    u = np.array([x[own].T @ (y - p)[own] for own in ((one.fid == f).to_numpy() for f in set(one.fid))])
+    bread = np.linalg.inv(x.T @ (x * (p * (1 - p))[:, None]))
+    sd = np.sqrt(np.diag(bread @ u.T @ u @ bread))
+    assert got["sd1.gt"] == pytest.approx(sd[1], rel=1e-6) and got.stat == pytest.approx((beta[1] / sd[1]) ** 2, rel=1e-6) and got.n == len(one)
+
+
+def test_random_intercepts_of_a_logistic_model(spark):
+    """The Laplace likelihood written out person by person, its greatest value found coordinate by coordinate."""
+    random = np.random.default_rng(4)
+    family = np.repeat(np.arange(12), 20)
+    g = random.integers(0, 3, 240).astype(float)
+    y = (random.uniform(size=240) < 1 / (1 + np.exp(-(-0.5 + 0.6 * g + random.normal(size=12)[family] * 1.2)))).astype(int)
+    df = spark.createDataFrame([(i, 1, float(g[i]), int(y[i]), int(family[i])) for i in range(240)], "iid long, marker long, gt double, cc int, fid long")
+
+    def loglik(a, b, s):
+        total = 0.0
+        for f in range(12):
+            own = family == f
+            eta = a + b * g[own]
+            inner = lambda u: (y[own] * (eta + u) - np.log1p(np.exp(eta + u))).sum() - u * u / (2 * s)
+            u = _best(inner, -8, 8, 60)
+            p = 1 / (1 + np.exp(-(eta + u)))
+            total += inner(u) - 0.5 * math.log(s * ((p * (1 - p)).sum() + 1 / s))
+        return total
+
+    def best(b):
+        a, s = 0.0, 1.0
+        for _ in range(12):
+            a = _best(lambda v: loglik(v, b, s), -4, 4, 25)
+            s = math.exp(_best(lambda v: loglik(a, b, math.exp(v)), -5, 3, 25))
+        return loglik(a, b, s), s
+
+    got = T.glmm_binary(df, "cc", ["gt"], [], "fid").first()
+    at, variance = best(got["beta1.gt"])
+    assert got.variance == pytest.approx(variance, rel=2e-2)
+    assert got.stat == pytest.approx(2 * (at - best(0.0)[0]), abs=1e-2)
+    assert at >= max(best(got["beta1.gt"] - 0.05)[0], best(got["beta1.gt"] + 0.05)[0]) - 1e-4
+
+
 def test_imputed_likelihood_written_out(spark):
     prob = X.prob(spark, DATA).where("marker = 3").join(X.sample(spark, DATA).select("iid", "cc"), "iid")
     rows = prob.where("p_aa + p_ab + p_bb > 0").toPandas()
