@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoframe.operators.assoc import chi2_sf
-from genoframe.operators.windows import kept
+from genoframe.operators.windows import stored
 
 STEPS = 30
 CLOSE = 1e-9
@@ -24,7 +24,7 @@ def _counted(df: DataFrame, key: str, time: str, event: str, xs: list[str], clus
     rows = df.select(F.col(key).cast("long").alias("k"), F.col(time).cast("double").alias("t"), (F.col(event).cast("double") > 0).cast("int").alias("d"), *(F.col(x).cast("double").alias(n) for x, n in zip(xs, names, strict=True)), (F.col(cluster) if cluster else F.lit(0)).alias("c"))
     rows = rows.dropna().groupBy("k", "t", "d", *names, "c").agg(F.count("*").cast("double").alias("w"))
     means = rows.groupBy("k").agg(*((F.sum(F.col("w") * F.col(n)) / F.sum("w")).alias(f"m_{n}") for n in names))
-    return kept(rows.join(means, "k").select("k", "t", "d", "c", "w", *((F.col(n) - F.col(f"m_{n}")).alias(n) for n in names)))
+    return stored(rows.join(means, "k").select("k", "t", "d", "c", "w", *((F.col(n) - F.col(f"m_{n}")).alias(n) for n in names)))
 
 
 def _pairs(size: int) -> list[tuple[int, int]]:
@@ -99,13 +99,13 @@ def _fitted(rows: DataFrame, at: list[int]) -> DataFrame:
     done = None
     for _ in range(STEPS):
         sums = _scores(_times(_risks(rows, beta, at), at), size).join(beta, "k")
-        state = kept(sums.mapInPandas(update, "k long, b array<double>, ll double, h array<double>, change double"))
+        state = stored(sums.mapInPandas(update, "k long, b array<double>, ll double, h array<double>, change double"))
         settled = state.where(F.col("change") < CLOSE).drop("change")
         done = settled if done is None else done.unionByName(settled)
         beta = state.where(F.col("change") >= CLOSE).select("k", "b")
         if beta.isEmpty():
             break
-    return kept(done)
+    return stored(done)
 
 
 def _residual_sums(rows: DataFrame, beta: DataFrame, at: list[int]) -> DataFrame:

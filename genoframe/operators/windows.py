@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,28 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: for steps that join what an earlier step has made.
+
+    Unlike a checkpoint, a table brings its own size. The size of a checkpoint is the planner's estimate for the plan before it, which for a join is a product,
+    so that some ten joined steps later the estimates alone take minutes.
+    """
+    path = f"{shared_base(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.options(compression="zstd").parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_in = path
+    return table
+
+
+def released(*tables: DataFrame | None) -> None:
+    """Removes stored tables that nothing reads any more."""
+    for table in tables:
+        if table is not None:
+            context = table.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(table.stored_in)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int | None = None) -> DataFrame:
     """Row numbers from 1 by ``order`` (names or sort columns; give a full tie-break): rows are range-partitioned, numbered by partition, and shifted by the
     counts of the partitions before."""

@@ -10,8 +10,10 @@ from genoframe.functions import scalars as S
 from genoframe.operators import assoc as T
 from genoframe.operators import cox as C
 from genoframe.operators import genotypes as G
+from genoframe.operators import ld as LD
 from genoframe.operators import permute as P
 from genoframe.operators import qc as Q
+from genoframe.operators import scaling as M
 from genoframe.operators import udf as D
 from genoframe.plans import fixtures as X
 from genoframe.plans import tails
@@ -258,7 +260,7 @@ def _(s, d):
 
 @query("q09_ld_prune")
 def _(s, d):
-    return Q.ld_prune(X.gt(s, d))
+    return LD.ld_prune(X.gt(s, d))
 
 
 @query("q10_ibs_pairs", f"with g as (select iid, marker, gt from ({X.GT}) g), p as (select a.iid as id1, b.iid as id2, count(*) filter (where 2 - abs(a.gt - b.gt) = 0) as ibs0, count(*) filter (where 2 - abs(a.gt - b.gt) = 1) as ibs1, count(*) filter (where 2 - abs(a.gt - b.gt) = 2) as ibs2 from g a join g b on a.marker = b.marker and a.iid < b.iid group by 1, 2), i as (select distinct iid from g) select a.iid as id1, b.iid as id2, cast(coalesce(ibs0, 0) as int) as ibs0, cast(coalesce(ibs1, 0) as int) as ibs1, cast(coalesce(ibs2, 0) as int) as ibs2, round((ibs1 * 0.5e0 + ibs2) / nullif(ibs0 + ibs1 + ibs2, 0), 8) as distance from i a join i b on a.iid < b.iid left join p on p.id1 = a.iid and p.id2 = b.iid")
@@ -290,7 +292,7 @@ def _(s, d):
 
 @query("q13_mds")
 def _(s, d):
-    return Q.mds(_ibs(s, d), 2, 6)
+    return M.mds(_ibs(s, d))
 
 
 @query("q14_drop_nan_ids")

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from genoframe.functions import scalars as S
 from genoframe.operators import assoc as T
 from genoframe.operators import cox as C
+from genoframe.operators import ld as LD
 from genoframe.operators import qc as Q
+from genoframe.operators import scaling as M
 from genoframe.operators import reshape as A
 from genoframe.operators import windows as W
 from genoframe.plans import fixtures as X
@@ -113,7 +115,7 @@ def test_ld_prune(spark):
     calls = np.concatenate([base, np.where(random.random((80, 12)) < 0.15, random.integers(0, 3, (80, 12)), base)], 1)
     calls = calls[:, random.permutation(24)]
     rows = [(i, m, 1, m * 10, int(calls[i, m])) for i in range(80) for m in range(24)] + [(0, 99, 23, 5, 1)]
-    got = {r.marker: r.pruned for r in Q.ld_prune(spark.createDataFrame(rows, "iid long, marker long, chr int, pos long, gt int"), 8, 3, 2.0).collect()}
+    got = {r.marker: r.pruned for r in LD.ld_prune(spark.createDataFrame(rows, "iid long, marker long, chr int, pos long, gt int"), 8, 3, 2.0).collect()}
     alive, corr = [True] * 24, np.corrcoef(calls.T)
     for lo in range(0, 24 - 8 + 1 + 3, 3):
         while True:
@@ -128,12 +130,58 @@ def test_ld_prune(spark):
     assert 0 < sum(got.values()) < 25
 
 
+def test_ld_prune_in_segments(spark):
+    """Whatever the segments, the result is that of one sweep; correlations reach over the borders, and copies of a marker go."""
+    random = np.random.default_rng(11)
+    calls = np.zeros((60, 90), int)
+    calls[:, 0] = random.integers(0, 3, 60)
+    for k in range(1, 90):
+        calls[:, k] = np.where(random.random(60) < (0.25 if k % 30 else 1.0), random.integers(0, 3, 60), calls[:, k - 1])
+    calls[:, 40] = calls[:, 39]
+    calls[:, 70] = 1
+    rows = [(i, m, 1 + m // 60, m * 10, int(calls[i, m])) for i in range(60) for m in range(90)]
+    gt = spark.createDataFrame(rows, "iid long, marker long, chr int, pos long, gt int")
+    expected = {}
+    for own in (range(60), range(60, 90)):
+        with np.errstate(all="ignore"):
+            corr, alive = np.nan_to_num(np.corrcoef(calls[:, list(own)].T)), np.ones(len(own), bool)
+        np.fill_diagonal(corr, 1)
+        band = np.array([[corr[k, k + d] if k + d < len(own) else 0 for d in range(8)] for k in range(len(own))])
+        LD.sweep(band, alive, range(0, max(1, len(own) - 8 + 1 + 3), 3), 8, 2.0)
+        expected |= {m: not a for m, a in zip(own, alive, strict=True)}
+    assert expected[39] or expected[40]
+    for segment in (9, 12, 2000):
+        assert {r.marker: r.pruned for r in LD.ld_prune(gt, 8, 3, 2.0, segment).collect()} == expected
+    assert LD.ld_prune(gt.where("false")).count() == 0
+
+
+def test_scaling_of_more_ids_than_a_block(spark, monkeypatch):
+    """Eigenvectors of a matrix without gaps to speak of, to 1e-6, over several blocks; dimensions that the distances have not got are 0."""
+    monkeypatch.setattr(M, "BLOCK", 16)
+    random = np.random.default_rng(3)
+    far = random.uniform(0.2, 0.6, (70, 70))
+    d2 = np.triu(far, 1) ** 2 + (np.triu(far, 1) ** 2).T
+    centre = np.eye(70) - 1 / 70
+    value, vector = np.linalg.eigh(-0.5 * centre @ d2 @ centre)
+    pairs = spark.createDataFrame([(100 + a, 100 + b, float(1 - far[a, b])) for a in range(70) for b in range(a + 1, 70)], "id1 long, id2 long, distance double")
+    got = M.mds(pairs, 3, rule="c1 > mean1 + 2 * sd1").toPandas().sort_values("id")
+    for k in range(3):
+        expected = vector[:, -1 - k] * np.sqrt(value[-1 - k])
+        expected *= np.sign(expected[np.abs(expected).argmax()])
+        assert np.allclose(got[f"c{k + 1}"], expected, atol=1e-6)
+    assert got.outlier.tolist() == (got.c1 > got.c1.mean() + 2 * got.c1.std()).tolist()
+    line = spark.createDataFrame([(a, b, 1 - abs(a - b) / 10) for a in range(5) for b in range(a + 1, 5)], "id1 long, id2 long, distance double")
+    flat = M.mds(line, 2).toPandas()
+    assert np.allclose(sorted(flat.c1), [-0.2, -0.1, 0.0, 0.1, 0.2]) and np.allclose(flat.c2, 0, atol=1e-6)
+    assert M.mds(pairs.where("false"), 2).count() == 0
+
+
 def test_scaling_of_distances(spark):
     random = np.random.default_rng(8)
     place = random.normal(size=(30, 2)) * [3, 1] * 0.05
     far = np.sqrt(((place[:, None] - place[None]) ** 2).sum(-1))
     pairs = spark.createDataFrame([(a, b, float(1 - far[a, b])) for a in range(30) for b in range(a + 1, 30)], "id1 long, id2 long, distance double")
-    got = Q.mds(pairs, 2, 25).toPandas().sort_values("id")[["c1", "c2"]].to_numpy()
+    got = M.mds(pairs, 2).toPandas().sort_values("id")[["c1", "c2"]].to_numpy()
     again = np.sqrt(((got[:, None] - got[None]) ** 2).sum(-1))
     assert np.allclose(again, far, atol=1e-6)
 
