@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 
@@ -81,14 +82,18 @@ def genotype_test(tab: DataFrame, min_cell: int = 5, draws: int = 5000, seed: in
 # --- linear models from sums -----------------------------------------------------------------------------------
 
 
+def gram_sums(names: list[str], mask: Column | None = None, prefix: str = "") -> dict[str, Column]:
+    """n, sums and sums of products of the columns over the rows that are complete in them (and in ``mask``), as aggregate columns; ``lm_from_sums`` reads them."""
+    d = lambda c: F.col(c).cast("double")
+    there = functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in names])
+    there = there if mask is None else there & mask
+    out = {f"{prefix}n": F.count_if(there)} | {f"{prefix}s{i}": F.sum(F.when(there, d(a))) for i, a in enumerate(names)}
+    return out | {f"{prefix}q{i}_{j}": F.sum(F.when(there, d(a) * d(b))) for i, a in enumerate(names) for j, b in enumerate(names) if j >= i}
+
+
 def _gram(df: DataFrame, key: str, y: str, xs: list[str]) -> DataFrame:
     """Sums of products per key, rows complete in y and xs."""
-    rows = df.dropna(subset=[y, *xs])
-    d = lambda c: F.col(c).cast("double")
-    names = [*xs, y]
-    sums = [F.count("*").alias("n"), *(F.sum(d(a)).alias(f"s{i}") for i, a in enumerate(names))]
-    sums += [F.sum(d(a) * d(b)).alias(f"q{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if j >= i]
-    return rows.groupBy(key).agg(*sums)
+    return df.dropna(subset=[y, *xs]).groupBy(key).agg(*(c.alias(n) for n, c in gram_sums([*xs, y]).items()))
 
 
 def _betacf(a: float, b: float, x: float) -> float:
@@ -150,6 +155,35 @@ def _solve(q: np.ndarray, s: np.ndarray, n: float, k: list[int], y: int) -> tupl
     return beta, inverse, float(q[y, y] - beta @ b)
 
 
+def lm_from_sums(row: dict, f1: list[str], f0: list[str], test: str = "F", prefix: str = "") -> dict:
+    """The fit of one key from its ``gram_sums`` over [*xs, y], with xs those of f1 and then those of f0 that are not among them: n, P, statistic, coefficients and deviations."""
+    xs = [*f1, *(x for x in f0 if x not in f1)]
+    n, m = row[f"{prefix}n"], len(xs)
+    got = {"n": n, "p": None, "stat": None} | dict.fromkeys([*_names("1", f1), *_names("0", list(f0))])
+    if not n:
+        return got
+    s = np.array([row[f"{prefix}s{i}"] for i in range(m + 1)], float)
+    q = np.zeros((m + 1, m + 1))
+    for i in range(m + 1):
+        for j in range(i, m + 1):
+            q[i, j] = q[j, i] = row[f"{prefix}q{i}_{j}"]
+    k1, k0 = [xs.index(x) for x in f1], [xs.index(x) for x in f0]
+    full = np.empty((len(k1) + 1, len(k1) + 1))
+    full[0, 0], full[0, 1:], full[1:, 0], full[1:, 1:] = n, s[k1], s[k1], q[np.ix_(k1, k1)]
+    # a variable that does not vary beside the others has no effect to speak of
+    if n > len(k1) + 1 and np.linalg.matrix_rank(full / np.sqrt(np.outer(np.diag(full), np.diag(full)) + 1e-300), tol=1e-10) == len(full):
+        b1, i1, r1 = _solve(q, s, n, k1, m)
+        b0, i0, r0 = _solve(q, s, n, k0, m)
+        free, more = n - len(k1) - 1, len(k1) - len(k0)
+        if r1 > 1e-9 * max(1.0, q[m, m]):
+            got["stat"] = (r0 - r1) / more / (r1 / free) if test == "F" else n * math.log(max(r0, 1e-300) / r1)
+            got["p"] = f_sf(got["stat"], more, free) if test == "F" else chi2_sf(got["stat"], more)
+        for tag, xs_, b, inv, r, k in (("1", f1, b1, i1, r1, k1), ("0", list(f0), b0, i0, r0, k0)):
+            sd = np.sqrt(np.maximum(np.diag(inv) * r / max(n - len(k) - 1, 1), 0))
+            got |= dict(zip(_names(tag, xs_), [v for pair in zip(b, sd, strict=True) for v in pair], strict=True))
+    return got
+
+
 def lm_per_marker(df: DataFrame, y: str, f1: list[str], f0: list[str] = (), key: str = "marker", test: str = "F") -> DataFrame:
     """T4, T5: linear regression of y on f1 against f0, on the rows complete for f1; F test, or the Gaussian likelihood ratio (``test="LR"``).
 
@@ -158,34 +192,10 @@ def lm_per_marker(df: DataFrame, y: str, f1: list[str], f0: list[str] = (), key:
     xs = [*f1, *(x for x in f0 if x not in f1)]
     names = [*_names("1", f1), *_names("0", list(f0))]
     schema = f"{key} long, n long, p double, stat double, " + ", ".join(f"`{c}` double" for c in names)
-    m = len(xs)
 
     def fit(batches):
         for pdf in batches:
-            out = []
-            for row in pdf.to_dict("records"):
-                n = row["n"]
-                s = np.array([row[f"s{i}"] for i in range(m + 1)], float)
-                q = np.zeros((m + 1, m + 1))
-                for i in range(m + 1):
-                    for j in range(i, m + 1):
-                        q[i, j] = q[j, i] = row[f"q{i}_{j}"]
-                got = {key: row[key], "n": n, "p": None, "stat": None} | dict.fromkeys(names)
-                k1, k0 = [xs.index(x) for x in f1], [xs.index(x) for x in f0]
-                full = np.empty((len(k1) + 1, len(k1) + 1))
-                full[0, 0], full[0, 1:], full[1:, 0], full[1:, 1:] = n, s[k1], s[k1], q[np.ix_(k1, k1)]
-                # a variable that does not vary beside the others has no effect to speak of
-                if n > len(k1) + 1 and np.linalg.matrix_rank(full / np.sqrt(np.outer(np.diag(full), np.diag(full)) + 1e-300), tol=1e-10) == len(full):
-                    b1, i1, r1 = _solve(q, s, n, k1, m)
-                    b0, i0, r0 = _solve(q, s, n, k0, m)
-                    free, more = n - len(k1) - 1, len(k1) - len(k0)
-                    if r1 > 1e-9 * max(1.0, q[m, m]):
-                        got["stat"] = (r0 - r1) / more / (r1 / free) if test == "F" else n * math.log(max(r0, 1e-300) / r1)
-                        got["p"] = f_sf(got["stat"], more, free) if test == "F" else chi2_sf(got["stat"], more)
-                    for tag, xs_, b, inv, r, k in (("1", f1, b1, i1, r1, k1), ("0", list(f0), b0, i0, r0, k0)):
-                        sd = np.sqrt(np.maximum(np.diag(inv) * r / max(n - len(k) - 1, 1), 0))
-                        got |= dict(zip(_names(tag, xs_), [v for pair in zip(b, sd, strict=True) for v in pair], strict=True))
-                out.append(got)
+            out = [{key: row[key]} | lm_from_sums(row, f1, f0, test) for row in pdf.to_dict("records")]
             yield pd.DataFrame(out, columns=[c.strip("`") for c in [key, "n", "p", "stat", *names]])
 
     return _gram(df, key, y, xs).mapInPandas(fit, schema)

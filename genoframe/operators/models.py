@@ -62,17 +62,62 @@ def testable(df: DataFrame, maf: float = 0.01, counts: int = 5) -> DataFrame:
     return G.gt_counts(df).select("marker", F.when((F.least(af, 1 - af) >= maf) & (few < 2), af).alias("af"))
 
 
+#: Models whose fits come from sums, so that any number of them needs one reading of the genotypes.
+FROM_SUMS = {"linear": "F", "gaussian": "LR"}
+
+
+def _chosen(model: Model):
+    return F.coalesce(F.expr(model.subset), F.lit(False)) if model.subset else F.lit(True)
+
+
+def _status(af, p):
+    return F.when(af.isNull(), "excluded").when(p.isNull() | F.isnan(p), "failed").otherwise("ok")
+
+
+def _from_sums(df: DataFrame, models: list[Model], maf: float, counts: int) -> DataFrame:
+    """All models at once: each row is read once and adds to the sums of the models whose subset it is in; Python then gets one row of sums a marker."""
+    sums = {}
+    for i, m in enumerate(models):
+        xs = [*m.f1, *(x for x in m.f0 if x not in m.f1)]
+        sums |= {f"m{i}_g{k}": F.count_if(_chosen(m) & (F.col("gt") == k)) for k in range(3)} | {f"m{i}_all": F.count_if(_chosen(m))}
+        sums |= T.gram_sums([*xs, m.response], _chosen(m), f"m{i}_")
+    summed = df.groupBy("marker").agg(*(c.alias(n) for n, c in sums.items()))
+    tags = [m.tag or m.response for m in models]
+
+    def fit(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            out = []
+            for row in pdf.to_dict("records"):
+                for i, m in enumerate(models):
+                    g = [row[f"m{i}_g{k}"] for k in range(3)]
+                    af = (g[1] + 2 * g[2]) / (2 * sum(g)) if sum(g) else None
+                    good = af is not None and min(af, 1 - af) >= maf and sum(k < counts for k in g) < 2
+                    if row[f"m{i}_all"]:
+                        p = T.lm_from_sums(row, list(m.f1), list(m.f0), FROM_SUMS[m.kind], f"m{i}_")["p"] if good else None
+                        out.append((tags[i], row["marker"], af if good else None, p))
+            yield pd.DataFrame(out, columns=["tag", "marker", "af", "p"]).astype({"af": float, "p": float})
+
+    found = summed.mapInPandas(fit, "tag string, marker long, af double, p double")
+    known = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
+    return found.select("tag", "marker", known("af"), known("p")).withColumn("status", _status(F.col("af"), F.col("p")))
+
+
 def association(df: DataFrame, models: list[Model], maf: float = 0.01, counts: int = 5) -> DataFrame:
-    """(tag, marker, af, p, status) of all models: ``ok``, ``failed`` (no P) or ``excluded``."""
-    parts = []
-    for m in models:
+    """(tag, marker, af, p, status) of all models: ``ok``, ``failed`` (no P) or ``excluded``. A marker has a row for each model in whose subset it has rows.
+
+    Linear and Gaussian models share one reading of the genotypes, whatever their number.
+    """
+    together = [m for m in models if m.kind in FROM_SUMS]
+    parts = [_from_sums(df, together, maf, counts)] if together else []
+    for m in (m for m in models if m.kind not in FROM_SUMS):
         rows = df.where(m.subset) if m.subset else df
         # one row a marker, written, so that the genotypes are read once to count and once to fit
         every = kept(testable(rows, maf, counts))
         fitted = FITS[m.kind](rows.join(every.where("af is not null").select("marker"), "marker", "left_semi"), m).select("marker", "p")
         every = every.join(fitted, "marker", "left")
-        status = F.when(F.col("af").isNull(), "excluded").when(F.col("p").isNull() | F.isnan("p"), "failed").otherwise("ok")
-        parts.append(every.select(F.lit(m.tag or m.response).alias("tag"), "marker", "af", "p", status.alias("status")))
+        parts.append(every.select(F.lit(m.tag or m.response).alias("tag"), "marker", "af", "p", _status(F.col("af"), F.col("p")).alias("status")))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
