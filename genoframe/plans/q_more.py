@@ -159,14 +159,16 @@ def _(s, d):
     return ranked.select("p_partkey", F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e < F.col("k"))).alias("chunk"))
 
 
-@query("sc05_prefixed_table", "select c_custkey, c_name from customer")
+@query("sc05_prefixed_table", "select c_custkey, c_name, 'two, 3' as head from customer")
 def _(s, d):
+    """A folder of files with a head each, in which a key is repeated."""
     path = _folder(s)
-    lines = X.table(s, d, "customer").select((F.col("c_custkey") + 10).alias("at"), F.concat_ws("\t", "c_custkey", "c_name").alias("value"))
-    head = s.createDataFrame([(0, "source: test"), (1, "version: 2"), (2, ""), (3, "c_custkey\tc_name")], "at long, value string")
-    head.unionByName(lines).coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
-    _, table = SC.read_prefixed(s, path)
-    return table.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name")
+    lines = X.table(s, d, "customer").select((F.col("c_custkey") % 3).alias("part"), (F.col("c_custkey") + 10).alias("at"), F.concat_ws("\t", "c_custkey", "c_name").alias("value"))
+    head = [(0, "source: one"), (1, "source: two"), (2, "version: 3"), (3, ""), (4, "c_custkey\tc_name")]
+    heads = s.createDataFrame([(p, k, v) for p in range(3) for k, v in head], "part long, at long, value string")
+    heads.unionByName(lines).repartition(3, "part").sortWithinPartitions("part", "at").drop("at").write.partitionBy("part").text(path)
+    found, table = SC.read_prefixed(s, path)
+    return table.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", F.lit(f"{found['source']}, {found['version']}").alias("head"))
 
 
 @query("sc06_combine_files", "select c_custkey, c_nationkey as part from customer")

@@ -51,15 +51,16 @@ def _(s, d):
     return g.select("rs_id", "position", "alleles", F.size("p").alias("k"), F.round(F.aggregate("p", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
-@query("sc09_gens_info", "select 'rs' || p_partkey as rs_id, p_size * 1e0 / 100 as info, p_partkey % 4 as file_no from part")
+@query("sc09_gens_info", "select 'rs' || p_partkey as rs_id, p_size * 1e0 / 100 as info, cast((p_partkey * 7) % 4 as int) as file_no from part")
 def _(s, d):
-    """Four folders, one for each remainder; the file names tell nothing, so the folder is taken from the path."""
-    paths = [f"{_folder(s)}/info{k}" for k in range(4)]
+    """Four folders; which one a row came from is known from nothing but its file."""
+    base = _folder(s)
+    paths = [f"{base}/info{k}" for k in (2, 0, 3, 1)]
     for k, path in enumerate(paths):
-        rows = X.table(s, d, "part").where(F.col("p_partkey") % 4 == k)
-        columns = {"snp_id": F.lit("---"), "rs_id": F.concat(F.lit("rs"), "p_partkey"), "position": F.col("p_partkey"), "a0": F.lit("A"), "a1": F.lit("G"), "exp_freq_a1": F.lit(0.5), "info": F.col("p_size") / 100, "certainty": F.lit(1.0), "type": F.lit(0), "info_type0": F.lit(None).cast("double"), "concord_type0": F.lit(None).cast("double"), "r2_type0": F.lit(None).cast("double")}
+        rows = X.table(s, d, "part").where((F.col("p_partkey") * 7) % 4 == k)
+        columns = {"snp_id": F.lit("---"), "rs_id": F.concat(F.lit("rs"), "p_partkey"), "position": F.lit(1), "a0": F.lit("A"), "a1": F.lit("G"), "exp_freq_a1": F.lit(0.5), "info": F.col("p_size") / 100, "certainty": F.lit(1.0), "type": F.lit(0), "info_type0": F.lit(None).cast("double"), "concord_type0": F.lit(None).cast("double"), "r2_type0": F.lit(None).cast("double")}
         rows.select(*(c.alias(n) for n, c in columns.items())).write.options(sep=" ", header=True, nullValue="NA").csv(path)
-    return SC.read_gens_info(s, paths).select("rs_id", "info", (F.col("position") % 4).alias("file_no"))
+    return SC.read_gens_info(s, paths).select("rs_id", "info", "file_no")
 
 
 @query("sc10_fam_bim", f"select 'fam' as kind, cast(iid as varchar) as id, sex as a from ({X.SAMPLE}) s union all select 'bim', cast(marker as varchar), chr from ({X.MARKER}) m")
@@ -71,9 +72,8 @@ def _(s, d):
     return people.select(F.lit("fam").alias("kind"), F.col("iid").alias("id"), F.col("sex").alias("a")).unionByName(markers.select(F.lit("bim").alias("kind"), F.col("marker").alias("id"), F.col("chr").alias("a")))
 
 
-@query("sc11_packed_genotypes", f"select marker, iid, gt from ({X.GT}) g where gt is not null")
-def _(s, d):
-    """Calls packed two bits each into one file, and read back by ranges of markers."""
+def _packed(s, d):
+    """Calls packed two bits each into one file: its path, individuals and markers with their numbers in it."""
     path = _folder(s)
     people = W.global_rank(X.sample(s, d).select("iid"), ["iid"], "no").withColumn("person_no", F.col("no") - 1).drop("no")
     markers = W.global_rank(X.marker(s, d).select("marker"), ["marker"], "no").withColumn("marker_no", F.col("no") - 1).drop("no")
@@ -96,10 +96,26 @@ def _(s, d):
 
     # one file is one writer by its format; the reader splits it
     records.coalesce(1).sortWithinPartitions("marker_no").mapInArrow(write, "written int").count()
+    return path, people, markers
+
+
+@query("sc11_packed_genotypes", f"select marker, iid, gt from ({X.GT}) g where gt is not null")
+def _(s, d):
+    """Read back by ranges of markers."""
+    path, people, markers = _packed(s, d)
     read = SC.read_bed(s, path, markers, people, 30).where("gt is not null")
     return read.join(people, "person_no").join(markers, "marker_no").select("marker", "iid", "gt")
 
 
+@query("sc11_packed_marker_list", f"with g as ({X.GT}), f as (select marker, sum(gt) > count(gt) as flipped from g group by 1) select marker, iid, cast(case when flipped then 2 - gt else gt end as int) as gt, flipped from g join f using (marker) where chr = 4 and gt is not null")
+def _(s, d):
+    """The markers of one chromosome only, by their places in the file, counting the rarer allele."""
+    path, people, markers = _packed(s, d)
+    wanted = markers.join(X.marker(s, d).where("chr = 4").select("marker"), "marker", "left_semi")
+    read = SC.read_bed(s, path, markers, people, only=wanted, flip=True).where("gt is not null")
+    return read.join(people, "person_no").join(markers, "marker_no").select("marker", "iid", "gt", "flipped")
+
+
 @query("sc13_sex_file", f"select cast(fid as varchar) as \"ID_1\", cast(iid as varchar) as \"ID_2\", '0' as missing, cast(sex as varchar) as sex from ({X.SAMPLE}) s union all select '0', '0', '0', 'D'")
 def _(s, d):
     path = _folder(s)
@@ -131,10 +147,10 @@ def _(s, d):
     return part("map", "map", "new").unionByName(part("map-backup", "backup", "old"))
 
 
-@query("sc21_validate", f"select 'data' as name, count(*) as n, count(*) as ids, cast(0 as bigint) as nulls, min(marker) as least, max(marker) as most from ({X.MARKER}) m union all select 'map', count(*), count(distinct marker // 2), cast(0 as bigint), min(marker // 2), max(marker // 2) from ({X.MARKER}) m")
+@query("sc21_validate", f"select 'data' as name, count(*) as n, count(*) as ids, cast(0 as bigint) as nulls, min(marker) as least, max(marker) as most, false as fits from ({X.MARKER}) m union all select 'map', count(*), count(distinct marker // 2), cast(0 as bigint), min(marker // 2), max(marker // 2), true from ({X.MARKER}) m where marker % 5 <> 1 union all select 'qc', count(*), count(distinct marker // 3), cast(0 as bigint), min(marker // 3), max(marker // 3), true from ({X.MARKER}) m where marker % 5 <> 1")
 def _(s, d):
     m = X.marker(s, d)
-    return SC.validate_db({"data": m.select(F.col("marker").alias("gvar_id")), "map": m.select(F.expr("marker div 2").alias("gvar_id"), "chr")})
+    return SC.validate_db({"data": m.select(F.col("marker").alias("gvar_id")), "map": m.where("marker % 5 <> 1").select(F.expr("marker div 2").alias("gvar_id"), "chr"), "qc": m.where("marker % 5 <> 1").select(F.expr("marker div 3").alias("gvar_id"))})
 
 
 @query("sc22_inject", "select cast(l_linenumber as varchar) as number, true as found from lineitem group by 1")
@@ -206,3 +222,10 @@ def _(s, d):
 
     out = T.lh_test_lr(X.gt(s, d).where("gt is not null"), ["gt"], loglik, [0.1], [], lambda t: np.zeros(1))
     return out.select("marker", "n", F.round(1 / (1 + F.exp(-F.col("t0"))), 4).alias("frequency"), F.round("stat", 3).alias("stat"))
+
+
+@query("sc27_transform_columns", "select c_custkey, upper(c_name) as c_name, c_nationkey, round(c_acctbal / 1000, 6) as c_acctbal, c_mktsegment from customer")
+def _(s, d):
+    """Names by one template, the balance by another; two templates find the segment, which stays."""
+    t = X.table(s, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return SC.transform_columns(t, {"NAME$": "upper({x})", "bal": "round({x} / 1000, 6)", "^c_mkt": "lower({x})", "segment": "upper({x})"})

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 GENS_INFO = "snp_id string, rs_id string, position long, a0 string, a1 string, exp_freq_a1 double, info double, certainty double, type int, info_type0 double, concord_type0 double, r2_type0 double"
+#: Lines that the head of a prefixed table may have.
+HEAD_LINES = 1000
 FAM = "fid string, iid string, pid string, mid string, sex int, stat int"
 BIM = "chr int, marker string, pos_gen double, pos long, a1 string, a2 string"
 
@@ -66,27 +68,6 @@ def read_headed(spark: SparkSession, path: str, defaults: dict[str, str] | None
     return spark.read.options(sep=sep, header=True, multiLine=True, nullValue="", escape='"').csv(path).fillna(defaults or {})
 
 
-def read_prefixed(spark: SparkSession, path: str, sep: str = "\t") -> tuple[dict[str, str], DataFrame]:
-    """SC5: lines ``key: value`` until an empty line, then a table with header. The head of a file is short and comes to the driver."""
-    head: dict[str, str] = {}
-    names: list[str] | None = None
-    rows = [r[0] for r in spark.read.text(path).limit(1000).collect()]
-    for k, line in enumerate(rows):
-        if not line.strip():
-            names = rows[k + 1].split(sep)
-            break
-        key, _, value = line.partition(":")
-        head[key.strip()] = value.strip()
-    if names is None:
-        raise ValueError("no empty line after the key/value block")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    skip = len(head) + 2
-    lines = spark.read.text(path).withColumn("__id", F.monotonically_increasing_id())
-    # the head lies at the begin of the first partition, whose ids are line numbers
-    body = lines.where(F.col("__id") >= skip)
-    return head, body.select(F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"sep": sep}).alias("r")).select("r.*")
-
-
 def combine_files(spark: SparkSession, path: str, pattern: str, captures: dict[str, int], number: str | None = None, sep: str = "\t") -> DataFrame:
     """SC6: files of a folder whose path matches; captured groups become columns; ``number`` names the one to order by as a number."""
     df = spark.read.options(sep=sep, header=True, nullValue="NA", pathGlobFilter="*").csv(path).withColumn("__path", F.input_file_name())
@@ -103,6 +84,32 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return text.join(splits, ["file", "__at"]).select("file", (F.col("__before") + F.col("__id") - F.col("__first") + 1).alias("line"), "value")
 
 
+def read_prefixed(spark: SparkSession, path: str | list[str], sep: str = "\t") -> tuple[dict[str, str], DataFrame]:
+    """SC5: lines ``key: value`` until an empty line, then a table with header; empty lines in the table are passed over.
+
+    Of a key that is there several times the last value counts. Each of several files has a head of its own; keys and names come from the first file by its path, and a file with other column names is an error. A head has
+    ``HEAD_LINES`` lines at most and comes to the driver.
+    """
+    lines = _lines(spark, path)
+    blank = lines.where("trim(value) = ''").groupBy("file").agg(F.min("line").alias("blank"))
+    every = lines.join(blank, "file", "left")
+    start = every.where(f"line <= {HEAD_LINES} and line <= coalesce(blank, {HEAD_LINES}) + 1")
+    first = start.agg(F.min("file")).first()[0]
+    head_lines = [r["value"] for r in start.where(F.col("file") == first).orderBy("line").collect()]
+    at = next((k for k, line in enumerate(head_lines) if not line.strip()), None)
+    if at is None or at + 1 >= len(head_lines):
+        raise ValueError("no empty line after the key/value block, with a header behind it")
+    head: dict[str, str] = {}
+    for line in head_lines[:at]:
+        key, _, value = line.partition(":")
+        head[key.strip()] = value.strip()
+    header = head_lines[at + 1]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in header.split(sep)])
+    same = F.when(F.col("value") == header, True).otherwise(F.raise_error(F.concat(F.lit("other columns in "), F.col("file"))).cast("boolean"))
+    body = every.where(F.when(F.col("line") == F.col("blank") + 1, ~same).otherwise(F.coalesce(F.col("line") > F.col("blank"), F.lit(True)))).where("trim(value) <> ''")
+    return head, body.select(F.from_csv("value", ", ".join(f"`{f.name}` string" for f in schema), {"sep": sep}).alias("r")).select("r.*")
+
+
 def triples_of(numbers: Column) -> Column:
     """3N probabilities as an array of (p_aa, p_ab, p_bb)."""
     return F.transform(F.sequence(F.lit(0), (F.size(numbers) / 3).cast("int") - 1), lambda k: F.struct(numbers[3 * k].alias("p_aa"), numbers[3 * k + 1].alias("p_ab"), numbers[3 * k + 2].alias("p_bb")))
@@ -127,8 +134,14 @@ def read_gens_packed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gens_info(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SC9: several info files with the file they came from."""
-    return spark.read.schema(GENS_INFO).options(sep=" ", header=True, nullValue="NA").csv(paths).withColumn("file", F.regexp_extract(F.input_file_name(), "([^/]+)$", 1))
+    """SC9: several info files or folders, with the file that a row came from and ``file_no``, the place of its path in the list, from 0."""
+    context = spark.sparkContext
+    places = [context._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    whole = [p.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(p).toUri().toString().rstrip("/") for p in places]
+    bare = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")  # noqa: E731  (one or three slashes behind the scheme)
+    at = [F.when((bare(F.col("__path")) == bare(F.lit(w))) | F.startswith(bare(F.col("__path")), F.concat(bare(F.lit(w)), F.lit("/"))), k) for k, w in enumerate(whole)]
+    rows = spark.read.schema(GENS_INFO).options(sep=" ", header=True, nullValue="NA").csv(paths).withColumn("__path", F.col("_metadata.file_path"))
+    return rows.withColumns({"file": F.regexp_extract("__path", "([^/]+)$", 1), "file_no": F.coalesce(*at)}).drop("__path")
 
 
 def read_fam(spark: SparkSession, path: str) -> DataFrame:
@@ -141,12 +154,34 @@ def read_bim(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BIM).options(sep="\t").csv(path)
 
 
-def read_bed(spark: SparkSession, bed: str, bim: DataFrame, fam: DataFrame, markers_at_once: int = 1000) -> DataFrame:
+#: Bytes between two wanted markers that are read rather than skipped.
+GAP_BYTES = 1 << 16
+
+
+def spans(numbers: list[int], gap: int) -> list[tuple[int, int]]:
+    """Ranges (first, count) of rising record numbers; neighbours with at most ``gap`` records between them are one range."""
+    out: list[list[int]] = []
+    for n in numbers:
+        if out and n - out[-1][1] <= gap:
+            out[-1][1] = n + 1
+        else:
+            out.append([n, n + 1])
+    return [(a, b - a) for a, b in out]
+
+
+def bed_markers(spark: SparkSession, bim: str) -> DataFrame:
+    """SC11: (marker_no, marker, chr, pos, a1, a2): the markers of a bim file with their places in the packed file, from 0."""
+    c = F.split("value", r"\s+")
+    return _lines(spark, bim).select((F.col("line") - 1).alias("marker_no"), c[1].alias("marker"), c[0].cast("int").alias("chr"), c[3].cast("long").alias("pos"), c[4].alias("a1"), c[5].alias("a2"))
+
+
+def read_bed(spark: SparkSession, bed: str, bim: DataFrame, fam: DataFrame, markers_at_once: int = 1000, only: DataFrame | None = None, flip: bool = False) -> DataFrame:
     """SC11: (marker_no, person_no, gt) of the public packed format: after three magic bytes ceil(n / 4) bytes a marker, two bits a call,
     00 two copies of the first allele, 01 missing, 10 one, 11 none. Numbers are file order, from 0; missing calls are null.
 
     Tasks read ranges of ``markers_at_once`` markers by their place in the file, so that a large file is read by many of them; the bits are taken apart by
-    numpy. A file whose length does not fit the two tables is an error.
+    numpy. With ``only`` (marker_no) nothing but these markers' bytes and small gaps between them are read; repeated numbers count once, and one that the file has not got is an error. With ``flip`` calls count the
+    rarer allele (the first one where both are equally frequent), and ``flipped`` says where that is the other one. A file whose length does not fit the two tables is an error.
     """
     import numpy as np
     import pyarrow as pa
@@ -154,25 +189,40 @@ def read_bed(spark: SparkSession, bed: str, bim: DataFrame, fam: DataFrame, mark
 
     people, markers = fam.count(), bim.count()
     width = -(-people // 4)
-    out = pa.schema([("marker_no", pa.int64()), ("person_no", pa.int64()), ("gt", pa.int32())])
+    fields = [("marker_no", pa.int64()), ("person_no", pa.int64()), ("gt", pa.int32()), *([("flipped", pa.bool_())] if flip else [])]
+    out = pa.schema(fields)
 
     def run(batches):
         table = np.array([2, -1, 1, 0], np.int32)
         for batch in batches:
-            for first in batch.column(0).to_pylist():
+            for numbers in batch.column(0).to_pylist():
+                if numbers[0] < 0 or numbers[-1] >= markers:
+                    raise ValueError(f"the file has {markers} markers; asked for {numbers[0]} to {numbers[-1]}")
                 store, path = fs.FileSystem.from_uri(bed) if "://" in bed else (fs.LocalFileSystem(), bed)
+                wanted = set(numbers)
                 with store.open_input_file(path) as source:
                     if source.read(3) != b"\x6c\x1b\x01" or source.size() != 3 + markers * width:
                         raise ValueError("not a marker-major packed genotype file of these markers and individuals")
-                    count = min(markers_at_once, markers - first)
-                    source.seek(3 + first * width)
-                    codes = np.frombuffer(source.read(count * width), np.uint8).reshape(count, width)
-                for k in range(count):
-                    calls = table[(codes[k][:, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3].ravel()[:people]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(people, first + k)), pa.array(np.arange(people)), pa.array(calls, pa.int32(), mask=calls < 0)], schema=out)
-
-    ranges = spark.range(0, markers, markers_at_once) if markers else spark.range(0)
-    return ranges.mapInArrow(run, "marker_no long, person_no long, gt int")
+                    for first, count in spans(numbers, GAP_BYTES // max(width, 1)):
+                        source.seek(3 + first * width)
+                        codes = np.frombuffer(source.read(count * width), np.uint8).reshape(count, width)
+                        for k in (k for k in range(count) if first + k in wanted):
+                            calls = table[(codes[k][:, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3].ravel()[:people]
+                            columns = [pa.array(np.full(people, first + k)), pa.array(np.arange(people))]
+                            if flip:
+                                known = calls >= 0
+                                turned = bool(calls[known].sum() > known.sum())
+                                calls = np.where(known & turned, 2 - calls, calls)
+                            columns.append(pa.array(calls, pa.int32(), mask=calls < 0))
+                            yield pa.RecordBatch.from_arrays(columns + ([pa.array(np.full(people, turned))] if flip else []), schema=out)
+
+    if only is None:
+        starts = spark.range(0, markers, markers_at_once) if markers else spark.range(0)
+        ranges = starts.select(F.sequence("id", F.least(F.col("id") + markers_at_once, F.lit(markers)) - 1).alias("numbers"))
+    else:
+        numbered = only.select(F.col("marker_no").cast("long").alias("n")).where("n is not null").distinct()
+        ranges = numbered.groupBy(F.floor(F.col("n") / markers_at_once).alias("g")).agg(F.array_sort(F.collect_list("n")).alias("numbers")).select("numbers")
+    return ranges.mapInArrow(run, "marker_no long, person_no long, gt int" + (", flipped boolean" if flip else ""))
 
 
 def bed_records(gt: DataFrame, people: int) -> DataFrame:
@@ -286,7 +336,7 @@ def variant_db(gens: DataFrame, result: DataFrame, source: str) -> dict[str, Dat
 
 
 def validate_db(db: dict[str, DataFrame]) -> DataFrame:
-    """SC21: one row of counts per table: rows, distinct ids, nulls, range of ids; missing tables or id columns are errors."""
+    """SC21: one row of counts per table: rows, distinct ids, nulls, range of ids, and whether it is as long as the map; missing tables or id columns are errors."""
     if missing := {"data", "map"} - db.keys():
         raise ValueError(f"missing tables: {sorted(missing)}")
     out = None
@@ -297,7 +347,8 @@ def validate_db(db: dict[str, DataFrame]) -> DataFrame:
             raise ValueError(f"{name} has no gvar_id")
         row = df.agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.count_distinct("gvar_id").alias("ids"), F.count_if(F.col("gvar_id").isNull()).alias("nulls"), F.min("gvar_id").alias("least"), F.max("gvar_id").alias("most"))
         out = row if out is None else out.unionByName(row)
-    return out
+    length = out.where("name = 'map'").select(F.col("n").alias("__n"))
+    return out.join(F.broadcast(length)).withColumn("fits", F.col("n") == F.col("__n")).drop("__n")
 
 
 def normalize_map(chart: DataFrame, data: DataFrame) -> DataFrame:
@@ -339,3 +390,13 @@ def dataset_meta(df: DataFrame, templates: dict[str, tuple[str, str]]) -> DataFr
         found = next((v for p, v in templates.items() if re.fullmatch(p, c)), ("unknown", "unknown"))
         rows.append((c, *found))
     return df.sparkSession.createDataFrame(rows, "column string, type string, full_type string")
+
+
+def transform_columns(df: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """SC27: columns whose name one template's pattern is found in (without regard to case), and one only, go through its expression, in which ``{x}`` stands for the column."""
+    edits = {}
+    for c in df.columns:
+        found = [e for p, e in templates.items() if re.search(p, c, re.I)]
+        if len(found) == 1:
+            edits[c] = F.expr(found[0].replace("{x}", f"`{c}`"))
+    return df.withColumns(edits)
