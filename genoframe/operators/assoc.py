@@ -602,7 +602,9 @@ def _dealt_cases(sample: DataFrame, y: str, reps: int, seed: int) -> DataFrame:
     below = counted.where("u is null").groupBy("rep").agg(F.sum("below").alias("below"))
     placed = counted.where("u is not null").withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy("u"))).drop("below").join(below, "rep")
     found = {r["rep"]: r["u"] for r in placed.where(F.col("k") + F.col("below") == n1).select("rep", "u").collect()}  # one number a replicate
-    least = np.array([found.get(r, share if 0 < n1 < n else (-1.0 if n1 == 0 else 2.0)) for r in range(reps)])
+    if 0 < n1 < n and len(found) < reps:
+        raise ValueError("the number of cases of a replicate is not kept: its hashes are spread too unevenly; take another seed")
+    least = np.array([found[r] if 0 < n1 < n else (-1.0 if n1 == 0 else 2.0) for r in range(reps)])
 
     def deal(batches):
         for batch in batches:

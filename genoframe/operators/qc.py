@@ -42,6 +42,14 @@ def sex_check(gt: DataFrame, sample: DataFrame, female_below: float = 0.2, male_
     return sample.select("iid", "sex").join(called, "iid").withColumn("mismatch", F.coalesce(F.col("called") != F.col("sex"), F.lit(False)))
 
 
+def sex_mixups(checked: DataFrame, most: int = 20) -> DataFrame:
+    """Q3: of ``sex_check``: number and share of mismatches, the rate of mix-ups (twice that share, as half of them leave the sex as it was), and the ids, the least ``most`` of them."""
+    ids = checked.where("mismatch").select("iid").orderBy("iid").limit(most).agg(F.array_join(F.array_sort(F.collect_list("iid")).cast("array<string>"), ", ").alias("ids"))
+    counts = checked.agg(F.count("*").alias("n"), F.count_if("mismatch").alias("mismatches"))
+    share = F.col("mismatches") / F.nullif(F.col("n"), F.lit(0))
+    return counts.join(F.broadcast(ids)).select("n", "mismatches", share.alias("share"), (2 * share).alias("mixup"), "ids")
+
+
 def heterozygosity(gt: DataFrame) -> DataFrame:
     """Q5"""
     return gt.groupBy("iid").agg((F.count_if(F.col("gt") == 1) / F.nullif(F.count("gt"), F.lit(0))).alias("het"))
@@ -145,8 +153,8 @@ def marker_totals(markers: DataFrame, baseline: DataFrame, excluded: DataFrame)
     return flags.agg(F.count("*").alias("n_all"), F.count_if(F.col("b").isNull()).alias("n_baseline"), F.count_if(F.col("b").isNull() & F.col("e").isNull()).alias("n_post"))
 
 
-def qc_report(gt: DataFrame, sample: DataFrame, ind_cut: float = 0.02, marker_cut: float = 0.02, maf: float = 0.01, p_hwe: float = 5e-7) -> DataFrame:
-    """Q15: excluded numbers and shares by reason."""
+def qc_report(gt: DataFrame, sample: DataFrame, ind_cut: float = 0.02, marker_cut: float = 0.02, maf: float = 0.01, p_hwe: float = 5e-7, most_ids: int = 0) -> DataFrame:
+    """Q15: excluded numbers and shares by reason, and with ``most_ids`` the ids as text, the least so many of each."""
     parts = [
         ("individuals", "missing", missing_ind(gt, ind_cut).where("excluded").select(F.col("iid").alias("id")), sample.select("iid")),
         ("markers", "missing", missing_marker(gt, marker_cut).where("excluded").select(F.col("marker").alias("id")), gt.select("marker")),
@@ -157,19 +165,23 @@ def qc_report(gt: DataFrame, sample: DataFrame, ind_cut: float = 0.02, marker_cu
     for kind, reason, ids, everything in parts:
         row = ids.agg(F.count("*").alias("excluded")).join(F.broadcast(everything.agg(F.count_distinct(everything.columns[0]).alias("total"))))
         row = row.select(F.lit(kind).alias("kind"), F.lit(reason).alias("reason"), "excluded", "total", (F.col("excluded") / F.col("total")).alias("share"))
+        if most_ids:
+            named = ids.select("id").orderBy("id").limit(most_ids).agg(F.array_join(F.array_sort(F.collect_list("id")).cast("array<string>"), ", ").alias("ids"))
+            row = row.join(F.broadcast(named))
         out = row if out is None else out.unionByName(row)
     return out
 
 
 def describe_variables(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Q17: name, missing share, distribution as text."""
+    """Q17: name, missing share, distribution as text: mean and deviation, or the 20 most frequent levels."""
     types = dict(df.dtypes)
     rows = None
     for c in cols:
         miss = F.avg(F.col(c).isNull().cast("double")).alias("missing")
         if types[c] == "string":
-            counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))
-            top = counts.agg(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col(c).alias("v")))), 1, 20), lambda x: F.concat(x["v"], F.lit(": "), (-x["k"]).cast("string"))), ", ").alias("distribution"))
+            counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("v")).agg(F.count("*").alias("n"))
+            most = counts.orderBy(F.desc("n"), "v").limit(20)
+            top = most.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "v"))), lambda x: F.concat(x["v"], F.lit(": "), (-x["k"]).cast("string"))), ", ").alias("distribution"))
             part = df.agg(miss).join(F.broadcast(top))
         else:
             part = df.agg(miss, F.format_string("mean %.4f, sd %.4f", F.avg(c), F.stddev_samp(c)).alias("distribution"))

@@ -248,8 +248,9 @@ def minimax(c: Column, lo: float, hi: float) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), c)))
 
 
-def design_matrix(df: DataFrame, formula: str, line: str, intercept: bool = True) -> DataFrame:
-    """``y ~ a + b + (1|g)``: complete rows, factors as indicators, random terms as plain columns, names matched as regular expressions."""
+def design_matrix(df: DataFrame, formula: str, line: str, intercept: bool = True, offset: str | None = None) -> DataFrame:
+    """``y ~ a + b + (1|g)``: complete rows, factors as indicators, random terms as plain columns, names matched as regular expressions. ``offset`` is an expression, taken along as column ``offset`` for
+    the rows that are complete in the formula's variables; it may be null itself."""
     response, _, right = (p.strip() for p in formula.partition("~"))
     names: list[str] = []
     random: list[str] = []
@@ -261,7 +262,8 @@ def design_matrix(df: DataFrame, formula: str, line: str, intercept: bool = True
             if not found:
                 raise ValueError(f"no column matches {term!r}")
             names += found
-    rows = df.select(line, *([response] if response else []), *names, *random).dropna()
+    cols = list(dict.fromkeys([line, *([response] if response else []), *names, *random]))
+    rows = df.select(*cols, *([F.expr(offset).cast("double").alias("offset")] if offset else [])).dropna(subset=cols)
     types = dict(rows.dtypes)
     rows = expand_factors(rows, [c for c in names if types[c] == "string"])
     return rows.withColumn("intercept", F.lit(1.0)) if intercept else rows

@@ -16,6 +16,9 @@ from genoframe.operators.windows import exact_quantiles, global_rank, prune_dist
 # Medians of chi-square (one degree) that the three variants divide by.
 MEDIAN_SQUARE, MEDIAN_STAT = 0.4549, 0.456
 
+#: Places of a cell in which draws meet donors.
+CELL = 64
+
 
 def inflation(df: DataFrame, p: str = "p") -> DataFrame:
     """Lambda from the root of the median, from the median of roots, and median / 0.456."""
@@ -89,8 +92,8 @@ def q_value(df: DataFrame, p: str = "p", tie: str = "marker", lam: float = 0.5)
     """
     known = df.where(F.col(p).isNotNull())
     stats = known.agg(F.count("*").alias("__m"), F.least(F.avg((F.col(p) > lam).cast("double")) / (1 - lam), F.lit(1.0)).alias("__pi0"))
-    ranked = global_rank(known, [p, tie], "__k").join(F.broadcast(stats))
-    raw = ranked.withColumn("__q", F.col("__pi0") * F.col("__m") * F.col(p) / F.col("__k")).withColumn("__block", F.floor((F.col("__k") - 1) / 50_000))
+    ranked = global_rank(known, [p, tie], "__k", part="__block").join(F.broadcast(stats))
+    raw = ranked.withColumn("__q", F.col("__pi0") * F.col("__m") * F.col(p) / F.col("__k"))
     mins = raw.groupBy("__block").agg(F.min("__q").alias("__min"))
     after = Window.orderBy(F.desc("__block")).rowsBetween(Window.unboundedPreceding, -1)
     later = mins.select("__block", F.min("__min").over(after).alias("__later"))
@@ -132,6 +135,28 @@ def meta(studies: dict[str, DataFrame], maf_eps: float = 0.1) -> DataFrame:
     return out.select("id", "k", "maf_mean", "maf_sd", "beta_fixed", "sd_fixed", "q", "tau2", "beta_random", "sd_random", "p_random")
 
 
+def meta_origin(studies: dict[str, DataFrame]) -> DataFrame:
+    """Where the studies place a marker: (id, chr, pos, allele, warnings).
+
+    ``chr`` and ``pos`` are those of the first study, in their order, that has them; ``allele`` lists the alleles of all studies, ``NA`` where one has none; where studies differ ``warnings`` tells all chromosomes
+    (``C: 1:2``) and positions (``P: 10:20``) in this order. Of repeated ids in a study the least values count. Studies may lack any of the columns.
+    """
+    parts = []
+    for k, f in enumerate(studies.values()):
+        have = lambda c, kind: (F.min(c) if c in f.columns else F.lit(None)).cast(kind).alias(c)  # noqa: E731, B023
+        parts.append(f.groupBy("id").agg(have("chr", "string"), have("pos", "long"), have("allele", "string")).withColumn("k", F.lit(k)))
+    rows = functools.reduce(DataFrame.unionByName, parts)
+    # an entry for each study at most
+    told = rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("k", "chr", "pos", "allele"))).alias("s"))
+    seen = lambda c: F.array_distinct(F.filter(F.transform("s", lambda x: x[c].cast("string")), lambda v: v.isNotNull()))
+    alleles = F.map_from_entries(F.transform("s", lambda x: F.struct(x["k"], x["allele"])))
+    listed = [F.coalesce(F.element_at(alleles, k), F.lit("NA")) for k in range(len(studies))]
+    warn = lambda tag, c: F.when(F.size(c) > 1, F.concat(F.lit(f"{tag}: "), F.array_join(c, ":")))
+    out = told.select("id", seen("chr").alias("cs"), seen("pos").alias("ps"), F.concat_ws(":", *listed).alias("allele"))
+    text = F.nullif(F.concat_ws(", ", warn("C", F.col("cs")), warn("P", F.col("ps"))), F.lit(""))
+    return out.select("id", F.get("cs", F.lit(0)).alias("chr"), F.get("ps", F.lit(0)).cast("long").alias("pos"), "allele", text.alias("warnings"))
+
+
 def meta_reml(studies: dict[str, DataFrame], steps: int = 60) -> DataFrame:
     """R12 by restricted maximum likelihood: the few (study) values of an id become one array; the fixed-point iteration is vectorised over ids."""
     rows = functools.reduce(DataFrame.unionByName, (f.select("id", "beta", "sd") for f in studies.values())).where("beta is not null and sd > 0")
@@ -173,6 +198,20 @@ def fold_of(key: str, k: int, seed: int = 1, sql: bool = False) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(k)).cast("int")
 
 
+def class_folds(df: DataFrame, key: str, label: str, k: int = 15, least: int = 3, seed: int = 1) -> DataFrame:
+    """(key, label, fold) for classification: the rows of each class, in an order by hash, are dealt round robin over the folds, and each class goes on where the one before it ended.
+
+    So folds and the classes within them differ by one at most, which leaves every training part (all folds but one) as many of a class as can be. If that is fewer than ``least`` of some class, there is no such partition, and it is an
+    error. Rows without a label are left out.
+    """
+    known = df.where(F.col(label).isNotNull()).select(key, label)
+    short = known.groupBy(label).agg(F.count("*").alias("n")).where(F.col("n") - F.ceil(F.col("n") / k) < least).limit(5).collect()
+    if short:
+        raise ValueError(f"fewer than {least} in some training part: {', '.join(f'{r[label]} ({r.n})' for r in short)}")
+    ranked = global_rank(known.withColumn("__h", F.xxhash64(F.lit(seed), key)), [label, "__h", key], "__at")
+    return ranked.select(key, label, ((F.col("__at") - 1) % k).cast("int").alias("fold"))
+
+
 def _assembled(df: DataFrame, xs: list[str], label: str) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
@@ -192,9 +231,9 @@ def prs_fit(train: DataFrame, test: DataFrame, label: str, xs: list[str], penalt
     return model, out.withColumn("predicted", F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)) if binary else value).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def cross_validate(df: DataFrame, key: str, label: str, xs: list[str], k: int = 5, penalty: float = 0.0, seed: int = 1, binary: bool = True) -> DataFrame:
-    """Predictions of each row by the model that did not see its fold."""
-    folded = df.withColumn("fold", fold_of(key, k, seed))
+def cross_validate(df: DataFrame, key: str, label: str, xs: list[str], k: int = 5, penalty: float = 0.0, seed: int = 1, binary: bool = True, least: int | None = None) -> DataFrame:
+    """Predictions of each row by the model that did not see its fold. Folds are random, or with ``least`` dealt by class (``class_folds``)."""
+    folded = df.withColumn("fold", fold_of(key, k, seed)) if least is None else df.join(class_folds(df, key, label, k, least, seed).select(key, "fold"), key)
     parts = [prs_fit(folded.where(F.col("fold") != i), folded.where(F.col("fold") == i), label, xs, penalty, binary=binary)[1] for i in range(k)]
     return functools.reduce(DataFrame.unionByName, parts)
 
@@ -215,15 +254,15 @@ def roc(df: DataFrame, prob: str, label: str) -> DataFrame:
     """At each cutoff (predicted if score >= cutoff) counts, rates and the class shares ``tp`` and ``tn``: sums by distinct score, cumulated."""
     by = df.where(F.col(prob).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(prob).alias("cutoff")).agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"))
     total = by.agg(F.sum("pos").alias("all_pos"), F.sum(F.col("n") - F.col("pos")).alias("all_neg"))
-    up = _cumulated(global_rank(by, ["cutoff"], "k"), ["pos", "n"])
+    up = _cumulated(by, ["cutoff"], ["pos", "n"])
     j = up.join(F.broadcast(total))
     below_pos, below_neg = F.col("cum_pos") - F.col("pos"), F.col("cum_n") - F.col("n") - F.col("cum_pos") + F.col("pos")
     return j.select("cutoff", ((F.col("all_pos") - below_pos) / F.col("all_pos")).alias("tp"), (below_neg / F.col("all_neg")).alias("tn"), ((F.col("all_neg") - below_neg) / F.col("all_neg")).alias("fpr"))
 
 
-def _cumulated(ranked: DataFrame, cols: list[str], block: int = 50_000) -> DataFrame:
-    """Running sums by column ``k`` (row numbers from 1): within blocks of rows, plus the sums of the blocks before."""
-    b = ranked.withColumn("__b", F.floor((F.col("k") - 1) / block))
+def _cumulated(df: DataFrame, order: list, cols: list[str]) -> DataFrame:
+    """Row numbers ``k`` (from 1) by ``order`` and running sums: within range partitions, plus the sums of the partitions before (a row for each partition)."""
+    b = global_rank(df, order, "k", part="__b")
     sums = b.groupBy("__b").agg(*(F.sum(c).alias(f"__s_{c}") for c in cols))
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("__b", *(F.coalesce(F.sum(f"__s_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols))
@@ -235,7 +274,7 @@ def _cumulated(ranked: DataFrame, cols: list[str], block: int = 50_000) -> DataF
 def auc(df: DataFrame, prob: str, label: str, level: float = 0.95) -> DataFrame:
     """Rank AUC (ties one half) with confidence limits (Hanley and McNeil)."""
     by = df.where(F.col(prob).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(prob).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"))
-    up = _cumulated(global_rank(by, ["s"], "k"), ["n"])
+    up = _cumulated(by, ["s"], ["n"])
     s = up.agg(F.sum(F.col("pos") * (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2)).alias("ranks"), F.sum("pos").alias("P"), F.sum(F.col("n") - F.col("pos")).alias("N"))
     a = s.withColumn("auc", (F.col("ranks") - F.col("P") * (F.col("P") + 1) / 2) / (F.col("P") * F.col("N")))
     q1, q2 = F.col("auc") / (2 - F.col("auc")), 2 * F.col("auc") * F.col("auc") / (1 + F.col("auc"))
@@ -267,8 +306,7 @@ def kaplan_meier(df: DataFrame, time: str, event: str, strata: str) -> DataFrame
 def log_rank(df: DataFrame, time: str, event: str, group: str) -> DataFrame:
     """Chi-square of the log-rank test of two groups (0 and 1)."""
     by = df.groupBy(F.col(time).alias("time")).agg(F.sum(F.col(event).cast("long")).alias("d"), F.count("*").alias("n"), F.sum(F.when(F.col(group) == 1, F.col(event)).otherwise(0).cast("long")).alias("d1"), F.count_if(F.col(group) == 1).alias("n1"))
-    ranked = global_rank(by, [F.desc("time")], "k")
-    r = _cumulated(ranked, ["n", "n1"])
+    r = _cumulated(by, [F.desc("time")], ["n", "n1"])
     e = F.col("d") * F.col("cum_n1") / F.col("cum_n")
     v = F.when(F.col("cum_n") > 1, F.col("d") * (F.col("cum_n1") / F.col("cum_n")) * (1 - F.col("cum_n1") / F.col("cum_n")) * (F.col("cum_n") - F.col("d")) / (F.col("cum_n") - 1)).otherwise(0.0)
     s = r.agg(F.sum("d1").alias("observed"), F.sum(e).alias("expected"), F.sum(v).alias("variance"))
@@ -298,6 +336,30 @@ def impute_draw(df: DataFrame, col: str, key: str, n: int = 1, seed: int = 1) ->
     return copies.withColumn("__at", at).join(known, "__at", "left").withColumn(col, F.coalesce(col, "__v")).drop("__at", "__v", "__n")
 
 
+def impute_cross(df: DataFrame, donors: DataFrame, cols: list[str], key: str, seed: int = 1) -> DataFrame:
+    """Nulls of the columns filled by seeded draws, with replacement, from the observed values of the same columns in another data set; a column without donors keeps its nulls.
+
+    The observed values of all columns are numbered at once, in the order of their text, so that draws do not depend on partitions. ``key`` tells the rows of ``df`` apart.
+    """
+    if not cols:
+        return df
+    types = dict(df.dtypes)
+    long = donors.select(*(F.col(c).cast(types[c]).cast("string").alias(c) for c in cols)).unpivot([], cols, "__c", "__v").where("__v is not null")
+    counted = long.groupBy("__c", "__v").agg(F.count("*").alias("__w"))
+    # equal values are one row with as many places as copies
+    placed = _cumulated(counted, ["__c", "__v"], ["__w"])
+    ends = placed.groupBy("__c").agg(F.min(F.col("cum___w") - F.col("__w")).alias("__first"), F.sum("__w").alias("__n"))  # one row a column
+    index = placed.join(F.broadcast(ends), "__c").select("__c", "__v", (F.col("cum___w") - F.col("__w") - F.col("__first")).alias("__lo"), (F.col("cum___w") - F.col("__first")).alias("__hi"))
+    gaps = df.select(key, F.explode(F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in cols)))).alias("__c")).join(F.broadcast(ends), "__c")
+    drawn = gaps.withColumn("__at", F.pmod(F.xxhash64(F.lit(seed), "__c", key), F.col("__n"))).select(key, "__c", "__at")
+    # places are met by cells; a value with many copies is in each of its cells
+    cells = index.withColumn("__cell", F.explode(F.sequence(F.floor(F.col("__lo") / CELL), F.floor((F.col("__hi") - 1) / CELL))))
+    met = drawn.withColumn("__cell", F.floor(F.col("__at") / CELL)).join(cells, ["__c", "__cell"]).where("__lo <= __at and __at < __hi")
+    filled = met.groupBy(key).agg(*(F.max(F.when(F.col("__c") == c, F.col("__v"))).cast(types[c]).alias(f"__{c}") for c in cols))
+    out = df.join(filled, key, "left")
+    return out.withColumns({c: F.coalesce(c, f"__{c}") for c in cols}).select(*df.columns)
+
+
 def compare_samples(df: DataFrame, x: str, group: str) -> DataFrame:
     """Welch's t with its degrees of freedom, and Wilcoxon's rank sum (normal approximation with ties) of groups 0 and 1."""
     known = df.where(F.col(x).isNotNull() & F.col(group).isin(0, 1))
@@ -306,7 +368,7 @@ def compare_samples(df: DataFrame, x: str, group: str) -> DataFrame:
     e0, e1 = F.col("v0") / F.col("n0"), F.col("v1") / F.col("n1")
     m = m.withColumns({"t": (F.col("m1") - F.col("m0")) / F.sqrt(e0 + e1), "df": F.pow(e0 + e1, F.lit(2)) / (e0 * e0 / (F.col("n0") - 1) + e1 * e1 / (F.col("n1") - 1))})
     by = known.groupBy(F.col(x).alias("s")).agg(F.count_if(F.col(group) == 1).alias("pos"), F.count("*").alias("n"))
-    up = _cumulated(global_rank(by, ["s"], "k"), ["n"])
+    up = _cumulated(by, ["s"], ["n"])
     w = up.agg(F.sum(F.col("pos") * (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2)).alias("rank_sum"), F.sum(F.pow("n", F.lit(3)) - F.col("n")).alias("ties"))
     j = m.join(w)
     n = F.col("n0") + F.col("n1")

@@ -55,9 +55,9 @@ def released(*tables: DataFrame | None) -> None:
             place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int | None = None, part: str | None = None) -> DataFrame:
     """Row numbers from 1 by ``order`` (names or sort columns; give a full tie-break): rows are range-partitioned, numbered by partition, and shifted by the
-    counts of the partitions before."""
+    counts of the partitions before. ``part`` names a column for the number of the range, of which there are as many as partitions whatever the rows."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -68,7 +68,7 @@ def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int
     sizes = placed.groupBy("__part").agg(F.count("*").alias("__k"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__k").over(before), F.lit(0)).alias("__before"))  # one row per partition
-    return placed.join(F.broadcast(offsets), "__part").withColumn(name, F.col("__before") + F.col("__row") + 1).drop("__id", "__part", "__row", "__before")
+    return placed.join(F.broadcast(offsets), "__part").withColumn(name, F.col("__before") + F.col("__row") + 1).withColumnsRenamed({"__part": part} if part else {}).drop("__id", "__part", "__row", "__before")
 
 
 def exact_quantiles(df: DataFrame, value: Column, levels: list[float], few: int | None = None) -> list[float | None]:

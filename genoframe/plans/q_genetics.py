@@ -233,6 +233,14 @@ def _(s, d):
     return Q.sex_check(X.gt(s, d), X.sample(s, d)).drop("f")
 
 
+_SEX = _INBREEDING.format(gt=X.GT, where="and chr = 23") + f", c as (select iid, coalesce(case when (o - e) / (n - e) < 0.2 then 2 when (o - e) / (n - e) > 0.8 then 1 end <> sex, false) as mismatch from i join ({X.SAMPLE}) s using (iid))"
+
+
+@query("q03_sex_mixups", _SEX + " select count(*) as n, count(*) filter (where mismatch) as mismatches, round(avg(cast(mismatch as int)), 8) as share, round(2 * avg(cast(mismatch as int)), 8) as mixup, (select coalesce(string_agg(cast(iid as varchar), ', ' order by iid), '') from (select iid from c where mismatch order by iid limit 20)) as ids from c")
+def _(s, d):
+    return _rounded(Q.sex_mixups(Q.sex_check(X.gt(s, d), X.sample(s, d))), 8, "share", "mixup")
+
+
 @query("q04_inbreeding", _INBREEDING.format(gt=X.GT, where="") + " select iid, o as o_hom, round(e, 4) as e_hom, n, round((o - e) / (n - e), 6) as f from i")
 def _(s, d):
     return _rounded(_rounded(Q.inbreeding(X.gt(s, d)), 4, "e_hom"), 6, "f")
@@ -311,6 +319,16 @@ def _(s, d):
     return _rounded(Q.qc_report(X.gt(s, d), X.sample(s, d)), 8, "share")
 
 
+_LISTS = f"""with g as ({X.GT}), i as (select iid as id from g group by iid having avg(cast(gt is null as double)) > 0.02e0), h as ({_HWE}), m as (select marker as id, chr, n_missing / (n0 + n1 + n2 + n_missing) > 0.02e0 as miss, n0 + n1 + n2 = 0 or least({_AF}, 1 - {_AF}) < 0.01e0 as low,
+ chr <= 22 and least({_AF}, 1 - {_AF}) >= 0.01e0 and {tails.chi2('chi', 1)} < 5e-7 as hwe from h), e as (select 'individuals' as kind, 'missing' as reason, id from i union all select 'markers', 'missing', id from m where miss union all select 'markers', 'maf', id from m where low union all select 'markers', 'hwe', id from m where hwe),
+ r as (select *, row_number() over (partition by kind, reason order by id) as k from e) select n.kind, n.reason, coalesce(string_agg(cast(id as varchar), ', ' order by id) filter (where k <= 12), '') as ids from (values ('individuals', 'missing'), ('markers', 'missing'), ('markers', 'maf'), ('markers', 'hwe')) n(kind, reason) left join r using (kind, reason) group by 1, 2"""
+
+
+@query("q15_qc_ids", _LISTS)
+def _(s, d):
+    return Q.qc_report(X.gt(s, d), X.sample(s, d), most_ids=12).select("kind", "reason", "ids")
+
+
 @query("q16_marker_totals", f"select count(*) as n_all, count(*) filter (where marker % 5 <> 0) as n_baseline, count(*) filter (where marker % 5 <> 0 and marker % 3 <> 0) as n_post from ({X.MARKER}) m")
 def _(s, d):
     m = X.marker(s, d)

@@ -120,6 +120,22 @@ def _(s, d):
     return _rounded(R.meta_reml({str(k): X.study(s, d, k) for k in range(3)}, 400), 5, "beta", "sd", "tau2")
 
 
+def _origin_sql(k: int) -> str:
+    """A study's chromosomes, positions and alleles; some studies differ, and one has no alleles of some markers."""
+    return f"select l_partkey as id, cast(1 + l_partkey % 22 + {int(k == 2)} * cast(l_partkey % 10 = 0 as int) as int) as chr, l_partkey * 10 + {5 * int(k == 1)} * cast(l_partkey % 7 = 0 as int) as pos, case when {k} = 0 and l_partkey % 3 = 0 then null else substr('ACGT', cast(1 + l_partkey % 4 as int), 1) end as allele from lineitem where l_suppkey % 3 = {k}"
+
+
+_ORIGIN = "with s as (" + " union all ".join(f"select distinct {k} as k, id, cast(chr as varchar) as chr, pos, allele from ({_origin_sql(k)}) x" for k in range(3)) + """), l as (select id, list(chr order by k) as cs, list(cast(pos as varchar) order by k) as ps, coalesce(max(allele) filter (where k = 0), 'NA') || ':' || coalesce(max(allele) filter (where k = 1), 'NA') || ':' || coalesce(max(allele) filter (where k = 2), 'NA') as allele from s group by 1),
+ w as (select *, case when len(list_distinct(cs)) > 1 then 'C: ' || cs[1] || ':' || list_filter(cs, lambda c: c <> cs[1])[1] end as c, case when len(list_distinct(ps)) > 1 then 'P: ' || ps[1] || ':' || list_filter(ps, lambda p: p <> ps[1])[1] end as p from l)
+ select id, cs[1] as chr, cast(ps[1] as bigint) as pos, allele, nullif(concat_ws(', ', c, p), '') as warnings from w"""
+
+
+@query("r12_meta_origin", _ORIGIN)
+def _(s, d):
+    studies = {str(k): X._run(s, d, _origin_sql(k), "lineitem") for k in range(3)}
+    return R.meta_origin(studies)
+
+
 @query("r14_prs_snps", prune_rounds(20000, 15, f"select * from ({A}) a where p < 0.01e0", "marker, round(p, 7) as p"))
 def _(s, d):
     return R.prs_snps(X.assoc(s, d), 0.01, 20000).select("marker", F.round("p", 7).alias("p"))
@@ -146,6 +162,11 @@ def _(s, d):
     return R.cross_validate(_people(s, d), "iid", "cc", ["age", "sex"], 3, 0.01).select("iid", "fold", "predicted")
 
 
+@query("r17_class_folds", f"select strat, fold, count(*) as n from (select strat, cast((row_number() over (order by strat, iid) - 1) % 15 as int) as fold from ({X.SAMPLE}) s) group by 1, 2")
+def _(s, d):
+    return R.class_folds(X.sample(s, d), "iid", "strat").groupBy("strat", "fold").agg(F.count("*").alias("n"))
+
+
 @query("r18_refit")
 def _(s, d):
     return R.refit(_people(s, d), "y", ["age", "sex"], [0.001, 0.1], binary=False)
@@ -208,6 +229,13 @@ def _(s, d):
     return R.impute_draw(t, "x", "o_orderkey", 2)
 
 
+@query("r23_impute_cross")
+def _(s, d):
+    """Gaps of two columns of the customers are filled from the suppliers."""
+    c = X.table(s, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal")).alias("balance"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_nationkey")).alias("nation"))
+    return R.impute_cross(c, X.table(s, d, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_nationkey").alias("nation")), ["balance", "nation"], "c_custkey")
+
+
 @query("r24_compare", f"with g as (select cc, y from ({X.SAMPLE}) s), m as (select count(*) filter (where sex = 1) as n1, count(*) filter (where sex = 2) as n0, avg(y) filter (where sex = 1) as m1, avg(y) filter (where sex = 2) as m0, var_samp(y) filter (where sex = 1) as v1, var_samp(y) filter (where sex = 2) as v0 from ({X.SAMPLE}) s), k as (select sex, avg(r) over (partition by y) as r from (select sex, y, row_number() over (order by y) as r from ({X.SAMPLE}) s)) select n0, n1, round((m1 - m0) / sqrt(v0 / n0 + v1 / n1), 6) as t, round((select sum(r) from k where sex = 1) - n1 * (n1 + 1) / 2, 3) as u from m")
 def _(s, d):
     p = X.sample(s, d).withColumn("g", (F.col("sex") == 1).cast("int"))

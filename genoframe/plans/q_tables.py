@@ -594,6 +594,12 @@ def _(s, d):
     return m.select("iid", "y", "age", F.col(f"`{second}`").alias("second"), "intercept")
 
 
+@query("a33_design_offset", f"select iid, y, age, ln(20e0 + sex) as \"offset\" from ({X.SAMPLE}) s where age is not null")
+def _(s, d):
+    m = A.design_matrix(X.sample(s, d), "y ~ age", "iid", intercept=False, offset="ln(20 + sex)")
+    return m
+
+
 @query("a34_records", "select s_suppkey, s_name as a, case when s_suppkey % 2 = 0 then cast(s_nationkey as varchar) end as b from supplier")
 def _(s, d):
     t = table(s, d, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, F.create_map(F.lit("a"), "s_name", F.lit("b"), F.col("s_nationkey").cast("string"))).otherwise(F.create_map(F.lit("a"), "s_name")).alias("m"))
