@@ -52,6 +52,23 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def place_of(df: DataFrame, name: str) -> int:
+    """The place of a column, found as Spark does: the spelling does not matter unless several columns differ by it alone."""
+    if name in df.columns:
+        return df.columns.index(name)
+    found = [k for k, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if len(found) != 1:
+        raise ValueError(f"there are {len(found)} columns {name}")
+    return found[0]
+
+
+def must_be_free(df: DataFrame, *names: str) -> None:
+    """An error for columns that are to be added but are there already, in whatever spelling."""
+    clash = sorted({n for n in names if n.lower() in {c.lower() for c in df.columns}})
+    if clash:
+        raise ValueError(f"columns there already: {clash}")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

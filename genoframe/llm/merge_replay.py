@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from genoframe.llm.common import must_be_free, place_of
+
 PIECES = 200_000
 CORPUS = 4_000_000
 CACHED = 400_000
@@ -202,9 +204,8 @@ def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[p
 
 def with_ids(df: DataFrame, text: str = "text", out: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``df`` with the ids of its text as an array of ints in column ``out``, which it must not have yet."""
-    if out in df.columns:
-        raise ValueError(f"there is a column {out} already")
-    where, cut, place = *_default(path, pattern), df.columns.index(text)
+    must_be_free(df, out)
+    where, cut, place = *_default(path, pattern), place_of(df, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _batches(batches, place):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm.common import settle
+from genoframe.llm.common import must_be_free, place_of, settle
 
 BLOCK = 64
 RATE = 8000
@@ -206,9 +206,8 @@ def with_pcm(df: DataFrame, media: str = "media", out: str = "pcm", rate: int =
 
 
 def _mapped(df: DataFrame, source: str, out: str, ddl: str, kind: pa.DataType, fn, keep_null: bool = False) -> DataFrame:
-    if out in df.columns:
-        raise ValueError(f"there is a column {out} already")
-    place = df.columns.index(source)
+    must_be_free(df, out)
+    place = place_of(df, source)
     from pyspark.sql import types as T
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,14 +12,14 @@ bucket where it ends are documents put in order.
 
 Defined results: the tokens of a text are its words (at least 1 a document, null texts too); a null source is a source of its own; equal ids and repeated
 rows are documents of their own (rows that are equal in id and text stand or fall together in the last block); an empty table gives an empty result;
-with one source its weight is 1. Columns of the input are kept; those that are added must not clash, else an error names them.
+with one source its weight is 1. Documents that are equal in id and text are next to each other in a block. Columns of the input are kept; those that are added must not clash, else an error names them.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genoframe.llm.common import free_names, settle
@@ -72,9 +72,34 @@ def weights(sources: DataFrame, target: float = TARGET, most_repeats: float = MO
     return raised.withColumn("weight", F.col("weight") / F.lit(sums["z"])).withColumn("owed", F.col("weight") * F.lit(amount))
 
 
-def mixed(docs: DataFrame, text: str = "text", source: str = "source", target: float = TARGET, most_repeats: float = MOST_REPEATS, budget: float | None = None) -> DataFrame:
-    """``docs`` once for each pass that takes the document, with mix_tokens, mix_weight and mix_block (0, 1, ...)."""
-    clash = {"mix_tokens", "mix_weight", "mix_block"} & {c.lower() for c in docs.columns}
+def _taken(of) -> Column:
+    """Passes that take a document, from its key and the plan of its source: all whole blocks, and the last one if it comes before the end of that in the block's order."""
+    turn = F.xxhash64(of("full"), of("key"))
+    bucket = _bucket(turn, of("buckets"))
+    ended = F.when(of("bucket").isNull(), of("rest") > 0.5).otherwise((bucket < of("bucket")) | ((bucket == of("bucket")) & (turn <= of("last_turn"))))
+    return of("full") + F.coalesce(ended, F.lit(False)).cast("int")
+
+
+def _bucket(turn: Column, buckets: Column) -> Column:
+    return F.pmod(F.shiftrightunsigned(turn, 20), buckets)
+
+
+def _offsets(slim: DataFrame, ends: DataFrame) -> DataFrame:
+    """(source, block, bucket, offset): the places of a block that the buckets before take; null sources as ``_named`` has them."""
+    met = slim.join(ends.withColumnRenamed("s", "ps"), F.col("s").eqNullSafe(F.col("ps")))
+    rows = met.withColumn("taken", _taken(F.col)).where("taken > 0").select(_named(F.col("s")).alias("source"), "key", "buckets", F.explode(F.sequence(F.lit(0), F.col("taken") - 1)).alias("block"))
+    sizes = rows.groupBy("source", "block", _bucket(F.xxhash64("block", "key"), F.col("buckets")).alias("bucket")).agg(F.count("*").alias("k"))
+    before = Window.partitionBy("source", "block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row for some 2,000 documents
+    return settle(sizes.select("source", "block", "bucket", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("offset")), "mix-offsets")
+
+
+def _named(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+
+
+def mixed(docs: DataFrame, text: str = "text", source: str = "source", target: float = TARGET, most_repeats: float = MOST_REPEATS, budget: float | None = None, place: bool = False) -> DataFrame:
+    """``docs`` once for each pass that takes the document, with mix_tokens, mix_weight and mix_block (0, 1, ...); with ``place`` also mix_place, the document's place (0, 1, ..., without gaps) in its source's permutation of that block."""
+    clash = {"mix_tokens", "mix_weight", "mix_block", "mix_place"} & {c.lower() for c in docs.columns}
     if clash:
         raise ValueError(f"columns there already: {sorted(clash)}")
     own = [F.col(f"`{c}`") for c in docs.columns]
@@ -90,7 +115,7 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", target: f
     plan = settle(plan.select("s", "weight", "full", "rest", "buckets"), "mix-plan")
     dealt = slim.join(plan.withColumnRenamed("s", "ps"), F.col("s").eqNullSafe(F.col("ps"))).drop("ps")
     turn = F.xxhash64(F.col("full"), F.col("key"))
-    dealt = dealt.select("s", "key", "tokens", "rest", turn.alias("turn"), F.pmod(F.shiftrightunsigned(turn, 20), F.col("buckets")).alias("bucket"))
+    dealt = dealt.select("s", "key", "tokens", "rest", turn.alias("turn"), _bucket(turn, F.col("buckets")).alias("bucket"))
     sums = dealt.groupBy("s", "bucket").agg(F.sum("tokens").alias("in_bucket"), F.first("rest").alias("rest"))
     before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     edge = sums.withColumn("before", F.coalesce(F.sum("in_bucket").over(before), F.lit(0))).where("before < rest and before + in_bucket > rest").select("s", "bucket", "before")
@@ -107,14 +132,21 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", target: f
     renamed = ends.select(*(F.col(c).alias(names[c]) for c in ends.columns))
     spread = docs.withColumns({"mix_tokens": _tokens(text), names["key"]: key, names["source"]: F.col(f"`{source}`").cast("string")})
     joined = spread.join(renamed, of("source").eqNullSafe(of("s")))
-    place = F.xxhash64(of("full"), of("key"))
-    bucket = F.pmod(F.shiftrightunsigned(place, 20), of("buckets"))
-    ended = F.when(of("bucket").isNull(), of("rest") > 0.5).otherwise((bucket < of("bucket")) | ((bucket == of("bucket")) & (place <= of("last_turn"))))
-    taken = of("full") + F.coalesce(ended, F.lit(False)).cast("int")
-    return joined.withColumn(names["taken"], taken).where(of("taken") > 0).select(*own, "mix_tokens", of("weight").alias("mix_weight"), F.explode(F.sequence(F.lit(0), of("taken") - 1)).alias("mix_block"))
+    rows = joined.withColumn(names["taken"], _taken(of)).where(of("taken") > 0)
+    block = F.explode(F.sequence(F.lit(0), of("taken") - 1)).alias("mix_block")
+    weight = of("weight").alias("mix_weight")
+    if not place:
+        return rows.select(*own, "mix_tokens", weight, block)
+    # a place is the number of documents in earlier buckets of the block, and of earlier ones in its own
+    offsets = _offsets(slim, ends).select(*(F.col(c).alias(names[n]) for c, n in (("source", "source"), ("block", "full"), ("bucket", "bucket"), ("offset", "rest"))))
+    rows = rows.select(*own, "mix_tokens", weight, block, of("key"), of("buckets"), _named(of("source")).alias(names["source"]))
+    rows = rows.withColumn(names["last_turn"], F.xxhash64("mix_block", of("key"))).withColumn(names["bucket"], _bucket(of("last_turn"), of("buckets"))).withColumn(names["full"], F.col("mix_block"))
+    order = Window.partitionBy(names["source"], names["full"], names["bucket"]).orderBy(names["last_turn"])
+    ranked = rows.withColumn("mix_place", F.row_number().over(order) - 1)
+    return ranked.join(offsets, [names["source"], names["full"], names["bucket"]]).select(*own, "mix_tokens", "mix_weight", "mix_block", (of("rest") + F.col("mix_place")).alias("mix_place"))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    out = mixed(docs)
-    return out.select("doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.round("mix_weight", 9).alias("weight"), F.col("mix_block").alias("block"))
+    out = mixed(docs, place=True)
+    return out.select("doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.round("mix_weight", 9).alias("weight"), F.col("mix_block").alias("block"), F.col("mix_place").alias("place"))

@@ -549,6 +549,44 @@ def test_merge_replay_long_texts(spark):
         merge_replay.PIECES = before
 
 
+def test_places_in_blocks(spark, docs, odd):
+    """Places of a source's block run from 0 without gaps, blocks differ in their order, and the last block is a begin of its order."""
+    for table, budget in ((spark.read.parquet(f"{DATA}/documents.parquet"), None), (odd, None), (spark.read.parquet(f"{DATA}/documents.parquet"), 30_000.0)):
+        got = temperature_mix.mixed(table, place=True, budget=budget).toPandas()
+        plain = temperature_mix.mixed(table, budget=budget).toPandas()
+        columns = ["doc_id", "source", "mix_tokens", "mix_block"]
+        assert sorted(map(repr, got[columns].itertuples(index=False))) == sorted(map(repr, plain[columns].itertuples(index=False)))
+        for _, block in got.groupby(["source", "mix_block"], dropna=False):
+            assert sorted(block.mix_place) == list(range(len(block)))
+    again = temperature_mix.mixed(spark.read.parquet(f"{DATA}/documents.parquet").repartition(7), place=True).toPandas().sort_values(["mix_block", "doc_id"])
+    got = temperature_mix.mixed(spark.read.parquet(f"{DATA}/documents.parquet"), place=True).toPandas().sort_values(["mix_block", "doc_id"])
+    assert got.mix_place.tolist() == again.mix_place.tolist()
+    some = got[got.source == got.source.mode()[0]]
+    orders = [b.sort_values("mix_place").doc_id.tolist() for _, b in some.groupby("mix_block")]
+    assert all(o != sorted(o) for o in orders) and len({tuple(o) for o in orders}) == len(orders)
+    for b, order in enumerate(orders):
+        key = {r.doc_id: r.key for r in docs_key(spark).collect()}
+        hashed = spark.createDataFrame([(d, b, key[d]) for d in order], "doc_id long, b int, key long").select("doc_id", F.xxhash64("b", "key").alias("h")).toPandas()
+        assert hashed.h.is_unique
+
+
+def docs_key(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", F.xxhash64("doc_id", "text").alias("key"))
+
+
+def test_names_are_compared_as_spark_does(spark):
+    """Columns that differ by spelling only from what is added, or from the text column."""
+    df = spark.createDataFrame([(1, "a text", "x")], "doc_id long, TEXT string, ids string")
+    with pytest.raises(ValueError):
+        merge_replay.with_ids(df, out="IDS")
+    with pytest.raises(ValueError):
+        telephony.with_media(df.withColumnRenamed("ids", "MEDIA"))
+    got = telephony.with_pcm(telephony.with_media(merge_replay.with_ids(df, out="tokens"))).first()
+    assert got.ids == "x" and len(got.tokens) == 2 and telephony.read_payload(got.media)[:6] == b"a text" and got.pcm[:4] == b"RIFF"
+    with pytest.raises(ValueError):
+        telephony.with_pcm(telephony.with_media(df).withColumn("PCM", F.lit(1)))
+
+
 def test_mix_by_hand(spark, docs):
     """The exponent by plain bisection, and the last block of each source document by document."""
     table = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "source")
