@@ -696,6 +696,60 @@ def test_training_gradients():
         assert got[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-3, rel=0.05, abs=2e-5)
 
 
+def test_training_leaves_the_own_occurrence_out():
+    """With ``left_out`` the gradients are those under priors counted without the place that is learnt."""
+    random = np.random.default_rng(8)
+    n = attention_lm.CLASSES
+    pairs = np.zeros(n * n, np.int64)
+    x, y = random.integers(0, 40, (1, attention_lm.WINDOW)), random.integers(1, 40, (1, attention_lm.WINDOW))
+    np.add.at(pairs, x.ravel() * n + y.ravel(), random.integers(1, 4, x.size))
+    weights = {k: v + random.normal(0, 0.1, v.shape) for k, v in attention_lm.first_weights().items()}
+    prior = tuple(p.astype(np.float64) for p in attention_lm.prior_of(pairs))
+    got = attention_lm._gradients(weights, prior, x, y, np.ones(x.shape, bool), True)
+    f = attention_lm._forward(weights, x)["f"][0]
+    bias = np.zeros(attention_lm.GROUPS)
+    alone = (pairs.reshape(n, attention_lm.GROUPS, attention_lm.GROUPS).sum(0).T + 0.5).sum(1)
+    for place in range(x.size):
+        b, c = x[0, place], y[0, place]
+        counts = pairs.reshape(n, n)[b].reshape(attention_lm.GROUPS, attention_lm.GROUPS).T.astype(float)
+        counts[c % 32, c // 32] -= 1
+        by_group = counts.sum(1) + 20.0 * alone / alone.sum()
+        logits = f[place] @ weights["out"] + weights["bias"] + np.log(by_group)
+        p = np.exp(logits - logits.max())
+        p /= p.sum()
+        p[c % 32] -= 1
+        bias += p / x.size
+    assert np.allclose(got["bias"], bias, atol=1e-5)
+
+
+def test_ids_inside_classes_given_the_id_before():
+    """Probabilities of all ids of a class sum to one after any id, and are counts smoothed by those of the id alone."""
+    random = np.random.default_rng(3)
+    counts = random.integers(0, 50, 1 << 16)
+    classes = attention_lm.classes_of(counts)
+    inside = attention_lm.inside_classes(counts, classes)
+    lumped = int(classes.max())
+    members = np.flatnonzero(classes == lumped)
+    pairs = np.concatenate((7 << 16 | members[:3], 9 << 16 | members[2:4], [7 << 16 | int(np.flatnonzero(classes == lumped - 1)[0])]))
+    tables = attention_lm.pairs_inside(random.permutation(pairs), np.ones(len(pairs), np.int64) * 2, classes)
+    for before in (7, 9, 11):
+        text = np.ravel([[before, m] for m in members])
+        logs = attention_lm.inside_logs(text, np.arange(0, len(text), 2), classes, inside, tables)
+        assert (10 ** logs[1::2]).sum() == pytest.approx(1) and np.allclose(logs[::2], inside[before])
+        q = 10 ** inside[members[2]]
+        seen, total = {7: (2, 6), 9: (2, 4), 11: (0, 0)}[before]
+        assert 10 ** logs[5] == pytest.approx((seen + attention_lm.PAIR_SMOOTH * q) / (total + attention_lm.PAIR_SMOOTH))
+    starts = np.array([0, 1])
+    assert np.allclose(attention_lm.inside_logs(np.array([7, members[0]]), starts, classes, inside, tables), inside[[7, members[0]]])
+
+
+def test_held_out_score_is_better_than_the_base(spark):
+    """On the larger of the small tables; both are log10 probabilities of the same texts."""
+    got = attention_lm.op10(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
+    print(got.score / got.n, got.base / got.n)
+    assert got.score / got.n > got.base / got.n + 0.01
+
+
 def test_language_model_odd(odd, nothing):
     path = public_tokenizers.path("word_bpe_49k.json")
     got = attention_lm.scored(odd, path).toPandas()
