@@ -636,38 +636,31 @@ def _trend(cases: np.ndarray, totals: np.ndarray, all_cases: np.ndarray) -> np.n
     return np.where(low > 0, n * top * top / np.where(low > 0, low, 1), 0.0)
 
 
-def _by_replicate(rows: DataFrame, reps: int, seed: int, drawn: bool, how: str) -> DataFrame:
-    """(rep, value) over all markers of ``rows`` (marker, key, cases and gt, or p_aa and p_ab where genotypes are drawn): replicates are
-    summed side by side as arrays, marker by marker, in one pass. ``how``: the greatest trend statistic (``max``) or the sum of -log P (``log``)."""
+def _minus_log_p(chi2: np.ndarray) -> np.ndarray:
+    return -np.log(np.maximum(_erfc(np.sqrt(chi2 / 2)), 1e-300))
+
+
+def _by_replicate(rows: DataFrame, reps: int, seed: int) -> DataFrame:
+    """(rep, value): sum of -log P over all markers of ``rows`` (marker, key, cases, p_aa, p_ab), with genotypes drawn in each replicate: replicates are
+    summed side by side as arrays, marker by marker, in one pass."""
     columns = np.arange(reps + 1, dtype=np.uint64)
 
     def run(batches):
-        best = np.zeros(reps + 1)
+        total = np.zeros(reps + 1)
         marker, cases, totals = None, np.zeros((3, reps + 1)), np.zeros((3, reps + 1))
-
-        def close() -> None:
-            chi2 = _trend(cases, totals, cases.sum(0))
-            if how == "max":
-                np.maximum(best, chi2, out=best)
-            else:
-                best[:] -= np.log(np.maximum(_erfc(np.sqrt(chi2 / 2)), 1e-300))
-
         for batch in batches:
             names = batch.column(0).to_numpy()
             for at in range(0, len(names), 512):
                 part = batch.slice(at, 512)
                 dealt = np.unpackbits(np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(part.num_rows, -1), axis=1)[:, : reps + 1].astype(bool)
-                if drawn:
-                    u = _uniform(_keys(part.column(1)) ^ (names[at : at + 512].view(np.uint64) + np.uint64(seed)) * _MIX1, columns)
-                    first = part.column(3).to_numpy()[:, None]
-                    g = (u >= first).astype(np.int8) + (u >= first + part.column(4).to_numpy()[:, None])
-                else:
-                    g = np.broadcast_to(part.column(3).to_numpy().astype(np.int8)[:, None], dealt.shape)
+                u = _uniform(_keys(part.column(1)) ^ (names[at : at + 512].view(np.uint64) + np.uint64(seed)) * _MIX1, columns)
+                first = part.column(3).to_numpy()[:, None]
+                g = (u >= first).astype(np.int8) + (u >= first + part.column(4).to_numpy()[:, None])
                 own = names[at : at + 512]
                 for a in np.flatnonzero(np.diff(own, prepend=own[0] - 1)).tolist():
                     b = a + int(np.searchsorted(own[a:], own[a], "right"))
                     if marker is not None and own[a] != marker:
-                        close()
+                        total += _minus_log_p(_trend(cases, totals, cases.sum(0)))
                         cases[:], totals[:] = 0, 0
                     marker = own[a]
                     for k in range(3):
@@ -675,24 +668,27 @@ def _by_replicate(rows: DataFrame, reps: int, seed: int, drawn: bool, how: str)
                         totals[k] += here.sum(0)
                         cases[k] += (here & dealt[a:b]).sum(0)
         if marker is not None:
-            close()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(reps + 1), pa.int32()), pa.array(best)], names=["rep", "value"])
+            total += _minus_log_p(_trend(cases, totals, cases.sum(0)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(reps + 1), pa.int32()), pa.array(total)], names=["rep", "value"])
 
     dealt = rows.repartition("marker").sortWithinPartitions("marker")
-    parts = dealt.mapInArrow(run, "rep int, value double")
-    return parts.groupBy("rep").agg((F.max("value") if how == "max" else F.sum("value")).alias("value"))
+    return dealt.mapInArrow(run, "rep int, value double").groupBy("rep").agg(F.sum("value").alias("value"))
 
 
 def global_emp(gt: DataFrame, sample: DataFrame, y: str, reps: int = 5000, seed: int = 1, how: str = "min") -> DataFrame:
     """P of an aggregate over markers (least trend P, or the mean of -log P with ``how="tail"``) from permuted cases, ``#{better than observed} / M``.
 
-    Replicates are an array of bits for each individual; a marker's calls pass once, whatever the number of replicates.
+    Replicates are vectors: a call is shuffled with a few bytes for each thousand of them, and markers are gone through side by side.
     """
-    dealt = _dealt_cases(sample, y, reps, seed)
-    rows = gt.where("gt is not null").join(dealt, "iid").select("marker", "key", "cases", "gt")
-    per = _by_replicate(rows, reps, seed, False, "max" if how == "min" else "log")
+    from genoframe.operators import permute
+
+    rows = gt.where("gt is not null").select("iid", "marker", "gt").join(sample.select("iid", F.col(y).cast("int").alias("__y")), "iid")
+    logs = lambda *sums: _minus_log_p(permute.trend_chi2(*sums))
+    per = permute.replicate_totals(rows, "iid", "__y", ["gt"], permute.trend_chi2 if how == "min" else logs, reps, "max" if how == "min" else "sum", seed, "marker")
     first = per.where("rep = 0").select(F.col("value").alias("v0"))
-    out = per.where("rep > 0").join(F.broadcast(first)).agg(F.first("v0").alias("v0"), (F.count_if(F.col("value") > F.col("v0")) / reps).alias("p"))
+    # equal up to rounding is not better
+    better = F.col("value") > F.col("v0") * (1 + permute.ROUNDING)
+    out = per.where("rep > 0").join(F.broadcast(first)).agg(F.first("v0").alias("v0"), (F.count_if(better) / reps).alias("p"))
     markers = gt.where("gt is not null").agg(F.count_distinct("marker").alias("m"))
     observed = F.expr(S.chi2_sf("v0", 1)) if how == "min" else F.col("v0") / F.col("m")
     return out.join(F.broadcast(markers)).select(observed.alias("observed"), "p")
@@ -702,7 +698,7 @@ def set_permutation(prob: DataFrame, sample: DataFrame, y: str, reps: int = 5000
     """In each replicate cases are permuted and genotypes drawn anew from the probabilities by a hash; sum of -log P over the markers, ``(1 + #{T >= T0}) / (M + 1)``."""
     dealt = _dealt_cases(sample, y, reps, seed)
     rows = prob.where("p_aa + p_ab + p_bb > 0").join(dealt, "iid").select("marker", "key", "cases", "p_aa", "p_ab")
-    per = _by_replicate(rows, reps, seed, True, "log")
+    per = _by_replicate(rows, reps, seed)
     first = per.where("rep = 0").select(F.col("value").alias("t0"))
     return per.where("rep > 0").join(F.broadcast(first)).agg(F.first("t0").alias("observed"), ((1 + F.count_if(F.col("value") >= F.col("t0"))) / (reps + 1)).alias("p"))
 

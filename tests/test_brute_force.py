@@ -12,6 +12,7 @@ from genoframe.functions import scalars as S
 from genoframe.operators import assoc as T
 from genoframe.operators import cox as C
 from genoframe.operators import ld as LD
+from genoframe.operators import permute as P
 from genoframe.operators import qc as Q
 from genoframe.operators import scaling as M
 from genoframe.operators import reshape as A
@@ -382,14 +383,40 @@ def test_replicates_are_permutations_and_trend_tests(spark):
     assert (bits[:, 0] == status.loc[rows.iid].to_numpy()).all()
     assert set(bits.sum(0)) == {status.sum()} and len({b.tobytes() for b in bits.T}) == reps + 1
     calls = X.gt(spark, DATA).where("gt is not null")
-    got = T._by_replicate(calls.join(dealt, "iid").select("marker", "key", "cases", "gt"), reps, 1, False, "max").toPandas().set_index("rep").value.sort_index()
-    of, best = dict(zip(rows.iid, bits, strict=True)), np.zeros(reps + 1)
+    # probabilities of 0 and 1 draw the calls themselves
+    sure = calls.select("iid", "marker", *(F.when(F.col("gt") == k, 1.0).otherwise(0.0).alias(n) for k, n in enumerate(("p_aa", "p_ab"))))
+    got = T._by_replicate(sure.join(dealt, "iid").select("marker", "key", "cases", "p_aa", "p_ab"), reps, 1).toPandas().set_index("rep").value.sort_index()
+    of, total = dict(zip(rows.iid, bits, strict=True)), np.zeros(reps + 1)
     for _, g in calls.toPandas().groupby("marker"):
-        y, x = np.stack([of[i] for i in g.iid]).astype(float), g["gt"].to_numpy(float)
-        x, y = x - x.mean(), y - y.mean(0)
-        best = np.maximum(best, len(x) * np.nan_to_num((x @ y) ** 2 / ((x**2).sum() * (y**2).sum(0))))
-    assert np.allclose(got, best)
-    assert T.global_emp(calls, sample, "cc", reps).first().p == pytest.approx((best[1:] > best[0]).mean())
+        total += T._minus_log_p(_chi2(g["gt"].to_numpy(float), np.stack([of[i] for i in g.iid]).astype(float)))
+    assert np.allclose(got, total)
+
+
+def _chi2(x, y):
+    x, y = x - x.mean(), y - y.mean(0)
+    with np.errstate(all="ignore"):
+        return len(x) * np.nan_to_num((x @ y) ** 2 / ((x**2).sum() * (y**2).sum(0)))
+
+
+def test_global_permutation_by_hand(spark, monkeypatch):
+    """The least P and the mean of -log P over markers, replicate by replicate, over several blocks and chunks."""
+    monkeypatch.setattr(P, "BLOCK", 64)
+    monkeypatch.setattr(P, "CHUNK", 25)
+    sample, calls, reps = X.sample(spark, DATA), X.gt(spark, DATA).where("gt is not null"), 75
+    known = calls.join(sample, "iid").select("iid", "cc")
+    people = P.ordered_people(known, "cc", 1).toPandas().sort_values("place")
+    to = P.dealt(*(people[c].to_numpy() for c in ("place", "first", "units", "size")), 1, np.arange(reps + 1))
+    y = np.empty(to.shape)
+    for r in range(reps + 1):
+        y[to[:, r], r] = people.y.to_numpy()
+    place, best, total, markers = dict(zip(people.iid, people.place, strict=True)), np.zeros(reps + 1), np.zeros(reps + 1), 0
+    for _, g in calls.toPandas().groupby("marker"):
+        chi2 = _chi2(g["gt"].to_numpy(float), y[[place[i] for i in g.iid]])
+        best, total, markers = np.maximum(best, chi2), total + (T._minus_log_p(chi2) if g["gt"].nunique() > 1 else 0), markers + 1
+    least = T.global_emp(calls, sample, "cc", reps).first()
+    assert least.p == (best[1:] > best[0] * (1 + 1e-9)).mean() and least.observed == pytest.approx(math.erfc(math.sqrt(best[0] / 2)), rel=1e-6)
+    tail = T.global_emp(calls, sample, "cc", reps, how="tail").first()
+    assert tail.p == (total[1:] > total[0] * (1 + 1e-9)).mean() and tail.observed == pytest.approx(total[0] / markers, rel=1e-9)
 
 
 def test_strong_association_beats_all_replicates(spark):
