@@ -1,14 +1,14 @@
 """Operator 2: shards by a k-d tree over document metadata, split at weighted medians.
 
-The tree splits its widest leaf dimension (the spread of the node's values over the spread of all values) at
-the weighted median, level by level, until the leaves reach the target bytes; with eight shards that is three levels.
+The tree splits a node in its widest dimension (the spread of the node's values over the spread of all values) at
+the weighted median, level by level: as often as a number of shards asks for, or each leaf by itself until it holds the target bytes.
 Values are whole numbers (ids by their place between the least and the greatest one); each is followed by 31 bits of a hash of the row, so that a value which very many rows share (a hot source, a
-group of copies) is cut within. A median is found by narrowing: for all nodes at once, the weights of ``BINS`` equal intervals
-are summed by Spark, the interval that holds the median is cut again, until it is one value wide. The driver sees
-``nodes x BINS`` sums at most.
+group of copies) is cut within. The medians of all nodes are found at once by narrowing: the weights of ``BINS`` equal intervals of each node
+are summed, the interval that holds the median is cut again, until it is one value wide. Nodes, intervals and cuts are tables that rows are joined with;
+nothing that grows with the number of leaves comes to the driver.
 
 Defined results: a null text has size 1; null dimensions count as -1; equal rows with an equal id
-can't be told apart and stay together; an empty table gives an empty result; slots count from 0 in each shard, in an order
+can't be told apart and stay together, also in a leaf over the target; an empty table gives an empty result; slots count from 0 in each shard, in an order
 that a hash of the id gives. ``law`` is ``bytes``: shard sizes are near equal.
 """
 
@@ -17,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genoframe.llm.common import settle
+from genoframe.llm.common import release, settle
 
-BINS = 1024
+BINS = 4096
 HASH_BITS = 31
 VALUE_BITS = 31
 #: Rows of one slot bucket, about.
@@ -47,66 +47,62 @@ def metadata(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), *(d.alias(f"d{k}") for k, d in enumerate(dims)))
 
 
-def _median_cuts(rows: DataFrame, dim: dict[int, int], bounds: dict[int, tuple[int, int]], half: dict[int, float]) -> dict[int, int]:
-    """For each node the value up to which half of its weight lies."""
-    lo = {n: b[0] for n, b in bounds.items()}
-    hi = {n: b[1] for n, b in bounds.items()}
-    below = dict.fromkeys(lo, 0)
-    cuts: dict[int, int] = {}
-    while open_nodes := [n for n in lo if n not in cuts]:
-        width = {n: max(1, -(-(hi[n] - lo[n] + 1) // BINS)) for n in open_nodes}
-        value, start, step, stop = (F.lit(None).cast("long") for _ in range(4))
-        for n in open_nodes:
-            here = F.col("node") == n
-            value = F.when(here, F.col(f"d{dim[n]}")).otherwise(value)
-            start = F.when(here, F.lit(lo[n])).otherwise(start)
-            step = F.when(here, F.lit(width[n])).otherwise(step)
-            stop = F.when(here, F.lit(hi[n])).otherwise(stop)
-        binned = rows.select("node", "size", value.alias("v"), start.alias("a"), step.alias("w"), stop.alias("z")).where("v >= a and v <= z")
-        sums = binned.groupBy("node", F.expr("(v - a) div w").alias("bin")).agg(F.sum("size").alias("s")).collect()
-        for n in open_nodes:
-            total, pick = below[n], None
-            for row in sorted((r for r in sums if r["node"] == n), key=lambda r: r["bin"]):
-                pick = row
-                if total + row["s"] >= half[n]:
-                    break
-                total += row["s"]
-            if pick is None or width[n] == 1:
-                at = lo[n] + (pick["bin"] if pick else 0)
-                # the cut goes before or after this value, whichever is nearer to half
-                cuts[n] = at if pick is None or (total + pick["s"]) - half[n] <= half[n] - total else at - 1
-            else:
-                below[n] = total
-                lo[n] = lo[n] + pick["bin"] * width[n]
-                hi[n] = min(hi[n], lo[n] + width[n] - 1)
-    return cuts
+def _plan(rows: DataFrame, dims: list[str], spread: dict, target_bytes: int | None) -> DataFrame:
+    """(node, dim, lo, hi, half): the nodes that are split, each in its widest dimension, with the range of values there and half of its bytes."""
+    stats = rows.groupBy("node").agg(F.sum("size").alias("s"), *(F.min(d).alias(f"{d}_lo") for d in dims), *(F.max(d).alias(f"{d}_hi") for d in dims))
+    wide = [(F.col(f"{d}_hi") - F.col(f"{d}_lo")) / F.lit(float(max(1, spread[f"{d}_hi"] - spread[f"{d}_lo"]))) for d in dims]
+    best = F.greatest(*(F.struct(w.alias("w"), F.lit(-k).alias("k"), F.col(f"{d}_lo").alias("lo"), F.col(f"{d}_hi").alias("hi")) for k, (w, d) in enumerate(zip(wide, dims, strict=True))))
+    split = stats.withColumn("best", best)
+    if target_bytes is not None:
+        split = split.where((F.col("s") > target_bytes) & (F.col("best.hi") > F.col("best.lo")))
+    return split.select("node", (-F.col("best.k")).alias("dim"), F.col("best.lo").alias("lo"), F.col("best.hi").alias("hi"), (F.col("s") / 2).alias("half"))
+
+
+def _median_cuts(values: DataFrame, plan: DataFrame) -> DataFrame:
+    """(node, cut): for each node of the plan the value up to which half of its weight lies, from the rows' values (node, size, v)."""
+    state, done = plan.select("node", "lo", "hi", "half", F.lit(0).cast("long").alias("below")), None
+    while True:
+        stepped = state.withColumn("width", F.greatest(F.lit(1).cast("long"), F.ceil((F.col("hi") - F.col("lo") + 1) / BINS).cast("long")))
+        inside = values.join(stepped, "node").where("v >= lo and v <= hi")
+        sums = inside.groupBy("node", F.expr("(v - lo) div width").alias("bin")).agg(F.sum("size").alias("s"))
+        order = Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        reached = sums.withColumn("before", F.coalesce(F.sum("s").over(order), F.lit(0))).join(stepped, "node")
+        # the first interval with which half is reached, or the last one
+        enough = F.col("below") + F.col("before") + F.col("s") >= F.col("half")
+        pick = reached.groupBy("node").agg(F.coalesce(F.min(F.when(enough, F.struct("bin", "before", "s"))), F.max(F.struct("bin", "before", "s"))).alias("p"))
+        found = settle(pick.select("node", "p.*").join(stepped, "node").withColumn("below", F.col("below") + F.col("before")).withColumn("lo", F.col("lo") + F.col("bin") * F.col("width")), "shard-medians")
+        # the cut goes before or after this value, whichever is nearer to half
+        after = F.col("below") + F.col("s") - F.col("half") <= F.col("half") - F.col("below")
+        cut = found.where("width = 1").select("node", F.when(after, F.col("lo")).otherwise(F.col("lo") - 1).alias("cut"))
+        done = cut if done is None else done.unionByName(cut)
+        state = found.where("width > 1").select("node", "lo", F.least(F.col("hi"), F.col("lo") + F.col("width") - 1).alias("hi"), "half", "below")
+        if state.isEmpty():
+            return done
 
 
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot for each row; give a power-of-two number of shards, or the bytes that leaves shall reach."""
+    """doc_id, size, text_crc32, shard, slot for each row; give a power-of-two number of shards, or the bytes that leaves shall not pass. Shards are numbered from 0 in the order of the tree's leaves."""
+    if (shards is None) == (target_bytes is None) or (shards is not None and (shards < 1 or shards & (shards - 1))):
+        raise ValueError("give either a number of shards that is a power of two, or the target bytes")
     rows = settle(metadata(docs), "shard-metadata")
     dims = [c for c in rows.columns if c.startswith("d") and c[1:].isdigit()]
-    spread = rows.agg(F.sum("size").alias("s"), F.count("*").alias("n"), *(F.min(d).alias(f"{d}_lo") for d in dims), *(F.max(d).alias(f"{d}_hi") for d in dims)).first()
-    total, count = spread["s"] or 0, spread["n"]
-    levels, leaves = 0, 1
-    while leaves < (shards or 1) or (target_bytes and total / leaves > target_bytes and leaves < count):
-        levels, leaves = levels + 1, leaves * 2
-    node: Column = F.lit(0)
-    at = rows.withColumn("node", node)
-    for _ in range(levels if count else 0):
-        found = at.groupBy("node").agg(F.sum("size").alias("s"), *(F.min(d).alias(f"{d}_lo") for d in dims), *(F.max(d).alias(f"{d}_hi") for d in dims)).collect()
-        dim, bounds, half = {}, {}, {}
-        for r in found:
-            wide = [(r[f"{d}_hi"] - r[f"{d}_lo"]) / max(1, spread[f"{d}_hi"] - spread[f"{d}_lo"]) for d in dims]
-            k = max(range(len(dims)), key=lambda i: (wide[i], -i))
-            dim[r["node"]], bounds[r["node"]], half[r["node"]] = k, (r[f"{dims[k]}_lo"], r[f"{dims[k]}_hi"]), r["s"] / 2
-        cuts = _median_cuts(at, dim, bounds, half)
-        right = F.lit(0)
-        for n, cut in cuts.items():
-            right = F.when(F.col("node") == n, (F.col(dims[dim[n]]) > cut).cast("int")).otherwise(right)
-        at = at.withColumn("node", F.col("node") * 2 + right)
-    placed = at.select("doc_id", "size", "text_crc32", F.col("node").alias("shard"))
-    return slotted(placed, count)
+    spread = rows.agg(F.count("*").alias("n"), *(F.min(d).alias(f"{d}_lo") for d in dims), *(F.max(d).alias(f"{d}_hi") for d in dims)).first().asDict()
+    at, level, older = rows.withColumn("node", F.lit(1).cast("long")), 0, rows
+    while spread["n"] and (shards is None or 1 << level < shards):
+        plan = settle(_plan(at, dims, spread, target_bytes), "shard-plan")
+        if plan.isEmpty():
+            break
+        value = F.element_at(F.array(*dims), F.col("dim") + 1)
+        values = settle(at.join(plan.select("node", "dim"), "node").select("node", "size", value.alias("v")), "shard-values")
+        cuts = settle(plan.select("node", "dim").join(_median_cuts(values, plan), "node"), "shard-cuts")
+        # nodes without a cut are leaves and stay
+        side = F.when(F.col("cut").isNull(), F.col("node")).otherwise(F.col("node") * 2 + (value > F.col("cut")).cast("long"))
+        at = settle(at.join(cuts, "node", "left").withColumn("node", side).select(*rows.columns, "node"), "shard-level")
+        release(older, values)
+        older, level = at, level + 1
+    # a leaf's path from the root, as text, orders it (one row a leaf)
+    leaves = at.select("node").distinct().withColumn("shard", F.row_number().over(Window.orderBy(F.bin("node").substr(F.lit(2), F.lit(64)), "node")) - 1)
+    return slotted(at.join(settle(leaves, "shard-leaves"), "node").select("doc_id", "size", "text_crc32", "shard"), spread["n"])
 
 
 def slotted(placed: DataFrame, count: int) -> DataFrame:

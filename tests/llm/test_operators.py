@@ -193,7 +193,7 @@ def test_shards(spark, docs, odd, nothing):
     got = sharding.op2(spark, DATA).toPandas()
     assert len(got) == len(docs) and set(got["shard"]) == set(range(8))
     sizes = got.groupby("shard")["size"].sum()
-    assert sizes.max() - sizes.min() <= 8 * got["size"].max()
+    assert sizes.max() - sizes.min() <= 2 * got["size"].max() and sizes.max() < 1.1 * sizes.mean()
     for _, part in got.groupby("shard"):
         assert sorted(part["slot"]) == list(range(len(part)))
     text = dict(zip(docs.doc_id, docs.text, strict=True))
@@ -204,6 +204,46 @@ def test_shards(spark, docs, odd, nothing):
     counts = sharding.kd_shards(same, 8).groupBy("shard").count().toPandas()["count"]
     assert counts.min() >= 99 and counts.max() <= 101
     assert sharding.kd_shards(same, target_bytes=2100).select("shard").distinct().count() == 4
+    for wrong in ({}, {"shards": 6}, {"shards": 8, "target_bytes": 10}):
+        with pytest.raises(ValueError):
+            sharding.kd_shards(same, **wrong)
+
+
+@pytest.mark.parametrize("how", [{"shards": 8}, {"target_bytes": 6_000}])
+def test_tree_by_hand(spark, odd, how):
+    """The same leaves as a tree that is split node by node; leaves stop one by one when they hold the target, or can't be split any more."""
+    for docs in (spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang", "source"), odd):
+        rows = sharding.metadata(docs).toPandas()
+        dims = [f"d{k}" for k in range(4)]
+        spread = [max(1, int(rows[d].max()) - int(rows[d].min())) for d in dims]
+
+        def grow(part, depth):
+            lo, hi = [int(part[d].min()) for d in dims], [int(part[d].max()) for d in dims]  # noqa: B023
+            wide = [(b - a) / s for a, b, s in zip(lo, hi, spread, strict=True)]  # noqa: B023
+            k = max(range(4), key=lambda i: (wide[i], -i))
+            if depth == 3 if "shards" in how else part["size"].sum() <= how["target_bytes"] or hi[k] == lo[k]:
+                return [part]
+            sums = part.groupby(dims[k])["size"].sum().sort_index()
+            half, upto = part["size"].sum() / 2, sums.cumsum()
+            at = upto.index[int(np.argmax((upto >= half).to_numpy()))]
+            before = upto[at] - sums[at]
+            cut = at if upto[at] - half <= half - before else at - 1
+            return [leaf for side in (part[part[dims[k]] <= cut], part[part[dims[k]] > cut]) if len(side) for leaf in grow(side, depth + 1)]
+
+        expected = [sorted(zip(leaf.doc_id.fillna(-1), leaf.text_crc32, strict=True)) for leaf in grow(rows, 0)]
+        got = sharding.kd_shards(docs, **how).toPandas()
+        assert [sorted(zip(leaf.doc_id.fillna(-1), leaf.text_crc32, strict=True)) for _, leaf in got.groupby("shard")] == expected
+        for _, leaf in got.groupby("shard"):
+            assert sorted(leaf.slot) == list(range(len(leaf)))
+
+
+def test_many_leaves(spark):
+    """Every leaf holds the target bytes at most, or a single document."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = sharding.kd_shards(docs.select("doc_id", "text", "lang", "source"), target_bytes=20_000).toPandas()
+    sizes = got.groupby("shard")["size"].agg(["sum", "count"])
+    assert len(got) == docs.count() and len(sizes) > 100 and sizes.index.tolist() == list(range(len(sizes)))
+    assert ((sizes["sum"] <= 20_000) | (sizes["count"] == 1)).all()
 
 
 # --- 3
