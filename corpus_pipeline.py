@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.llm import jaccard_join, merge_replay, pii, rule_quality, temperature_mix
-from genoframe.llm.common import free_names, settle
+from genoframe.llm.common import free_names, release, settle
 
 #: Documents under this score are rejected.
 LEAST_QUALITY = 0.5
@@ -58,7 +58,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each but the last is written before the next one reads it, as later stages read their input more than once."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, written = written, settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written
+        if before is not None:
+            release(before)  # nothing reads what the next stage has taken up
     return STAGES[-1][1](spark, docs, sf_dir)
