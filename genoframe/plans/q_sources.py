@@ -150,7 +150,7 @@ def _(s, d):
 @query("sc21_validate", f"select 'data' as name, count(*) as n, count(*) as ids, cast(0 as bigint) as nulls, min(marker) as least, max(marker) as most, false as fits from ({X.MARKER}) m union all select 'map', count(*), count(distinct marker // 2), cast(0 as bigint), min(marker // 2), max(marker // 2), true from ({X.MARKER}) m where marker % 5 <> 1 union all select 'qc', count(*), count(distinct marker // 3), cast(0 as bigint), min(marker // 3), max(marker // 3), true from ({X.MARKER}) m where marker % 5 <> 1")
 def _(s, d):
     m = X.marker(s, d)
-    return SC.validate_db({"data": m.select(F.col("marker").alias("gvar_id")), "map": m.where("marker % 5 <> 1").select(F.expr("marker div 2").alias("gvar_id"), "chr"), "qc": m.where("marker % 5 <> 1").select(F.expr("marker div 3").alias("gvar_id"))})
+    return SC.validate_db({"data": m.select(F.col("marker").alias("gvar_id")), "map": m.where("marker % 5 <> 1").select(F.expr("marker div 2").alias("gvar_id"), "chr"), "qc": m.where("marker % 5 <> 1").select(F.expr("marker div 3").alias("gvar_id"))}, lengths=True)
 
 
 @query("sc22_inject", "select cast(l_linenumber as varchar) as number, true as found from lineitem group by 1")
