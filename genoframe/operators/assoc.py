@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoframe.functions import scalars as S
+from genoframe.operators.udf import count_equal
 from genoframe.operators.windows import global_rank, kept
 
 
@@ -545,15 +546,22 @@ def imputed_lr(prob: DataFrame, y: str, scores: tuple[float, float, float] = (0.
     return _grouped(rows, "marker", [y, "p_aa", "p_ab", "p_bb", "__w"], ["beta", "sd", "stat", "p"], fit)
 
 
-def lh_test_lr(df: DataFrame, cols: list[str], loglik: Callable[[np.ndarray, pd.DataFrame], float], start1: list[float], start0: list[float], expand0: Callable[[np.ndarray], np.ndarray], key: str = "marker") -> DataFrame:
-    """Likelihood ratio of a user's log likelihood; ``expand0`` maps null parameters to full ones."""
+def lh_test_lr(df: DataFrame, cols: list[str], loglik: Callable[[np.ndarray, pd.DataFrame], float], start1: list[float], start0: list[float], expand0: Callable[[np.ndarray], np.ndarray], key: str = "marker", counted: str | None = None) -> DataFrame:
+    """Likelihood ratio of a user's log likelihood; ``expand0`` maps null parameters to full ones.
+
+    With ``counted`` equal rows are counted first, where they lie: the likelihood gets each combination of ``cols`` once and its number of rows in a column of that
+    name, by which it weights the terms; ``n`` counts rows as before. So a marker's frame is bounded by combinations of values, not by individuals."""
 
     def fit(pdf: pd.DataFrame) -> dict:
         one = _newton(lambda t: loglik(t, pdf), np.array(start1))
         null = _newton(lambda t: loglik(expand0(t), pdf), np.array(start0)) if start0 else (None, None, loglik(expand0(np.array([])), pdf))
         stat = max(0.0, 2 * (one[2] - null[2]))
-        return {"stat": stat, "p": chi2_sf(stat, len(start1) - len(start0))} | {f"t{i}": v for i, v in enumerate(one[0])}
+        n = {} if counted is None else {"n": int(pdf[counted].sum())}
+        return n | {"stat": stat, "p": chi2_sf(stat, len(start1) - len(start0))} | {f"t{i}": v for i, v in enumerate(one[0])}
 
+    if counted is not None:
+        cols = list(dict.fromkeys(cols))
+        df, cols = count_equal(df.select(key, *cols).dropna(subset=cols), counted), [*cols, counted]
     return _grouped(df, key, cols, ["stat", "p", *(f"t{i}" for i in range(len(start1)))], fit)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoframe.functions import scalars as S
+from genoframe.operators.windows import global_rank
 
 SCORES = {"dominant": (0.0, 1.0, 1.0), "additive": (0.0, 0.5, 1.0), "recessive": (0.0, 0.0, 1.0)}
 
@@ -152,6 +153,18 @@ def genotype_matrix(prob: DataFrame, markers: list[int]) -> DataFrame:
     return prob.where(F.col("marker").isin(markers)).groupBy("iid").pivot("marker", markers).agg(F.first(dosage()))
 
 
+def genotype_blocks(prob: DataFrame, width: int = 64) -> DataFrame:
+    """G6 for all markers: (iid, block, dosages), blocks of ``width`` markers in the order of their numbers.
+
+    ``dosages`` has a place for each of the block's markers, null where the individual has no call or there are no more markers; of repeated calls the least counts.
+    An individual without any call in a block has no row there. A row is bounded by ``width``, whatever the number of markers."""
+    ranks = global_rank(prob.select("marker").where("marker is not null").distinct(), ["marker"], "__rank")
+    numbered = ranks.select("marker", F.expr(f"(__rank - 1) div {width}").alias("block"), ((F.col("__rank") - 1) % width).cast("int").alias("__place"))
+    calls = prob.join(numbered, "marker").groupBy("iid", "block", "__place").agg(F.min(dosage()).alias("__dosage"))
+    cells = calls.where("__dosage is not null").groupBy("iid", "block").agg(F.map_from_entries(F.collect_list(F.struct("__place", "__dosage"))).alias("m"))
+    return cells.select("iid", "block", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.element_at("m", k)).alias("dosages"))
+
+
 def alleles_to_gens(tped: DataFrame) -> DataFrame:
     """G1: (marker, chr, iid, a, b) with '0' missing to probabilities; markers without calls go; one allele alone is shown twice."""
     letters = tped.select("marker", F.explode(F.array("a", "b")).alias("x")).where("x <> '0'").groupBy("marker").agg(F.array_sort(F.collect_set("x")).alias("alleles"))

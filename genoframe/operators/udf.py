@@ -22,8 +22,8 @@ def informative(df: DataFrame, dosage: str = "dosage", key: str = "marker", leas
     return counts.where(part(0) + part(1) + part(2) > least).select(key)
 
 
-def per_marker(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, dosage: str = "dosage", key: str = "marker") -> DataFrame:
-    """A function per informative marker; one that raises gives a row of nulls, one of another shape is left out."""
+def _guarded(fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, key: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The user's function of a marker's frame: where it raises, a row of nulls; a result of another shape is left out."""
     names = [f.split()[0] for f in schema.split(",")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -33,7 +33,71 @@ def per_marker(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema
             out = pd.DataFrame([dict.fromkeys(names, None) | {key: pdf[key].iloc[0]}])
         return out if list(out.columns) == names else pd.DataFrame(columns=names)
 
-    return df.join(informative(df, dosage, key), key, "left_semi").groupBy(key).applyInPandas(run, schema)
+    return run
+
+
+def per_marker(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, dosage: str = "dosage", key: str = "marker", counted: str | None = None) -> DataFrame:
+    """A function per informative marker; one that raises gives a row of nulls, one of another shape is left out.
+
+    With ``counted`` equal rows are counted first: the function gets each combination of values once, and how often it occurs in a column of that name."""
+    rows = df.join(informative(df, dosage, key), key, "left_semi")
+    if counted is not None:
+        rows = count_equal(rows, counted)
+    return rows.groupBy(key).applyInPandas(_guarded(fn, schema, key), schema)
+
+
+def count_equal(df: DataFrame, name: str) -> DataFrame:
+    """Each distinct row once, with its number in a new column (as a double, ready to be a weight)."""
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"there is a column {name} already")
+    return df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count("*").cast("double").alias(name))
+
+
+def per_marker_pieces(
+    df: DataFrame,
+    piece: Callable[[pd.DataFrame], pd.DataFrame],
+    finish: Callable[[pd.DataFrame], pd.DataFrame],
+    state: str,
+    schema: str,
+    dosage: str = "dosage",
+    key: str = "marker",
+    rows: int = 100_000,
+) -> DataFrame:
+    """D1 for functions that can be put together from parts: no task holds all individuals of a marker.
+
+    ``piece`` turns some ``rows`` rows of a marker (fewer at the end of a task's rows) into a small frame of columns ``state`` (which hold the key); it works where
+    the rows lie, sorted within their task. ``finish`` turns a marker's parts, in any order and of any sizes, into its result. Errors and odd shapes are as in ``per_marker``; a marker of which a
+    part raises is as if ``finish`` had raised.
+    """
+    names, failed = [f.split()[0] for f in state.split(",")], "__failed"
+
+    def part(held: list[pd.DataFrame]) -> pd.DataFrame:
+        group = pd.concat(held, ignore_index=True)
+        try:
+            return piece(group)[names].assign(**{failed: False})
+        except Exception:  # as above: the user's function may raise anything
+            return pd.DataFrame([dict.fromkeys(names, None) | {key: group[key].iloc[0], failed: True}])
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size, own = [], 0, None
+        for pdf in batches:
+            for marker, group in pdf.groupby(key, sort=False):
+                if held and (marker != own or size >= rows):
+                    yield part(held)
+                    held, size = [], 0
+                own = marker
+                held.append(group)
+                size += len(group)
+        if held:
+            yield part(held)
+
+    def together(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf[failed].any():
+            raise ValueError("a part of the marker has no result")
+        return finish(pdf.drop(columns=failed))
+
+    some = df.join(informative(df, dosage, key), key, "left_semi").sortWithinPartitions(key).mapInPandas(parts, f"{state}, {failed} boolean")
+    return some.groupBy(key).applyInPandas(_guarded(together, schema, key), schema)
 
 
 def n_to_one(frames: Iterable[DataFrame], fn: Callable[..., DataFrame]) -> DataFrame:

@@ -114,6 +114,16 @@ def _(s, d):
     return _rounded(G.genotype_matrix(X.prob(s, d), [3, 5]), 6, "3", "5")
 
 
+@query("g06_genotype_blocks", f"""with p as (select iid, marker, cast(round(10 * (p_ab + 2 * p_bb)) as bigint) as dose from ({X.PROB}) x), m as (select marker, row_number() over (order by marker) - 1 as k from (select distinct marker from p) y),
+ c as (select iid, k // 64 as block, k % 64 as place, dose from p join m using (marker)), b as (select iid, block, place from (select distinct iid, block from c) z, (select unnest(range(64)) as place) r)
+ select iid, block, string_agg(coalesce(cast(dose as varchar), 'NA'), ' ' order by place) as dosages from b left join c using (iid, block, place) group by 1, 2""")
+def _(s, d):
+    """The matrix of all markers, 64 to a row, in tenths."""
+    out = G.genotype_blocks(X.prob(s, d))
+    shown = F.transform("dosages", lambda x: F.coalesce(F.round(10 * x).cast("long").cast("string"), F.lit("NA")))
+    return out.select("iid", "block", F.array_join(shown, " ").alias("dosages"))
+
+
 @query("g07_allele_freq", f"select marker, round({_AF}, 8) as af, n0 + n1 + n2 as n from ({_COUNTS})")
 def _(s, d):
     return _rounded(G.allele_freq(X.gt(s, d)), 8, "af")
@@ -588,6 +598,39 @@ def _(s, d):
     return D.per_marker(p, fit, "marker long, r double").select("marker", F.round(F.nanvl("r", F.lit(None).cast("double")), 7).alias("r"))
 
 
+@query("d01_per_marker_pieces", f"select marker, count(*) as n, round(case when stddev_pop({_DOSE}) > 1e-9 then corr({_DOSE}, y) end, 7) as r from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0 group by 1")
+def _(s, d):
+    """The same correlation by parts: means and centred sums of each part, put together afterwards."""
+
+    def piece(p: pd.DataFrame) -> pd.DataFrame:
+        x, y = p["dosage"].to_numpy(float), p["y"].to_numpy(float)
+        dx, dy = x - x.mean(), y - y.mean()
+        return pd.DataFrame({"marker": p["marker"].iloc[:1], "n": [len(p)], "x": [x.mean()], "y": [y.mean()], "xx": [dx @ dx], "xy": [dx @ dy], "yy": [dy @ dy]})
+
+    def finish(p: pd.DataFrame) -> pd.DataFrame:
+        n, total = p["n"].to_numpy(float), float(p["n"].sum())
+        dx, dy = (p[c].to_numpy(float) - (n * p[c].to_numpy(float)).sum() / total for c in "xy")
+        xx, xy, yy = p["xx"].sum() + n @ (dx * dx), p["xy"].sum() + n @ (dx * dy), p["yy"].sum() + n @ (dy * dy)
+        return pd.DataFrame({"marker": p["marker"].iloc[:1], "n": [int(total)], "r": [xy / np.sqrt(xx * yy) if xx * yy > 0 else None]})
+
+    p = _prob_y(s, d).where("p_aa + p_ab + p_bb > 0").select("marker", G.dosage().alias("dosage"), "y")
+    out = D.per_marker_pieces(p, piece, finish, "marker long, n long, x double, y double, xx double, xy double, yy double", "marker long, n long, r double", rows=2_000)
+    return out.select("marker", "n", F.round("r", 7).alias("r"))
+
+
+@query("d01_per_marker_counted", f"select marker, count(*) as n, round(sum(case when cc = 1 then gt end) / (2e0 * count(*) filter (where cc = 1)) - sum(case when cc = 0 then gt end) / (2e0 * count(*) filter (where cc = 0)), 7) as difference from ({X.GT}) g join ({X.SAMPLE}) s using (iid) where gt is not null group by 1")
+def _(s, d):
+    """Allele frequency of cases less that of controls, from counted combinations."""
+
+    def fit(p: pd.DataFrame) -> pd.DataFrame:
+        share = lambda k: (p["gt"] * p["w"])[p["cc"] == k].sum() / (2 * p["w"][p["cc"] == k].sum()) if (p["cc"] == k).any() else None
+        one, none = share(1), share(0)
+        return pd.DataFrame({"marker": p["marker"].iloc[:1], "n": [int(p["w"].sum())], "difference": [None if one is None or none is None else one - none]})
+
+    rows = _with_y(s, d).where("gt is not null").select("marker", "gt", "cc")
+    return D.per_marker(rows, fit, "marker long, n long, difference double", dosage="gt", counted="w").select("marker", "n", F.round("difference", 7).alias("difference"))
+
+
 @query("d02_n_to_one", "select (select count(*) from customer) + (select count(*) from supplier) as n")
 def _(s, d):
     frames = [X.table(s, d, "customer").select(F.lit(1).alias("x")), X.table(s, d, "supplier").select(F.lit(1).alias("x"))]

@@ -218,9 +218,9 @@ def _(s, d):
     def loglik(t: np.ndarray, rows) -> float:
         p = np.clip(1 / (1 + np.exp(-t[0])), 1e-12, 1 - 1e-12)
         g = rows["gt"].to_numpy(float)
-        return float((g * np.log(p) + (2 - g) * np.log(1 - p)).sum())
+        return float((rows["w"].to_numpy() * (g * np.log(p) + (2 - g) * np.log(1 - p))).sum())
 
-    out = T.lh_test_lr(X.gt(s, d).where("gt is not null"), ["gt"], loglik, [0.1], [], lambda t: np.zeros(1))
+    out = T.lh_test_lr(X.gt(s, d).where("gt is not null"), ["gt"], loglik, [0.1], [], lambda t: np.zeros(1), counted="w")
     return out.select("marker", "n", F.round(1 / (1 + F.exp(-F.col("t0"))), 4).alias("frequency"), F.round("stat", 3).alias("stat"))
 
 

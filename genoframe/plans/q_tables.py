@@ -194,10 +194,10 @@ def _(s, d):
     return J.left_join_stable(c, table(s, d, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey"), ["k"], "c_custkey").select("c_custkey", "o_orderkey")
 
 
-@query("j03_outer", "select coalesce(a.k, b.k) as k, a.na, b.nb from (select s_nationkey as k, count(*) as na from supplier where s_acctbal > 5000 group by 1) a full join (select c_nationkey as k, count(*) as nb from customer where c_acctbal > 9900 group by 1) b on a.k = b.k")
+@query("j03_outer", "select coalesce(a.k, b.k) as k, a.na, b.nb from (select s_nationkey + 5 as k, count(*) as na from supplier group by 1) a full join (select c_nationkey as k, count(*) as nb from customer group by 1) b on a.k = b.k")
 def _(s, d):
-    a = table(s, d, "supplier").where("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("na"))
-    b = table(s, d, "customer").where("c_acctbal > 9900").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("nb"))
+    a = table(s, d, "supplier").groupBy((F.col("s_nationkey") + 5).alias("k")).agg(F.count("*").alias("na"))
+    b = table(s, d, "customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("nb"))
     return J.outer_join(a, b, ["k"])
 
 
@@ -262,10 +262,10 @@ def _(s, d):
     return J.row_search(a, b, ["k", "b"], "line")
 
 
-@query("j14_analysis_frame", f"select g.marker, s.strat, count(*) as n, round(sum(s.y), 2) as y from ({X.GT}) g left join ({X.SAMPLE}) s using (iid) where g.gt = 1 group by 1, 2")
+@query("j14_analysis_frame", f"select g.marker, g.gt, s.strat, count(*) as n, round(sum(s.y), 2) as y from ({X.GT}) g left join ({X.SAMPLE}) s using (iid) group by 1, 2, 3")
 def _(s, d):
     p = X.sample(s, d)
-    return J.analysis_frame(X.gt(s, d).select("iid", "marker", "gt").where("gt = 1"), p.select("iid", "sex"), p.select("iid", "y", "strat")).groupBy("marker", "strat").agg(F.count("*").alias("n"), F.round(F.sum("y"), 2).alias("y"))
+    return J.analysis_frame(X.gt(s, d).select("iid", "marker", "gt"), p.select("iid", "sex"), p.select("iid", "y", "strat")).groupBy("marker", "gt", "strat").agg(F.count("*").alias("n"), F.round(F.sum("y"), 2).alias("y"))
 
 
 @query("j15_read_variables", "select o_custkey as id, min_by(o_orderstatus, o_orderkey) as st, c_acctbal as bal from (select * from orders) o full join customer c on o.o_custkey = c.c_custkey where o_custkey is not null group by o_custkey, c_acctbal")
