@@ -11,8 +11,9 @@ Texts are encoded by the ``tokenizers`` library. The vocabulary drops white spac
 space; so each stretch between white space is encoded once per worker and kept (at most ``CACHED`` of late and as many before; many new ones in one call), and a text's
 ids are those of its stretches in order. A text that holds ``<|`` could name a special token and is encoded in one piece.
 
-The table is cut into ranges of (``doc_id``, hash of the text); each range is one file, named after the range's number and renamed into
-place when it is complete, so that a repeated task leaves a whole file. The files' order is that of their ranges, also where one id fills several of them.
+The table is cut into ranges of (``doc_id``, hash of the text); each range is one task, which starts a new file whenever one holds ``file_bytes`` of ids or ``file_docs``
+documents, so that neither a writer nor a reader holds a longer seek table, however large a range is. Files are named after the range and their number in it and renamed into
+place when they are complete, so that a repeated task leaves whole files. The files' order is that of these two numbers, also where one id fills several of them.
 Defined results: a null text is empty (one id, the end); null ids come first; rows that repeat an id keep their rows, in an order that the text gives;
 an empty table gives no file; columns other than ``doc_id`` and ``text`` are not read.
 """
@@ -23,6 +24,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,8 @@ from pyspark.sql import functions as F
 from genoframe.llm.common import reduce_tasks, settle, shared_folder
 
 FRAME_BYTES = 1 << 18
+FILE_BYTES = 1 << 30
+FILE_DOCS = 4_000_000
 CACHED = 800_000
 _SKIPPABLE, _END = 0x184D2A5E, 0x8F92EAB1
 _FRAME = np.dtype([("packed", "<u4"), ("raw", "<u4"), ("crc", "<u4")])
@@ -103,16 +107,18 @@ class Writer:
 
     def __init__(self, out, id_bytes: int):
         self.out, self.id_bytes = out, id_bytes
-        self.frames: list[tuple] = []
-        self.docs: list[tuple] = []
+        self.frames = array("I")  # packed, raw, crc of each
+        self.ids, self.places = array("q"), array("I")  # of each document its id; its frame, first byte, number of ids
         self.held: list[bytes] = []
-        self.size = 0
+        self.size = self.total = 0
         self.packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.docs.append((_NULL_ID if doc_id is None else doc_id, len(self.frames), self.size, len(ids) // self.id_bytes))
+        self.ids.append(_NULL_ID if doc_id is None else doc_id)
+        self.places.extend((len(self.frames) // 3, self.size, len(ids) // self.id_bytes))
         self.held.append(ids)
         self.size += len(ids)
+        self.total += len(ids)
         if self.size >= FRAME_BYTES:
             self._frame()
 
@@ -120,13 +126,17 @@ class Writer:
         raw = b"".join(self.held)
         packed = self.packer.compress(raw)
         self.out.write(packed)
-        self.frames.append((len(packed), len(raw), zlib.crc32(raw)))
+        self.frames.extend((len(packed), len(raw), zlib.crc32(raw)))
         self.held, self.size = [], 0
 
     def close(self) -> None:
         if self.held:
             self._frame()
-        table = np.array(self.frames, _FRAME).tobytes() + np.array(self.docs, _DOC).tobytes() + struct.pack("<IIBI", len(self.frames), len(self.docs), self.id_bytes, _END)
+        docs, places = np.empty(len(self.ids), _DOC), np.array(self.places, "<u4").reshape(-1, 3)
+        docs["doc_id"] = self.ids
+        for k, name in enumerate(("frame", "first", "count")):
+            docs[name] = places[:, k]
+        table = np.array(self.frames, "<u4").tobytes() + docs.tobytes() + struct.pack("<IIBI", len(self.frames) // 3, len(docs), self.id_bytes, _END)
         self.out.write(struct.pack("<II", _SKIPPABLE, len(table)) + table)
 
 
@@ -171,42 +181,56 @@ def _opened(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
-_FILES = pa.schema([("file", pa.string()), ("part", pa.int32()), ("least", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64())])
+_FILES = pa.schema([("file", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("least", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64())])
 
 
-def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None = 1, id_bytes: int = 2) -> DataFrame:
-    """Writes ``docs`` (doc_id, text) in id order; gives (file, part, least, docs, ids) for each file: ``part`` its place in that order, ``least`` its first id."""
+class _Output:
+    """A file that is being written by the task of a range."""
+
+    def __init__(self, folder: str, part: int, number: int, id_bytes: int, least: int | None):
+        self.store, root = _opened(folder)
+        self.store.create_dir(root, recursive=True)
+        self.name = f"{part:06d}-{number:06d}-{uuid.uuid4().hex}"
+        self.folder, self.path, self.key = folder, f"{root}/{self.name}", (part, number, _NULL_ID if least is None else least)
+        self.out = self.store.open_output_stream(f"{self.path}.part", compression=None)
+        self.writer = Writer(self.out, id_bytes)
+
+    def close(self) -> tuple:
+        """Its row of the list of files."""
+        self.writer.close()
+        self.out.close()
+        self.store.move(f"{self.path}.part", f"{self.path}.tokz")
+        return f"{self.folder}/{self.name}.tokz", *self.key, len(self.writer.ids), self.writer.total // self.writer.id_bytes
+
+
+def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None = 1, id_bytes: int = 2, file_bytes: int = FILE_BYTES, file_docs: int = FILE_DOCS) -> DataFrame:
+    """Writes ``docs`` (doc_id, text) in id order; gives (file, part, number, least, docs, ids) for each file: ``part`` and ``number`` its place in that order, ``least`` its first id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, least, count, total, done = None, None, 0, 0, []
+        current, done = None, []
         # the number of the task is that of its range
-        number = TaskContext.get().partitionId()
+        place = TaskContext.get().partitionId()
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 texts = [(v.as_buffer().to_pybytes() if v.is_valid else b"") for v in part.column(1)]
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoder(tokenizer_path, id_bytes, end_id).encode(texts), strict=True):
-                    if writer is None:
-                        store, root = _opened(folder)
-                        store.create_dir(root, recursive=True)
-                        path = f"{root}/{number:06d}-{uuid.uuid4().hex}"
-                        out = store.open_output_stream(f"{path}.part", compression=None)
-                        writer, least = Writer(out, id_bytes), doc_id
-                    writer.add(doc_id, ids)
-                    count, total = count + 1, total + len(ids) // id_bytes
-        if writer is not None:
-            writer.close()
-            out.close()
-            store.move(f"{path}.part", f"{path}.tokz")
-            done.append((f"{folder}/{path.rpartition('/')[2]}.tokz", number, _NULL_ID if least is None else least, count, total))
-        columns = list(zip(*done, strict=True)) or [[]] * 5
+                    if current is not None and (current.writer.total >= file_bytes or len(current.writer.ids) >= file_docs):
+                        done.append(current.close())
+                        current = None
+                    if current is None:
+                        current = _Output(folder, place, len(done), id_bytes, doc_id)
+                    current.writer.add(doc_id, ids)
+        if current is not None:
+            done.append(current.close())
+        columns = list(zip(*done, strict=True)) or [[]] * len(_FILES)
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _FILES, strict=True)], schema=_FILES)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(1, reduce_tasks(docs.sparkSession))
     ranged = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     # the list of the files is what counts: files that a lost task left behind are in no list
-    return settle(ranged.mapInArrow(run, "file string, part int, least long, docs long, ids long"), "token-file-list")
+    return settle(ranged.mapInArrow(run, "file string, part int, number int, least long, docs long, ids long"), "token-file-list")
 
 
 _DOCS = pa.schema([("file", pa.string()), ("place", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("ids", pa.binary())])
@@ -243,7 +267,7 @@ def read_files(files: DataFrame, digest: bool = False) -> DataFrame:
 def placed(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document of the files that ``write_files`` gave; ``start`` counts the ids of all documents before it."""
     # one row per file: ids of the files before it
-    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("file", F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("base"))
     rows = read_files(files, digest=True).join(F.broadcast(starts), "file")
     return rows.select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
