@@ -4,11 +4,12 @@ The units are the ``K`` code points from each place of a text, numbered by occur
 functions the ``PICKS`` units of smallest value are selected, put back in the order of the text, and their tuple is hashed to 16 bits. Two fingerprints
 are as like as the share of sketches that agree. A text of fewer than ``K`` code points is one unit; of fewer than ``PICKS`` units, all are selected.
 
-The next document in id order is found without one task that sees all: ids go to ranges by quantiles, each range's first document is sent to the
-range before it too, and ranges are sorted in tasks. Texts are shuffled once.
+The next document in id order is found without one task that sees all: rows go to ranges by quantiles of the ids, each range's first document is sent to the
+range before it too, and ranges are sorted in tasks. An id that fills several quantiles, and the null id likewise, has as many ranges of its own, cut by the hash of the text; so
+only rows equal in id and text must stay in one range, as a sorted stream. Texts are shuffled once.
 
 Defined results: a null text is empty; the fingerprint of the empty text is that of no unit; two empty texts are alike (1.0); null ids come first; rows of equal id are
-ordered by text; a single row is its own next document; an empty table gives an empty result.
+ordered by the hash of the text, then by text; a single row is its own next document; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.llm.common import reduce_tasks
@@ -144,26 +145,49 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     wanted = min(MOST_RANGES, 8 * reduce_tasks(spark))
     # range bounds from the ids alone; ``wanted`` numbers come to the driver
-    bounds = rows.select(F.percentile_approx("doc_id", [k / wanted for k in range(1, wanted)], 100 * wanted).alias("q")).first()["q"]
-    cuts = sorted(set(bounds or []))
-    place = _range_of(cuts) if cuts else F.lit(0)
-    placed = rows.withColumn("range", place)
-    # (null ids come first: they are in range 0 and sort first there)
-    ranges = placed.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("least"), F.count("*").alias("n")).collect()
+    quantiles = F.percentile_approx("doc_id", [k / wanted for k in range(1, wanted)], 100 * wanted)
+    bounds, n, unknown = rows.agg(quantiles.alias("q"), F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    placed = rows.withColumn("hash", F.shiftrightunsigned(F.xxhash64("text"), 1)).withColumn("range", _range_of(bounds or [], -(-unknown * wanted // max(n, 1))))
+    # one row for each range, of which there are three for each quantile at most
+    ranges = placed.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "hash")).alias("least")).collect()
     present = sorted(r["range"] for r in ranges)
     before = {r: present[k - 1] for k, r in enumerate(present)}
-    least = {r["range"]: r["least"]["doc_id"] for r in ranges}
-    follow = spark.createDataFrame([(r, before[r], least[r]) for r in present], "range int, before int, least long")
-    firsts = placed.join(F.broadcast(follow.withColumnRenamed("range", "r")), F.col("range") == F.col("r"))
-    # the first row of a range: of equal ids the one whose text comes first
-    guests = firsts.where("doc_id <=> least").groupBy("range", "before", "doc_id").agg(F.min("text").alias("text"))
-    own = placed.select("range", F.lit(0).alias("guest"), "doc_id", "text")
-    both = own.unionByName(guests.select(F.col("before").alias("range"), F.lit(1).alias("guest"), "doc_id", "text"))
-    dealt = both.repartition(reduce_tasks(spark), "range").sortWithinPartitions("range", "guest", F.col("doc_id").asc_nulls_first(), "text")
-    return dealt.mapInArrow(_compared, _OUT_DDL)
-
-
-def _range_of(cuts: list[int]):
+    follow = spark.createDataFrame([(r["range"], before[r["range"]], r["least"]["doc_id"], r["least"]["hash"]) for r in ranges], "r int, before int, least long, least_hash long")
+    firsts = placed.join(F.broadcast(follow), F.col("range") == F.col("r"))
+    # the first row of a range: of equal ids and hashes the one whose text comes first
+    guests = firsts.where("doc_id <=> least and hash = least_hash").groupBy("before", "doc_id", "hash").agg(F.min("text").alias("text"))
+    own = placed.select("range", F.lit(0).alias("guest"), "doc_id", "text", "hash")
+    both = own.unionByName(guests.select(F.col("before").alias("range"), F.lit(1).alias("guest"), "doc_id", "text", "hash"))
+    dealt = both.repartition(reduce_tasks(spark), "range").sortWithinPartitions("range", "guest", F.col("doc_id").asc_nulls_first(), "hash", "text")
+    return dealt.drop("hash").mapInArrow(_compared, _OUT_DDL)
+
+
+def slices(bounds: list[int], unknown: int) -> tuple[list[int], list[int], list[int]]:
+    """Distinct bounds, the number of slices of each (0: the id is not that frequent) and the number of its range; null ids have the first ``unknown`` ranges."""
+    cuts = sorted(set(bounds))
+    times = {c: 0 for c in cuts}
+    for c in bounds:
+        times[c] += 1
+    widths = [times[c] if times[c] > 1 else 0 for c in cuts]
+    starts = (unknown + np.arange(len(cuts)) + np.cumsum([0, *widths])[: len(cuts)]).tolist()
+    return cuts, widths, starts
+
+
+def _range_of(bounds: list[int], unknown: int) -> Column:
+    """The number of a row's range: ids between two bounds have one, an id that is several bounds at once as many more, by the share of hashes (of 63 bits) below the row's."""
+    cuts, widths, starts = slices(bounds, unknown)
+    slice_of = lambda width: F.floor(F.shiftright("hash", 31).cast("double") * width / F.lit(float(1 << 32))).cast("int")
+    of_null = slice_of(F.lit(unknown))
+    if not cuts:
+        return F.when(F.col("doc_id").isNull(), of_null).otherwise(F.lit(unknown))
+    last = starts[-1] + widths[-1] + 1
+    # position, bound, slices and first range together, so that the search is written once
+    table = F.array(*(F.struct(F.lit(c).cast("long").alias("cut"), F.lit(w).alias("width"), F.lit(s).alias("start")) for c, w, s in zip(cuts, widths, starts, strict=True)))
+    found = F.transform(F.array(F.get(table, _below(cuts))), lambda x: F.when(x.isNull(), F.lit(last)).when((F.col("doc_id") == x["cut"]) & (x["width"] > 0), x["start"] + 1 + slice_of(x["width"])).otherwise(x["start"]))
+    return F.when(F.col("doc_id").isNull(), of_null).otherwise(F.get(found, F.lit(0)))
+
+
+def _below(cuts: list[int]) -> Column:
     """Number of cuts below the id, by binary search over an array literal."""
     array = F.array(*(F.lit(c).cast("long") for c in cuts))
     low, high = F.lit(0), F.lit(len(cuts))
@@ -177,7 +201,7 @@ def _range_of(cuts: list[int]):
         done = s["a"] >= s["b"]
         return F.struct(F.when(done | ~over, s["a"]).otherwise(m + 1).alias("a"), F.when(done | over, s["b"]).otherwise(m).alias("b"))
 
-    return F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, narrowed, lambda s: s["a"]))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, narrowed, lambda s: s["a"])
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

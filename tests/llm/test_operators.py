@@ -289,6 +289,19 @@ def test_token_files_odd(odd, nothing, spark, tmp_path):
     assert token_files.read_files(token_files.write_files(nothing, f"file://{tmp_path}/b", path)).count() == 0
 
 
+def test_token_files_start_anew(spark, docs, tmp_path):
+    """A range of many ids goes to several files; starts and ids stay those of one file each."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    some = spark.createDataFrame(docs[["doc_id", "text"]].head(90)).repartition(3)
+    whole = sorted(map(tuple, token_files.placed(token_files.write_files(some, f"file://{tmp_path}/a", path)).collect()))
+    for name, limits in (("b", {"file_docs": 4}), ("c", {"file_bytes": 3000})):
+        files = token_files.write_files(some, f"file://{tmp_path}/{name}", path, **limits)
+        listed = files.toPandas()
+        assert listed["number"].max() >= 2 and not listed.duplicated(["part", "number"]).any() and listed["docs"].sum() == 90
+        assert (listed["docs"] <= 4).all() if name == "b" else (listed[listed["ids"] * 2 < 3000].groupby("part").size() <= 1).all()
+        assert sorted(map(tuple, token_files.placed(files).collect())) == whole
+
+
 def test_token_starts_of_repeated_ids(spark, tmp_path):
     """Null and repeated ids that fill several files: the starts leave no gap and follow the ids, in each of two runs alike."""
     rows = [(None, f"no id {k} {k % 7}") for k in range(400)] + [(5, f"five {k}") for k in range(400)] + [(7, f"seven of {k}") for k in range(30)] + [(7, "same"), (7, "same")]
@@ -469,6 +482,32 @@ def test_fingerprints_odd(odd, nothing, spark):
     assert order_minhash.with_next(odd.where("doc_id = 3")).first().near_next == 1.0
 
 
+def test_fingerprints_of_hot_ids(spark):
+    """One id and the null id hold most rows: each gets ranges of its own, and every row still meets the one that follows it."""
+    rows = [(None, f"nobody {k}") for k in range(120)] + [(7, f"seven {k % 90}") for k in range(200)] + [(k, f"text {k}") for k in range(60)] + [(7, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    keyed = df.selectExpr("doc_id", "coalesce(text, '') as text", "shiftrightunsigned(xxhash64(coalesce(text, '')), 1) as h").collect()
+    texts = [(r.doc_id, r.text) for r in sorted(keyed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h, r.text))]
+    expected = []
+    for (doc_id, text), (_, following) in zip(texts, [*texts[1:], texts[0]], strict=True):
+        edited = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        expected.append((str(doc_id), len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    for some in (df, df.where("doc_id is null"), df.where("doc_id = 7")):
+        got = order_minhash.with_next(some)
+        if some is df:
+            assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got.collect()) == sorted(expected)
+        assert got.count() == some.count()
+    bounds, n, unknown = [1, 5, 7, 7, 7, 9], 386, 3
+    cuts, widths, starts = order_minhash.slices(bounds, unknown)
+    assert (cuts, widths, starts) == ([1, 5, 7, 9], [0, 0, 3, 0], [3, 4, 5, 9])
+    placed = df.selectExpr("doc_id", "shiftrightunsigned(xxhash64(text), 1) as hash").withColumn("range", order_minhash._range_of(bounds, unknown))
+    by = {}
+    for r in placed.collect():
+        by.setdefault(r.range, set()).add(r.doc_id)
+    assert {k for k, v in by.items() if v == {None}} == {0, 1, 2} and {k for k, v in by.items() if v == {7}} == {6, 7, 8}
+    assert by[3] == {0, 1} and by[5] == {6} and by[9] == {8, 9} and by[10] == set(range(10, 60))
+
+
 # --- 6
 
 
