@@ -112,8 +112,21 @@ def sd_to_ci(beta: str, sd: str, level: float = 0.95) -> tuple[str, str]:
     return f"(({beta}) - {q} * ({sd}))", f"(({beta}) + {q} * ({sd}))"
 
 
+def ci_to_z(lo: str, up: str, level: float = 0.95) -> str:
+    return f"((({lo}) + ({up})) / 2e0 / {ci_to_sd(lo, up, level)})"
+
+
 def ci_to_p(lo: str, up: str, level: float = 0.95) -> str:
-    return two_sided(f"((({lo}) + ({up})) / 2e0 / {ci_to_sd(lo, up, level)})")
+    """The arguments are written out some hundred times: for whole tables use ``with_ci_p``."""
+    return two_sided(ci_to_z(lo, up, level))
+
+
+def with_ci_p(df: DataFrame, lo: str, up: str, out: str = "p", level: float = 0.95) -> DataFrame:
+    """``ci_to_p`` in a column: the statistic is a column of its own first, so that the expression stays short enough to be compiled."""
+    own = "__z"
+    while own in df.columns:
+        own += "_"
+    return df.withColumn(own, F.expr(ci_to_z(lo, up, level))).withColumn(out, F.expr(two_sided(own))).drop(own)
 
 
 def beta_p_to_sd(beta: str, p: str) -> str:

@@ -293,11 +293,12 @@ def _(s, d):
     return _rounded(S.log_sum_exp(X.table(s, d, "lineitem"), ["l_returnflag"], "l_quantity"), 7, "lse")
 
 
-@query("x09_ci", f"select marker, round({S.ci_to_sd('(beta - 2 * sd)', '(beta + 2 * sd)')}, 7) as sd, round({S.ci_to_p('(beta - 2 * sd)', '(beta + 2 * sd)')}, 6) as p, round(1 / (1 + {S.beta_p_to_sd('beta', 'p')}), 6) as share from ({A}) a")
+@query("x09_ci", f"select marker, round({S.ci_to_sd('lo', 'up')}, 7) as sd, round({S.two_sided('z')}, 6) as p, round(1 / (1 + {S.beta_p_to_sd('beta', 'a.p')}), 6) as share from (select marker, beta, p, lo, up, {S.ci_to_z('lo', 'up')} as z from (select *, beta - 2 * sd as lo, beta + 2 * sd as up from ({A}) b) c) a")
 def _(s, d):
-    lo, up = "(beta - 2 * sd)", "(beta + 2 * sd)"
+    limits = X.assoc(s, d).selectExpr("marker", "beta", "p", "beta - 2 * sd as lo", "beta + 2 * sd as up")
     # deviations grow without bounds as P nears 1: they are shown as 1 / (1 + sd)
-    return X.assoc(s, d).select("marker", F.round(F.expr(S.ci_to_sd(lo, up)), 7).alias("sd"), F.round(F.expr(S.ci_to_p(lo, up)), 6).alias("p"), F.round(1 / (1 + F.expr(S.beta_p_to_sd("beta", "p"))), 6).alias("share"))
+    out = S.with_ci_p(limits, "lo", "up", "of_limits")
+    return out.select("marker", F.round(F.expr(S.ci_to_sd("lo", "up")), 7).alias("sd"), F.round("of_limits", 6).alias("p"), F.round(1 / (1 + F.expr(S.beta_p_to_sd("beta", "p"))), 6).alias("share"))
 
 
 @query("x10_errors", "select l_orderkey, l_linenumber, round(sqrt(power(l_tax, 2) + power(l_discount, 2) + 0.002e0), 8) as s, round(abs(l_quantity * l_extendedprice) * sqrt(power(0.1e0 / l_quantity, 2) + power(0.2e0 / l_extendedprice, 2) + 2 * 0.1e0 * 0.2e0 * 0.5e0), 2) as p from lineitem")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from genoframe.functions import scalars as S
 from genoframe.operators import assoc as T
 from genoframe.operators import models as M
 from genoframe.operators import results as R
@@ -224,3 +225,17 @@ def test_running_sums_do_not_depend_on_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert math.isfinite(expected)
+
+
+# --- intervals
+
+
+def test_p_of_intervals_as_a_column(spark):
+    """The staged form gives what the whole expression and the normal distribution give, also beside a column of the helper's name."""
+    rows = [(1, -0.2, 0.6), (2, 0.1, 0.3), (3, -0.5, 0.5), (4, None, 1.0)]
+    df = spark.createDataFrame(rows, "__z long, lo double, up double")
+    got = {r["__z"]: r for r in S.with_ci_p(df, "lo", "up").withColumn("whole", F.expr(S.ci_to_p("lo", "up"))).collect()}
+    for k, lo, up in rows[:3]:
+        z = (lo + up) / 2 / ((up - lo) / (2 * 1.959963984540054))
+        assert got[k].p == pytest.approx(math.erfc(abs(z) / math.sqrt(2)), abs=1e-8) and got[k].p == pytest.approx(got[k].whole, abs=1e-12)
+    assert got[4].p is None and len(got) == 4
