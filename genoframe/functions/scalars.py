@@ -33,14 +33,14 @@ def _horner(parts: tuple[float, ...], x: str) -> str:
 
 
 def erfc(x: str) -> str:
-    """Relative error below 5e-12, below 1e-14 beyond 0.5; 0 from about 26.5 on, where the value leaves the range of doubles (P near 1e-308)."""
+    """Null of null. Relative error below 5e-12, below 1e-14 beyond 0.5; 0 from about 26.5 on, where the value leaves the range of doubles (P near 1e-308)."""
     y = f"abs({x})"
     square = f"({y} * {y})"
     inverse = f"(1e0 / greatest({square}, 1e0))"
     middle = f"(exp(-{square}) * {_horner(_ERF_C, y)} / {_horner(_ERF_D, y)})"
     large = f"(exp(-{square}) / greatest({y}, 1e0) * (0.5641895835477563e0 - {inverse} * {_horner(_ERF_P, inverse)} / {_horner(_ERF_Q, inverse)}))"
     tail = f"(case when {y} <= 4e0 then {middle} when {y} < 27e0 then {large} else 0e0 end)"
-    return f"(case when ({x}) >= 0 then {tail} else 2e0 - {tail} end)"
+    return f"(case when ({x}) >= 0 then {tail} when ({x}) < 0 then 2e0 - {tail} end)"
 
 
 def norm_sf(z: str) -> str:
