@@ -5,7 +5,8 @@ Base score: add-one unigrams of words over all training documents. Tasks count w
 
 Model: subword ids of a public vocabulary fall into ``CLASSES`` classes by their counts in the training documents (the most frequent ones alone, the others by
 falling count in classes of about equal weight). ``p(id) = p(class | classes before) * p(id | class, id before)``; the second factor is from counts of all training
-documents (of an id after another one, the ``HOT_PAIRS`` most frequent such pairs, on top of add-one counts of the id), the first one a one-layer causal self-attention model on top of a class bigram prior (counts of all training documents), with a softmax in two
+documents (of an id after another one, on top of add-one counts of the id; as with words, the most frequent pairs of ids, at most ``HOT_PAIRS``, go to every task and
+the others are looked up by a join), the first one a one-layer causal self-attention model on top of a class bigram prior (counts of all training documents), with a softmax in two
 steps (group of classes, class in the group). It learns from the whole text of every training document, cut into consecutive windows: each id is learnt in one of the
 rounds, ``EPOCHS`` times; the prior is taken without the occurrence that is being learnt, as the model would else trust it more than held-out text bears out. In each round replicas of the common weights learn from about ``REPLICA_IDS`` ids each
 with one optimiser and one falling rate over all of them, and Spark averages them by their windows. Which
@@ -357,13 +358,23 @@ def inside_classes(counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.log10((counts + 1) / (sums + sizes)[classes])
 
 
-def pairs_inside(pairs: np.ndarray, counts: np.ndarray, ids_classes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Tables for ``inside_logs``: rising pairs (id before, id) with their counts, and rising (id before, class) with the sums of those."""
+def _wholes_of(pairs: np.ndarray, ids_classes: np.ndarray) -> np.ndarray:
+    """(id before, class) of pairs (id before, id)."""
+    return (pairs >> 16) * CLASSES + ids_classes[pairs & 0xFFFF]
+
+
+def pairs_inside(pairs: np.ndarray, counts: np.ndarray, ids_classes: np.ndarray, wholes: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """Tables for ``inside_logs``: rising pairs (id before, id) with their counts, rising (id before, class) with the sums over all pairs, and what of those sums is of
+    pairs that the table has not got. ``wholes`` are (id before, class) with their sums; without them the pairs are all there are."""
     order = np.argsort(pairs, kind="stable")
     pairs, counts = pairs[order], counts[order].astype(np.float64)
-    whole = (pairs >> 16) * CLASSES + ids_classes[pairs & 0xFFFF]
-    names, at = np.unique(whole, return_inverse=True)
-    return pairs, counts, names, np.bincount(at, counts, len(names))
+    names, at = np.unique(_wholes_of(pairs, ids_classes), return_inverse=True)
+    sums = np.bincount(at, counts, len(names))
+    if wholes is None:
+        return pairs, counts, names, sums, np.zeros(len(names))
+    order = np.argsort(wholes[0], kind="stable")
+    every, whole = wholes[0][order], wholes[1][order].astype(np.float64)
+    return pairs, counts, every, whole, whole - _found(names, sums, every)
 
 
 def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -373,18 +384,42 @@ def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarr
     return np.where(keys[at] == wanted, values[at], 0.0)
 
 
-def inside_logs(ids: np.ndarray, starts: np.ndarray, classes: np.ndarray, inside: np.ndarray, tables: tuple) -> np.ndarray:
-    """log10 p(id | class, id before) of id sequences that begin at ``starts``; a first id, and one alone in its class, has log10 p(id | class)."""
-    out = inside[ids]
+def _open_places(ids: np.ndarray, starts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Places of ids that share their class with others, but for the first ones."""
     open_ = classes[ids] > ALONE
     open_[starts] = False
-    at = np.flatnonzero(open_)
+    return np.flatnonzero(open_)
+
+
+def inside_logs(ids: np.ndarray, starts: np.ndarray, classes: np.ndarray, inside: np.ndarray, tables: tuple) -> np.ndarray:
+    """log10 p(id | class, id before) of id sequences that begin at ``starts``; a first id, and one alone in its class, has log10 p(id | class). Pairs that the
+    table has not got count as not seen; ``rare_pairs`` has what is still to be added for them."""
+    out = inside[ids]
+    at = _open_places(ids, starts, classes)
     before, own = ids[at - 1], ids[at]
     seen, sums = _found(tables[0], tables[1], before << 16 | own), _found(tables[2], tables[3], before * CLASSES + classes[own])
     out[at] = np.log10((seen + PAIR_SMOOTH * 10 ** out[at]) / (sums + PAIR_SMOOTH))
     return out
 
 
+_RARE_PAIRS = pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64()), ("weight", pa.float64())]))
+
+
+def rare_pairs(texts: list[np.ndarray], classes: np.ndarray, inside: np.ndarray, tables: tuple) -> pa.Array:
+    """Of each id sequence the pairs that training documents may have although the table has not got them, how often they occur, and ``PAIR_SMOOTH`` times
+    p(id | class): a pair counted n times adds log10(1 + n / weight) to each of its occurrences."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    ids = np.concatenate(texts)
+    at = _open_places(ids, np.cumsum(lengths) - lengths, classes) if tables[4].any() else np.empty(0, np.int64)
+    pairs = ids[at - 1] << 16 | ids[at]
+    left = (_found(tables[2], tables[4], _wholes_of(pairs, classes)) > 0) & (_found(tables[0], tables[1], pairs) == 0)
+    at, pairs = at[left], pairs[left]
+    keys, times = np.unique(np.stack((np.searchsorted(np.cumsum(lengths), at, "right"), pairs), 1), axis=0, return_counts=True)
+    offsets = np.searchsorted(keys[:, 0], np.arange(len(texts) + 1))
+    found = pa.StructArray.from_arrays([pa.array(keys[:, 1]), pa.array(times, pa.int64()), pa.array(PAIR_SMOOTH * 10 ** inside[keys[:, 1] & 0xFFFF])], fields=list(_RARE_PAIRS.value_type))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found, type=_RARE_PAIRS)
+
+
 def _id_pairs(classes: np.ndarray):
     """Counts of (id before, id) of documents (ids), for ids that share their class with others."""
 
@@ -411,8 +446,19 @@ def _id_pairs(classes: np.ndarray):
     return run
 
 
-def _hot_pairs(coded: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent pairs, at most HOT_PAIRS of them by a count threshold, with their counts."""
+def _whole_counts(classes: np.ndarray):
+    """Counts of (id before, class) from counts of pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, at = np.unique(_wholes_of(batch.column(0).to_numpy(), classes), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(np.bincount(at, batch.column(1).to_numpy(), len(names)).astype(np.int64))], names=["whole", "n"])
+
+    return run
+
+
+def _pair_tables(coded: DataFrame, classes: np.ndarray) -> tuple[tuple[np.ndarray, ...], DataFrame]:
+    """Tables for ``inside_logs`` with the most frequent pairs, at most HOT_PAIRS of them by a count threshold, and the other pairs (pair, n)."""
     pairs = settle(coded.select("ids").mapInArrow(_id_pairs(classes), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "lm-pairs")
     bin_of = F.floor(F.log2("n") * 8).cast("int")
     held, least = 0, None
@@ -420,10 +466,11 @@ def _hot_pairs(coded: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np.nd
         if held + r["k"] > HOT_PAIRS:
             break
         held, least = held + r["k"], r["bin"]
-    if least is None:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    table = pairs.where(bin_of >= least).toArrow()
-    return table.column("pair").to_numpy(), table.column("n").to_numpy()
+    hot = pairs.where(bin_of >= least if least is not None else F.lit(False)).toArrow()
+    # (as many rows as the vocabulary has ids, times the few classes with several ids, at most)
+    wholes = pairs.mapInArrow(_whole_counts(classes), "whole long, n long").groupBy("whole").agg(F.sum("n").alias("n")).toArrow()
+    tables = pairs_inside(*(hot.column(c).to_numpy() for c in ("pair", "n")), classes, tuple(wholes.column(c).to_numpy() for c in ("whole", "n")))
+    return tables, pairs if least is None else pairs.where(bin_of < least)
 
 
 def windows_of(code: bytes, classes: np.ndarray, round_no: int) -> tuple[np.ndarray, np.ndarray]:
@@ -533,8 +580,8 @@ def text_scores(weights: dict[str, np.ndarray], prior: tuple, classes: np.ndarra
     return out + total / math.log(10)
 
 
-_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("hot_sum", pa.float64()), ("rare", pa.list_(pa.binary())), ("score", pa.float64())])
-_SCORED_DDL = "row long, doc_id long, n_tokens long, n_known long, hot_sum double, rare array<binary>, score double"
+_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("hot_sum", pa.float64()), ("rare", pa.list_(pa.binary())), ("rare_pairs", _RARE_PAIRS), ("score", pa.float64())])
+_SCORED_DDL = "row long, doc_id long, n_tokens long, n_known long, hot_sum double, rare array<binary>, rare_pairs array<struct<pair: long, times: long, weight: double>>, score double"
 
 
 def scored(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -570,7 +617,7 @@ def scored(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     replicas = max(1, round(int(ids.sum()) / REPLICA_IDS))
     for k in range(ROUNDS):
         weights = _trained(coded, classes, prior, weights, k, replicas, int(ids.sum()))
-    tables = pairs_inside(*_hot_pairs(coded, classes), classes)
+    tables, other_pairs = _pair_tables(coded, classes)
     shared = spark.sparkContext.broadcast((hot, classes, inside, tables, prior[:2], weights))
     end_log = math.log10(ends + 1)
 
@@ -593,7 +640,7 @@ def scored(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     rares.append(rare)
                 coded = [np.append(_ids_of(v.as_buffer().to_pybytes()), END) for v in part.column(2)]
                 scores = text_scores(model, before, own, within, coded, tables=paired)
-                columns = [np.arange(row, row + len(texts)), part.column(0), tokens, hots, totals, rares, scores]
+                columns = [np.arange(row, row + len(texts)), part.column(0), tokens, hots, totals, rares, rare_pairs(coded, own, within, paired), scores]
                 row += len(texts)
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t.type) for c, t in zip(columns, _SCORED, strict=True)], schema=_SCORED)
 
@@ -601,9 +648,11 @@ def scored(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     first = settle(texts.mapInArrow(run, _SCORED_DDL), "lm-scored")
     others = words if least is None else words.where(bin_of < least)
     counts = others.select("word", F.log10(F.col("c") + 1).alias("value"))
-    rare = first.select("row", F.explode("rare").alias("word"))
-    sums_of = rare.join(counts, "word").groupBy("row").agg(F.sum("value").alias("rare_sum"), F.count("*").alias("rare_known"))
-    out = first.drop("rare").join(sums_of, "row", "left")
+    rare = first.select("row", F.explode("rare").alias("word")).join(counts, "word").select("row", "value", F.lit(0.0).alias("added"), F.lit(1).alias("word"))
+    paired = first.select("row", F.inline("rare_pairs")).join(other_pairs, "pair")
+    paired = paired.select("row", F.lit(0.0).alias("value"), (F.col("times") * F.log10(1 + F.col("n") / F.col("weight"))).alias("added"), F.lit(0).alias("word"))
+    sums_of = rare.unionAll(paired).groupBy("row").agg(F.sum("value").alias("rare_sum"), F.sum("word").alias("rare_known"), F.sum("added").alias("added"))
+    out = first.drop("rare", "rare_pairs").join(sums_of, "row", "left")
     floor = F.lit(math.log10(total + distinct + 1))
     return out.select(
         "doc_id",
@@ -612,7 +661,7 @@ def scored(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("hot_sum") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * floor).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("added", F.lit(0.0))).alias("score"),
     )
 
 

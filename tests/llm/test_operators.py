@@ -822,6 +822,28 @@ def test_ids_inside_classes_given_the_id_before():
     assert np.allclose(attention_lm.inside_logs(np.array([7, members[0]]), starts, classes, inside, tables), inside[[7, members[0]]])
 
 
+@pytest.mark.parametrize("hot", [0, 40, 1 << 18])
+def test_pairs_of_ids_beyond_the_frequent_ones_count_too(spark, docs, monkeypatch, hot):
+    """Scores are those with the counts of all pairs, however few of them go to every task (here under first weights)."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(attention_lm, "ROUNDS", 0)
+    monkeypatch.setattr(attention_lm, "HOT_PAIRS", hot)
+    got = attention_lm.op10(spark, DATA).toPandas().set_index("doc_id").score
+    tokenizer = Tokenizer.from_file(path)
+    texts = [np.array([e + 1 for e in tokenizer.encode(t or "", add_special_tokens=False).ids] + [0]) for t in docs.text]
+    taught = [x for i, x in zip(docs.doc_id, texts, strict=True) if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = np.bincount(np.concatenate(taught), minlength=1 << 16)
+    classes = attention_lm.classes_of(counts)
+    after = np.bincount(np.concatenate([np.concatenate(([attention_lm.BEGIN], classes[x[:-1]])) * attention_lm.CLASSES + classes[x] for x in taught]), minlength=attention_lm.CLASSES**2)
+    pairs, n = np.unique(np.concatenate([x[:-1] << 16 | x[1:] for x in taught]), return_counts=True)
+    shared = classes[pairs & 0xFFFF] > attention_lm.ALONE
+    assert shared.sum() > 100
+    tables = attention_lm.pairs_inside(pairs[shared], n[shared], classes)
+    inside = attention_lm.inside_classes(counts, classes)
+    expected = attention_lm.text_scores(attention_lm.first_weights(), attention_lm.prior_of(after), classes, inside, texts, tables=tables)
+    assert got.loc[docs.doc_id].to_numpy() == pytest.approx(expected, rel=1e-6, abs=1e-4)
+
+
 def test_held_out_score_is_better_than_the_base(spark):
     """On the larger of the small tables; both are log10 probabilities of the same texts."""
     got = attention_lm.op10(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
