@@ -80,7 +80,7 @@ def prior_of(pairs: np.ndarray, smooth: float = 20.0) -> tuple[np.ndarray, ...]:
     logs = np.log(by_group / by_group.sum(1, keepdims=True)), np.log(inner / inner.sum(2, keepdims=True))
     # (what was never counted has nothing to lose; the other classes' shares follow by the softmax)
     lost = np.log(by_group - np.minimum(counts.sum(2), 1)) - np.log(by_group), np.log(inner - np.minimum(counts, 1)) - np.log(inner)
-    return tuple(x.astype(np.float32) for x in (*logs, *lost))
+    return tuple(x.astype(np.float32, order="C") for x in (*logs, *lost))
 
 
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -118,9 +118,9 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    return order, [(g, int(cuts[g]), int(cuts[g + 1])) for g in range(GROUPS) if cuts[g] < cuts[g + 1]]
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    cuts = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
+    return order, [(g, a, b) for g, (a, b) in enumerate(zip([0, *cuts], cuts)) if a < b]
 
 
 def _log_softmax_at(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -136,117 +136,199 @@ _ONES = np.ones(WINDOW, np.float32)
 
 def _hidden(w: dict[str, np.ndarray], x: np.ndarray, skip: int) -> np.ndarray:
     """What ``_forward`` gives for the places from ``skip`` on of each window, as rows."""
-    h = w["embed"][x] + w["place"]
-    flat_h = h.reshape(-1, WIDTH)
+    h = w["embed"].take(x, 0)
+    h += w["place"]
     late = np.ascontiguousarray(h[:, skip:]) if skip else h
     size = late.shape[1]
-    q = (late.reshape(-1, WIDTH) @ w["query"]).reshape(late.shape)
-    q *= np.float32(1 / math.sqrt(WIDTH))
-    k, v = ((flat_h @ w[name]).reshape(h.shape) for name in ("key", "value"))
-    a = np.matmul(q, k.transpose(0, 2, 1))
+    q = (late.reshape(-1, WIDTH) @ (w["query"] * np.float32(1 / math.sqrt(WIDTH)))).reshape(late.shape)
+    looks = (h.reshape(-1, WIDTH) @ np.hstack((w["key"], w["value"]))).reshape(*x.shape, 2 * WIDTH)
+    a = np.matmul(q, looks[..., :WIDTH].transpose(0, 2, 1))
     np.minimum(a, np.float32(60), out=a)
     a += _MASK[skip:]
     np.exp(a, out=a)
-    z = np.matmul(a, v).reshape(-1, WIDTH)
+    z = np.matmul(a, looks[..., WIDTH:]).reshape(-1, WIDTH)
     z /= (a.reshape(-1, WINDOW) @ _ONES)[:, None]
-    o = late.reshape(-1, WIDTH) + z @ w["mix"]
+    o = z @ w["mix"]
+    o += late.reshape(-1, WIDTH)
     m = o @ w["up"]
     m += w["up_bias"]
     np.maximum(m, 0, out=m)
     assert size == WINDOW - skip
-    return o + m @ w["down"]
+    o += m @ w["down"]
+    return o
+
+
+def _group_logits(prior: tuple, out: np.ndarray, f: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Logits of the groups, down the columns; ``out`` has the biases as its last row, ``f`` ones as its last column."""
+    rows = prior[0].take(before, 0)
+    rows += f @ out
+    return np.ascontiguousarray(rows.T)
+
+
+def _member_logits(prior: tuple, inner: np.ndarray, f: np.ndarray, before: np.ndarray, group: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits of the members of each place's group, down the columns; places are in the order of their groups, ``parts`` says where each begins and ends."""
+    rows = prior[1].reshape(-1, GROUPS).take(before * GROUPS + group, 0)
+    learnt = np.empty_like(rows)
+    for c, lo, hi in parts:
+        np.matmul(f[lo:hi], inner[c], out=learnt[lo:hi])
+    rows += learnt
+    return np.ascontiguousarray(rows.T)
 
 
 def class_log_probs(w: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np.ndarray, keep: np.ndarray, skip: int) -> np.ndarray:
     """Natural log probabilities of the classes ``y`` at the places from ``skip`` on of the windows ``x`` where ``keep`` (rows of such places): of the
     group, then of the class within it. Classes run down the columns, so that sums over them are whole rows."""
-    f = _hidden(w, x, skip)
+    states = _hidden(w, x, skip)
     wanted, before = y[:, skip:].ravel(), x[:, skip:].ravel()
     if not keep.all():
-        f, wanted, before = f[keep], wanted[keep], before[keep]
-    group = wanted % GROUPS
-    order, parts = _by_group(group)
-    group, member, before = group[order], wanted[order] // GROUPS, before[order]
-    f = np.ascontiguousarray(f[order].T)
-    logits = w["out"].T @ f
-    logits += w["bias"][:, None]
-    logits += prior[0][before].T
-    logs = _log_softmax_at(logits, group)
-    inner = np.ascontiguousarray(prior[1][before, group].T)
-    for g, a, b in parts:
-        inner[:, a:b] += w["inner"][g].T @ f[:, a:b] + w["inner_bias"][g][:, None]
-    logs += _log_softmax_at(inner, member)
+        states, wanted, before = states[keep], wanted[keep], before[keep]
+    order, parts = _by_group(wanted % GROUPS)
+    wanted, before = wanted[order], before[order]
+    group, member = wanted % GROUPS, wanted // GROUPS
+    f = np.ones((len(order), WIDTH + 1), states.dtype)
+    f[:, :WIDTH] = states.take(order, 0)
+    logs = _log_softmax_at(_group_logits(prior, np.concatenate((w["out"], w["bias"][None])), f, before), group)
+    logs += _log_softmax_at(_member_logits(prior, np.concatenate((w["inner"], w["inner_bias"][:, None]), 1), f, before, group, parts), member)
     out = np.empty_like(logs)
     out[order] = logs
     return out
 
 
-def _gradients(w: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np.ndarray, scored: np.ndarray, left_out: bool = False) -> dict[str, np.ndarray]:
-    """Gradients of the mean loss over the scored places; with ``left_out`` the prior is that without each place's own occurrence."""
-    t = _forward(w, x)
-    n, d = x.size, WIDTH
-    f = t["f"].reshape(n, d)
-    share = (scored.ravel() / max(1, scored.sum())).astype(np.float32)[:, None]
+def _joint_shapes() -> dict[str, tuple[int, ...]]:
+    """Shapes of the weights as they are learnt: what multiplies the same states side by side, biases as a last row."""
+    d, c, h = WIDTH, CLASSES, HIDDEN
+    return {"embed": (c, d), "place": (WINDOW, d), "looks": (d, 3 * d), "mix": (d, d), "up": (d + 1, h), "down": (h, d), "out": (d + 1, GROUPS), "inner": (GROUPS, d + 1, GROUPS)}
+
+
+def _views(values: np.ndarray) -> dict[str, np.ndarray]:
+    """Arrays of ``_joint_shapes`` within one row of values."""
+    out, at = {}, 0
+    for k, shape in _joint_shapes().items():
+        size = math.prod(shape)
+        out[k] = values[at : at + size].reshape(shape)
+        at += size
+    return out
+
+
+def _joint(w: dict[str, np.ndarray]) -> np.ndarray:
+    values = np.empty(sum(map(math.prod, _joint_shapes().values())), w["embed"].dtype)
+    t = _views(values)
+    for k in ("embed", "place", "mix", "down"):
+        t[k][:] = w[k]
+    t["looks"][:] = np.hstack([w["query"], w["key"], w["value"]])
+    for k in ("up", "out", "inner"):
+        t[k][..., :-1, :], t[k][..., -1, :] = w[k], w["bias" if k == "out" else f"{k}_bias"]
+    return values
+
+
+def _apart(values: np.ndarray) -> dict[str, np.ndarray]:
+    t = _views(values)
+    w = {k: t[k] for k in ("embed", "place", "mix", "down")} | dict(zip(("query", "key", "value"), np.split(t["looks"], 3, axis=1), strict=True))
+    for k in ("up", "out", "inner"):
+        w[k], w["bias" if k == "out" else f"{k}_bias"] = t[k][..., :-1, :], t[k][..., -1, :]
+    return {k: w[k].copy() for k in _shapes()}
+
+
+def _joint_gradients(w: dict[str, np.ndarray], g: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np.ndarray, scored: np.ndarray, left_out: bool) -> None:
+    """Puts the gradients of the mean loss over the scored places into ``g``; classes run down the columns in both softmaxes, as in ``class_log_probs``."""
+    n, d, kind = x.size, WIDTH, w["embed"].dtype
+    scale, places, cube = kind.type(1 / math.sqrt(d)), np.arange(n), (*x.shape, d)
+    before, wanted = x.ravel(), y.ravel()
+    share = scored.ravel() / kind.type(max(1, scored.sum()))
 
     def softmax_error(logits: np.ndarray, own: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        logits -= logits.max(-1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(-1, keepdims=True)
-        p[np.arange(len(own)), own] -= 1
-        return p * weight
-
-    wanted, before = y.ravel(), x.ravel()
-    logits = f @ w["out"] + w["bias"] + prior[0][before]
-    if left_out:
-        logits[np.arange(n), wanted % GROUPS] += prior[2][before, wanted % GROUPS]
-    p = softmax_error(logits, wanted % GROUPS, share)
-    g = {"out": f.T @ p, "bias": p.sum(0), "inner": np.zeros_like(w["inner"]), "inner_bias": np.zeros_like(w["inner_bias"])}
-    df = p @ w["out"].T
+        logits -= logits.max(0)
+        np.exp(logits, out=logits)
+        logits *= weight / logits.sum(0)
+        logits[own, places] -= weight
+        return logits
+
+    # forward; states that have a bias get a last column of ones
+    h = (w["embed"].take(x, 0) + w["place"]).reshape(n, d)
+    looks = (h @ w["looks"]).reshape(*x.shape, 3 * d)
+    q, k, v = looks[..., :d], looks[..., d : 2 * d], looks[..., 2 * d :]
+    a = np.matmul(q, k.transpose(0, 2, 1))
+    a *= scale
+    a += _MASK
+    np.minimum(a, kind.type(60), out=a)
+    np.exp(a, out=a)
+    rows = a.reshape(n, WINDOW)
+    rows /= (rows @ np.ones(WINDOW, kind))[:, None]
+    z = np.matmul(a, v).reshape(n, d)
+    o = np.ones((n, d + 1), kind)
+    np.add(h, z @ w["mix"], out=o[:, :d])
+    m = o @ w["up"]
+    np.maximum(m, 0, out=m)
+    f = np.ones((n, d + 1), kind)
+    np.add(o[:, :d], m @ w["down"], out=f[:, :d])
     # the places in the order of their groups
     order, parts = _by_group(wanted % GROUPS)
-    own = (wanted % GROUPS)[order]
-    inner, fs = w["inner"][own], f[order]
-    logits, member = np.matmul(fs[:, None], inner)[:, 0] + w["inner_bias"][own] + prior[1][before[order], own], wanted[order] // GROUPS
+    f, before_, wanted, share = f.take(order, 0), before[order], wanted[order], share[order]
+    group, member = wanted % GROUPS, wanted // GROUPS
+    logits = _group_logits(prior, w["out"], f, before_)
     if left_out:
-        logits[np.arange(n), member] += prior[3][before[order], own, member]
-    p = softmax_error(logits, member, share[order])
-    for k, a, b in parts:
-        g["inner"][k], g["inner_bias"][k] = fs[a:b].T @ p[a:b], p[a:b].sum(0)
-    df[order] += np.matmul(inner, p[:, :, None])[:, :, 0]
-    dm = (df @ w["down"].T) * (t["m"] > 0)
-    g["down"] = t["m"].T @ df
-    o = t["o"].reshape(n, d)
-    g["up"], g["up_bias"] = o.T @ dm, dm.sum(0)
-    do = df + dm @ w["up"].T
-    g["mix"] = t["z"].reshape(n, d).T @ do
-    dz = (do @ w["mix"].T).reshape(t["z"].shape)
-    dv = np.matmul(t["a"].transpose(0, 2, 1), dz)
-    da = np.matmul(dz, t["v"].transpose(0, 2, 1))
-    ds = t["a"] * (da - (da * t["a"]).sum(-1, keepdims=True)) * np.float32(1 / math.sqrt(d))
-    dq, dk = np.matmul(ds, t["k"]), np.matmul(ds.transpose(0, 2, 1), t["q"])
-    h = t["h"].reshape(n, d)
-    dh = do.copy()
-    for name, part in (("query", dq), ("key", dk), ("value", dv)):
-        part = part.reshape(n, d)
-        g[name] = h.T @ part
-        dh += part @ w[name].T
-    g["place"] = dh.reshape(x.shape + (d,)).sum(0)
-    embed = np.zeros_like(w["embed"])
-    np.add.at(embed, x.ravel(), dh)
-    g["embed"] = embed
-    return g
+        logits[group, places] += prior[2][before_, group]
+    p = softmax_error(logits, group, share)
+    np.matmul(f.T, p.T, out=g["out"])
+    df = p.T @ w["out"][:d].T
+    logits = _member_logits(prior, w["inner"], f, before_, group, parts)
+    if left_out:
+        logits[member, places] += prior[3][before_, group, member]
+    p = np.ascontiguousarray(softmax_error(logits, member, share).T)
+    g["inner"][:] = 0
+    within = np.empty_like(df)
+    for c, lo, hi in parts:
+        np.matmul(f[lo:hi].T, p[lo:hi], out=g["inner"][c])
+        np.matmul(p[lo:hi], w["inner"][c, :d].T, out=within[lo:hi])
+    df += within
+    back = np.empty_like(df)
+    back[order] = df
+    dm = back @ w["down"].T
+    dm *= m > 0
+    np.matmul(m.T, back, out=g["down"])
+    np.matmul(o.T, dm, out=g["up"])
+    back += dm @ w["up"][:d].T
+    np.matmul(z.T, back, out=g["mix"])
+    dz = back @ w["mix"].T
+    # (the products of errors and shares, summed over what is looked at, are those of the sums)
+    ds = np.matmul(dz.reshape(cube), v.transpose(0, 2, 1))
+    ds -= ((dz * z) @ np.ones(d, kind)).reshape(*x.shape, 1)
+    ds *= a
+    ds *= scale
+    dlooks = np.empty_like(looks)
+    np.matmul(ds, k, out=dlooks[..., :d])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dlooks[..., d : 2 * d])
+    np.matmul(a.transpose(0, 2, 1), dz.reshape(cube), out=dlooks[..., 2 * d :])
+    dlooks = dlooks.reshape(n, 3 * d)
+    np.matmul(h.T, dlooks, out=g["looks"])
+    back += dlooks @ w["looks"].T
+    g["place"][:] = back.reshape(cube).sum(0)
+    g["embed"][:] = np.bincount((before[:, None] * d + np.arange(d)).ravel(), back.ravel(), g["embed"].size).reshape(-1, d)
+
+
+def _gradients(w: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np.ndarray, scored: np.ndarray, left_out: bool = False) -> dict[str, np.ndarray]:
+    """Gradients of the mean loss over the scored places; with ``left_out`` the prior is that without each place's own occurrence."""
+    values = _joint(w)
+    found = np.empty_like(values)
+    _joint_gradients(_views(values), _views(found), prior, x, y, scored, left_out)
+    return _apart(found)
 
 
 class Learner:
     """Adam over windows of WINDOW + 1 classes; moments and the falling rate go on from one call to the next. ``windows`` are about as many as all calls bring."""
 
     def __init__(self, w: dict[str, np.ndarray], prior: tuple, windows: int, seed: int) -> None:
-        self.w, self.prior, self.random = {k: v.copy() for k, v in w.items()}, prior, np.random.default_rng(seed)
-        self.one, self.two = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+        self.values, self.prior, self.random = _joint(w), prior, np.random.default_rng(seed)
+        self.found, self.one, self.two = (np.zeros_like(self.values) for _ in range(3))
         self.step, self.steps = 0, max(1, EPOCHS * -(-windows // BATCH))
 
+    @property
+    def w(self) -> dict[str, np.ndarray]:
+        return _apart(self.values)
+
     def learn(self, windows: np.ndarray, lengths: np.ndarray) -> None:
         """EPOCHS passes over windows, of which ``lengths`` classes count; the first class of a window is context."""
+        weights, gradients, g, t = _views(self.values), _views(self.found), self.found, np.empty_like(self.found)
         for _ in range(EPOCHS):
             order = self.random.permutation(len(windows))
             for lo in range(0, len(order), BATCH):
@@ -256,11 +338,21 @@ class Learner:
                 scored = np.arange(WINDOW)[None, :] < (lengths[rows].astype(np.int64) - 1)[:, None]
                 self.step += 1
                 rate = RATE * (1 - 0.9 * min(1.0, self.step / self.steps))
-                for k, g in _gradients(self.w, self.prior, x, y, scored, True).items():
-                    one, two = self.one[k], self.two[k]
-                    one += np.float32(0.1) * (g - one)
-                    two += np.float32(0.01) * (g * g - two)
-                    self.w[k] -= np.float32(rate) * (one / np.float32(1 - 0.9**self.step)) / (np.sqrt(two / np.float32(1 - 0.99**self.step)) + np.float32(1e-6))
+                _joint_gradients(weights, gradients, self.prior, x, y, scored, True)
+                np.subtract(g, self.one, out=t)
+                t *= np.float32(0.1)
+                self.one += t
+                g *= g
+                g -= self.two
+                g *= np.float32(0.01)
+                self.two += g
+                # rate * (one / c) / (sqrt(two / b) + 1e-6)
+                np.multiply(self.two, np.float32(1 / (1 - 0.99**self.step)), out=t)
+                np.sqrt(t, out=t)
+                t += np.float32(1e-6)
+                np.divide(self.one, t, out=t)
+                t *= np.float32(rate / (1 - 0.9**self.step))
+                self.values -= t
 
 
 # --- counts ------------------------------------------------------------------------------------------------------

@@ -775,6 +775,32 @@ def test_training_gradients():
         assert got[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-3, rel=0.05, abs=2e-5)
 
 
+def test_learning_is_adam_on_the_gradients():
+    """Steps over joint arrays are those of each array of weights; priors lie row by row, so that none is copied to be looked up in."""
+    random = np.random.default_rng(4)
+    prior = attention_lm.prior_of(random.integers(0, 4, attention_lm.CLASSES**2))
+    assert all(p.flags.c_contiguous for p in prior)
+    weights = {k: v + random.normal(0, 0.2, v.shape).astype(np.float32) for k, v in attention_lm.first_weights().items()}
+    windows, lengths = random.integers(1, 40, (50, attention_lm.WINDOW + 1)).astype("<u2"), random.integers(2, attention_lm.WINDOW + 2, 50).astype("u1")
+    assert all((v == weights[k]).all() and v.shape == weights[k].shape for k, v in attention_lm.Learner(weights, prior, 50, 7).w.items())
+    learner = attention_lm.Learner(weights, prior, 50, 7)
+    learner.learn(windows, lengths)
+    order, own = np.random.default_rng(7), {k: v.astype(np.float64) for k, v in weights.items()}
+    one, two = ({k: np.zeros(v.shape) for k, v in own.items()} for _ in range(2))
+    for step in range(1, attention_lm.EPOCHS + 1):
+        rows = order.permutation(50)
+        x, y = windows[rows, :-1].astype(int), windows[rows, 1:].astype(int)
+        scored = np.arange(attention_lm.WINDOW) < lengths[rows, None].astype(int) - 1
+        for k, g in attention_lm._gradients(own, prior, x, y, scored, True).items():
+            one[k] += 0.1 * (g - one[k])
+            two[k] += 0.01 * (g * g - two[k])
+            rate = attention_lm.RATE * (1 - 0.9 * step / attention_lm.EPOCHS)
+            own[k] -= rate * (one[k] / (1 - 0.9**step)) / (np.sqrt(two[k] / (1 - 0.99**step)) + 1e-6)
+    for k, v in learner.w.items():
+        assert np.quantile(np.abs(v - own[k]), 0.99) < 1e-3, k
+    assert any((v != weights[k]).any() for k, v in learner.w.items())
+
+
 def test_training_leaves_the_own_occurrence_out():
     """With ``left_out`` the gradients are those under priors counted without the place that is learnt."""
     random = np.random.default_rng(8)
