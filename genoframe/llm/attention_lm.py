@@ -123,12 +123,23 @@ def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]
     return order, [(g, a, b) for g, (a, b) in enumerate(zip([0, *cuts], cuts)) if a < b]
 
 
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """Exponentials of rows less a number, the sums of the rows, and the number. It is 0 (the prior's logits are log probabilities already) unless a sum would come near
+    the ends of the type's range; then it is each row's largest."""
+    with np.errstate(over="ignore"):
+        found = np.exp(logits)
+        sums = found @ np.ones(logits.shape[1], logits.dtype)
+    if not len(sums) or (sums.min() > 1e-30 and sums.max() < 1e30):
+        return found, sums, 0.0
+    top = logits.max(1)
+    np.exp(logits - top[:, None], out=found)
+    return found, found.sum(1), top
+
+
 def _log_softmax_at(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Log probabilities of the rows ``own`` of each column; ``logits`` (classes, places) are lost."""
-    logits -= logits.max(0)
-    value = logits[own, np.arange(len(own))]
-    np.exp(logits, out=logits)
-    return value - np.log(logits.sum(0))
+    """Log probabilities of the places ``own`` of ``logits`` (places, classes), one in each row."""
+    _, sums, top = _exponentials(logits)
+    return logits.take(own) - top - np.log(sums)
 
 
 _ONES = np.ones(WINDOW, np.float32)
@@ -159,25 +170,26 @@ def _hidden(w: dict[str, np.ndarray], x: np.ndarray, skip: int) -> np.ndarray:
 
 
 def _group_logits(prior: tuple, out: np.ndarray, f: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Logits of the groups, down the columns; ``out`` has the biases as its last row, ``f`` ones as its last column."""
+    """Logits of the groups, a row for each place; ``out`` has the biases as its last row, ``f`` ones as its last column."""
     rows = prior[0].take(before, 0)
     rows += f @ out
-    return np.ascontiguousarray(rows.T)
+    return rows
 
 
-def _member_logits(prior: tuple, inner: np.ndarray, f: np.ndarray, before: np.ndarray, group: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
-    """Logits of the members of each place's group, down the columns; places are in the order of their groups, ``parts`` says where each begins and ends."""
-    rows = prior[1].reshape(-1, GROUPS).take(before * GROUPS + group, 0)
+def _member_logits(prior: tuple, inner: np.ndarray, f: np.ndarray, told: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits of the members of each place's group, a row for each place; places are in the order of their groups, ``parts`` says where each begins and ends;
+    ``told`` are places of (class before, group) in the prior."""
+    rows = prior[1].reshape(-1, GROUPS).take(told, 0)
     learnt = np.empty_like(rows)
     for c, lo, hi in parts:
         np.matmul(f[lo:hi], inner[c], out=learnt[lo:hi])
     rows += learnt
-    return np.ascontiguousarray(rows.T)
+    return rows
 
 
 def class_log_probs(w: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np.ndarray, keep: np.ndarray, skip: int) -> np.ndarray:
     """Natural log probabilities of the classes ``y`` at the places from ``skip`` on of the windows ``x`` where ``keep`` (rows of such places): of the
-    group, then of the class within it. Classes run down the columns, so that sums over them are whole rows."""
+    group, then of the class within it."""
     states = _hidden(w, x, skip)
     wanted, before = y[:, skip:].ravel(), x[:, skip:].ravel()
     if not keep.all():
@@ -187,8 +199,9 @@ def class_log_probs(w: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np
     group, member = wanted % GROUPS, wanted // GROUPS
     f = np.ones((len(order), WIDTH + 1), states.dtype)
     f[:, :WIDTH] = states.take(order, 0)
-    logs = _log_softmax_at(_group_logits(prior, np.concatenate((w["out"], w["bias"][None])), f, before), group)
-    logs += _log_softmax_at(_member_logits(prior, np.concatenate((w["inner"], w["inner_bias"][:, None]), 1), f, before, group, parts), member)
+    begins, told = np.arange(0, len(order) * GROUPS, GROUPS), before * GROUPS + group
+    logs = _log_softmax_at(_group_logits(prior, np.concatenate((w["out"], w["bias"][None])), f, before), begins + group)
+    logs += _log_softmax_at(_member_logits(prior, np.concatenate((w["inner"], w["inner_bias"][:, None]), 1), f, told, parts), begins + member)
     out = np.empty_like(logs)
     out[order] = logs
     return out
@@ -230,18 +243,17 @@ def _apart(values: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _joint_gradients(w: dict[str, np.ndarray], g: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np.ndarray, scored: np.ndarray, left_out: bool) -> None:
-    """Puts the gradients of the mean loss over the scored places into ``g``; classes run down the columns in both softmaxes, as in ``class_log_probs``."""
+    """Puts the gradients of the mean loss over the scored places into ``g``."""
     n, d, kind = x.size, WIDTH, w["embed"].dtype
-    scale, places, cube = kind.type(1 / math.sqrt(d)), np.arange(n), (*x.shape, d)
+    scale, cube = kind.type(1 / math.sqrt(d)), (*x.shape, d)
     before, wanted = x.ravel(), y.ravel()
     share = scored.ravel() / kind.type(max(1, scored.sum()))
 
     def softmax_error(logits: np.ndarray, own: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        logits -= logits.max(0)
-        np.exp(logits, out=logits)
-        logits *= weight / logits.sum(0)
-        logits[own, places] -= weight
-        return logits
+        error, sums, _ = _exponentials(logits)
+        error *= (weight / sums)[:, None]
+        error.reshape(-1)[own] -= weight
+        return error
 
     # forward; states that have a bias get a last column of ones
     h = (w["embed"].take(x, 0) + w["place"]).reshape(n, d)
@@ -265,16 +277,19 @@ def _joint_gradients(w: dict[str, np.ndarray], g: dict[str, np.ndarray], prior:
     order, parts = _by_group(wanted % GROUPS)
     f, before_, wanted, share = f.take(order, 0), before[order], wanted[order], share[order]
     group, member = wanted % GROUPS, wanted // GROUPS
+    begins, told = np.arange(0, n * GROUPS, GROUPS), before_ * GROUPS + group
+    own = begins + group
     logits = _group_logits(prior, w["out"], f, before_)
     if left_out:
-        logits[group, places] += prior[2][before_, group]
-    p = softmax_error(logits, group, share)
-    np.matmul(f.T, p.T, out=g["out"])
-    df = p.T @ w["out"][:d].T
-    logits = _member_logits(prior, w["inner"], f, before_, group, parts)
+        logits.reshape(-1)[own] += prior[2].take(told)
+    p = softmax_error(logits, own, share)
+    np.matmul(f.T, p, out=g["out"])
+    df = p @ w["out"][:d].T
+    own = begins + member
+    logits = _member_logits(prior, w["inner"], f, told, parts)
     if left_out:
-        logits[member, places] += prior[3][before_, group, member]
-    p = np.ascontiguousarray(softmax_error(logits, member, share).T)
+        logits.reshape(-1)[own] += prior[3].take(told * GROUPS + member)
+    p = softmax_error(logits, own, share)
     g["inner"][:] = 0
     within = np.empty_like(df)
     for c, lo, hi in parts:

@@ -775,6 +775,21 @@ def test_training_gradients():
         assert got[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-3, rel=0.05, abs=2e-5)
 
 
+def test_softmax_of_rows_far_from_one():
+    """Sums are taken without a shift where they keep to the type's range, and with each row's largest where they do not."""
+    random = np.random.default_rng(2)
+    own = np.arange(5) * 32 + random.integers(0, 32, 5)
+    for shift in (0.0, -300.0, 300.0, np.array([[0.0], [-300.0], [300.0], [-60.0], [60.0]])):
+        logits = (random.normal(-3, 2, (5, 32)) + shift).astype(np.float32)
+        exact = logits.astype(np.float64)
+        exact -= exact.max(1)[:, None]
+        exact -= np.log(np.exp(exact).sum(1))[:, None]
+        assert attention_lm._log_softmax_at(logits, own) == pytest.approx(exact.ravel()[own], abs=1e-4)
+        found, sums, _ = attention_lm._exponentials(logits)
+        assert found / sums[:, None] == pytest.approx(np.exp(exact), abs=1e-4)
+    assert len(attention_lm._log_softmax_at(np.empty((0, 32), np.float32), np.empty(0, np.int64))) == 0
+
+
 def test_learning_is_adam_on_the_gradients():
     """Steps over joint arrays are those of each array of weights; priors lie row by row, so that none is copied to be looked up in."""
     random = np.random.default_rng(4)
