@@ -8,7 +8,9 @@ again. Where a merge makes a pair of lower rank within the same piece, that one
 encoded alone by its lowest rank first. A piece that is in the vocabulary as a whole is one id.
 
 The corpus is a task's and not the table's: ids then need no join back to the 600 pieces of each document, nothing is shuffled, and
-memory is bound by ``CORPUS`` and ``PIECES``. Pieces met before in the same worker process are kept (at most ``CACHED``).
+memory is bound by ``CORPUS`` and ``PIECES``. Pieces met before in the same worker process are kept (at most ``CACHED``) with their ids, the decimals of these and the
+bytes that they decode to. The first links and places come from arrays of all bytes at once, and where a rank stands at
+many places (``MANY``), those that are the only ones in their pieces are merged at once too.
 
 Defined results: a null text is empty (no ids); every byte is in the vocabulary, so that any text is encoded and decoding gives its
 bytes back; texts of any length are encoded whole, ``PIECES`` distinct pieces at a time, within a text too.
@@ -19,8 +21,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +35,7 @@ from genoframe.llm.common import must_be_free, place_of
 PIECES = 200_000
 CORPUS = 4_000_000
 CACHED = 400_000
+MANY = 48
 
 
 class Vocabulary:
@@ -40,49 +46,93 @@ class Vocabulary:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
         self.bytes_of = {rank: piece for piece, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.single = [self.ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)])
+        self.size = max(self.bytes_of) + 1
+        # what pairs of ids merge to, by left * size + right: each way to cut an entry in two
+        get = self.ranks.get
+        cuts = ((get(piece[:k]), get(piece[k:]), rank) for piece, rank in self.ranks.items() for k in range(1, len(piece)))
+        self.pairs = {left * self.size + right: rank for left, right, rank in cuts if left is not None and right is not None}
+        keys, ranks = (np.fromiter(x, np.int64, len(self.pairs)) for x in (self.pairs, self.pairs.values()))
+        left, right = keys // self.size, keys % self.size
+        self.by_left, self.by_right, self.by_rank = (self._sorted_by(*x) for x in ((left, right, ranks), (right, left, ranks), (ranks, keys, ranks)))
+        self.byte_pairs = np.array([get(bytes([a, b]), -1) for a in range(256) for b in range(256)])
+        # of pieces: ids, their decimals, what they decode to
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], int] = {}
-
-    def merged(self, left: int, right: int) -> int:
-        """What the pair merges to, or -1."""
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            found = self.ranks.get(self.bytes_of[left] + self.bytes_of[right], -1)
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            self.pairs[key] = found
-        return found
+        self.decimals: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
+
+    def _sorted_by(self, first: np.ndarray, second: np.ndarray, ranks: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Where each id begins in ``first``, sorted, and the other two in its order."""
+        order = np.lexsort((second, first))
+        return np.searchsorted(first[order], np.arange(self.size + 1)).tolist(), second[order], ranks[order]
 
     def replay(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each piece, by one replay of the merges over all of them."""
         out: list[tuple[int, ...] | None] = [None] * len(pieces)
-        symbols: list[int] = []
-        right: list[int] = []
-        left: list[int] = []
-        begins: list[tuple[int, int]] = []
-        index: dict[int, list[int]] = {}
-        merged, single = self.merged, self.single
+        rest = []
         for k, piece in enumerate(pieces):
             whole = self.ranks.get(piece)
             if whole is not None:
                 out[k] = (whole,)
-                continue
-            first = len(symbols)
-            begins.append((k, first))
-            last = first + len(piece) - 1
-            previous = -1
-            for at, byte in enumerate(piece, first):
-                symbol = single[byte]
-                symbols.append(symbol)
-                left.append(at - 1 if at > first else -1)
-                right.append(at + 1 if at < last else -1)
-                if previous >= 0:
-                    rank = merged(previous, symbol)
-                    if rank >= 0:
-                        index.setdefault(rank, []).append(at - 1)
-                previous = symbol
+            else:
+                rest.append(k)
+        data = np.frombuffer(b"".join([pieces[k] for k in rest]), np.uint8)
+        bounds = np.cumsum([0, *(len(pieces[k]) for k in rest)])
+        links = np.arange(len(data))
+        links[bounds[:-1]] = 0
+        left = array("q", (links - 1).tobytes())
+        links = np.arange(1, len(data) + 1)
+        links[bounds[1:] - 1] = -1
+        right = array("q", links.tobytes())
+        symbols = array("q", self.single[data].tobytes())
+        # (the same memory)
+        left_at, right_at, symbol_at = (np.frombuffer(x, np.int64) for x in (left, right, symbols))
+        piece_at = np.repeat(np.arange(len(rest)), np.diff(bounds))
+        ranks = self.byte_pairs[data[:-1].astype(np.int64) * 256 + data[1:]]
+        ranks[bounds[1:-1] - 1] = -1
+        stands = np.flatnonzero(ranks >= 0)
+        stands = stands[np.argsort(ranks[stands], kind="stable")]
+        names, begins = np.unique(ranks[stands], return_index=True)
+        stands = stands.tolist()
+        index: dict[int, list[int]] = {r: stands[a:b] for r, a, b in zip(names.tolist(), begins.tolist(), [*begins.tolist()[1:], len(stands)])}
+        merged, size = self.pairs.get, self.size
+
+        def add(table: tuple[list[int], np.ndarray, np.ndarray], rank: int, others: np.ndarray, places: np.ndarray) -> None:
+            """Indexes what ``rank`` and its neighbours ``others`` would merge to."""
+            starts, names, ranks = table
+            lo, hi = starts[rank], starts[rank + 1]
+            if lo == hi:
+                return
+            found = np.minimum(np.searchsorted(names[lo:hi], others), hi - lo - 1) + lo
+            is_pair = names[found] == others
+            for new, place in zip(ranks[found[is_pair]].tolist(), places[is_pair].tolist(), strict=True):
+                if new in index:
+                    index[new].append(place)
+                else:
+                    index[new] = [place]
+                    heapq.heappush(heap, new)
+
+        def merge_alone(rank: int, places: list[int]) -> list[int]:
+            """Merges the places that are the only ones in their pieces; gives the others."""
+            at = np.array(places)
+            at = at[(symbol_at[at] >= 0) & (right_at[at] >= 0)]
+            keys = symbol_at[at] * size + symbol_at[right_at[at]]
+            starts, names, _ = self.by_rank
+            at = at[np.logical_or.reduce([keys == key for key in names[starts[rank] : starts[rank + 1]].tolist()])]
+            alone = np.ones(len(at), bool)
+            same = np.diff(piece_at[at]) == 0
+            alone[1:][same] = alone[:-1][same] = False
+            others, at = at[~alone].tolist(), at[alone]
+            after = right_at[at]
+            beyond, before = right_at[after], left_at[at]
+            symbol_at[at], symbol_at[after], right_at[at] = rank, -1, beyond
+            has = beyond >= 0
+            left_at[beyond[has]] = at[has]
+            add(self.by_left, rank, symbol_at[beyond[has]], at[has])
+            before = before[before >= 0]
+            add(self.by_right, rank, symbol_at[before], before)
+            return others
+
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -91,6 +141,8 @@ class Vocabulary:
             if places is None:
                 continue
             places.sort()
+            if len(places) >= MANY:
+                places = merge_alone(rank, places)
             later: list[int] = []
             held_until = -1  # places of the piece that has a lower rank to take first
             for at in places:
@@ -98,7 +150,7 @@ class Vocabulary:
                     later.append(at)
                     continue
                 symbol = symbols[at]
-                if symbol < 0 or (after := right[at]) < 0 or merged(symbol, symbols[after]) != rank:
+                if symbol < 0 or (after := right[at]) < 0 or merged(symbol * size + symbols[after], -1) != rank:
                     continue
                 symbols[at] = rank
                 symbols[after] = -1
@@ -107,7 +159,7 @@ class Vocabulary:
                 lower = False
                 if beyond >= 0:
                     left[beyond] = at
-                    new = merged(rank, symbols[beyond])
+                    new = merged(rank * size + symbols[beyond], -1)
                     if new >= 0:
                         if new in index:
                             index[new].append(at)
@@ -117,7 +169,7 @@ class Vocabulary:
                         lower = new < rank
                 before = left[at]
                 if before >= 0:
-                    new = merged(symbols[before], rank)
+                    new = merged(symbols[before] * size + rank, -1)
                     if new >= 0:
                         if new in index:
                             index[new].append(before)
@@ -136,43 +188,45 @@ class Vocabulary:
                 else:
                     index[rank] = later
                     heapq.heappush(heap, rank)
-        for k, first in begins:
-            ids, at = [], first
-            while at >= 0:
-                ids.append(symbols[at])
-                at = right[at]
-            out[k] = tuple(ids)
+        alive = symbol_at >= 0
+        ids = symbol_at[alive].tolist()
+        bounds = np.concatenate(([0], np.cumsum(alive)))[bounds].tolist()
+        for k, lo, hi in zip(rest, bounds, bounds[1:]):
+            out[k] = tuple(ids[lo:hi])
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
-        out: list[list[int]] = []
+    def split(self, texts: list[str]) -> Iterator[list[str]]:
+        """Each text's pieces, in order; ``known``, ``decimals`` and ``decoded`` have them all until the next text is taken."""
         split: list[list[str]] = []
-        fresh: dict[str, None] = {}
+        fresh: set[str] = set()
         known, find = self.known, self.pattern.findall
 
-        def finish() -> None:
+        def finish() -> Iterator[list[str]]:
             missing = list(fresh)
             for lo in range(0, len(missing), PIECES):
                 some = missing[lo : lo + PIECES]
-                known.update(zip(some, self.replay([p.encode() for p in some]), strict=True))
-            for pieces in split:
-                out.append([i for p in pieces for i in known[p]])
+                for piece, ids in zip(some, self.replay([p.encode() for p in some]), strict=True):
+                    known[piece], self.decimals[piece], self.decoded[piece] = ids, ",".join(map(str, ids)), self.decode(ids)
+            yield from split
             split.clear()
             fresh.clear()
             if len(known) > CACHED:
-                known.clear()
+                for kept in (known, self.decimals, self.decoded):
+                    kept.clear()
 
         for text in texts:
             pieces = find(text)
             split.append(pieces)
-            fresh.update(dict.fromkeys(p for p in pieces if p not in known))
+            fresh |= set(pieces).difference(known)
             if len(fresh) >= PIECES:
-                finish()
-        finish()
-        return out
+                yield from finish()
+        yield from finish()
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        return [list(chain.from_iterable(map(self.known.__getitem__, pieces))) for pieces in self.split(texts)]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: list[int] | tuple[int, ...]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
@@ -224,11 +278,14 @@ def digests(df: DataFrame, path: str | None = None, pattern: str | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _batches(batches, 1):
+            counts, names, back = [], [], []
             words = vocabulary(where, cut)
-            encoded = words.encode(texts)
-            names = [hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in encoded]
-            back = [hashlib.sha256(words.decode(ids)).hexdigest() for ids in encoded]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(map(len, encoded)), pa.int64()), pa.array(names), pa.array(back)], schema=schema)
+            for pieces in words.split(texts):
+                ids = ",".join(map(words.decimals.__getitem__, pieces))
+                counts.append(ids.count(",") + 1 if ids else 0)
+                names.append(hashlib.sha256(ids.encode()).hexdigest())
+                back.append(hashlib.sha256(b"".join(map(words.decoded.__getitem__, pieces))).hexdigest())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array(names), pa.array(back)], schema=schema)
 
     rows = df.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text")
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -628,6 +628,25 @@ def test_merge_replay_long_texts(spark):
         merge_replay.PIECES = before
 
 
+def test_merge_replay_at_once(monkeypatch):
+    """Places that are merged at once give the ids of places merged one by one, also where a piece has several or ends there; pieces are kept with decimals and bytes."""
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    random = np.random.default_rng(6)
+    texts = ["".join(random.choice(list("aaabnthe é\n\x1c\x85漢's"), int(random.integers(0, 60)))) for _ in range(3000)] + ["ana" * 500, "\u3000", ""]
+    for many in (1, 5, 1 << 60):
+        monkeypatch.setattr(merge_replay, "MANY", many)
+        words = merge_replay.Vocabulary(*merge_replay._default(None, None))
+        for lo in range(0, len(texts), 600):
+            some = texts[lo : lo + 600]
+            wanted = [plain.encode_ordinary(t) for t in some]
+            assert words.encode(some) == wanted
+            for text, ids, pieces in zip(some, wanted, words.split(some), strict=True):
+                assert ",".join(words.decimals[p] for p in pieces) == ",".join(map(str, ids))
+                assert b"".join(words.decoded[p] for p in pieces) == text.encode()
+    assert words.replay([]) == []
+
+
 def test_places_in_blocks(spark, docs, odd):
     """Places of a source's block run from 0 without gaps, blocks differ in their order, and the last block is a begin of its order."""
     for table, budget in ((spark.read.parquet(f"{DATA}/documents.parquet"), None), (odd, None), (spark.read.parquet(f"{DATA}/documents.parquet"), 30_000.0)):
