@@ -47,7 +47,9 @@ REPLICA_IDS = 4_000_000
 TAUGHT = 65_536
 #: Windows in one row at most, so that long texts go on in several.
 ROW_WINDOWS = 4_096
-ROUNDS, EPOCHS, BATCH, RATE = 2, 2, 128, 0.02
+ROUNDS, EPOCHS, RATE = 2, 2, 0.02
+#: Windows of a step, at least and at most, and the steps that a replica's round has, about, in between.
+BATCH, LARGEST, STEPS = 128, 256, 960
 FOLDS, HELD = 7, 2
 #: Words that a task counts before it sends its counts on.
 COUNTED = 400_000
@@ -97,6 +99,11 @@ def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
 
 
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+#: The mask and the largest exponent in one: what a product may be at most.
+_MOST = np.where(_MASK < 0, _MASK, np.float32(60))
+#: Rows of one product with the weights of a group, at least.
+CHUNK = 32
+_CELLS = np.arange(CLASSES * WIDTH).reshape(CLASSES, WIDTH)
 
 
 def _forward(w: dict[str, np.ndarray], x: np.ndarray) -> dict[str, np.ndarray]:
@@ -117,10 +124,17 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray) -> dict[str, np.ndarray]:
     return {"x": x, "h": h, "q": q, "k": k, "v": v, "a": a, "z": z, "o": o, "m": m, "f": f}
 
 
-def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+def _by_group(group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lays places out by their groups in chunks of equally many rows, so that one call multiplies all of them: the place in each row (place 0 where a group's last
+    chunk has rows to spare), each place's row, and each chunk's group."""
+    counts, size = np.bincount(group, minlength=GROUPS), max(CHUNK, len(group) // (4 * GROUPS))
+    chunks = -(-counts // size)
+    first = np.cumsum(chunks) - chunks
     order = np.argsort(group.astype(np.uint8), kind="stable")
-    cuts = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
-    return order, [(g, a, b) for g, (a, b) in enumerate(zip([0, *cuts], cuts)) if a < b]
+    filled = np.arange(len(group)) + np.repeat(first * size - np.cumsum(counts) + counts, counts)
+    places, rows = np.zeros(int(chunks.sum()) * size, np.int64), np.empty(len(group), np.int64)
+    places[filled], rows[order] = order, filled
+    return places, rows, np.repeat(np.arange(GROUPS), chunks)
 
 
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
@@ -147,15 +161,16 @@ _ONES = np.ones(WINDOW, np.float32)
 
 def _hidden(w: dict[str, np.ndarray], x: np.ndarray, skip: int) -> np.ndarray:
     """What ``_forward`` gives for the places from ``skip`` on of each window, as rows."""
-    h = w["embed"].take(x, 0)
-    h += w["place"]
-    late = np.ascontiguousarray(h[:, skip:]) if skip else h
-    size = late.shape[1]
-    q = (late.reshape(-1, WIDTH) @ (w["query"] * np.float32(1 / math.sqrt(WIDTH)))).reshape(late.shape)
-    looks = (h.reshape(-1, WIDTH) @ np.hstack((w["key"], w["value"]))).reshape(*x.shape, 2 * WIDTH)
+    ask, look = w["query"] * np.float32(1 / math.sqrt(WIDTH)), np.hstack((w["key"], w["value"]))
+    # (a class and a place are multiplied apart: there are fewer classes than places in windows)
+    late = w["embed"].take(x[:, skip:], 0)
+    late += w["place"][skip:]
+    q = (w["embed"] @ ask).take(x[:, skip:], 0)
+    q += w["place"][skip:] @ ask
+    looks = (w["embed"] @ look).take(x, 0)
+    looks += w["place"] @ look
     a = np.matmul(q, looks[..., :WIDTH].transpose(0, 2, 1))
-    np.minimum(a, np.float32(60), out=a)
-    a += _MASK[skip:]
+    np.minimum(a, _MOST[skip:], out=a)
     np.exp(a, out=a)
     z = np.matmul(a, looks[..., WIDTH:]).reshape(-1, WIDTH)
     z /= (a.reshape(-1, WINDOW) @ _ONES)[:, None]
@@ -163,8 +178,7 @@ def _hidden(w: dict[str, np.ndarray], x: np.ndarray, skip: int) -> np.ndarray:
     o += late.reshape(-1, WIDTH)
     m = o @ w["up"]
     m += w["up_bias"]
-    np.maximum(m, 0, out=m)
-    assert size == WINDOW - skip
+    np.maximum(m, np.zeros_like(m), out=m)
     o += m @ w["down"]
     return o
 
@@ -176,14 +190,11 @@ def _group_logits(prior: tuple, out: np.ndarray, f: np.ndarray, before: np.ndarr
     return rows
 
 
-def _member_logits(prior: tuple, inner: np.ndarray, f: np.ndarray, told: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
-    """Logits of the members of each place's group, a row for each place; places are in the order of their groups, ``parts`` says where each begins and ends;
+def _member_logits(prior: tuple, inner: np.ndarray, f: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """Logits of the members of each place's group, a row for each place; places lie in chunks (chunks, rows, states), ``inner`` has the weights of each chunk's group;
     ``told`` are places of (class before, group) in the prior."""
     rows = prior[1].reshape(-1, GROUPS).take(told, 0)
-    learnt = np.empty_like(rows)
-    for c, lo, hi in parts:
-        np.matmul(f[lo:hi], inner[c], out=learnt[lo:hi])
-    rows += learnt
+    rows += np.matmul(f, inner).reshape(rows.shape)
     return rows
 
 
@@ -194,17 +205,17 @@ def class_log_probs(w: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np
     wanted, before = y[:, skip:].ravel(), x[:, skip:].ravel()
     if not keep.all():
         states, wanted, before = states[keep], wanted[keep], before[keep]
-    order, parts = _by_group(wanted % GROUPS)
-    wanted, before = wanted[order], before[order]
-    group, member = wanted % GROUPS, wanted // GROUPS
-    f = np.ones((len(order), WIDTH + 1), states.dtype)
-    f[:, :WIDTH] = states.take(order, 0)
-    begins, told = np.arange(0, len(order) * GROUPS, GROUPS), before * GROUPS + group
-    logs = _log_softmax_at(_group_logits(prior, np.concatenate((w["out"], w["bias"][None])), f, before), begins + group)
-    logs += _log_softmax_at(_member_logits(prior, np.concatenate((w["inner"], w["inner_bias"][:, None]), 1), f, told, parts), begins + member)
-    out = np.empty_like(logs)
-    out[order] = logs
-    return out
+    if not len(wanted):
+        return np.zeros(0, states.dtype)
+    f = np.ones((len(wanted), WIDTH + 1), states.dtype)
+    f[:, :WIDTH] = states
+    group = wanted % GROUPS
+    logs = _log_softmax_at(_group_logits(prior, np.concatenate((w["out"], w["bias"][None])), f, before), np.arange(0, len(wanted) * GROUPS, GROUPS) + group)
+    places, rows, chunk_group = _by_group(group)
+    inner = np.concatenate((w["inner"], w["inner_bias"][:, None]), 1).take(chunk_group, 0)
+    logits = _member_logits(prior, inner, f.take(places, 0).reshape(len(chunk_group), -1, WIDTH + 1), (before * GROUPS + group).take(places))
+    logs += _log_softmax_at(logits, np.arange(0, len(places) * GROUPS, GROUPS) + (wanted // GROUPS).take(places)).take(rows)
+    return logs
 
 
 def _joint_shapes() -> dict[str, tuple[int, ...]]:
@@ -255,14 +266,14 @@ def _joint_gradients(w: dict[str, np.ndarray], g: dict[str, np.ndarray], prior:
         error.reshape(-1)[own] -= weight
         return error
 
-    # forward; states that have a bias get a last column of ones
+    # forward; states that have a bias get a last column of ones; what asks is scaled by its weights
+    looking = w["looks"].copy()
+    looking[:, :d] *= scale
     h = (w["embed"].take(x, 0) + w["place"]).reshape(n, d)
-    looks = (h @ w["looks"]).reshape(*x.shape, 3 * d)
+    looks = (h @ looking).reshape(*x.shape, 3 * d)
     q, k, v = looks[..., :d], looks[..., d : 2 * d], looks[..., 2 * d :]
     a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= scale
-    a += _MASK
-    np.minimum(a, kind.type(60), out=a)
+    np.minimum(a, _MOST, out=a)
     np.exp(a, out=a)
     rows = a.reshape(n, WINDOW)
     rows /= (rows @ np.ones(WINDOW, kind))[:, None]
@@ -270,34 +281,30 @@ def _joint_gradients(w: dict[str, np.ndarray], g: dict[str, np.ndarray], prior:
     o = np.ones((n, d + 1), kind)
     np.add(h, z @ w["mix"], out=o[:, :d])
     m = o @ w["up"]
-    np.maximum(m, 0, out=m)
+    np.maximum(m, np.zeros_like(m), out=m)
     f = np.ones((n, d + 1), kind)
     np.add(o[:, :d], m @ w["down"], out=f[:, :d])
-    # the places in the order of their groups
-    order, parts = _by_group(wanted % GROUPS)
-    f, before_, wanted, share = f.take(order, 0), before[order], wanted[order], share[order]
     group, member = wanted % GROUPS, wanted // GROUPS
-    begins, told = np.arange(0, n * GROUPS, GROUPS), before_ * GROUPS + group
-    own = begins + group
-    logits = _group_logits(prior, w["out"], f, before_)
+    told, own = before * GROUPS + group, np.arange(0, n * GROUPS, GROUPS) + group
+    logits = _group_logits(prior, w["out"], f, before)
     if left_out:
         logits.reshape(-1)[own] += prior[2].take(told)
     p = softmax_error(logits, own, share)
     np.matmul(f.T, p, out=g["out"])
-    df = p @ w["out"][:d].T
-    own = begins + member
-    logits = _member_logits(prior, w["inner"], f, told, parts)
+    back = p @ w["out"][:d].T
+    # the places in chunks of their groups; rows to spare have no share
+    places, at, chunk_group = _by_group(group)
+    told, member, weight = told.take(places), member.take(places), np.zeros(len(places), kind)
+    weight[at] = share
+    own = np.arange(0, len(places) * GROUPS, GROUPS) + member
+    inner, f = w["inner"].take(chunk_group, 0), f.take(places, 0).reshape(len(chunk_group), -1, d + 1)
+    logits = _member_logits(prior, inner, f, told)
     if left_out:
         logits.reshape(-1)[own] += prior[3].take(told * GROUPS + member)
-    p = softmax_error(logits, own, share)
-    g["inner"][:] = 0
-    within = np.empty_like(df)
-    for c, lo, hi in parts:
-        np.matmul(f[lo:hi].T, p[lo:hi], out=g["inner"][c])
-        np.matmul(p[lo:hi], w["inner"][c, :d].T, out=within[lo:hi])
-    df += within
-    back = np.empty_like(df)
-    back[order] = df
+    p = softmax_error(logits, own, weight).reshape(len(chunk_group), -1, GROUPS)
+    # (sums over the chunks of a group; quicker than reduceat)
+    np.matmul((chunk_group == np.arange(GROUPS)[:, None]).astype(kind), np.matmul(f.transpose(0, 2, 1), p).reshape(len(chunk_group), -1), out=g["inner"].reshape(GROUPS, -1))
+    back += np.matmul(p, inner[:, :d].transpose(0, 2, 1)).reshape(-1, d).take(at, 0)
     dm = back @ w["down"].T
     dm *= m > 0
     np.matmul(m.T, back, out=g["down"])
@@ -309,16 +316,16 @@ def _joint_gradients(w: dict[str, np.ndarray], g: dict[str, np.ndarray], prior:
     ds = np.matmul(dz.reshape(cube), v.transpose(0, 2, 1))
     ds -= ((dz * z) @ np.ones(d, kind)).reshape(*x.shape, 1)
     ds *= a
-    ds *= scale
     dlooks = np.empty_like(looks)
     np.matmul(ds, k, out=dlooks[..., :d])
     np.matmul(ds.transpose(0, 2, 1), q, out=dlooks[..., d : 2 * d])
     np.matmul(a.transpose(0, 2, 1), dz.reshape(cube), out=dlooks[..., 2 * d :])
     dlooks = dlooks.reshape(n, 3 * d)
     np.matmul(h.T, dlooks, out=g["looks"])
-    back += dlooks @ w["looks"].T
+    g["looks"][:, :d] *= scale
+    back += dlooks @ looking.T
     g["place"][:] = back.reshape(cube).sum(0)
-    g["embed"][:] = np.bincount((before[:, None] * d + np.arange(d)).ravel(), back.ravel(), g["embed"].size).reshape(-1, d)
+    g["embed"][:] = np.bincount(_CELLS.take(before, 0).ravel(), back.ravel(), g["embed"].size).reshape(-1, d)
 
 
 def _gradients(w: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np.ndarray, scored: np.ndarray, left_out: bool = False) -> dict[str, np.ndarray]:
@@ -330,12 +337,14 @@ def _gradients(w: dict[str, np.ndarray], prior: tuple, x: np.ndarray, y: np.ndar
 
 
 class Learner:
-    """Adam over windows of WINDOW + 1 classes; moments and the falling rate go on from one call to the next. ``windows`` are about as many as all calls bring."""
+    """Adam over windows of WINDOW + 1 classes; moments and the falling rate go on from one call to the next. ``windows`` are about as many as all calls bring: many
+    make larger steps, at a rate that grows with their square root."""
 
     def __init__(self, w: dict[str, np.ndarray], prior: tuple, windows: int, seed: int) -> None:
         self.values, self.prior, self.random = _joint(w), prior, np.random.default_rng(seed)
         self.found, self.one, self.two = (np.zeros_like(self.values) for _ in range(3))
-        self.step, self.steps = 0, max(1, EPOCHS * -(-windows // BATCH))
+        self.batch = min(LARGEST, max(BATCH, EPOCHS * windows // STEPS))
+        self.step, self.steps, self.rate = 0, max(1, EPOCHS * -(-windows // self.batch)), RATE * math.sqrt(self.batch / BATCH)
 
     @property
     def w(self) -> dict[str, np.ndarray]:
@@ -346,27 +355,25 @@ class Learner:
         weights, gradients, g, t = _views(self.values), _views(self.found), self.found, np.empty_like(self.found)
         for _ in range(EPOCHS):
             order = self.random.permutation(len(windows))
-            for lo in range(0, len(order), BATCH):
-                rows = order[lo : lo + BATCH]
+            for lo in range(0, len(order), self.batch):
+                rows = order[lo : lo + self.batch]
                 some = windows[rows].astype(np.int64)
                 x, y = some[:, :-1], some[:, 1:]
                 scored = np.arange(WINDOW)[None, :] < (lengths[rows].astype(np.int64) - 1)[:, None]
                 self.step += 1
-                rate = RATE * (1 - 0.9 * min(1.0, self.step / self.steps))
+                rate = self.rate * (1 - 0.9 * min(1.0, self.step / self.steps))
                 _joint_gradients(weights, gradients, self.prior, x, y, scored, True)
-                np.subtract(g, self.one, out=t)
-                t *= np.float32(0.1)
-                self.one += t
+                # the moments without their factors 0.1 and 0.01, which go into the numbers below
+                self.one *= np.float32(0.9)
+                self.one += g
                 g *= g
-                g -= self.two
-                g *= np.float32(0.01)
+                self.two *= np.float32(0.99)
                 self.two += g
-                # rate * (one / c) / (sqrt(two / b) + 1e-6)
-                np.multiply(self.two, np.float32(1 / (1 - 0.99**self.step)), out=t)
-                np.sqrt(t, out=t)
-                t += np.float32(1e-6)
+                np.sqrt(self.two, out=t)
+                spread = math.sqrt(0.01 / (1 - 0.99**self.step))
+                t += np.float32(1e-6 / spread)
                 np.divide(self.one, t, out=t)
-                t *= np.float32(rate / (1 - 0.9**self.step))
+                t *= np.float32(rate * 0.1 / (1 - 0.9**self.step) / spread)
                 self.values -= t
 
 

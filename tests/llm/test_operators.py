@@ -835,6 +835,43 @@ def test_learning_is_adam_on_the_gradients():
     assert any((v != weights[k]).any() for k, v in learner.w.items())
 
 
+def test_steps_grow_with_the_windows_of_a_replica():
+    """Few windows keep small steps; many make larger ones, so that a step's fixed cost falls on more ids. Each window is in EPOCHS steps either way."""
+    weights, prior = attention_lm.first_weights(), attention_lm.prior_of(np.ones(attention_lm.CLASSES**2))
+    for windows, batch in ((1, 128), (28_000, 128), (90_000, 187), (125_000, 256), (10_000_000, 256)):
+        learner = attention_lm.Learner(weights, prior, windows, 7)
+        assert (learner.batch, learner.steps) == (batch, attention_lm.EPOCHS * -(-windows // batch))
+        assert learner.rate == pytest.approx(attention_lm.RATE * math.sqrt(batch / 128))
+
+
+@pytest.mark.parametrize("windows", [1, 20, 700])
+def test_groups_in_chunks(windows):
+    """Each place has one row, in a chunk of its group; products over chunks are those of each place with its own group's weights, however uneven the groups are."""
+    random = np.random.default_rng(windows)
+    kind, d, n = attention_lm.GROUPS, attention_lm.WIDTH, windows * attention_lm.WINDOW
+    x, y = ((random.random((windows, attention_lm.WINDOW)) ** 6 * (attention_lm.CLASSES - 1)).astype(int) + 1 for _ in range(2))
+    group, member = y.ravel() % kind, y.ravel() // kind
+    places, rows, chunk_group = attention_lm._by_group(group)
+    assert (places[rows] == np.arange(n)).all() and len(places) % len(chunk_group) == 0 and len(places) < 2 * n + kind * attention_lm.CHUNK
+    assert (np.repeat(chunk_group, len(places) // len(chunk_group))[rows] == group).all()
+    weights = {k: (v + random.normal(0, 0.3, v.shape)).astype(np.float64) for k, v in attention_lm.first_weights().items()}
+    prior = tuple(p.astype(np.float64) for p in attention_lm.prior_of(random.integers(0, 3, attention_lm.CLASSES**2)))
+    f = attention_lm._forward(weights, x)["f"].reshape(n, d)
+    expected, shares = np.zeros(n), np.zeros((kind, d, kind))
+    for logits, own, inner in (
+        (f @ weights["out"] + weights["bias"] + prior[0][x.ravel()], group, False),
+        (np.einsum("nd,ndk->nk", f, weights["inner"][group]) + weights["inner_bias"][group] + prior[1][x.ravel(), group], member, True),
+    ):
+        p = np.exp(logits - logits.max(1)[:, None])
+        p /= p.sum(1)[:, None]
+        expected += np.log(p[np.arange(n), own])
+        if inner:
+            p[np.arange(n), own] -= 1
+            np.add.at(shares, group, f[:, :, None] * p[:, None] / n)
+    assert np.allclose(attention_lm.class_log_probs(weights, prior, x, y, np.ones(n, bool), 0), expected)
+    assert np.allclose(attention_lm._gradients(weights, prior, x, y, np.ones(x.shape, bool))["inner"], shares)
+
+
 def test_training_leaves_the_own_occurrence_out():
     """With ``left_out`` the gradients are those under priors counted without the place that is learnt."""
     random = np.random.default_rng(8)
