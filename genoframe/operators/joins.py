@@ -140,8 +140,9 @@ def pattern(triples: DataFrame, predicate: str, s: str = "s", o: str = "o") -> D
 
 
 def pathway_genes(triples: DataFrame, name: str) -> DataFrame:
-    """Genes of pathways whose label matches."""
-    return pattern(triples, "in_pathway", "gene", "pathway").join(pattern(triples, "label", "pathway", "text").where(F.col("text").rlike(name)), "pathway").select("gene").distinct()
+    """Genes of pathways whose label matches. A pathway may have many labels: its genes meet it once."""
+    named = pattern(triples, "label", "pathway", "text").where(F.col("text").rlike(name)).select("pathway").distinct()
+    return pattern(triples, "in_pathway", "gene", "pathway").join(named, "pathway", "left_semi").select("gene").distinct()
 
 
 def partners(triples: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -155,7 +156,8 @@ def partners(triples: DataFrame, seeds: DataFrame) -> DataFrame:
 def disease_genes(triples: DataFrame, disease: str) -> DataFrame:
     """Disease by name to variant to gene."""
     named = pattern(triples, "name", "disease", "text").where(F.col("text").rlike(disease)).select("disease")
-    return pattern(triples, "causes", "variant", "disease").join(named, "disease").join(pattern(triples, "in_gene", "variant", "gene"), "variant").select("gene").distinct()
+    variants = pattern(triples, "causes", "variant", "disease").join(named, "disease", "left_semi").select("variant")
+    return pattern(triples, "in_gene", "variant", "gene").join(variants, "variant", "left_semi").select("gene").distinct()
 
 
 def extract_snps(wanted: DataFrame, gens: DataFrame, key: str = "rs") -> tuple[DataFrame, DataFrame]:
