@@ -512,9 +512,8 @@ _DOSE = "(p_ab + 2 * p_bb)"
 
 @query("t17_imputed_score", f"with r as (select marker, y, {_DOSE} as x, (p_ab + 4 * p_bb) - {_DOSE} * {_DOSE} as v from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0), m as (select marker, avg(y) as m from r group by 1) select marker, round(sum((y - m) * x) / 1000, 3) as score, round(sum((y - m) * (y - m) * v) / sum(v), -1) as lost from r join m using (marker) group by 1")
 def _(s, d):
-    p = _prob_y(s, d)
-    out = T.imputed_score(p, "y").join(p.where("p_aa + p_ab + p_bb > 0").groupBy("marker").agg(F.sum(F.col("p_ab") + 4 * F.col("p_bb") - F.pow(G.dosage(), F.lit(2))).alias("v")), "marker")
-    return out.select("marker", F.round(F.col("score") / 1000, 3).alias("score"), F.round(F.col("missing_information") / F.col("v"), -1).alias("lost"))
+    out = T.imputed_score(_prob_y(s, d), "y")
+    return out.select("marker", F.round(F.col("score") / 1000, 3).alias("score"), F.round(F.col("missing_information") / F.col("uncertainty"), -1).alias("lost"))
 
 
 _T18 = f"""with q as (select marker, y, p_ab as a, p_bb as b from ({X.PROB}) p join ({X.SAMPLE}) s using (iid) where p_aa + p_ab + p_bb > 0), m as (select marker, avg(y) as my, avg(a) as ma, avg(b) as mb from q group by 1),
